@@ -58,49 +58,49 @@ def _totals(readings: DataFrame) -> DataFrame:
 
 
 def score_alert_status(w: Warehouse) -> DataFrame:
-    return w.readings().select("event_id", "batch_id", "alert_status")
+    return w.readings.select("event_id", "batch_id", "alert_status")
 
 
 def score_risk(w: Warehouse) -> DataFrame:
-    return w.readings().select("event_id", "risk_profile", "risk_score")
+    return w.readings.select("event_id", "risk_profile", "risk_score")
 
 
 def root_causes(w: Warehouse) -> DataFrame:
-    return w.readings().where(F.col("alert_status") != "NORMAL").select("event_id", root_cause().alias("cause"))
+    return w.readings.where(F.col("alert_status") != "NORMAL").select("event_id", root_cause().alias("cause"))
 
 
 def active_alerts(w: Warehouse) -> DataFrame:
-    return gold.active_alerts(w.readings())
+    return gold.active_alerts(w.readings)
 
 
 def silver_clean(w: Warehouse) -> DataFrame:
-    return silver.clean(w.dirty()).select("event_id", "house_id", "event_time", *SENSORS)
+    return silver.clean(w.dirty).select("event_id", "house_id", "event_time", *SENSORS)
 
 
 def silver_features(w: Warehouse) -> DataFrame:
-    features = silver.enrich(silver.clean(w.dirty()))
+    features = silver.enrich(silver.clean(w.dirty))
     flags = ("building_age", "gas_leak_flag", "fire_risk_flag", "pollution_flag", "risk_level")
     return with_time_parts(features).select("event_id", *flags, "year", "month", "day", "hour")
 
 
 def zone_stats(w: Warehouse) -> DataFrame:
-    return gold.zone_stats(_totals(w.readings()))
+    return gold.zone_stats(_totals(w.readings))
 
 
 def zone_stats_raw(w: Warehouse) -> DataFrame:
-    return gold.zone_stats(_totals(w.dirty()))
+    return gold.zone_stats(_totals(w.dirty))
 
 
 def zone_stats_silver(w: Warehouse) -> DataFrame:
-    return gold.zone_stats(_totals(silver.clean(w.dirty())))
+    return gold.zone_stats(_totals(silver.clean(w.dirty)))
 
 
 def gov_stats(w: Warehouse) -> DataFrame:
-    return gold.gov_stats(_totals(w.readings()))
+    return gold.gov_stats(_totals(w.readings))
 
 
 def gov_stats_raw(w: Warehouse) -> DataFrame:
-    return gold.gov_stats(_totals(w.dirty()))
+    return gold.gov_stats(_totals(w.dirty))
 
 
 # --- snapshots ------------------------------------------------------------------------------
@@ -165,13 +165,12 @@ def _report(w: Warehouse, batch_id: int | None = None) -> DataFrame:
 
 
 def geo_clamp(w: Warehouse) -> DataFrame:
-    governorates, zones = fixture.governorate_dim(w.spark, w.sf_dir), fixture.zone_dim(w.spark, w.sf_dir)
-    located = fleet.locate(w.readings(), governorates, zones)
+    located = fleet.locate(w.readings, fixture.governorate_dim(w.spark, w.sf_dir), w.zone_dim)
     return located.select("event_id", "clamped_lat", "clamped_lon", "outside_bounds")
 
 
 def zone_tier(w: Warehouse) -> DataFrame:
-    return fleet.zone_tier(w.readings(), HIGH_TIER, MEDIUM_TIER).select("event_id", "zone", "tier")
+    return fleet.zone_tier(w.readings, HIGH_TIER, MEDIUM_TIER).select("event_id", "zone", "tier")
 
 
 # --- messages, layers, streams --------------------------------------------------------------
@@ -179,7 +178,7 @@ def zone_tier(w: Warehouse) -> DataFrame:
 
 def parse_readings(w: Warehouse) -> DataFrame:
     nowhere = {"partition": F.lit(None).cast("int"), "offset": F.lit(None).cast("bigint")}
-    sent = fixture.payload(w.readings()).withColumns(nowhere)
+    sent = fixture.payload(w.readings).withColumns(nowhere)
     return messages.parse(sent).select(*PAYLOAD, "event_time", "raw_value", "kafka_partition", "kafka_offset")
 
 
@@ -188,7 +187,7 @@ def publish_roundtrip(w: Warehouse) -> DataFrame:
 
 
 def bronze_partitions(w: Warehouse) -> DataFrame:
-    return with_time_parts(w.dirty()).groupBy("year", "month", "day", "hour").agg(F.count("*").alias("row_count"))
+    return with_time_parts(w.dirty).groupBy("year", "month", "day", "hour").agg(F.count("*").alias("row_count"))
 
 
 def partition_pruned_scan(w: Warehouse) -> DataFrame:
@@ -259,9 +258,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "insight_banner": insight_banner,
     "live_snapshot": _report,
     "snapshot_at_batch": lambda w: _report(w, PAST_BATCH),
-    "batch_summary": lambda w: fleet.batch_summary(w.readings()),
-    "fleet_profile": lambda w: fleet.fleet_profile(fleet.houses(w.readings())),
-    "active_anomalies_top5": lambda w: fleet.active_anomalies(w.readings()),
+    "batch_summary": lambda w: fleet.batch_summary(w.readings),
+    "fleet_profile": lambda w: fleet.fleet_profile(fleet.houses(w.readings)),
+    "active_anomalies_top5": lambda w: fleet.active_anomalies(w.readings),
     "geo_clamp": geo_clamp,
     "zone_tier": zone_tier,
     "parse_readings": parse_readings,

@@ -44,41 +44,47 @@ class Warehouse:
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
     def readings(self) -> DataFrame:
         return fixture.readings(self.spark, self.sf_dir)
 
+    @cached_property
     def dirty(self) -> DataFrame:
-        return fixture.dirty(self.readings())
+        return fixture.dirty(self.readings)
 
     @cached_property
     def history(self) -> Lake:
         """Statistics of all batches, computed in one go."""
         lake = Lake(shared_folder(self.spark))
-        layers.write_statistics(self.readings(), lake, batch_id=None, snapshot_time=None)
+        layers.write_statistics(self.readings, lake, batch_id=None, snapshot_time=None)
         fixture.houses(self.spark, self.sf_dir).write.parquet(f"{lake.root}/houses")
         return lake
 
-    def gold(self, table: str) -> DataFrame:
-        return self.history.read_gold(self.spark, table)
-
-    @property
+    @cached_property
     def alerts(self) -> DataFrame:
-        return self.gold("active_alerts")
+        return self.history.read_gold(self.spark, "active_alerts")
 
-    @property
+    @cached_property
     def gov(self) -> DataFrame:
-        return self.gold("gov_stats")
+        return self.history.read_gold(self.spark, "gov_stats")
 
-    @property
+    @cached_property
     def zones(self) -> DataFrame:
-        return self.gold("zone_stats")
+        return self.history.read_gold(self.spark, "zone_stats")
 
+    @cached_property
     def houses(self) -> DataFrame:
-        schema = fixture.houses(self.spark, self.sf_dir).schema
-        return self.spark.read.schema(schema).parquet(f"{self.history.root}/houses")
+        return self.spark.read.parquet(f"{self.history.root}/houses")
 
     def total_houses(self) -> Column:
-        return self.houses().agg(F.count("*")).scalar()
+        return self.houses.agg(F.count("*")).scalar()
+
+    @cached_property
+    def zone_dim(self) -> DataFrame:
+        """Zone coordinates as a stored table, whose known size decides how it is joined."""
+        path = f"{shared_folder(self.spark)}/zones"
+        fixture.zone_dim(self.spark, self.sf_dir).write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def damaged(self) -> Lake:
@@ -86,7 +92,7 @@ class Warehouse:
         lake = Lake(shared_folder(self.spark))
         write = layers.bronze_writer(lake)
         missing = {"timestamp": "string", "kafka_partition": "int", "kafka_offset": "bigint", "raw_value": "string"}
-        shaped = self.dirty().withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
+        shaped = self.dirty.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
         write(shaped, 0)
         return lake
 
@@ -130,5 +136,5 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 def publish_and_read(house: Warehouse) -> DataFrame:
     """Readings sent as keyed messages and parsed again."""
     landing = shared_folder(house.spark)
-    messages.write_files(fixture.payload(house.readings()), landing)
+    messages.write_files(fixture.payload(house.readings), landing)
     return messages.parse(messages.read_files(house.spark, landing))

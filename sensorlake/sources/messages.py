@@ -86,14 +86,12 @@ def parse(messages: DataFrame) -> DataFrame:
     wrong type gives NULL for that field; an unreadable time stamp gives a NULL ``event_time``.
     """
     payload = StructType([*schemas.READING.fields, StructField("raw_value", StringType())])
+    # As the output of a generator the payload is parsed once per message: later filters stay
+    # above it, where a plain expression would be copied into them and parsed again.
+    reading = F.from_json("value", payload, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_value"})
     parsed = messages.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        F.from_json("value", payload, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_value"}).alias("reading"),
-    )
-    return parsed.select(
-        "kafka_partition",
-        "kafka_offset",
-        "reading.*",
-        F.try_to_timestamp("reading.timestamp", F.lit(TIME_FORMAT)).alias("event_time"),
+        F.inline(F.array(reading)),
     )
+    return parsed.withColumn("event_time", F.try_to_timestamp("timestamp", F.lit(TIME_FORMAT)))

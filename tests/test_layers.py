@@ -1,0 +1,164 @@
+"""Cleaning, statistics and messages on hand-made rows."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from samples import CALM, readings, values
+from sensorlake import schemas
+from sensorlake.operators import gold, silver
+from sensorlake.sources import jdbc, messages
+from sensorlake.sources.layers import Lake, replace_partitions
+
+
+def test_clean_ranges_and_defaults(spark):
+    rows = readings(
+        spark,
+        {"temperature_c": -10.0, "humidity_pct": 100.0, "aqi": 500, "methane_ppm": 0.0},
+        {"temperature_c": 65.01, "humidity_pct": -0.01, "aqi": 501, "methane_ppm": -0.01},
+        {s: None for s in ("temperature_c", "humidity_pct", "methane_ppm", "lpg_ppm", "co_ppm", "smoke_level", "aqi", "co2_ppm", "pm25_ugm3", "pm10_ugm3")},
+        {"house_id": None},
+        {"timestamp": "bad"},
+    )
+    got = {r.event_id: r for r in silver.clean(rows).collect()}
+    assert set(got) == {"e0", "e1", "e2"}
+    assert (got["e0"].temperature_c, got["e0"].humidity_pct, got["e0"].aqi, got["e0"].methane_ppm) == (-10.0, 100.0, 500, 0.0)
+    assert (got["e1"].temperature_c, got["e1"].humidity_pct, got["e1"].aqi, got["e1"].methane_ppm) == (25.0, 50.0, 50, 0.0)
+    empty = got["e2"]
+    assert (empty.temperature_c, empty.humidity_pct, empty.methane_ppm, empty.lpg_ppm, empty.co_ppm) == (25.0, 50.0, 0.0, 0.0, 0.0)
+    assert (empty.smoke_level, empty.aqi, empty.co2_ppm, empty.pm25_ugm3, empty.pm10_ugm3) == (0.0, 50, 400, 10.0, 20.0)
+
+
+def test_building_age(spark):
+    rows = silver.enrich(readings(spark, {"year_built": 1976}, {"year_built": None}))
+    assert values(rows, "event_id", "building_age") == {"e0": 50, "e1": None}
+    assert values(silver.enrich(readings(spark, {}), reference_year=2030), "event_id", "building_age") == {"e0": 30}
+
+
+def test_zone_is_keyed_with_its_governorate(spark):
+    rows = readings(spark, {"governorate": "Minya", "zone": "Dairut"}, {"governorate": "Asyut", "zone": "Dairut"})
+    assert gold.zone_stats(gold.region_totals(rows)).count() == 2
+
+
+def test_statistics(spark):
+    rows = readings(
+        spark,
+        {"zone": "A", "methane_ppm": 1.0, "risk_score": 10.0},
+        {"zone": "A", "methane_ppm": None, "risk_score": 20.0, "alert_status": "WARNING", "is_anomaly": 1},
+        {"zone": "B", "methane_ppm": 7.0, "risk_score": 30.0, "alert_status": "CRITICAL", "is_anomaly": 1},
+        {"governorate": None, "zone": None, "methane_ppm": None, "risk_score": None, "alert_status": None, "is_anomaly": None},
+    )
+    totals = gold.region_totals(rows, batch_id=7)
+    zones = {r.zone: r for r in gold.zone_stats(totals).collect()}
+    assert (zones["A"].avg_methane_ppm, zones["A"].max_methane_ppm, zones["A"].total_readings) == (1.0, 1.0, 2)
+    assert (zones["A"].zone_risk_level, zones["B"].zone_risk_level, zones[None].zone_risk_level) == ("WARNING", "CRITICAL", "LOW")
+    assert zones[None].avg_methane_ppm is None and zones[None].critical_count == 0
+    gov = {r.governorate: r for r in gold.gov_stats(totals).collect()}
+    cairo = gov["Cairo"]
+    assert (cairo.avg_methane_ppm, cairo.avg_risk_score, cairo.total_houses) == (4.0, 20.0, 3)
+    assert (cairo.critical_count, cairo.warning_count, cairo.total_anomalies, cairo.gov_risk_level) == (1, 1, 2, "WARNING")
+    assert {r.batch_id for r in gold.zone_stats(totals).collect()} == {7}
+
+
+def test_governorate_counts_readings_not_houses(spark):
+    gov = gold.gov_stats(gold.region_totals(readings(spark, {}, {}, {}))).first()
+    assert gov.total_houses == 3
+
+
+def test_a_snapshot_has_one_time(spark):
+    rows = readings(spark, {"zone": "A", "timestamp": "2024-01-01 00:00:05"}, {"zone": "B", "timestamp": "2024-01-01 00:00:09"})
+    totals = gold.region_totals(rows)
+    times = {str(r.snapshot_time) for df in (gold.zone_stats(totals), gold.gov_stats(totals)) for r in df.collect()}
+    assert times == {"2024-01-01 00:00:09"}
+
+
+def test_alert_list_has_alerts_only(spark):
+    rows = readings(spark, *[{"alert_status": s} for s in ("NORMAL", "WARNING", "CRITICAL", None)])
+    alerts = gold.active_alerts(rows, batch_id=3)
+    assert values(alerts, "event_id", "alert_status") == {"e1": "WARNING", "e2": "CRITICAL"}
+    assert schemas.conform(alerts, schemas.ACTIVE_ALERTS).columns == schemas.ACTIVE_ALERTS.names
+
+
+def _parsed(spark, *values_: str | None):
+    sent = spark.createDataFrame([("H1", v) for v in values_], "key string, value string")
+    return messages.parse(sent.withColumns({"partition": F.lit(2), "offset": F.lit(5).cast("long")})).collect()
+
+
+def test_parse_keeps_what_it_can(spark):
+    good, wrong_type, bad_time, junk, nothing = _parsed(
+        spark,
+        '{"event_id": "a", "house_id": "H1", "timestamp": "2024-02-03 04:05:06", "methane_ppm": 12.34, "aqi": 7}',
+        '{"event_id": "b", "house_id": "H1", "timestamp": "2024-02-03 04:05:06", "methane_ppm": "much", "aqi": 7}',
+        '{"event_id": "c", "house_id": "H1", "timestamp": "yesterday"}',
+        "not json",
+        None,
+    )
+    assert (good.methane_ppm, good.aqi, str(good.event_time)) == (12.34, 7, "2024-02-03 04:05:06")
+    assert (good.kafka_partition, good.kafka_offset, good.raw_value) == (2, 5, None)
+    assert (wrong_type.methane_ppm, wrong_type.aqi, wrong_type.event_id) == (None, 7, "b")
+    assert (bad_time.event_time, bad_time.event_id) == (None, "c")
+    assert (junk.event_id, junk.raw_value) == (None, "not json")
+    assert (nothing.event_id, nothing.raw_value, nothing.kafka_offset) == (None, None, 5)
+
+
+def test_a_parsed_field_filter_does_not_parse_twice(spark):
+    sent = spark.createDataFrame([("H1", "{}")], "key string, value string")
+    parsed = messages.parse(sent.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("long")}))
+    plan = gold.active_alerts(parsed, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_messages_hold_every_field(spark):
+    sent = messages.to_messages(readings(spark, {}))
+    row = messages.parse(sent.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("long")})).first()
+    assert {c: row[c] for c in schemas.READING.names} == CALM
+
+
+def test_kafka_options():
+    source = messages.kafka_source_options("broker:9092", startingOffsets="earliest")
+    assert source["subscribe"] == "sensor_data_stream"
+    assert (source["startingOffsets"], source["failOnDataLoss"]) == ("earliest", "false")
+    sink = messages.kafka_sink_options("broker:9092")
+    assert (sink["kafka.acks"], sink["kafka.compression.type"], sink["topic"]) == ("all", "gzip", "sensor_data_stream")
+
+
+def test_jdbc_options():
+    assert jdbc.options("jdbc:x", "t", user="u") == {"url": "jdbc:x", "dbtable": "t", "user": "u"}
+
+
+def test_replacing_a_partition_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_partitions(spark.range(10).selectExpr("id", "id % 2 AS k"), path, ("k",))
+    replace_partitions(spark.range(3).selectExpr("id", "1L AS k"), path, ("k",))
+    assert values(spark.read.parquet(path).groupBy("k").count(), "k", "count") == {0: 5, 1: 3}
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize") != "32k"
+
+
+def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("id", "sha2(cast(id AS string), 512) AS text", "IF(id % 3 = 0, 1, 0) AS k")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")
+    try:
+        replace_partitions(rows, path, ("k",))
+    finally:
+        spark.conf.unset(size)
+    files = spark.read.parquet(path).select("k", F.input_file_name().alias("f")).distinct()
+    assert min(values(files.groupBy("k").count(), "k", "count").values()) > 1
+    assert spark.read.parquet(path).count() == 200_000
+
+
+def test_lake_paths():
+    lake = Lake("/x")
+    assert (lake.bronze, lake.gold("zone_stats"), lake.checkpoint("gold")) == ("/x/bronze", "/x/gold/zone_stats", "/x/checkpoints/gold")
+
+
+def test_unknown_shared_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sensorlake.plans.warehouse import shared_folder
+
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        shared_folder(cluster)
