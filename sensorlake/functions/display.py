@@ -27,3 +27,8 @@ def as_decimal(value: Column, precision: int, digits: int) -> Column:
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """Share in percent, 0 when there is nothing to share."""
     return rounded(F.try_divide(part * F.lit(100.0), whole), digits)
+
+
+def short_number(value: Column) -> Column:
+    """Text of a rounded number without a trailing ``.0``; a dash if there is none."""
+    return F.coalesce(F.regexp_replace(value.cast("string"), r"\.0$", ""), F.lit("—"))

@@ -63,7 +63,7 @@ def _trend(points: DataFrame) -> DataFrame:
     """Values newest first and their direction; ``points`` is limited to a handful."""
     shown = points.select("snapshot_time", rounded(F.col("value"), 2).alias("value"))
     newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("snapshot_time", "value"))))
-    values = shown.agg(F.transform(newest_first, lambda p: F.format_string("%.2f", p["value"])).alias("texts"))
+    values = shown.agg(F.transform(newest_first, lambda point: point["value"].cast("string")).alias("texts"))
     heading = trends.long_direction(points).select("direction").scalar()
     line = F.format_string(rules.REPORT_TREND_VALUES, F.array_join("texts", ", "), heading)
     rows = values.where(F.size("texts") > 0).select(F.lit(1).alias("_row"), line.alias("_line"))

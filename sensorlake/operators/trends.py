@@ -14,13 +14,14 @@ from sensorlake.functions.levels import direction, methane_band
 def recent(zones: DataFrame, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
     """Mean of the zones' mean methane per snapshot, the newest ``limit`` within ``horizon``.
 
-    ``as_of`` defaults to the newest snapshot in the table. The time bound is a scalar
-    subquery, which Spark pushes into the Parquet scan, so files of older snapshots are
-    skipped by their footers.
+    ``as_of`` defaults to the newest snapshot in the table. The bound is then the whole of a
+    scalar subquery, whose result Spark pushes into the Parquet scan, so files of older
+    snapshots are skipped by their footers.
     """
-    end = zones.agg(F.max("snapshot_time")).scalar() if as_of is None else as_of
+    span = F.expr(f"INTERVAL {horizon}")
+    oldest = zones.agg(F.max("snapshot_time") - span).scalar() if as_of is None else as_of - span
     return (
-        zones.where(F.col("snapshot_time") >= end - F.expr(f"INTERVAL {horizon}"))
+        zones.where(F.col("snapshot_time") >= oldest)
         .groupBy("snapshot_time")
         .agg(F.avg("avg_methane_ppm").alias("value"))
         .orderBy(F.desc("snapshot_time"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorlake import rules
 from sensorlake.functions.conditional import first_match
-from sensorlake.functions.display import as_decimal, percent, rounded
+from sensorlake.functions.display import as_decimal, percent, rounded, short_number
 from sensorlake.functions.levels import map_severity, risk_band, severity_rank
 from sensorlake.functions.scoring import root_cause
 from sensorlake.operators.snapshot import house_counts, latest, newest_batch, one_per_house, with_previous
@@ -134,17 +134,17 @@ def insight_banner(kpi: DataFrame, gov: DataFrame) -> DataFrame:
     facts = kpi.withColumns({"top": top, "elevated": elevated}).select(
         "critical",
         "warning",
-        "avg_risk",
+        short_number(F.col("avg_risk")).alias("mean_risk"),
         "elevated",
         F.coalesce("top.governorate", F.lit("—")).alias("top_governorate"),
-        F.col("top.avg_risk").alias("top_risk"),
+        short_number(F.col("top.avg_risk")).alias("top_risk"),
     )
     plural = first_match([(F.col("elevated") == 1, "")], "s")
     critical, many = F.col("critical") > 0, F.col("warning") > rules.BANNER_WARNINGS
     texts = [
         F.format_string(rules.BANNER_CRITICAL, "critical", "top_governorate", "top_risk"),
         F.format_string(rules.BANNER_WARNING, F.col("warning"), F.col("elevated"), plural, F.col("top_governorate"), F.col("top_risk")),
-        F.format_string(rules.BANNER_STABLE, "avg_risk", "top_governorate", "top_risk"),
+        F.format_string(rules.BANNER_STABLE, "mean_risk", "top_governorate", "top_risk"),
     ]
     return facts.select(
         first_match([(critical, "CRITICAL"), (many, "WARNING")], "STABLE").alias("state"),

@@ -50,10 +50,10 @@ _cte("r", """
          WHEN methane_ppm >= 50 OR lpg_ppm >= 80 OR co2_ppm >= 1000 OR smoke_level >= 20 OR aqi >= 100
               OR co_ppm >= 9 OR temperature_c >= 42 THEN 'WARNING'
          ELSE 'NORMAL' END AS alert_status,
-    round(least((least(methane_ppm / 1.5e2, 1e0) * 35 + least(lpg_ppm / 2e2, 1e0) * 20
-               + least(smoke_level / 4.5e1, 1e0) * 20 + least(co_ppm / 3.5e1, 1e0) * 10
-               + least(aqi / 1.5e2, 1e0) * 10 + least(co2_ppm / 2e3, 1e0) * 3
-               + least(temperature_c / 5.5e1, 1e0) * 2)
+    round(least((least(coalesce(methane_ppm, 0) / 1.5e2, 1e0) * 35 + least(coalesce(lpg_ppm, 0) / 2e2, 1e0) * 20
+               + least(coalesce(smoke_level, 0) / 4.5e1, 1e0) * 20 + least(coalesce(co_ppm, 0) / 3.5e1, 1e0) * 10
+               + least(coalesce(aqi, 0) / 1.5e2, 1e0) * 10 + least(coalesce(co2_ppm, 0) / 2e3, 1e0) * 3
+               + least(coalesce(temperature_c, 0) / 5.5e1, 1e0) * 2)
         * CASE risk_profile WHEN 'low' THEN 8.5e-1 WHEN 'medium' THEN 1e0 WHEN 'high' THEN 1.15e0 ELSE 1e0 END,
         1e2), 2) AS risk_score
   FROM s""", "s")
@@ -256,7 +256,7 @@ lines(section_no, line_no, line) AS (
     || ' | warning=' || warning_count || ' | level=' || gov_risk_level FROM gov WHERE {of_gov}
   UNION ALL SELECT 5, 0, '--- METHANE TREND (last 3 min, newest first) ---'
   UNION ALL SELECT 5, 1, '  Values: [' ||
-    (SELECT string_agg(printf('%.2f', value), ', ' ORDER BY snapshot_time DESC) FROM trend_short) || ']  |  Direction: ' ||
+    (SELECT string_agg(CAST(value AS VARCHAR), ', ' ORDER BY snapshot_time DESC) FROM trend_short) || ']  |  Direction: ' ||
     CASE WHEN newest > oldest THEN 'RISING' WHEN newest < oldest THEN 'FALLING' ELSE 'STABLE' END FROM ends)
 SELECT section_no, line_no, line FROM lines"""
     return _with(body, "alerts", "gov", "fleet", "trend_short")
@@ -347,12 +347,12 @@ def oracle_sql() -> dict[str, str]:
                 {_r('(critical + warning) * 1e2 / total_houses')} AS at_risk_pct FROM kpi)""", "kpi"),
         "insight_banner": _with("""SELECT CASE WHEN critical > 0 THEN 'CRITICAL' WHEN warning > 5 THEN 'WARNING' ELSE 'STABLE' END AS state,
               CASE WHEN critical > 0 THEN 'CRITICAL: ' || critical || ' nodes at risk. Highest cluster: ' || governorate
-                     || ' (avg risk ' || printf('%.1f', t.avg_risk) || '). Immediate response required.'
+                     || ' (avg risk ' || regexp_replace(CAST(t.avg_risk AS VARCHAR), '\\.0$', '') || '). Immediate response required.'
                    WHEN warning > 5 THEN 'WARNING: ' || warning || ' nodes elevated. ' || elevated || ' governorate'
                      || CASE WHEN elevated = 1 THEN '' ELSE 's' END || ' above threshold. Highest: ' || governorate
-                     || ' (avg risk ' || printf('%.1f', t.avg_risk) || ').'
-                   ELSE 'STABLE: All 27 governorates within normal parameters. Avg risk ' || printf('%.1f', k.avg_risk)
-                     || '/100. Highest: ' || governorate || ' (' || printf('%.1f', t.avg_risk) || ').' END AS line, elevated
+                     || ' (avg risk ' || regexp_replace(CAST(t.avg_risk AS VARCHAR), '\\.0$', '') || ').'
+                   ELSE 'STABLE: All 27 governorates within normal parameters. Avg risk ' || regexp_replace(CAST(k.avg_risk AS VARCHAR), '\\.0$', '')
+                     || '/100. Highest: ' || governorate || ' (' || regexp_replace(CAST(t.avg_risk AS VARCHAR), '\\.0$', '') || ').' END AS line, elevated
             FROM kpi k, top_gov t, (SELECT count(*) FILTER (avg_risk >= 8) AS elevated FROM ranked)""", "kpi", "top_gov", "ranked"),
         "live_snapshot": _report(None),
         "snapshot_at_batch": _report(12),

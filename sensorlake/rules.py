@@ -76,12 +76,12 @@ GOVERNORATE_COUNT = 27
 
 # Banner and snapshot-report texts.
 BANNER_CRITICAL = (
-    "CRITICAL: %d nodes at risk. Highest cluster: %s (avg risk %.1f). Immediate response required."
+    "CRITICAL: %d nodes at risk. Highest cluster: %s (avg risk %s). Immediate response required."
 )
-BANNER_WARNING = "WARNING: %d nodes elevated. %d governorate%s above threshold. Highest: %s (avg risk %.1f)."
+BANNER_WARNING = "WARNING: %d nodes elevated. %d governorate%s above threshold. Highest: %s (avg risk %s)."
 BANNER_STABLE = (
     f"STABLE: All {GOVERNORATE_COUNT} governorates within normal parameters. "
-    "Avg risk %.1f/100. Highest: %s (%.1f)."
+    "Avg risk %s/100. Highest: %s (%s)."
 )
 REPORT_TITLE = "=== LIVE SYSTEM SNAPSHOT ==="
 REPORT_HOUSES = "Total monitored houses : %d"

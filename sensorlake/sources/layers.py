@@ -23,22 +23,28 @@ def with_time_parts(df: DataFrame, time: str = "event_time") -> DataFrame:
     })
 
 
-# A task that writes many small partitions is bound by its number of files, not by their bytes,
-# so adaptive execution may keep tasks smaller than its usual 1 MB.
-_SMALL_TASKS = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
+_WRITE_SETTINGS = {
+    # A task that writes many small partitions is bound by its number of files, not by their
+    # bytes, so adaptive execution may keep tasks smaller than its usual 1 MB.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    # Spark's default, INT96, has no usable footer statistics, so time filters could skip nothing.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def replace_partitions(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
@@ -49,7 +55,7 @@ def replace_partitions(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     and adaptive execution splits a partition that holds a large share of the rows over
     several tasks.
     """
-    with _setting(df.sparkSession, *_SMALL_TASKS):
+    with _settings(df.sparkSession, _WRITE_SETTINGS):
         (
             df.hint("rebalance", *keys)
             .write.mode("overwrite")

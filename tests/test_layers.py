@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,13 @@ def test_replacing_a_partition_leaves_the_others(spark, tmp_path):
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize") != "32k"
 
 
+def test_times_are_stored_with_footer_statistics(spark, tmp_path):
+    path = tmp_path / "times"
+    replace_partitions(spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS t, 1 AS k"), str(path), ("k",))
+    file = next(path.glob("k=1/*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).statistics.has_min_max
+
+
 def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "hot")
     rows = spark.range(0, 200_000, 1, 8).selectExpr("id", "sha2(cast(id AS string), 512) AS text", "IF(id % 3 = 0, 1, 0) AS k")

@@ -57,6 +57,10 @@ def test_time_range_prunes_partitions_and_reaches_parquet(spark, sf_dir):
     assert "humidity_pct" not in plan
 
 
+def test_trend_bound_reaches_parquet_whole(spark, sf_dir):
+    assert "GreaterThanOrEqual(snapshot_time,ScalarSubquery" in _plan(spark, sf_dir, "methane_trend")
+
+
 def test_json_is_read_once_per_event(spark, sf_dir):
     assert _plan(spark, sf_dir, "active_alerts").count("get_json_object") == 1
 

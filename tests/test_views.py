@@ -101,7 +101,7 @@ def test_ranking_variants(spark):
     [
         (1, 9, "CRITICAL", "CRITICAL: 1 nodes at risk. Highest cluster: Giza (avg risk 9.5). Immediate response required."),
         (0, 6, "WARNING", "WARNING: 6 nodes elevated. 1 governorate above threshold. Highest: Giza (avg risk 9.5)."),
-        (0, 5, "STABLE", "STABLE: All 27 governorates within normal parameters. Avg risk 6.0/100. Highest: Giza (9.5)."),
+        (0, 5, "STABLE", "STABLE: All 27 governorates within normal parameters. Avg risk 6/100. Highest: Giza (9.5)."),
     ],
 )
 def test_banner(spark, critical, warning, state, line):
@@ -179,7 +179,7 @@ def test_report_lines(spark):
     assert lines[6] == rules.REPORT_TOP_WARNING and len(lines) == 6 + 6 + 2 + 2
     assert lines[7] == "  [WARNING] H6 | Cairo/Maadi | Risk=6.0 | CH4=2.0ppm | Temp=45.0C | Smoke=1.0 | CO=1.0ppm | Cause=HIGH_TEMP"
     assert lines[13] == "  Cairo: avg_risk=8.3 | critical=0 | warning=7 | level=WARNING"
-    assert lines[15] == "  Values: [3.00, 2.00]  |  Direction: RISING"
+    assert lines[15] == "  Values: [3.0, 2.0]  |  Direction: RISING"
 
 
 def test_batch_summary_and_anomalies(spark):
