@@ -17,6 +17,13 @@ from sensorlake.functions.levels import gov_risk_level, zone_risk_level
 
 _AVERAGED = ("methane_ppm", "temperature_c", "smoke_level", "co_ppm", "aqi", "risk_score")
 _PEAKS = ("methane_ppm", "aqi", "risk_score")
+_ALERT_COLUMNS = (
+    *("event_id", "house_id", "governorate", "zone", "latitude", "longitude", "building_type"),
+    *("alert_status", "risk_score", "methane_ppm", "smoke_level", "co_ppm", "temperature_c", "aqi", "is_anomaly"),
+)
+
+# Columns of a reading that statistics and alerts use.
+INPUTS = (*_ALERT_COLUMNS, "event_time", "batch_id")
 
 
 def region_totals(readings: DataFrame, batch_id: int | None = None, snapshot_time: Column | None = None) -> DataFrame:
@@ -86,7 +93,6 @@ def active_alerts(readings: DataFrame, batch_id: int | None = None) -> DataFrame
     batch = F.col("batch_id") if batch_id is None else F.lit(batch_id)
     return readings.where(F.col("alert_status").isin("WARNING", "CRITICAL")).select(
         batch.cast("bigint").alias("batch_id"),
-        *("event_id", "house_id", "governorate", "zone", "latitude", "longitude", "building_type"),
-        *("alert_status", "risk_score", "methane_ppm", "smoke_level", "co_ppm", "temperature_c", "aqi", "is_anomaly"),
+        *_ALERT_COLUMNS,
         F.col("event_time").alias("alert_time"),
     )

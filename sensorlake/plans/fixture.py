@@ -114,12 +114,12 @@ def dirty(scored: DataFrame) -> DataFrame:
 
 
 def payload(scored: DataFrame) -> DataFrame:
-    """Messages of the readings, some of them broken."""
+    """Messages of the readings, some of them broken, with their event number."""
     time = F.date_format("event_time", messages.TIME_FORMAT)
     stamped = scored.withColumn("timestamp", F.when(F.col("eid") % _BROKEN_TIME == 0, F.lit("bad")).otherwise(time))
     sent = messages.to_messages(stamped, "eid")
     value = first_match([(F.col("eid") % n == 0, F.lit(text)) for n, text in _BROKEN_VALUE.items()], F.col("value"))
-    return sent.withColumn("value", value).drop("eid")
+    return sent.withColumn("value", value)
 
 
 def houses(spark: SparkSession, sf_dir: str) -> DataFrame:

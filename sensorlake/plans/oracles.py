@@ -268,7 +268,7 @@ _STRUCT = "to_json({'methane': methane, 'temp': temp, 'smoke': smoke, 'co': co})
 
 
 def oracle_sql() -> dict[str, str]:
-    payload = ", ".join(c for c in _PARSED_FIELDS)
+    payload = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c == "has_gas_connection" else c for c in _PARSED_FIELDS)
     sql = {
         "score_alert_status": _with("SELECT event_id, batch_id, alert_status FROM r", "r"),
         "score_risk": _with("SELECT event_id, risk_profile, risk_score FROM r", "r"),
@@ -378,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
         "zone_tier": _with("""SELECT event_id, zone, CASE zone WHEN 'MACHINERY' THEN 'high' WHEN 'HOUSEHOLD' THEN 'medium' ELSE 'low' END AS tier
             FROM r""", "r"),
         "parse_readings": _with(f"""SELECT {payload}, {_ts('event_time')} AS event_time, raw_value,
-            CAST(NULL AS INT) AS kafka_partition, CAST(NULL AS BIGINT) AS kafka_offset FROM m""", "m"),
+            CAST(eid % 3 AS INT) AS kafka_partition, eid AS kafka_offset FROM m""", "m"),
         "publish_roundtrip": _with(f"SELECT {payload}, {_ts('event_time')} AS event_time, raw_value FROM m", "m"),
         "bronze_partitions": _with(f"SELECT {_PARTS}, count(*) AS row_count FROM d GROUP BY ALL", "d"),
         "partition_pruned_scan": _with(f"""SELECT event_id, house_id, {_ts('event_time')} AS event_time, methane_ppm, hour(event_time) AS hour

@@ -176,14 +176,20 @@ def zone_tier(w: Warehouse) -> DataFrame:
 # --- messages, layers, streams --------------------------------------------------------------
 
 
+def _payload(parsed: DataFrame, *more: str) -> DataFrame:
+    return parsed.withColumn("has_gas_connection", F.col("has_gas_connection").cast("string")).select(
+        *PAYLOAD, "event_time", "raw_value", *more
+    )
+
+
 def parse_readings(w: Warehouse) -> DataFrame:
-    nowhere = {"partition": F.lit(None).cast("int"), "offset": F.lit(None).cast("bigint")}
-    sent = fixture.payload(w.readings).withColumns(nowhere)
-    return messages.parse(sent).select(*PAYLOAD, "event_time", "raw_value", "kafka_partition", "kafka_offset")
+    position = {"partition": F.pmod("eid", F.lit(3)).cast("int"), "offset": F.col("eid")}
+    sent = fixture.payload(w.readings).withColumns(position)
+    return _payload(messages.parse(sent), "kafka_partition", "kafka_offset")
 
 
 def publish_roundtrip(w: Warehouse) -> DataFrame:
-    return publish_and_read(w).select(*PAYLOAD, "event_time", "raw_value")
+    return _payload(publish_and_read(w))
 
 
 def bronze_partitions(w: Warehouse) -> DataFrame:

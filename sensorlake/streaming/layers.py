@@ -85,17 +85,26 @@ def write_statistics(readings: DataFrame, lake: Lake, batch_id: int | None, snap
         totals.unpersist()
 
 
-def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False) -> BatchWriter:
+def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False, keep_batch: bool = True) -> BatchWriter:
     """Statistics writer; ``batch_id`` of its rows is the micro-batch number.
 
     Readings are aggregated as parsed unless ``from_silver``. Snapshots carry the clock, or with
-    ``event_clock`` the newest event time of the batch.
+    ``event_clock`` the newest event time of the batch. Statistics and alerts are two passes
+    over the batch; ``keep_batch`` keeps its columns in memory or on local disk between them,
+    which is cheaper than parsing JSON again. Executors that are lost only cost that parsing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            readings = silver.clean(batch) if from_silver else batch
+        if batch.isEmpty():
+            return
+        readings = (silver.clean(batch) if from_silver else batch).select(*gold.INPUTS)
+        if keep_batch:
+            readings = readings.persist()
+        try:
             write_statistics(readings, lake, batch_id, None if event_clock else _now())
+        finally:
+            if keep_batch:
+                readings.unpersist()
 
     return write
 
