@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake import rules
 from sensorlake.functions import scoring
 from sensorlake.functions.conditional import first_match
 from sensorlake.sources import messages
@@ -47,6 +48,12 @@ _READING_SQL = {
     "is_anomaly": "CASE WHEN value > 1.5e2 THEN 1 ELSE 0 END",
 }
 
+# Columns that need no sensor value.
+_IDENTITY = (
+    "eid", "event_id", "event_time", "batch_id", "house_id", "governorate", "zone", "latitude", "longitude", "building_type",
+    "year_built", "risk_profile", "has_gas_connection",
+)
+
 # Columns damaged after scoring, by event number.
 _DAMAGE_SQL = {
     "event_time": "CASE WHEN eid % 61 = 0 THEN NULL ELSE event_time END",
@@ -76,37 +83,51 @@ def day_number(time: str) -> Column:
     return F.datediff(F.to_date(time), F.lit(FIRST_DAY).cast("date"))
 
 
-def readings(spark: SparkSession, sf_dir: str, days: tuple[int, int] | None = None) -> DataFrame:
+def _sensed(events: DataFrame) -> DataFrame:
+    """Events with the number in their JSON and the alert status of their sensors.
+
+    Both come out of generators, which a filter on them cannot pass: the JSON is read once per
+    event, and choosing alerts compares a finished column, before any join.
+    """
+    event = ["event_id", "event_time", "user_id", "event_type", "value"]
+    number = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"))
+    counted = events.withColumn("event_time", F.col("ts")).select(*event, F.inline(F.array(number)))
+    measured = counted.withColumns({c: F.expr(_READING_SQL[c]) for c in rules.THRESHOLDS})
+    status = F.struct(scoring.alert_status().alias("alert_status"))
+    return measured.select(*event, "k", F.inline(F.array(status)))
+
+
+def readings(spark: SparkSession, sf_dir: str, days: tuple[int, int] | None = None, sensors: bool = True) -> DataFrame:
     """Scored readings; ``days`` limits them to batches ``first <= batch < last``.
 
     The limit is stated on the event time so that it reaches the Parquet scan. No join is
     hinted: Spark broadcasts customers by their measured size and otherwise shuffles them,
-    splitting a user with very many events over tasks.
+    splitting a user with very many events over tasks. Without ``sensors`` only the columns on
+    event and house are made and the JSON is not even scanned.
     """
     events = table(spark, sf_dir, "events")
     if days is not None:
         first, last = (F.date_add(F.lit(FIRST_DAY).cast("date"), day).cast("timestamp_ntz") for day in days)
         events = events.where((F.col("ts") >= first) & (F.col("ts") < last))
-    # A generator reads the JSON once per event; filters on scores stop above it but below the joins.
-    number = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"))
-    sensed = events.select("event_id", "ts", "user_id", "event_type", "value", F.inline(F.array(number)))
+    if sensors:
+        events = _sensed(events)
+        names = [*_READING_SQL, "alert_status"]
+    else:
+        events = events.withColumnRenamed("ts", "event_time")
+        names = [c for c in _READING_SQL if c in _IDENTITY]
     joined = (
-        sensed.join(table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
+        events.join(table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("event_id").alias("eid"),
-            F.col("ts").alias("event_time"),
-            "event_type",
-            "value",
-            "k",
-            F.col("c_custkey").alias("h"),
-            F.col("c_mktsegment").alias("zone"),
-            F.col("n_name").alias("governorate"),
-            day_number("ts").alias("batch_id"),
-        )
+        .withColumns({
+            "eid": F.col("event_id"),
+            "h": F.col("c_custkey"),
+            "zone": F.col("c_mktsegment"),
+            "governorate": F.col("n_name"),
+            "batch_id": day_number("event_time"),
+        })
     )
-    measured = joined.select(*[F.expr(sql).alias(name) for name, sql in _READING_SQL.items()])
-    return measured.withColumns({"alert_status": scoring.alert_status(), "risk_score": scoring.risk_score()})
+    rows = joined.select(*[F.expr(_READING_SQL.get(c, c)).alias(c) for c in names])
+    return rows.withColumn("risk_score", scoring.risk_score()) if sensors else rows
 
 
 def dirty(scored: DataFrame) -> DataFrame:

@@ -165,12 +165,12 @@ def _report(w: Warehouse, batch_id: int | None = None) -> DataFrame:
 
 
 def geo_clamp(w: Warehouse) -> DataFrame:
-    located = fleet.locate(w.readings, fixture.governorate_dim(w.spark, w.sf_dir), w.zone_dim)
+    located = fleet.locate(w.places, fixture.governorate_dim(w.spark, w.sf_dir), w.zone_dim)
     return located.select("event_id", "clamped_lat", "clamped_lon", "outside_bounds")
 
 
 def zone_tier(w: Warehouse) -> DataFrame:
-    return fleet.zone_tier(w.readings, HIGH_TIER, MEDIUM_TIER).select("event_id", "zone", "tier")
+    return fleet.zone_tier(w.places, HIGH_TIER, MEDIUM_TIER).select("event_id", "zone", "tier")
 
 
 # --- messages, layers, streams --------------------------------------------------------------
@@ -193,7 +193,7 @@ def publish_roundtrip(w: Warehouse) -> DataFrame:
 
 
 def bronze_partitions(w: Warehouse) -> DataFrame:
-    return with_time_parts(w.dirty).groupBy("year", "month", "day", "hour").agg(F.count("*").alias("row_count"))
+    return with_time_parts(fixture.dirty(w.places)).groupBy("year", "month", "day", "hour").agg(F.count("*").alias("row_count"))
 
 
 def partition_pruned_scan(w: Warehouse) -> DataFrame:
@@ -265,7 +265,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "live_snapshot": _report,
     "snapshot_at_batch": lambda w: _report(w, PAST_BATCH),
     "batch_summary": lambda w: fleet.batch_summary(w.readings),
-    "fleet_profile": lambda w: fleet.fleet_profile(fleet.houses(w.readings)),
+    "fleet_profile": lambda w: fleet.fleet_profile(fleet.houses(w.places)),
     "active_anomalies_top5": lambda w: fleet.active_anomalies(w.readings),
     "geo_clamp": geo_clamp,
     "zone_tier": zone_tier,

@@ -48,6 +48,11 @@ class Warehouse:
     def readings(self) -> DataFrame:
         return fixture.readings(self.spark, self.sf_dir)
 
+    @cached_property
+    def places(self) -> DataFrame:
+        """Readings without their sensors."""
+        return fixture.readings(self.spark, self.sf_dir, sensors=False)
+
     @cached_property
     def dirty(self) -> DataFrame:
         return fixture.dirty(self.readings)
