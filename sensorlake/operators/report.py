@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorlake import rules
 from sensorlake.functions.display import rounded
+from sensorlake.functions.levels import direction
 from sensorlake.operators import trends, views
 
 _LINES = ("section_no", "line_no", "line")
@@ -63,11 +64,13 @@ def _trend(points: DataFrame) -> DataFrame:
     """Values newest first and their direction; ``points`` is limited to a handful."""
     shown = points.select("snapshot_time", rounded(F.col("value"), 2).alias("value"))
     newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("snapshot_time", "value"))))
-    values = shown.agg(F.transform(newest_first, lambda point: point["value"].cast("string")).alias("texts"))
-    heading = trends.long_direction(points).select("direction").scalar()
-    line = F.format_string(rules.REPORT_TREND_VALUES, F.array_join("texts", ", "), heading)
-    rows = values.where(F.size("texts") > 0).select(F.lit(1).alias("_row"), line.alias("_line"))
-    return _titled(rules.REPORT_TREND, rows, F.col("_line"), [F.asc("_row")])
+    known = shown.agg(newest_first.alias("points")).where(F.size("points") > 0)
+    newest, oldest = (F.element_at("points", place)["value"] for place in (1, -1))
+    texts = F.transform("points", lambda point: point["value"].cast("string"))
+    line = F.format_string(
+        rules.REPORT_TREND_VALUES, F.array_join(texts, ", "), direction(newest, oldest, trends.LONG_LABELS)
+    )
+    return known.select(F.posexplode(F.array(F.lit(rules.REPORT_TREND), line)).alias("line_no", "line"))
 
 
 def live_snapshot(
@@ -83,7 +86,7 @@ def live_snapshot(
         _summary(views.kpis(alerts, gov, total_houses, batch_id)),
         _incidents(rules.REPORT_TOP_CRITICAL, views.top_incidents(alerts, "CRITICAL", 5, batch_id)),
         _incidents(rules.REPORT_TOP_WARNING, views.top_incidents(alerts, "WARNING", 5, batch_id)),
-        _ranking(views.risk_by_governorate(gov, batch_id)),
+        _ranking(views.governorate_risk(gov, batch_id)),
         _trend(trends.recent(zones, horizon, 5)),
     ]
     numbered = [_section(number, lines) for number, lines in enumerate(sections, start=1)]

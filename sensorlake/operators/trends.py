@@ -10,6 +10,8 @@ from sensorlake import rules
 from sensorlake.functions.display import rounded
 from sensorlake.functions.levels import direction, methane_band
 
+LONG_LABELS = ("RISING", "FALLING", "STABLE")
+
 
 def recent(zones: DataFrame, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
     """Mean of the zones' mean methane per snapshot, the newest ``limit`` within ``horizon``.
@@ -55,7 +57,7 @@ def long_direction(points: DataFrame) -> DataFrame:
         rounded(F.max_by("value", "snapshot_time"), 2).alias("newest"),
         rounded(F.min_by("value", "snapshot_time"), 2).alias("oldest"),
     )
-    return ends.withColumn("direction", direction(F.col("newest"), F.col("oldest"), ("RISING", "FALLING", "STABLE")))
+    return ends.withColumn("direction", direction(F.col("newest"), F.col("oldest"), LONG_LABELS))
 
 
 def short_direction(trend: DataFrame) -> DataFrame:

@@ -76,8 +76,8 @@ def kpi_history(alerts: DataFrame, gov: DataFrame) -> DataFrame:
 # --- governorates ---------------------------------------------------------------------------
 
 
-def risk_by_governorate(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Governorates of a snapshot by falling mean risk, unrounded.
+def governorate_risk(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """Risk and counts of each governorate in a snapshot, unrounded and unordered.
 
     The level is a string maximum; a snapshot holds one row per governorate, so it is that row's.
     """
@@ -91,10 +91,14 @@ def risk_by_governorate(gov: DataFrame, batch_id: int | None = None) -> DataFram
             F.sum("warning_count").alias("warning_count"),
             F.coalesce(F.max("gov_risk_level"), F.lit("LOW")).alias("risk_level"),
         )
-        .orderBy(F.desc("avg_risk"), "governorate")
     )
 
 
+def risk_by_governorate(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """Governorates by falling mean risk."""
+    return governorate_risk(gov, batch_id).orderBy(F.desc("avg_risk"), "governorate")
+
+
 def shown_risk(ranking: DataFrame) -> DataFrame:
     """Ranking with its risks as displayed."""
     shown = {name: rounded(F.col(name)) for name in ("avg_risk", "max_risk") if name in ranking.columns}
@@ -130,7 +134,7 @@ def top_governorate(gov: DataFrame) -> DataFrame:
 def insight_banner(kpi: DataFrame, gov: DataFrame) -> DataFrame:
     """One line on the most urgent thing: critical houses, many warnings, or all calm."""
     top = top_governorate(gov).select(F.struct("governorate", "avg_risk")).scalar()
-    elevated = shown_risk(risk_by_governorate(gov)).agg(F.count_if(F.col("avg_risk") >= rules.ELEVATED_RISK)).scalar()
+    elevated = shown_risk(governorate_risk(gov)).agg(F.count_if(F.col("avg_risk") >= rules.ELEVATED_RISK)).scalar()
     facts = kpi.withColumns({"top": top, "elevated": elevated}).select(
         "critical",
         "warning",

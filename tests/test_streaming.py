@@ -50,12 +50,13 @@ def test_layers_over_two_rounds(spark, tmp_path, lake):
     assert set(values(hour, "event_id", "hour")) == {"e0"}
 
 
-def test_a_repeated_micro_batch_changes_nothing(spark, lake):
+@pytest.mark.parametrize("keep_batch", [True, False])
+def test_a_repeated_micro_batch_changes_nothing(spark, lake, keep_batch):
     batch = readings(spark, *[{"alert_status": s, "zone": z} for s in ("WARNING", "NORMAL") for z in "AB"])
     parsed = batch.withColumns({
         "kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string"),
     })
-    writers = (layers.bronze_writer(lake), layers.silver_writer(lake), layers.gold_writer(lake))
+    writers = (layers.bronze_writer(lake), layers.silver_writer(lake), layers.gold_writer(lake, keep_batch=keep_batch))
     for _ in range(2):
         for write in writers:
             write(parsed, 5)
