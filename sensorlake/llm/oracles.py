@@ -43,4 +43,27 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6}
+OP9 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+first_doc AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+gone AS (
+    SELECT DISTINCT doc_id, k FROM (
+        SELECT doc_id, unnest(range(i, i + 50)) AS k FROM windows JOIN first_doc USING (g) WHERE doc_id > m
+    )
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY k) AS said
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d)
+    ANTI JOIN gone USING (doc_id, k)
+    GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) AS BIGINT) - coalesce(n_kept, 0) AS n_removed,
+       sha256(coalesce(said, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op9_substring_dedup": OP9}

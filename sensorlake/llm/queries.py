@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, topk
+from sensorlake.llm import bytebpe, decontamination, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline.
@@ -70,8 +70,21 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document left after removing 50-word sequences of smaller documents."""
+
+    def digests(piece: pa.RecordBatch) -> dict[str, pa.Array]:
+        return {"kept_sha256": pa.array([_hex(kept) for kept in substrings.kept_words(piece)], pa.string())}
+
+    marked = substrings.with_repeats(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
+    removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    counted = marked.withColumn("n_removed", removed)
+    return annotate(counted, "text", [StructField("kept_sha256", StringType())], digests, ["doc_id", "n_words", "n_removed"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
+    "op9_substring_dedup": op9_substring_dedup,
 }
