@@ -66,4 +66,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) AS BIGINT) - coale
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op9_substring_dedup": OP9}
+OP7 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({_WORDS.format(text="text")}, []) AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+copies AS (
+    SELECT doc_id, said, n, min(doc_id) OVER (PARTITION BY said) AS copy_id
+    FROM (SELECT doc_id, string_agg(g, '|' ORDER BY g) AS said, count(*) AS n FROM shingles GROUP BY doc_id)
+),
+sets AS (SELECT doc_id AS s, n FROM copies WHERE doc_id = copy_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b USING (g)
+    WHERE a.doc_id <> b.doc_id AND a.doc_id IN (SELECT s FROM sets) AND b.doc_id IN (SELECT s FROM sets)
+    GROUP BY ALL
+),
+links AS (
+    SELECT x, y FROM shared JOIN sets a ON a.s = x JOIN sets b ON b.s = y WHERE 9 * shared.n >= 4 * (a.n + b.n)
+),
+reached AS (
+    SELECT s AS x, s AS y FROM sets
+    UNION
+    SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x
+),
+classes AS (SELECT x, min(y) AS class_id FROM reached GROUP BY x),
+degrees AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(copy_id, d.doc_id) AS copy_id, coalesce(n_links, 0) AS n_links
+FROM d LEFT JOIN copies USING (doc_id) LEFT JOIN classes ON classes.x = copy_id LEFT JOIN degrees ON degrees.x = copy_id
+"""
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op9_substring_dedup": OP9}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline.
@@ -70,6 +70,11 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document and its number of links, at 0.8 of five-word shingles."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document left after removing 50-word sequences of smaller documents."""
 
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
 }

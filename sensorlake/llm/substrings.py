@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from sensorlake.llm.bits import BitTable
 from sensorlake.llm.rows import annotate, list_array
-from sensorlake.llm.words import NON_SPACE, Words, column_bytes, mixed, pieces
+from sensorlake.llm.words import NON_SPACE, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
 WINDOW = 50
@@ -66,39 +67,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), docs], ["h", "doc_id"])
 
 
-def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of a hash in the bit table."""
-    shift = np.uint64(64 - TABLE_BITS)
-    return hashes >> shift, mixed(hashes) >> shift
-
-
-def _shared_table(shared: DataFrame) -> np.ndarray:
-    """The bit table of shared anchors, built by Spark in buckets of its bitmap functions."""
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = _bits(batch.column("h").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(both).astype(np.int64) + 1)], ["bit"])
-
-    buckets = (
-        shared.mapInArrow(places, "bit long")
-        .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    )
-    table = np.zeros((1 << TABLE_BITS) // 8, dtype=np.uint8)
-    for row in buckets.toLocalIterator():
-        part = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-        table[(row.bucket - 1) * part.size : row.bucket * part.size] = part
-    return table
-
-
-def _known(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    first, second = _bits(hashes)
-    inside = (table[first >> np.uint64(3)] >> (first & np.uint64(7)).astype(np.uint8)) & 1
-    return (inside & (table[second >> np.uint64(3)] >> (second & np.uint64(7)).astype(np.uint8))).astype(bool)
-
-
-def _window_rows(table: np.ndarray, piece: pa.RecordBatch) -> pa.RecordBatch:
+def _window_rows(shared: BitTable, piece: pa.RecordBatch) -> pa.RecordBatch:
     """Candidate windows of a slice.
 
     Of the documents that share a window the smallest leaves a row with the window's hash; for
@@ -107,7 +76,7 @@ def _window_rows(table: np.ndarray, piece: pa.RecordBatch) -> pa.RecordBatch:
     words = Words.of(piece.column("text"), NON_SPACE)
     ids = piece.column("doc_id").to_numpy()
     starts, hashes = _anchors(words)
-    starts = starts[_known(table, hashes)]
+    starts = starts[shared.holds(hashes)]
     text = words.text_of[starts]
     low = np.maximum(starts - (PERIOD - 1), words.first[text])
     high = np.minimum(starts, words.first[text + 1] - WINDOW)
@@ -180,7 +149,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     anchors = docs.mapInArrow(_anchor_rows, "h long, doc_id long")
     shared = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h")
-    table = spark.sparkContext.broadcast(_shared_table(shared))
+    table = spark.sparkContext.broadcast(BitTable.of(shared, TABLE_BITS))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in map(_named, pieces(batches, "text")):

@@ -155,7 +155,7 @@ class Words:
         return self.data[self.starts[j] : self.ends[j]].tobytes()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Batches cut into slices of about ``most_bytes`` of text, at least one row each.
 
     Slices bound the memory of a task; rows, and so texts, stay whole.
@@ -165,7 +165,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 <<
         start, rows = 0, batch.num_rows
         while start < rows:
             end = int(np.searchsorted(bounds, bounds[start] + most_bytes, side="right")) - 1
-            end = min(max(end, start + 1), rows)
+            end = min(max(end, start + 1), start + most_rows, rows)
             yield batch.slice(start, end - start)
             start = end
 
