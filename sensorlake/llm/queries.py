@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline.
@@ -87,10 +87,16 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate(counted, "text", [StructField("kept_sha256", StringType())], digests, ["doc_id", "n_words", "n_removed"])
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log importance weight of every document, and whether it is drawn."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }

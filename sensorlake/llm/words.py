@@ -44,6 +44,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit value for each byte, to hash byte ranges by."""
+    return _BYTE_VALUES[data]
+
+
 class RangeHash:
     """Hash of any range of a number sequence, equal for equal content at any place."""
 
@@ -130,7 +135,7 @@ class Words:
 
     @cached_property
     def hashes(self) -> np.ndarray:
-        return RangeHash(_BYTE_VALUES[self.data], _BYTE_BASE)(self.starts, self.ends)
+        return RangeHash(byte_values(self.data), _BYTE_BASE)(self.starts, self.ends)
 
     @cached_property
     def _windows(self) -> RangeHash:
