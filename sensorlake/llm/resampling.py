@@ -23,8 +23,10 @@ from sensorlake.llm.rows import annotate
 from sensorlake.llm.words import ALPHANUMERIC, NON_SPACE, RangeHash, byte_values, column_bytes, mixed, pieces, runs
 from sensorlake.sources.shared import stored
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 12
 SAMPLE = 20_000
+#: Losing a good document counts as much as keeping this many bad ones when the cut is chosen.
+GOOD_WEIGHT = 4
 SEED = 17
 
 SCORES = [StructField("n_tokens", LongType()), StructField("log_weight", DoubleType()), StructField("draw", DoubleType())]
@@ -137,7 +139,7 @@ def labelled(labels: DataFrame, quality: str = "quality", most: int = SAMPLE) ->
     """Ids of good documents to fit on, and of good and of bad documents to calibrate with.
 
     At most ``most`` good and ``most`` bad documents are taken, by the order of their hashed ids;
-    half of the good ones, by hash, are for fitting.
+    three quarters of the good ones, by hash, are for fitting.
     """
     order = F.xxhash64("doc_id")
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(quality).alias("q"))
@@ -145,12 +147,12 @@ def labelled(labels: DataFrame, quality: str = "quality", most: int = SAMPLE) ->
         q: [r.doc_id for r in known.where(F.col("q") == q).orderBy(order, "doc_id").limit(most).select("doc_id").collect()] for q in (0, 1)
     }
     good, bad = np.array(ids[1], dtype=np.int64), np.array(ids[0], dtype=np.int64)
-    fit = mixed(good.view(np.uint64)) % np.uint64(2) == 0
+    fit = mixed(good.view(np.uint64)) % np.uint64(4) != 0
     return good[fit], good[~fit], bad
 
 
 def cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The log weight that parts good from bad documents with the best balanced accuracy.
+    """The log weight that best parts good from bad documents, by shares of each and ``GOOD_WEIGHT``.
 
     Of equally good cuts it is the middle of the first longest range; minus infinity without good
     or bad ones.
@@ -158,7 +160,7 @@ def cut(good: np.ndarray, bad: np.ndarray) -> float:
     if not good.size or not bad.size:
         return -np.inf
     values = np.unique(np.concatenate([good, bad]))
-    score = (good.size - np.searchsorted(np.sort(good), values)) / good.size + np.searchsorted(np.sort(bad), values) / bad.size
+    score = GOOD_WEIGHT * (good.size - np.searchsorted(np.sort(good), values)) / good.size + np.searchsorted(np.sort(bad), values) / bad.size
     best = np.flatnonzero(score >= score.max() - 1e-12)
     below = np.where(best > 0, values[best - 1], values[best])
     widest = np.argmax(values[best] - below)
