@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, resampling, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, langid, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
-#: Rank file of op5 and the pipeline.
+#: Rank file of op5 and the pipeline, and vocabulary of op3.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a fifth of the documents is held out from learning."""
+    import public_tokenizers
+
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identified(docs, public_tokenizers.path(PIECE_FILE), fold != 0, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to, as digests."""
     rank_file, pattern = tokenizer()
@@ -94,6 +105,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_language_id": op3_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard": op7_ngram_jaccard,
