@@ -6,11 +6,11 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, langid, resampling, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, langid, pii, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline, and vocabulary of op3.
@@ -57,6 +57,25 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts, their spans' digest, and all spans."""
+    marked = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("pii_spans", lambda s: s["kind"] != pii.TERM)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def said(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return marked.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(said(base), 256).alias("base_sha256"),
+        said(F.col("pii_spans")).alias("spans"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the rank file, and the bytes they decode to, as digests."""
     rank_file, pattern = tokenizer()
@@ -106,6 +125,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_pii": op4_pii,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard": op7_ngram_jaccard,
