@@ -97,4 +97,40 @@ SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(copy_id, d.d
 FROM d LEFT JOIN copies USING (doc_id) LEFT JOIN classes ON classes.x = copy_id LEFT JOIN degrees ON degrees.x = copy_id
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op9_substring_dedup": OP9}
+_MASKED = """
+    array_to_string(list_transform(
+        list_filter(range(1, len({rest}) + 1), lambda i: {rest}[i].role = 'assistant'),
+        lambda i: concat(
+            list_sum(list_concat([0], list_transform({rest}[1:i - 1], lambda t: len(t.role) + 5 + len(t.said) + 9))) + len({rest}[i].role) + 5, ':',
+            list_sum(list_transform({rest}[1:i], lambda t: len(t.role) + 5 + len(t.said) + 9)))
+    ), ',')
+"""
+
+_TOLD = "array_to_string(list_transform({turns}, lambda t: concat('<|', t.role, '|>', chr(10), t.said, chr(10), '<|end|>', chr(10))), '')"
+
+OP8 = f"""
+WITH rows AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (
+    SELECT conv_id, list({{'role': role, 'said': replace(text, '<|', '< |')}} ORDER BY turn NULLS FIRST, role, text) AS turns,
+           sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS learned,
+           first({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, sha256(text)) AS start
+    FROM rows GROUP BY conv_id
+),
+keyed AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY start) > 1 THEN sha256(CAST(start AS VARCHAR)) ELSE '' END AS key FROM whole),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY key ORDER BY conv_id) - 1) // 2 AS pair FROM keyed),
+pairs AS (
+    SELECT first(conv_id ORDER BY learned DESC, conv_id) AS chosen_id, first(turns ORDER BY learned DESC, conv_id) AS c,
+           last(conv_id ORDER BY learned DESC, conv_id) AS rejected_id, last(turns ORDER BY learned DESC, conv_id) AS r
+    FROM ranked GROUP BY key, pair HAVING count(*) = 2
+),
+split AS (
+    SELECT *, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) AS n FROM pairs
+),
+parts AS (SELECT *, c[n + 1:] AS c_rest, r[n + 1:] AS r_rest FROM split)
+SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, {_TOLD.format(turns="c[1:n]")} AS prompt,
+       {_TOLD.format(turns="c_rest")} AS chosen, {_TOLD.format(turns="r_rest")} AS rejected,
+       {_MASKED.format(rest="c_rest")} AS chosen_mask, {_MASKED.format(rest="r_rest")} AS rejected_mask
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op8_chat_formatting": OP8, "op9_substring_dedup": OP9}

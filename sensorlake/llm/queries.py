@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, langid, pii, resampling, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, langid, pii, preference, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline, and vocabulary of op3.
@@ -105,6 +105,17 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation paired with another one: shared prompt and two masked completions."""
+    conversations = table(spark, sf_dir, "conversations")
+    made = preference.formatted(preference.pairs_by_first_turn(conversations), conversations)
+
+    def said(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(mask)
+
+    return made.select("chosen_id", "rejected_id", "n_prompt_turns", "prompt", "chosen", "rejected", said("chosen_mask"), said("rejected_mask"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document left after removing 50-word sequences of smaller documents."""
 
@@ -129,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
