@@ -133,4 +133,68 @@ SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, {_TOLD.form
 FROM parts
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op8_chat_formatting": OP8, "op9_substring_dedup": OP9}
+def _licences() -> str:
+    from sensorlake.llm import licenses
+
+    rows = ", ".join("('{}', '{}')".format(name, notice.replace("'", "''")) for name, notice in licenses.TEMPLATES)
+    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w <> '')"
+    return f"""
+WITH notices(license, notice) AS (VALUES {rows}),
+vocabulary AS (SELECT DISTINCT unnest({words.format("notice")}) AS word FROM notices),
+files AS (
+    SELECT CASE (doc_id // 20) % 30
+               WHEN 0 THEN concat(source, '/LICENSE.', doc_id)
+               WHEN 10 THEN concat(source, '/d', doc_id // 20000, '/LICENSE.', doc_id)
+               WHEN 20 THEN concat(source, '/d', doc_id // 20000, '/d', doc_id // 1000, '/LICENSE.', doc_id)
+               ELSE concat(source, '/d', doc_id // 20000, '/d', doc_id // 1000, '/', doc_id, '.txt') END AS path, text
+    FROM documents
+),
+total AS (SELECT count(*) AS files FROM files),
+df AS (
+    SELECT word, count(*) AS df FROM (SELECT path, unnest(list_distinct({words.format("coalesce(text, '')")})) AS word FROM files)
+    WHERE word IN (SELECT word FROM vocabulary) GROUP BY word
+),
+idf AS (SELECT word, ln((files + 1) / (coalesce(df, 0) + 1)) + 1 AS weight FROM vocabulary LEFT JOIN df USING (word), total),
+lines AS (
+    SELECT path, split_part(path, '/', -1) LIKE 'LICENSE%' AS licence_file, text, string_split(text, chr(10)) AS said
+    FROM files WHERE regexp_matches(lower(text), '{licenses.CUE}')
+),
+headers AS (
+    SELECT DISTINCT path, licence_file, unnest(CASE WHEN licence_file THEN list_append(cued, text) ELSE cued END) AS header
+    FROM (SELECT *, list_filter(said, lambda line: regexp_matches(lower(line), '{licenses.CUE}')) AS cued FROM lines)
+),
+texts AS (SELECT DISTINCT header AS id, NULL AS license, header AS said FROM headers UNION ALL SELECT notice, license, notice FROM notices),
+counts AS (SELECT id, license, word, count(*) AS tf FROM (SELECT id, license, unnest({words.format("said")}) AS word FROM texts) GROUP BY ALL),
+weighed AS (SELECT id, license, word, weight, tf * coalesce(weight, ln(files + 1) + 1) AS x FROM counts LEFT JOIN idf USING (word), total),
+units AS (
+    SELECT id, license, word, x / norm AS x FROM weighed
+    JOIN (SELECT id AS n_id, license AS n_license, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL) ON id = n_id AND license IS NOT DISTINCT FROM n_license
+    WHERE weight IS NOT NULL
+),
+close AS (
+    SELECT h.id AS header, t.license, round(sum(h.x * t.x), 6) AS score
+    FROM units h JOIN units t USING (word) WHERE h.license IS NULL AND t.license IS NOT NULL GROUP BY h.id, t.id, t.license
+),
+best AS (SELECT header, first(license ORDER BY score DESC, license) AS license, max(score) AS score FROM close WHERE score >= {licenses.LEAST_SCORE} GROUP BY header),
+own AS (
+    SELECT path, any_value(licence_file) AS licence_file, first(license ORDER BY score DESC, license) AS license, max(score) AS score
+    FROM headers JOIN best USING (header) GROUP BY path
+),
+given AS (
+    SELECT regexp_extract(path, '^(.*/)', 1) AS place, first(license ORDER BY score DESC, path) AS license, max(score) AS score
+    FROM own WHERE licence_file GROUP BY 1
+),
+inherited AS (
+    SELECT path, given.place, given.license, given.score, row_number() OVER (PARTITION BY path ORDER BY len(given.place) DESC) AS near
+    FROM files JOIN given ON starts_with(path, given.place)
+)
+SELECT path, coalesce(own.license, i.license) AS license, coalesce(own.score, i.score) AS score,
+       CASE WHEN own.license IS NOT NULL THEN 'header' WHEN i.license IS NOT NULL THEN 'inherited' END AS found,
+       CASE WHEN own.license IS NULL THEN i.place END AS given_by
+FROM files LEFT JOIN own USING (path) LEFT JOIN (SELECT * FROM inherited WHERE near = 1) i USING (path)
+"""
+
+
+OP2 = _licences()
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op2_license_scan": OP2, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op8_chat_formatting": OP8, "op9_substring_dedup": OP9}

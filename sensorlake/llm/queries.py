@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, langid, pii, preference, resampling, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, jaccard, langid, licenses, pii, preference, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline, and vocabulary of op3.
@@ -47,6 +47,27 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, as a file of its source's directory tree.
+
+    Documents have no paths, so one is made from source and id: two levels of directories below
+    the source, and in each tenth group of twenty documents a licence file, placed in the
+    directory itself or in one of its parents.
+    """
+    i = F.col("doc_id")
+    upper, lower = F.floor(i / 20_000), F.floor(i / 1000)
+    kind = F.floor(i / 20) % 30
+    inner = F.concat_ws("/", "source", F.concat(F.lit("d"), upper), F.concat(F.lit("d"), lower))
+    path = (
+        F.when(kind == 0, F.concat(F.col("source"), F.lit("/LICENSE."), i))
+        .when(kind == 10, F.concat(F.col("source"), F.lit("/d"), upper, F.lit("/LICENSE."), i))
+        .when(kind == 20, F.concat(inner, F.lit("/LICENSE."), i))
+        .otherwise(F.concat(inner, F.lit("/"), i, F.lit(".txt")))
+    )
+    files = table(spark, sf_dir, "documents").select(path.alias("path"), "text")
+    return licenses.scan(files)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a fifth of the documents is held out from learning."""
     import public_tokenizers
@@ -135,6 +156,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
     "op4_pii": op4_pii,
     "op5_byte_bpe": op5_byte_bpe,
