@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from sensorlake.llm.rows import annotate, list_array
 
@@ -122,6 +122,21 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", o
     return annotate(docs, text, [IDS, *([OFFSETS] if offsets else [])], run, keep)
 
 
+def encoded_and_checked(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``round_trip``: whether the ids decode to the text's bytes."""
+
+    def run(piece: pa.RecordBatch) -> dict[str, pa.Array]:
+        model = byte_bpe(rank_file, pattern)
+        said = piece.column(text).fill_null("").to_pylist()
+        ids = [one.ids for one in model.encode(said)]
+        lengths = [len(x) for x in ids]
+        flat = np.concatenate([np.array(x, dtype=np.int32) for x in ids]) if ids else np.zeros(0, np.int32)
+        same = [model.decode(x) == t.encode() for x, t in zip(ids, said, strict=True)]
+        return {"ids": list_array(pa.array(flat), lengths), "n_tokens": pa.array(lengths, pa.int64()), "round_trip": pa.array(same)}
+
+    return annotate(docs, text, [IDS, StructField("n_tokens", LongType()), StructField("round_trip", BooleanType())], run, keep)
+
+
 def decoded(tokens: DataFrame, rank_file: str, pattern: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """``tokens`` with ``decoded``, the bytes of each list of ids; null ids give null bytes.
 
