@@ -16,7 +16,7 @@ Compute = Callable[[pa.RecordBatch], dict[str, pa.Array]]
 
 def annotate(
     df: DataFrame, text: str, added: Sequence[StructField], compute: Compute, keep: Sequence[str] | None = None,
-    most_bytes: int = 4 << 20,
+    most_bytes: int = 1 << 20,
 ) -> DataFrame:
     """``df`` with the columns that ``compute`` makes from slices of its rows.
 

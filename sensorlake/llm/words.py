@@ -160,7 +160,7 @@ class Words:
         return self.data[self.starts[j] : self.ends[j]].tobytes()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 1 << 20, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Batches cut into slices of about ``most_bytes`` of text, at least one row each.
 
     Slices bound the memory of a task; rows, and so texts, stay whole.
