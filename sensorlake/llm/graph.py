@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     the nodes is expected to go in each round, whatever the shape of the graph, long chains
     included. Self links and repeated links do no harm; no links give no rows.
     """
-    left = stored(links.select("a", "b").where("a <> b").distinct())
+    left = stored(links.select("a", "b").where("a <> b"))
     moves: list[DataFrame] = []
     while not left.isEmpty():
 
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         moves.append(stored(first.select(F.col("a").alias("node"), F.least(drawn("a"), "first")["node"].alias("root"))))
         ends = [moves[-1].select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b")]
         moved = left.join(ends[0], "a").join(ends[1], "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-        left = stored(moved.where("a <> b").distinct())
+        left = stored(moved.where("a <> b"))
     if not moves:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     result = moves[0]

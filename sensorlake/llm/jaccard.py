@@ -280,26 +280,38 @@ def candidates(base: DataFrame, recall: float = RECALL) -> DataFrame:
     """(node, root): sets that the walk joins, directly or through others."""
     base = base.where("s IS NOT NULL")
     similarity = NUMERATOR / DENOMINATOR
-    missed, done, linked, links = 1.0, 0, None, None
+    missed, done, linked = 1.0, 0, None
     while missed > 1 - recall:
         runs = range(done, done + ROUND_RUNS[min(done, 1)])
         found, depth = _walk(base, runs, linked)
-        found = stored(found)
-        links = found if links is None else links.unionByName(found)
-        linked = stored(components(links))
-        linked = linked.select(F.col("node").alias("s"), "root")
+        linked = _extended(linked, stored(found))
         missed *= (1 - _caught(similarity, depth)) ** len(runs)
         done += len(runs)
     return linked
 
 
+def _extended(linked: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(s, root) with new links: only what they join of the sets so far is contracted."""
+    if linked is None:
+        return stored(components(found).select(F.col("node").alias("s"), "root"))
+    ends = [linked.select(F.col("s").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b")]
+    lifted = found.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    further = stored(components(lifted)).select("node", F.col("root").alias("further"))
+    if further.isEmpty():
+        return linked
+    moved = linked.join(further, linked["root"] == further["node"], "left").select("s", F.coalesce("further", "root").alias("root"))
+    fresh = further.join(linked, further["node"] == linked["s"], "left_anti").select(F.col("node").alias("s"), F.col("further").alias("root"))
+    return stored(moved.unionByName(fresh))
+
+
 # --- exact comparison -----------------------------------------------------------------------
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each group by exact similarity: how many each set has, and spanning ones.
 
-    Rows are (a, b, n): n links of set a if b is null, else a link.
+    Rows are (a, b, n): n links of set a if b is null; else a link of a to b. In a whole group,
+    side -1, those with n = 1 lead to the least set of the component.
     """
     for batch in _groups(batches, 2_000):
         nodes = batch.column("node").to_numpy()
@@ -321,6 +333,7 @@ def _compared(group: pa.RecordBatch) -> pa.RecordBatch:
     number = np.cumsum(seen > 1) - 1
     row, place = row[common], number[place[common]]
     width = int((seen > 1).sum())
+    whole = sides[0] < 0
     left = np.flatnonzero(sides < 2)
     right = np.flatnonzero(sides == 2) if (sides == 2).any() else left
     both = np.zeros((left.size, right.size), dtype=np.float32)
@@ -349,7 +362,7 @@ def _compared(group: pa.RecordBatch) -> pa.RecordBatch:
         [
             pa.array(np.concatenate([sets[owner[some]], sets[child]])),
             pa.array(np.concatenate([np.zeros(some.size, np.int64), sets[root[child]]]), mask=np.arange(some.size + child.size) < some.size),
-            pa.array(np.concatenate([degree[some], np.zeros(child.size, np.int64)]).astype(np.int64)),
+            pa.array(np.concatenate([degree[some], np.full(child.size, int(whole))]).astype(np.int64)),
         ],
         ["a", "b", "n"],
     )
@@ -403,12 +416,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts = wanted.groupBy("root").agg(F.count("*").alias("n"))
     rows = wanted.join(counts, "root").select(F.col("root").alias("node"), "s", "n")
     rows = rows.join(_whole_sets(docs, wanted), "s").select("node", "s", "n", "shingles")
-    whole = rows.where(F.col("n") <= 2 * BLOCK).select("node", F.lit(0).alias("side"), "s", "shingles")
+    whole = rows.where(F.col("n") <= 2 * BLOCK).select("node", F.lit(-1).alias("side"), "s", "shingles")
     split = _blocks(rows.where(F.col("n") > 2 * BLOCK), "n", BLOCK)
     compared = stored(_by_node(whole.unionByName(split)).mapInArrow(_exact, "a long, b long, n long"))
     degrees = compared.where("b IS NULL").groupBy(F.col("a").alias("s")).agg(F.sum("n").alias("n_links"))
-    joined = stored(components(compared.where("b IS NOT NULL")))
-    members = joined.select(F.col("node").alias("s"), "root").join(copies, "s")
+    # A component settled in one group is its least set, as its own root, and those that lead to it.
+    settled = compared.where("b IS NOT NULL AND n = 1").select(F.explode(F.array("a", "b")).alias("s"), F.col("b").alias("root"))
+    blocks = components(compared.where("b IS NOT NULL AND n = 0")).select(F.col("node").alias("s"), "root")
+    members = settled.distinct().unionByName(blocks).join(copies, "s")
     first = members.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = members.join(first, "root").select("s", "check", "class_id")
     sets = copies.join(degrees, "s", "left").join(classes, ["s", "check"], "left").select(
