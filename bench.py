@@ -16,11 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 
 from sensorlake.plans.queries import queries
-from sensorlake.plans.warehouse import warehouse
+from sensorlake.plans.warehouse import release, warehouse
 
 HEADLINE = (
     "score_alert_status", "score_risk", "active_alerts", "silver_features", "zone_stats", "gov_stats", "batch_summary",
-    "fleet_profile", "active_anomalies_top5", "geo_clamp", "parse_readings", "dedup_alerts", "kpis", "risk_by_gov",
+    "fleet_profile", "active_anomalies_top5", "geo_clamp", "parse_readings", "publish_roundtrip", "bronze_partitions", "dedup_alerts", "kpis", "risk_by_gov",
     "gov_ranking_dedup", "map_markers", "alert_feed", "alerts_table_top20", "top5_critical", "methane_trend", "kpi_delta",
     "threat_distribution", "insight_banner", "live_snapshot", "partition_pruned_scan", "layer_counts",
 )
@@ -60,6 +60,7 @@ def main() -> None:
     shown = {name: round(seconds, 3) for name, seconds in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total query time", "value": round(sum(times.values()), 3), "unit": "sec", "queries": shown, "sf": sf}))
+    release(spark)
     spark.stop()
 
 

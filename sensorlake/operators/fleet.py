@@ -80,21 +80,21 @@ def zone_tier(
 def locate(readings: DataFrame, governorate_dim: DataFrame, zone_dim: DataFrame | None = None) -> DataFrame:
     """Place every reading inside its governorate.
 
-    Position is the reading's own, else its zone's (``zone_dim``: governorate, zone, zone_lat,
+    Position is the reading's own where both coordinates are known, else its zone's (``zone_dim``: governorate, zone, zone_lat,
     zone_lon), else the governorate's centre; it is then clamped to the governorate's bounds
     and rounded to 6 digits. ``outside_bounds`` marks readings that had to be moved. Readings of
     a governorate without bounds keep their position. The joins carry no hint: Spark
     broadcasts a dimension by its measured size and shuffles a larger one.
     """
     placed = readings.join(governorate_dim, "governorate", "left")
-    near = {"lat": [F.col("latitude")], "lon": [F.col("longitude")]}
+    near = [("latitude", "longitude"), ("centre_lat", "centre_lon")]
     if zone_dim is not None:
         placed = placed.join(zone_dim, ["governorate", "zone"], "left")
-        near["lat"].append(F.col("zone_lat"))
-        near["lon"].append(F.col("zone_lon"))
-    near["lat"].append(F.col("centre_lat"))
-    near["lon"].append(F.col("centre_lon"))
-    placed = placed.withColumns({f"_{axis}": F.coalesce(*options) for axis, options in near.items()})
+        near.insert(1, ("zone_lat", "zone_lon"))
+    # A position counts only as a pair: half of one and half of another would be a third place.
+    pairs = [F.when(F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"))) for lat, lon in near]
+    position = F.coalesce(*pairs)
+    placed = placed.withColumns({"_lat": position["lat"], "_lon": position["lon"]})
 
     def clamped(axis: str):
         position, low, high = (F.col(c) for c in (f"_{axis}", f"{axis}_min", f"{axis}_max"))

@@ -17,9 +17,10 @@ from sensorlake.functions.levels import gov_risk_level, zone_risk_level
 
 _AVERAGED = ("methane_ppm", "temperature_c", "smoke_level", "co_ppm", "aqi", "risk_score")
 _PEAKS = ("methane_ppm", "aqi", "risk_score")
+# Columns of an alert.
 _ALERT_COLUMNS = (
-    *("event_id", "house_id", "governorate", "zone", "latitude", "longitude", "building_type"),
-    *("alert_status", "risk_score", "methane_ppm", "smoke_level", "co_ppm", "temperature_c", "aqi", "is_anomaly"),
+    "event_id", "house_id", "governorate", "zone", "latitude", "longitude", "building_type", "alert_status",
+    "risk_score", "methane_ppm", "smoke_level", "co_ppm", "temperature_c", "aqi", "is_anomaly",
 )
 
 # Columns of a reading that statistics and alerts use.

@@ -12,6 +12,7 @@ from sensorlake import rules
 from sensorlake.functions.display import rounded
 from sensorlake.functions.levels import direction
 from sensorlake.operators import trends, views
+from sensorlake.sources.layers import Statistics
 
 _LINES = ("section_no", "line_no", "line")
 
@@ -74,9 +75,9 @@ def _trend(points: DataFrame) -> DataFrame:
 
 
 def live_snapshot(
-    alerts: DataFrame,
-    gov: DataFrame,
-    zones: DataFrame,
+    alerts: Statistics,
+    gov: Statistics,
+    zones: Statistics,
     total_houses: views.Houses = rules.MONITORED_HOUSES,
     batch_id: int | None = None,
     horizon: str = "1 minute",

@@ -9,20 +9,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.levels import severity_rank
+from sensorlake.sources.layers import GoldTable, Statistics, rows_of
 
 
-def newest_batch(table: DataFrame) -> Column:
-    """Newest batch number of a table, NULL if it is empty, as a scalar subquery."""
-    return table.agg(F.max("batch_id")).scalar()
+def newest_batch(table: Statistics) -> Column:
+    """Newest batch number of a table, NULL if it is empty, as a scalar subquery.
+
+    For a stored table it comes from the table of snapshots, without a look at the statistics.
+    """
+    batches = table.snapshots if isinstance(table, GoldTable) else table
+    return batches.agg(F.max("batch_id")).scalar()
 
 
-def latest(table: DataFrame, batch_id: int | None = None) -> DataFrame:
+def latest(table: Statistics, batch_id: int | None = None) -> DataFrame:
     """Rows of the newest batch, or of a requested one.
 
     On a table partitioned by ``batch_id`` the subquery's result prunes partitions at run time.
     Each table has its own newest batch: one without alerts writes no alert rows.
     """
-    return table.where(F.col("batch_id") == (newest_batch(table) if batch_id is None else F.lit(batch_id)))
+    return rows_of(table).where(F.col("batch_id") == (newest_batch(table) if batch_id is None else F.lit(batch_id)))
 
 
 def by_severity() -> list[Column]:
@@ -68,6 +73,8 @@ def with_previous(rows: DataFrame, order: str, values: Sequence[str], span: int
     current = F.struct(*values)
     ends = spanned.groupBy("_span").agg(F.max_by(current, F.col(order)).alias("_end"))
     carried = ends.select("_span", F.lag("_end").over(W.orderBy("_span")).alias("_carried"))
-    joined = spanned.withColumn("_before", F.lag(current).over(inside)).join(carried, "_span")
-    before = F.coalesce("_before", "_carried")
-    return joined.withColumns({f"previous_{v}": before[v] for v in values}).drop("_span", "_before", "_carried")
+    carried = carried.withColumnRenamed("_span", "_of")
+    # Rows without a number form a span of their own, and have no place in the order.
+    joined = spanned.withColumn("_before", F.lag(current).over(inside)).join(carried, F.col("_span").eqNullSafe(F.col("_of")))
+    before = F.when(F.col(order).isNotNull(), F.coalesce("_before", "_carried"))
+    return joined.withColumns({f"previous_{v}": before[v] for v in values}).drop("_span", "_of", "_before", "_carried")

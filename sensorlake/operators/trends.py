@@ -9,21 +9,27 @@ from pyspark.sql import functions as F
 from sensorlake import rules
 from sensorlake.functions.display import rounded
 from sensorlake.functions.levels import direction, methane_band
+from sensorlake.sources.layers import GoldTable, Statistics, rows_of
 
 LONG_LABELS = ("RISING", "FALLING", "STABLE")
 
 
-def recent(zones: DataFrame, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
+def recent(zones: Statistics, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
     """Mean of the zones' mean methane per snapshot, the newest ``limit`` within ``horizon``.
 
-    ``as_of`` defaults to the newest snapshot in the table. The bound is then the whole of a
-    scalar subquery, whose result Spark pushes into the Parquet scan, so files of older
-    snapshots are skipped by their footers.
+    ``as_of`` defaults to the newest snapshot in the table. For a stored table the batches of the
+    horizon come from the table of snapshots, so only their partitions are opened; the bound on
+    the time is the whole of a scalar subquery, whose result reaches the Parquet scan.
     """
     span = F.expr(f"INTERVAL {horizon}")
-    oldest = zones.agg(F.max("snapshot_time") - span).scalar() if as_of is None else as_of - span
+    rows = rows_of(zones)
+    times = zones.snapshots if isinstance(zones, GoldTable) else rows
+    oldest = times.agg(F.max("snapshot_time") - span).scalar() if as_of is None else as_of - span
+    if isinstance(zones, GoldTable):
+        first = zones.snapshots.where(F.col("snapshot_time") >= oldest).agg(F.min("batch_id")).scalar()
+        rows = rows.where(F.col("batch_id") >= first)
     return (
-        zones.where(F.col("snapshot_time") >= oldest)
+        rows.where(F.col("snapshot_time") >= oldest)
         .groupBy("snapshot_time")
         .agg(F.avg("avg_methane_ppm").alias("value"))
         .orderBy(F.desc("snapshot_time"))
@@ -31,7 +37,7 @@ def recent(zones: DataFrame, horizon: str = "5 minutes", limit: int = 50, as_of:
     )
 
 
-def methane_trend(zones: DataFrame, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
+def methane_trend(zones: Statistics, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
     """Trend points, oldest first, with a clock label."""
     return (
         recent(zones, horizon, limit, as_of)

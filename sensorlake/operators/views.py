@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake import rules
@@ -11,6 +12,7 @@ from sensorlake.functions.display import as_decimal, percent, rounded, short_num
 from sensorlake.functions.levels import map_severity, risk_band, severity_rank
 from sensorlake.functions.scoring import root_cause
 from sensorlake.operators.snapshot import house_counts, latest, newest_batch, one_per_house, with_previous
+from sensorlake.sources.layers import GoldTable, Statistics, rows_of
 
 Houses = int | Column
 
@@ -22,7 +24,7 @@ def _houses(total: Houses) -> Column:
 # --- single numbers -------------------------------------------------------------------------
 
 
-def kpis(alerts: DataFrame, gov: DataFrame, total_houses: Houses = rules.MONITORED_HOUSES, batch_id: int | None = None) -> DataFrame:
+def kpis(alerts: Statistics, gov: Statistics, total_houses: Houses = rules.MONITORED_HOUSES, batch_id: int | None = None) -> DataFrame:
     """One row: newest alert batch, houses per state, mean of the governorates' mean risk."""
     counts = house_counts(latest(alerts, batch_id))
     mean_risk = latest(gov, batch_id).agg(F.avg("avg_risk_score")).scalar()
@@ -36,12 +38,12 @@ def kpis(alerts: DataFrame, gov: DataFrame, total_houses: Houses = rules.MONITOR
     )
 
 
-def status_count(alerts: DataFrame, status: str) -> DataFrame:
+def status_count(alerts: Statistics, status: str) -> DataFrame:
     """Houses whose worst current alert has the given status."""
     return house_counts(latest(alerts)).select(F.col(status.lower()).alias("value"))
 
 
-def average_risk(gov: DataFrame) -> DataFrame:
+def average_risk(gov: Statistics) -> DataFrame:
     return latest(gov).agg(as_decimal(F.avg("avg_risk_score"), 5, 1).alias("value"))
 
 
@@ -57,13 +59,14 @@ def threat_distribution(kpi: DataFrame) -> DataFrame:
     ).select("state", "houses", percent(F.col("houses"), F.col("total_houses")).alias("share_pct"), "at_risk_pct")
 
 
-def kpi_history(alerts: DataFrame, gov: DataFrame) -> DataFrame:
+def kpi_history(alerts: Statistics, gov: Statistics) -> DataFrame:
     """Houses per state for every batch, with the change against the batch before.
 
     Batches come from the governorate statistics, so a batch without alerts counts 0.
     """
-    batches = gov.select("batch_id").distinct()
-    counted = batches.join(house_counts(alerts, ["batch_id"]), "batch_id", "left").fillna(0, ["critical", "warning"])
+    batches = (gov.snapshots if isinstance(gov, GoldTable) else gov).select("batch_id").distinct()
+    counts = house_counts(rows_of(alerts), ["batch_id"]).withColumnRenamed("batch_id", "counted_batch")
+    counted = batches.join(counts, F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left").fillna(0, ["critical", "warning"])
     return with_previous(counted, "batch_id", ["critical", "warning"]).select(
         "batch_id",
         "critical",
@@ -76,7 +79,7 @@ def kpi_history(alerts: DataFrame, gov: DataFrame) -> DataFrame:
 # --- governorates ---------------------------------------------------------------------------
 
 
-def governorate_risk(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
+def governorate_risk(gov: Statistics, batch_id: int | None = None) -> DataFrame:
     """Risk and counts of each governorate in a snapshot, unrounded and unordered.
 
     The level is a string maximum; a snapshot holds one row per governorate, so it is that row's.
@@ -94,7 +97,7 @@ def governorate_risk(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
     )
 
 
-def risk_by_governorate(gov: DataFrame, batch_id: int | None = None) -> DataFrame:
+def risk_by_governorate(gov: Statistics, batch_id: int | None = None) -> DataFrame:
     """Governorates by falling mean risk."""
     return governorate_risk(gov, batch_id).orderBy(F.desc("avg_risk"), "governorate")
 
@@ -105,7 +108,7 @@ def shown_risk(ranking: DataFrame) -> DataFrame:
     return ranking.withColumns(shown)
 
 
-def deduplicated_ranking(alerts: DataFrame, gov: DataFrame) -> DataFrame:
+def deduplicated_ranking(alerts: Statistics, gov: Statistics) -> DataFrame:
     """Governorate ranking whose counts are houses, each by its worst alert."""
     houses = (
         one_per_house(latest(alerts))
@@ -123,15 +126,15 @@ def deduplicated_ranking(alerts: DataFrame, gov: DataFrame) -> DataFrame:
     )
 
 
-def risk_bands(gov: DataFrame) -> DataFrame:
+def risk_bands(gov: Statistics) -> DataFrame:
     return shown_risk(risk_by_governorate(gov)).select("governorate", "avg_risk", risk_band().alias("band"))
 
 
-def top_governorate(gov: DataFrame) -> DataFrame:
+def top_governorate(gov: Statistics) -> DataFrame:
     return shown_risk(risk_by_governorate(gov).limit(1)).select("governorate", "avg_risk", "risk_level")
 
 
-def insight_banner(kpi: DataFrame, gov: DataFrame) -> DataFrame:
+def insight_banner(kpi: DataFrame, gov: Statistics) -> DataFrame:
     """One line on the most urgent thing: critical houses, many warnings, or all calm."""
     top = top_governorate(gov).select(F.struct("governorate", "avg_risk")).scalar()
     elevated = shown_risk(governorate_risk(gov)).agg(F.count_if(F.col("avg_risk") >= rules.ELEVATED_RISK)).scalar()
@@ -160,7 +163,7 @@ def insight_banner(kpi: DataFrame, gov: DataFrame) -> DataFrame:
 # --- alerts ---------------------------------------------------------------------------------
 
 
-def current_alerts(alerts: DataFrame, batch_id: int | None = None) -> DataFrame:
+def current_alerts(alerts: Statistics, batch_id: int | None = None) -> DataFrame:
     """One alert per house in the newest batch, with its root cause."""
     return one_per_house(latest(alerts, batch_id)).withColumn("primary_trigger", root_cause())
 
@@ -172,7 +175,7 @@ def _shown_sensors() -> list[Column]:
     ]
 
 
-def alert_feed(alerts: DataFrame) -> DataFrame:
+def alert_feed(alerts: Statistics) -> DataFrame:
     """Every current alert, most severe first."""
     return (
         current_alerts(alerts)
@@ -185,7 +188,7 @@ def alert_feed(alerts: DataFrame) -> DataFrame:
     )
 
 
-def nested_feed(alerts: DataFrame) -> DataFrame:
+def nested_feed(alerts: Statistics) -> DataFrame:
     """The feed as an application receives it, sensor values grouped in a struct."""
     return alert_feed(alerts).select(
         *("house_id", "governorate", "zone", "alert_status", "risk_score", "primary_trigger", "latitude", "longitude"),
@@ -193,10 +196,10 @@ def nested_feed(alerts: DataFrame) -> DataFrame:
     )
 
 
-def map_markers(alerts: DataFrame) -> DataFrame:
+def map_markers(alerts: Statistics) -> DataFrame:
     """Current alerts that have a position; a house without one never hides another alert."""
-    located = alerts.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return one_per_house(located.where(F.col("batch_id") == newest_batch(alerts))).select(
+    located = latest(alerts).where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    return one_per_house(located).select(
         *("longitude", "latitude", "alert_status", "governorate", "zone", "house_id"),
         rounded(F.col("risk_score")).alias("risk_score"),
         root_cause().alias("primary_trigger"),
@@ -204,7 +207,7 @@ def map_markers(alerts: DataFrame) -> DataFrame:
     )
 
 
-def nested_markers(alerts: DataFrame) -> DataFrame:
+def nested_markers(alerts: Statistics) -> DataFrame:
     """Markers with ``coordinates`` as [longitude, latitude] and a sensor struct."""
     return map_markers(alerts).select(
         F.array("longitude", "latitude").alias("coordinates"),
@@ -213,16 +216,16 @@ def nested_markers(alerts: DataFrame) -> DataFrame:
     )
 
 
-def map_points(alerts: DataFrame) -> DataFrame:
+def map_points(alerts: Statistics) -> DataFrame:
     """Positions with a numeric severity for a heat map."""
-    located = alerts.where(F.col("latitude").isNotNull() & (F.col("batch_id") == newest_batch(alerts)))
+    located = latest(alerts).where(F.col("latitude").isNotNull())
     return one_per_house(located).select(
         *("latitude", "longitude", "risk_score", "alert_status", "governorate", "zone"),
         map_severity().alias("severity_level"),
     )
 
 
-def alerts_table(alerts: DataFrame, rows: int = 20) -> DataFrame:
+def alerts_table(alerts: Statistics, rows: int = 20) -> DataFrame:
     """Most severe current alerts in fixed-point display form."""
     return (
         one_per_house(latest(alerts))
@@ -237,27 +240,29 @@ def alerts_table(alerts: DataFrame, rows: int = 20) -> DataFrame:
     )
 
 
-def top_incidents(alerts: DataFrame, status: str, rows: int = 5, batch_id: int | None = None) -> DataFrame:
+def top_incidents(alerts: Statistics, status: str, rows: int = 5, batch_id: int | None = None) -> DataFrame:
     """Highest-risk houses among the alerts of one status."""
     return (
         one_per_house(latest(alerts, batch_id).where(F.col("alert_status") == status))
         .orderBy(F.desc("risk_score"), "event_id")
         .limit(rows)
         .select(
-            *("house_id", "governorate", "zone", "alert_status", "risk_score"),
-            *("methane_ppm", "temperature_c", "smoke_level", "co_ppm", "event_id"),
+            "house_id", "governorate", "zone", "alert_status", "risk_score", "methane_ppm", "temperature_c", "smoke_level", "co_ppm", "event_id",
             root_cause().alias("cause"),
         )
     )
 
 
 def drill_down(feed: DataFrame, governorate: str | Column | None) -> DataFrame:
-    """Feed of one governorate with its number of events; everything if none is chosen."""
+    """Feed of one governorate with its number of events; everything if none is chosen.
+
+    The rows of a governorate are counted in one pass and put in the feed's order again.
+    """
     if governorate is None:
-        chosen = feed
-    else:
-        chosen = feed.where(F.col("governorate") == (F.lit(governorate) if isinstance(governorate, str) else governorate))
-    return chosen.withColumn("events", chosen.agg(F.count("*")).scalar())
+        return feed.withColumn("events", feed.agg(F.count("*")).scalar())
+    chosen = feed.where(F.col("governorate") == (F.lit(governorate) if isinstance(governorate, str) else governorate))
+    counted = chosen.withColumn("events", F.count("*").over(W.partitionBy("governorate")))
+    return counted.orderBy(severity_rank(), F.desc("risk_score"), "house_id")
 
 
 def trigger_sensors(feed: DataFrame) -> DataFrame:

@@ -371,8 +371,8 @@ def oracle_sql() -> dict[str, str]:
               round(greatest(lon_min, least(lon, lon_min + 4e0)), 6) AS clamped_lon,
               lat < lat_min OR lat > lat_min + 4e0 OR lon < lon_min OR lon > lon_min + 4e0 AS outside_bounds
             FROM (SELECT r.event_id, lat_min, lon_min,
-                    coalesce(latitude, CASE WHEN zone <> 'MACHINERY' THEN length(zone) * 1e-1 + 22e0 ELSE lat_min + 2e0 END) AS lat,
-                    coalesce(longitude, CASE WHEN zone <> 'MACHINERY' THEN length(zone) * 1e-1 + 25e0 ELSE lon_min + 2e0 END) AS lon
+                    CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN latitude WHEN zone <> 'MACHINERY' THEN length(zone) * 1e-1 + 22e0 ELSE lat_min + 2e0 END AS lat,
+                    CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN longitude WHEN zone <> 'MACHINERY' THEN length(zone) * 1e-1 + 25e0 ELSE lon_min + 2e0 END AS lon
                   FROM r JOIN (SELECT n_name, 22e0 + n_nationkey * 2e-1 AS lat_min, 25e0 + n_nationkey * 2e-1 AS lon_min
                                FROM nation) b ON b.n_name = r.governorate)""", "r"),
         "zone_tier": _with("""SELECT event_id, zone, CASE zone WHEN 'MACHINERY' THEN 'high' WHEN 'HOUSEHOLD' THEN 'medium' ELSE 'low' END AS tier

@@ -16,7 +16,7 @@ from sensorlake.functions.display import rounded
 from sensorlake.functions.scoring import root_cause
 from sensorlake.operators import fleet, gold, report, silver, snapshot, trends, views
 from sensorlake.plans import fixture
-from sensorlake.plans.warehouse import Warehouse, publish_and_read, warehouse
+from sensorlake.plans.warehouse import Warehouse, warehouse
 from sensorlake.sources import messages
 from sensorlake.sources.layers import layer_counts, with_time_parts, within
 
@@ -122,12 +122,13 @@ def gold_sql_scan(w: Warehouse) -> DataFrame:
     w.history.register_gold(w.spark)
     return w.spark.sql("""
         SELECT governorate, zone, total_readings, critical_count, zone_risk_level
-        FROM zone_stats WHERE batch_id = (SELECT max(batch_id) FROM zone_stats)
+        FROM zone_stats
+        WHERE batch_id = (SELECT max(batch_id) FROM gold_snapshots WHERE table_name = 'zone_stats' AND row_count > 0)
     """)
 
 
 def dedup_alerts(w: Warehouse) -> DataFrame:
-    return snapshot.one_per_house(w.alerts, ["batch_id", "house_id"]).select(
+    return snapshot.one_per_house(w.alerts.rows, ["batch_id", "house_id"]).select(
         "batch_id", "house_id", "event_id", "alert_status", "risk_score"
     )
 
@@ -189,7 +190,7 @@ def parse_readings(w: Warehouse) -> DataFrame:
 
 
 def publish_roundtrip(w: Warehouse) -> DataFrame:
-    return _payload(publish_and_read(w))
+    return _payload(messages.parse(messages.read_files(w.spark, w.published)))
 
 
 def bronze_partitions(w: Warehouse) -> DataFrame:

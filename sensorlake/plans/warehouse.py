@@ -2,47 +2,39 @@
 
 Serving queries read the statistics tables, as every consumer of a running system does, so a
 query costs its newest batch and not a pass over all readings. The tables are written once
-per session and input folder, and survive the loss of executors.
+per session and input folder, survive the loss of executors, and go with ``release``.
 """
 
 from __future__ import annotations
 
-import tempfile
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.plans import fixture
 from sensorlake.sources import messages
-from sensorlake.sources.layers import Lake
+from sensorlake.sources.layers import GoldTable, Lake, file_system
+from sensorlake.sources.shared import shared_folder
 from sensorlake.streaming import layers
 
 # Days of readings published before each run of the streaming layers.
 ROUND_DAYS = 10
 
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
-_local_folder: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names; a local one only in a local session."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if not _local_folder:
-            _local_folder.append(tempfile.mkdtemp(prefix="sensorlake-"))
-        base = _local_folder[0]
-    return f"{base.rstrip('/')}/sensorlake-{uuid4().hex}"
 
 
 @dataclass
 class Warehouse:
     spark: SparkSession
     sf_dir: str
+    folders: list[str] = field(default_factory=list)
+
+    def folder(self) -> str:
+        """A new shared folder, removed by ``release``."""
+        self.folders.append(shared_folder(self.spark))
+        return self.folders[-1]
 
     @cached_property
     def readings(self) -> DataFrame:
@@ -60,22 +52,22 @@ class Warehouse:
     @cached_property
     def history(self) -> Lake:
         """Statistics of all batches, computed in one go."""
-        lake = Lake(shared_folder(self.spark))
+        lake = Lake(self.folder())
         layers.write_statistics(self.readings, lake, batch_id=None, snapshot_time=None)
         fixture.houses(self.spark, self.sf_dir).write.parquet(f"{lake.root}/houses")
         return lake
 
     @cached_property
-    def alerts(self) -> DataFrame:
-        return self.history.read_gold(self.spark, "active_alerts")
+    def alerts(self) -> GoldTable:
+        return self.history.gold_table(self.spark, "active_alerts")
 
     @cached_property
-    def gov(self) -> DataFrame:
-        return self.history.read_gold(self.spark, "gov_stats")
+    def gov(self) -> GoldTable:
+        return self.history.gold_table(self.spark, "gov_stats")
 
     @cached_property
-    def zones(self) -> DataFrame:
-        return self.history.read_gold(self.spark, "zone_stats")
+    def zones(self) -> GoldTable:
+        return self.history.gold_table(self.spark, "zone_stats")
 
     @cached_property
     def houses(self) -> DataFrame:
@@ -87,20 +79,27 @@ class Warehouse:
     @cached_property
     def zone_dim(self) -> DataFrame:
         """Zone coordinates as a stored table, whose known size decides how it is joined."""
-        path = f"{shared_folder(self.spark)}/zones"
+        path = f"{self.folder()}/zones"
         fixture.zone_dim(self.spark, self.sf_dir).write.parquet(path)
         return self.spark.read.parquet(path)
 
     @cached_property
     def damaged(self) -> Lake:
         """A raw layer over damaged readings, partitioned by hour."""
-        lake = Lake(shared_folder(self.spark))
+        lake = Lake(self.folder())
         write = layers.bronze_writer(lake)
         missing = {"timestamp": "string", "kafka_partition": "int", "kafka_offset": "bigint", "raw_value": "string"}
         shaped = self.dirty.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
         write(shaped, 0)
         return lake
 
+    @cached_property
+    def published(self) -> str:
+        """Folder of all readings as keyed messages."""
+        landing = self.folder()
+        messages.write_files(fixture.payload(self.readings), landing)
+        return landing
+
     def rounds(self) -> list[int]:
         """Publishing rounds that hold events; one number per ``ROUND_DAYS`` days."""
         number = F.floor(fixture.day_number("ts") / ROUND_DAYS)
@@ -115,7 +114,7 @@ class Warehouse:
         anew from their checkpoints and work off what is new, so a round is one micro-batch. A
         last start finds nothing new.
         """
-        lake = Lake(shared_folder(self.spark))
+        lake = Lake(self.folder())
         landing = f"{lake.root}/landing"
         for number in self.rounds():
             days = (number * ROUND_DAYS, (number + 1) * ROUND_DAYS)
@@ -126,7 +125,7 @@ class Warehouse:
         return lake
 
     def _catch_up(self, landing: str, lake: Lake) -> None:
-        layers.catch_up(messages.parse(messages.file_stream(self.spark, landing)), lake, event_clock=True)
+        layers.catch_up(messages.file_stream(self.spark, landing), lake, event_clock=True)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -138,8 +137,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _warehouses[key]
 
 
-def publish_and_read(house: Warehouse) -> DataFrame:
-    """Readings sent as keyed messages and parsed again."""
-    landing = shared_folder(house.spark)
-    messages.write_files(fixture.payload(house.readings), landing)
-    return messages.parse(messages.read_files(house.spark, landing))
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this session's queries; their results can't be read any more."""
+    for key in [k for k in _warehouses if k[0] == spark.sparkContext.applicationId]:
+        for folder in _warehouses.pop(key).folders:
+            files, place = file_system(spark, folder)
+            files.delete(place, True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -28,6 +29,7 @@ _TYPES: dict[str, DataType] = {
     "DOUBLE": DoubleType(),
     "BOOLEAN": BooleanType(),
     "TIMESTAMP": TimestampType(),
+    "DATE": DateType(),
 }
 
 
@@ -49,21 +51,22 @@ READING = _schema("""
 MESSAGE = _schema("key STRING, value STRING")
 
 TIME_PARTS = ("year", "month", "day", "hour")
-LAYER_KEYS = (*TIME_PARTS, "ingest_batch")
+# ``part`` is the micro-batch whose rows a directory holds, or -1 for the folded rows of an hour.
+LAYER_KEYS = (*TIME_PARTS, "part")
 
-_LAYER_KEY_DDL = "year INT, month INT, day INT, hour INT, ingest_batch BIGINT"
+_LAYER_KEY_DDL = "year INT, month INT, day INT, hour INT, part BIGINT"
 _PARSED = [*READING.fields, *_schema("kafka_partition INT, kafka_offset BIGINT, event_time TIMESTAMP")]
 
 # ``raw_value`` keeps the payload of a message that did not parse; it is NULL otherwise.
 BRONZE = StructType(
-    [*_PARSED, *_schema(f"raw_value STRING, ingested_at TIMESTAMP, {_LAYER_KEY_DDL}")]
+    [*_PARSED, *_schema(f"raw_value STRING, ingested_at TIMESTAMP, ingest_batch BIGINT, {_LAYER_KEY_DDL}")]
 )
 
 SILVER = StructType([
     *_PARSED,
     *_schema(
         "building_age INT, gas_leak_flag BOOLEAN, fire_risk_flag BOOLEAN, pollution_flag BOOLEAN, "
-        f"risk_level STRING, processed_at TIMESTAMP, {_LAYER_KEY_DDL}"
+        f"risk_level STRING, processed_at TIMESTAMP, ingest_batch BIGINT, {_LAYER_KEY_DDL}"
     ),
 ])
 
@@ -86,6 +89,10 @@ ACTIVE_ALERTS = _schema("""
     co_ppm DOUBLE, temperature_c DOUBLE, aqi INT, is_anomaly INT, alert_time TIMESTAMP, batch_id BIGINT
 """)
 
+# What the layers hold, one row per table and batch, and where a streaming query's numbers begin.
+SNAPSHOT = _schema("table_name STRING, batch_id BIGINT, snapshot_time TIMESTAMP, row_count BIGINT, published_on DATE")
+QUERY = _schema("query_id STRING, first_number BIGINT")
+
 GOLD = {"zone_stats": ZONE_STATS, "gov_stats": GOV_STATS, "active_alerts": ACTIVE_ALERTS}
 
 

@@ -6,6 +6,8 @@ confirm, so this sink is at-least-once; the Parquet layers are the exact ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 
 
@@ -23,6 +25,14 @@ def writer(df: DataFrame, url: str, table: str, connections: int = 8, **access:
     )
 
 
+def sink(url: str, prefix: str = "", connections: int = 8, **access: str | None) -> Callable[[DataFrame, str], None]:
+    """Sink for the statistics of a stream; a table is named ``prefix`` and its own name.
+
+    At-least-once: a micro-batch that is repeated after a failure is appended again.
+    """
+    return lambda rows, table: writer(rows, url, f"{prefix}{table}", connections, **access).save()
+
+
 def reader(spark: SparkSession, url: str, table: str, batches: tuple[int, int] | None = None, connections: int = 8, **access: str | None) -> DataFrameReader:
     """Reader of a table; ``batches`` splits the read over ranges of ``batch_id``."""
     result = spark.read.format("jdbc").options(**options(url, table, **access))

@@ -1,25 +1,32 @@
-"""Parquet layers: time-partitioned readings and snapshot-partitioned statistics."""
+"""Parquet layers: time-partitioned readings, snapshot-partitioned statistics, and the table of snapshots."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from sensorlake import schemas
 
+#: ``part`` of the folded rows of an hour.
+FOLDED = -1
+
 
 def with_time_parts(df: DataFrame, time: str = "event_time") -> DataFrame:
+    """Year, month, day and hour in UTC, whatever the session's zone."""
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
     return df.withColumns({
-        "year": F.year(time),
-        "month": F.month(time),
-        "day": F.dayofmonth(time),
-        "hour": F.hour(time),
+        "year": F.year(day),
+        "month": F.month(day),
+        "day": F.dayofmonth(day),
+        "hour": F.floor(F.pmod(seconds, F.lit(86_400)) / 3600).cast("int"),
     })
 
 
@@ -30,21 +37,33 @@ _WRITE_SETTINGS = {
     # Spark's default, INT96, has no usable footer statistics, so time filters could skip nothing.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
+_settings_lock = Lock()
+_writing: dict[int, int] = {}
+_before: dict[int, dict[str, str | None]] = {}
 
 
 @contextmanager
 def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
+    """Set session options; of several writes at a time the first sets them, the last restores them."""
+    session = spark._jsparkSession.hashCode()
+    with _settings_lock:
+        if not _writing.get(session):
+            _before[session] = {name: spark.conf.get(name, None) for name in values}
+            for name, value in values.items():
+                spark.conf.set(name, value)
+        _writing[session] = _writing.get(session, 0) + 1
     try:
         yield
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        with _settings_lock:
+            _writing[session] -= 1
+            if not _writing[session]:
+                del _writing[session]
+                for name, value in _before.pop(session).items():
+                    if value is None:
+                        spark.conf.unset(name)
+                    else:
+                        spark.conf.set(name, value)
 
 
 def replace_partitions(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
@@ -69,22 +88,55 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = file_system(spark, path)
+    return files.exists(place)
+
+
 def _hour_number(year: object, month: object, day: object, hour: object):
     return ((year * 100 + month) * 100 + day) * 100 + hour
 
 
 def within(df: DataFrame, start: datetime, end: datetime, time: str = "event_time") -> DataFrame:
-    """Rows with ``start <= time < end`` of a time-partitioned layer.
+    """Rows with ``start <= time < end`` of a time-partitioned layer; bounds without a zone are UTC.
 
     A range on the time column alone does not prune, so the same range is stated on the
     partition columns, which lets Spark list and open only the hours in question.
     """
     number = _hour_number(*[F.col(part) for part in schemas.TIME_PARTS])
-    low, high = (_hour_number(t.year, t.month, t.day, t.hour) for t in (start, end))
-    first, last = (F.lit(t.isoformat(sep=" ")).cast("timestamp") for t in (start, end))
+    utc = [t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc) for t in (start, end)]
+    low, high = (_hour_number(t.year, t.month, t.day, t.hour) for t in utc)
+    bounds = [F.lit(t.isoformat(sep=" ")).cast("timestamp") for t in utc]
+    if isinstance(df.schema[time].dataType, TimestampNTZType):
+        bounds = [F.lit(t.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz") for t in utc]
+    first, last = bounds
     return df.where(number.between(low, high) & (F.col(time) >= first) & (F.col(time) < last))
 
 
+@dataclass(frozen=True)
+class GoldTable:
+    """A statistics table with its rows in the table of snapshots.
+
+    The snapshots answer which batch is newest, or which batches lie in a span of time, so that the
+    statistics themselves are only read in the partitions of those batches.
+    """
+
+    rows: DataFrame
+    snapshots: DataFrame
+
+
+Statistics = DataFrame | GoldTable
+
+
+def rows_of(table: Statistics) -> DataFrame:
+    return table.rows if isinstance(table, GoldTable) else table
+
+
 @dataclass(frozen=True)
 class Lake:
     """Paths of one set of layers."""
@@ -114,24 +166,110 @@ class Lake:
     def read_gold(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, self.gold(table), schemas.GOLD[table])
 
+    def gold_table(self, spark: SparkSession, table: str) -> GoldTable:
+        named = self.snapshots(spark, "gold").where((F.col("table_name") == table) & (F.col("row_count") > 0))
+        return GoldTable(self.read_gold(spark, table), named)
+
     def register_gold(self, spark: SparkSession) -> None:
-        """Make the statistics tables available to ``spark.sql`` under their own names."""
+        """Make the statistics tables available to ``spark.sql`` under their own names.
+
+        ``gold_snapshots`` lists their batches; a query that takes its batch number from there
+        opens the files of that batch only.
+        """
         for table in schemas.GOLD:
             self.read_gold(spark, table).createOrReplaceTempView(table)
+        self.snapshots(spark, "gold").createOrReplaceTempView("gold_snapshots")
+
+    # --- snapshots --------------------------------------------------------------------------
+
+    def _snapshots(self, layer: str) -> str:
+        return f"{self.root}/snapshots/{layer}"
+
+    def publish(self, spark: SparkSession, layer: str, written: DataFrame) -> None:
+        """Add rows (table_name, batch_id, snapshot_time, row_count) for what has been written completely.
+
+        This is the last step of a micro-batch. A replayed one is listed again, which readers even out.
+        """
+        rows = written.withColumn("published_on", F.to_date(F.current_timestamp()))
+        with _settings(spark, _WRITE_SETTINGS):
+            schemas.conform(rows, schemas.SNAPSHOT).coalesce(1).write.mode("append").partitionBy("published_on").parquet(self._snapshots(layer))
+
+    def snapshots(self, spark: SparkSession, layer: str) -> DataFrame:
+        """One row per table and batch of a layer; none before the first micro-batch."""
+        path = self._snapshots(layer)
+        if not exists(spark, path):
+            return spark.createDataFrame([], schemas.SNAPSHOT).drop("published_on")
+        listed = read_table(spark, path, schemas.SNAPSHOT)
+        return listed.groupBy("table_name", "batch_id").agg(F.max("snapshot_time").alias("snapshot_time"), F.max("row_count").alias("row_count"))
+
+    # --- numbering --------------------------------------------------------------------------
+
+    def first_number(self, spark: SparkSession, layer: str, query_id: str) -> int:
+        """The number of micro-batch 0 of a streaming query, which its checkpoint identifies.
+
+        A new checkpoint counts its micro-batches from 0 again. Its numbers continue above those in
+        the layer, so that it adds to the layer and replaces nothing; the first number is recorded,
+        so that a repeated micro-batch keeps its number.
+        """
+        path = f"{self.root}/queries/{layer}"
+        if exists(spark, path):
+            known = read_table(spark, path, schemas.QUERY).where(F.col("query_id") == query_id).agg(F.min("first_number")).first()[0]
+            if known is not None:
+                return known
+        number = 1 + max([-1, *self._last_numbers(spark, layer)])
+        spark.createDataFrame([(query_id, number)], schemas.QUERY).coalesce(1).write.mode("append").parquet(path)
+        return number
+
+    def _last_numbers(self, spark: SparkSession, layer: str) -> list[int]:
+        if layer == "gold":
+            tables = [(self.gold(t), schemas.GOLD[t], "batch_id") for t in schemas.GOLD]
+        else:
+            tables = [(getattr(self, layer), {"bronze": schemas.BRONZE, "silver": schemas.SILVER}[layer], "ingest_batch")]
+        found = [read_table(spark, p, s).agg(F.max(c)).first()[0] for p, s, c in tables if exists(spark, p)]
+        found += [self.snapshots(spark, layer).agg(F.max("batch_id")).first()[0]]
+        return [n for n in found if n is not None]
 
 
 def layer_counts(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Rows per micro-batch and layer, answered from partition values and file footers."""
-    tables: list[tuple[str, DataFrame, Column]] = [
-        ("bronze", lake.read_bronze(spark), F.col("ingest_batch")),
-        ("silver", lake.read_silver(spark), F.col("ingest_batch")),
-        *[(name, lake.read_gold(spark, name), F.col("batch_id")) for name in schemas.GOLD],
-    ]
-    counted = [
-        df.groupBy(batch.alias("batch_id")).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("layer"), "batch_id", "row_count")
-        for name, df, batch in tables
-    ]
-    result = counted[0]
-    for more in counted[1:]:
-        result = result.unionByName(more)
-    return result
+    """Rows per micro-batch and layer, as counted while they were written."""
+    layers = [lake.snapshots(spark, layer) for layer in ("bronze", "silver", "gold")]
+    listed = layers[0].unionByName(layers[1]).unionByName(layers[2])
+    return listed.where("row_count > 0").select(F.col("table_name").alias("layer"), "batch_id", "row_count")
+
+
+def fold_hours(spark: SparkSession, lake: Lake, layer: str, before: datetime) -> int:
+    """Fold the micro-batch directories of hours that end by ``before`` (UTC) into one per hour.
+
+    Returns the number of hours folded. The newest micro-batch stays as it is, since only that one
+    can be repeated; a late reading lands in a directory of its own until the next call. An
+    interrupted call is made good by the next: a micro-batch that the folded rows of an hour hold
+    already is dropped, not added again. Between the writing of an hour and the removal of its old
+    directories readers see both, so call it while the layer is not read.
+    """
+    path, schema = getattr(lake, layer), {"bronze": schemas.BRONZE, "silver": schemas.SILVER}[layer]
+    if not exists(spark, path):
+        return 0
+    rows = read_table(spark, path, schema)
+    utc = before.replace(tzinfo=timezone.utc) if before.tzinfo is None else before.astimezone(timezone.utc)
+    hour = _hour_number(*[F.col(p) for p in schemas.TIME_PARTS])
+    newest = rows.agg(F.max("part")).first()[0]
+    open_ = rows.where((hour < _hour_number(utc.year, utc.month, utc.day, utc.hour)) & (F.col("part") != FOLDED) & (F.col("part") < newest))
+    # One row per directory of the closed hours.
+    places = [tuple(r) for r in open_.select(*schemas.LAYER_KEYS).distinct().collect()]
+    if not places:
+        return 0
+    hours = {p[:-1] for p in places}
+    chosen = spark.createDataFrame(sorted(hours), ", ".join(f"{p} INT" for p in schemas.TIME_PARTS))
+    closed = rows.where((F.col("part") == FOLDED) | (F.col("part") < newest)).join(F.broadcast(chosen), list(schemas.TIME_PARTS), "left_semi")
+    held = closed.where(F.col("part") == FOLDED).select(*schemas.TIME_PARTS, "ingest_batch").distinct()
+    fresh = closed.where(F.col("part") != FOLDED).join(held, [*schemas.TIME_PARTS, "ingest_batch"], "left_anti")
+    folded = closed.where(F.col("part") == FOLDED).unionByName(fresh.select(*closed.columns))
+    staged = f"{lake.root}/folding/{layer}"
+    replace_partitions(schemas.conform(folded.withColumn("part", F.lit(FOLDED)), schema), staged, schemas.LAYER_KEYS)
+    replace_partitions(read_table(spark, staged, schema), path, schemas.LAYER_KEYS)
+    files, _ = file_system(spark, path)
+    for place in places:
+        name = "/".join(f"{key}={value}" for key, value in zip(schemas.LAYER_KEYS, place, strict=True))
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
+    return len(hours)

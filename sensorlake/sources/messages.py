@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from sensorlake import schemas
 
 TOPIC = "sensor_data_stream"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_ZONED_FORMAT = f"{TIME_FORMAT}XXX"
 
 # Delivery settings of the reading topic.
 _SOURCE_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
@@ -30,9 +33,18 @@ def kafka_sink_options(servers: str, topic: str = TOPIC, **overrides: str) -> di
     return {"kafka.bootstrap.servers": servers, "topic": topic, **_SINK_OPTIONS, **overrides}
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str = TOPIC, **overrides: str) -> DataFrame:
-    """Streaming messages of a topic. Needs Spark's Kafka package on the class path."""
-    options = kafka_source_options(servers, topic, **overrides)
+def _paced(name: str, most: int | None) -> dict[str, str]:
+    return {} if most is None else {name: str(most)}
+
+
+def kafka_stream(
+    spark: SparkSession, servers: str, topic: str = TOPIC, max_offsets_per_trigger: int | None = None, **overrides: str,
+) -> DataFrame:
+    """Streaming messages of a topic. Needs Spark's Kafka package on the class path.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch; what is left waits for the next.
+    """
+    options = kafka_source_options(servers, topic, **_paced("maxOffsetsPerTrigger", max_offsets_per_trigger), **overrides)
     raw = spark.readStream.format("kafka").options(**options).load()
     return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset")
 
@@ -46,9 +58,13 @@ def _with_offsets(files: DataFrame) -> DataFrame:
     return files.select("key", "value", F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"))
 
 
-def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Streaming messages from files that appear under ``path``."""
-    return _with_offsets(spark.readStream.schema(schemas.MESSAGE).format(fmt).options(**options).load(path))
+def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None, **options: str) -> DataFrame:
+    """Streaming messages from files that appear under ``path``.
+
+    ``max_files_per_trigger`` bounds a micro-batch; what is left waits for the next.
+    """
+    paced = _paced("maxFilesPerTrigger", max_files_per_trigger)
+    return _with_offsets(spark.readStream.schema(schemas.MESSAGE).format(fmt).options(**paced, **options).load(path))
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -58,11 +74,11 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def to_messages(readings: DataFrame, *keep: str) -> DataFrame:
     """Readings as keyed JSON, with their event time and the columns to ``keep``.
 
-    A payload's text time stamp is the reading's own ``timestamp``, else its event time.
+    A payload's text time stamp is the reading's own ``timestamp``, else its event time in UTC.
     """
     stamped = readings
     if "timestamp" not in readings.columns:
-        stamped = readings.withColumn("timestamp", F.date_format("event_time", TIME_FORMAT))
+        stamped = readings.withColumn("timestamp", _utc_text("event_time", readings))
     value = F.to_json(F.struct(*schemas.READING.names))
     return stamped.select(F.col("house_id").alias("key"), value.alias("value"), "event_time", *keep)
 
@@ -79,19 +95,40 @@ def write_files(messages: DataFrame, path: str, fmt: str = "parquet", ordered: b
     messages.select("key", "value").write.mode("append").format(fmt).save(path)
 
 
-def parse(messages: DataFrame) -> DataFrame:
+def _utc_text(time: str, readings: DataFrame) -> Column:
+    """A time as text in UTC, whatever the session's zone; times without a zone are UTC."""
+    if isinstance(readings.schema[time].dataType, TimestampNTZType):
+        return F.date_format(time, TIME_FORMAT)
+    seconds = F.unix_seconds(time)
+    clock = F.pmod(seconds, F.lit(86_400))
+    parts = (clock / 3600, clock / 60 % 60, clock % 60)
+    day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int")).cast("string")
+    return F.concat(day, F.lit(" "), F.format_string("%02d:%02d:%02d", *[F.floor(p).cast("int") for p in parts]))
+
+
+def parse(messages: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """Messages to typed readings with their Kafka position and event time.
 
+    ``fields`` names the payload fields to parse, all by default; other fields are skipped as the
+    payload is read, and without all fields there is no ``raw_value``. The time stamp is read
+    as UTC in every session.
+
     A payload that is not JSON gives NULL fields and is kept in ``raw_value``; a field of the
     wrong type gives NULL for that field; an unreadable time stamp gives a NULL ``event_time``.
     """
-    payload = StructType([*schemas.READING.fields, StructField("raw_value", StringType())])
+    if fields is None:
+        payload = StructType([*schemas.READING.fields, StructField("raw_value", StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_value"}
+    else:
+        payload = StructType([f for f in schemas.READING.fields if f.name in {*fields, "timestamp"}])
+        options = {"mode": "PERMISSIVE"}
     # As the output of a generator the payload is parsed once per message: later filters stay
     # above it, where a plain expression would be copied into them and parsed again.
-    reading = F.from_json("value", payload, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_value"})
+    reading = F.from_json("value", payload, options)
     parsed = messages.select(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.inline(F.array(reading)),
     )
-    return parsed.withColumn("event_time", F.try_to_timestamp("timestamp", F.lit(TIME_FORMAT)))
+    utc = F.concat("timestamp", F.lit("+00:00"))
+    return parsed.withColumn("event_time", F.try_to_timestamp(utc, F.lit(_ZONED_FORMAT)))

@@ -15,10 +15,10 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir")
+        base = spark.conf.get("spark.sql.warehouse.dir", None)
         # ``local`` and ``local[8]``, not ``local-cluster[...]``.
         one_machine = spark.sparkContext.master.split("[")[0] == "local"
-        if base.startswith(("file:", "/")) and not one_machine:
+        if not base or base.startswith(("file:", "/")) and not one_machine:
             raise RuntimeError("set spark.checkpoint.dir, or a shared spark.sql.warehouse.dir, to a folder that all executors share")
     return f"{base.rstrip('/')}/sensorlake-{uuid4().hex}"
 

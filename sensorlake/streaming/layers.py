@@ -1,12 +1,14 @@
-"""Three independent queries over one parsed stream: raw, cleaned and statistics layers.
+"""Three independent queries over one stream: raw, cleaned and statistics layers.
 
 Each query has its own source read and checkpoint. ``foreachBatch`` may repeat a batch after a
 failure; every write replaces the partitions of its own micro-batch, so a repeat leaves the
-tables as they were.
+tables as they were. A new checkpoint over an existing lake continues its numbers, so that it
+adds to the lake.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -17,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import schemas
 from sensorlake.operators import gold, silver
+from sensorlake.sources import messages
 from sensorlake.sources.layers import Lake, replace_partitions, with_time_parts
 
 log = logging.getLogger(__name__)
@@ -24,7 +27,12 @@ log = logging.getLogger(__name__)
 # Trigger intervals per layer.
 TRIGGERS = {"bronze": "10 seconds", "silver": "10 seconds", "gold": "30 seconds"}
 
+# Fields each layer parses, all by default.
+FIELDS = {"gold": tuple(c for c in gold.INPUTS if c in schemas.READING.names), "silver": tuple(schemas.READING.names)}
+
 BatchWriter = Callable[[DataFrame, int], None]
+#: Writes one statistics table of a micro-batch: its rows and its name.
+GoldSink = Callable[[DataFrame, str], None]
 
 
 def _now() -> Column:
@@ -32,46 +40,82 @@ def _now() -> Column:
     return F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
 
 
-def _counted(df: DataFrame, layer: str, batch_id: int) -> tuple[DataFrame, Callable[[], None]]:
-    """Count rows while they are written instead of in a second pass, for the log."""
+def _counted(df: DataFrame, layer: str, batch_id: int) -> tuple[DataFrame, Callable[[], int]]:
+    """Count rows while they are written instead of in a second pass."""
     seen = Observation(f"{layer}-{batch_id}")
 
-    def report() -> None:
-        log.info("%s batch %d: %d rows", layer, batch_id, seen.get["rows"])
+    def count() -> int:
+        # Where Spark finds at run time that there are no rows, it drops the count as well.
+        rows = seen.get["rows"] if seen._jo.getRow().length() else 0
+        log.info("%s batch %d: %d rows", layer, batch_id, rows)
+        return rows
+
+    return df.observe(seen, F.count("*").alias("rows")), count
+
+
+class _Numbers:
+    """Numbers of a layer's micro-batches: as counted by the query, continued from earlier queries."""
 
-    return df.observe(seen, F.count("*").alias("rows")), report
+    def __init__(self, lake: Lake, layer: str):
+        self._lake, self._layer = lake, layer
+        self._first: dict[str, int] = {}
 
+    def __call__(self, batch: DataFrame, batch_id: int) -> int:
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            return batch_id  # a writer called by hand
+        if query not in self._first:
+            self._first[query] = self._lake.first_number(spark, self._layer, query)
+        return self._first[query] + batch_id
 
-def _write_layer(rows: DataFrame, layer: str, path: str, schema, batch_id: int) -> None:
-    stamped = with_time_parts(rows).withColumn("ingest_batch", F.lit(batch_id))
-    counted, report = _counted(schemas.conform(stamped, schema), layer, batch_id)
+
+def _write_layer(rows: DataFrame, layer: str, lake: Lake, path: str, schema, batch_id: int) -> None:
+    stamped = with_time_parts(rows).withColumns({"ingest_batch": F.lit(batch_id), "part": F.lit(batch_id)})
+    counted, count = _counted(schemas.conform(stamped, schema), layer, batch_id)
     replace_partitions(counted, path, schemas.LAYER_KEYS)
-    report()
+    spark = rows.sparkSession
+    listed = spark.createDataFrame([(layer, batch_id, count())], "table_name string, batch_id long, row_count long")
+    lake.publish(spark, layer, listed.withColumn("snapshot_time", _now()))
 
 
 def bronze_writer(lake: Lake) -> BatchWriter:
+    numbers = _Numbers(lake, "bronze")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            _write_layer(batch.withColumn("ingested_at", _now()), "bronze", lake.bronze, schemas.BRONZE, batch_id)
+            _write_layer(batch.withColumn("ingested_at", _now()), "bronze", lake, lake.bronze, schemas.BRONZE, numbers(batch, batch_id))
 
     return write
 
 
 def silver_writer(lake: Lake) -> BatchWriter:
+    numbers = _Numbers(lake, "silver")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             cleaned = silver.enrich(silver.clean(batch)).withColumn("processed_at", _now())
-            _write_layer(cleaned, "silver", lake.silver, schemas.SILVER, batch_id)
+            _write_layer(cleaned, "silver", lake, lake.silver, schemas.SILVER, numbers(batch, batch_id))
 
     return write
 
 
-def write_statistics(readings: DataFrame, lake: Lake, batch_id: int | None, snapshot_time: Column | None) -> None:
+def parquet_sink(lake: Lake) -> GoldSink:
+    """Statistics as Parquet, replacing exactly the batches that are written."""
+    return lambda rows, table: replace_partitions(rows, lake.gold(table), ("batch_id",))
+
+
+def write_statistics(
+    readings: DataFrame, lake: Lake, batch_id: int | None, snapshot_time: Column | None, sink: GoldSink | None = None,
+) -> None:
     """Write the three statistics tables of one batch, or of a whole history of batches.
 
     The totals are a row per zone and batch; they are kept so that zone and governorate
-    statistics share one pass over the readings.
+    statistics share one pass over the readings. The batch is listed in the table of snapshots
+    when all three are written, so that no reader sees a part of it. ``sink`` replaces Parquet;
+    it must run the write before it returns. Only the Parquet sink is exact when a batch repeats.
     """
+    write = parquet_sink(lake) if sink is None else sink
     totals = gold.region_totals(readings, batch_id, snapshot_time).persist()
     try:
         tables = {
@@ -80,12 +124,27 @@ def write_statistics(readings: DataFrame, lake: Lake, batch_id: int | None, snap
             "active_alerts": gold.active_alerts(readings, batch_id),
         }
         for name, rows in tables.items():
-            replace_partitions(schemas.conform(rows, schemas.GOLD[name]), lake.gold(name), ("batch_id",))
+            write(schemas.conform(rows, schemas.GOLD[name]), name)
+        lake.publish(readings.sparkSession, "gold", _listed(totals))
     finally:
         totals.unpersist()
 
 
-def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False, keep_batch: bool = True) -> BatchWriter:
+def _listed(totals: DataFrame) -> DataFrame:
+    """Rows of each statistics table per batch, from the totals, which hold a row per zone."""
+    counts = {
+        "zone_stats": F.count("*"),
+        "gov_stats": F.count_distinct(F.struct("governorate")),
+        "active_alerts": F.sum(F.col("critical_count") + F.col("warning_count")),
+    }
+    batches = totals.groupBy("batch_id").agg(F.max("snapshot_time").alias("snapshot_time"), *[n.alias(t) for t, n in counts.items()])
+    tables = F.array(*[F.struct(F.lit(t).alias("table_name"), F.col(t).alias("row_count")) for t in counts])
+    return batches.select("batch_id", "snapshot_time", F.inline(tables))
+
+
+def gold_writer(
+    lake: Lake, event_clock: bool = False, from_silver: bool = False, keep_batch: bool = True, sink: GoldSink | None = None,
+) -> BatchWriter:
     """Statistics writer; ``batch_id`` of its rows is the micro-batch number.
 
     Readings are aggregated as parsed unless ``from_silver``. Snapshots carry the clock, or with
@@ -93,6 +152,7 @@ def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False
     over the batch; ``keep_batch`` keeps its columns in memory or on local disk between them,
     which is cheaper than parsing JSON again. Executors that are lost only cost that parsing.
     """
+    numbers = _Numbers(lake, "gold")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -101,7 +161,7 @@ def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False
         if keep_batch:
             readings = readings.persist()
         try:
-            write_statistics(readings, lake, batch_id, None if event_clock else _now())
+            write_statistics(readings, lake, numbers(batch, batch_id), None if event_clock else _now(), sink)
         finally:
             if keep_batch:
                 readings.unpersist()
@@ -109,11 +169,22 @@ def gold_writer(lake: Lake, event_clock: bool = False, from_silver: bool = False
     return write
 
 
-def start(parsed: DataFrame, layer: str, writer: BatchWriter, lake: Lake, available_now: bool = False) -> StreamingQuery:
-    """Start one layer's query on its interval, or let it work off what is there and end."""
-    trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGERS[layer]}
+def _name(layer: str, lake: Lake) -> str:
+    """The same for a layer of a lake in every process."""
+    return f"{layer}-{hashlib.sha256(lake.root.encode()).hexdigest()[:12]}"
+
+
+def start(
+    source: DataFrame, layer: str, writer: BatchWriter, lake: Lake, available_now: bool = False, interval: str | None = None,
+) -> StreamingQuery:
+    """Start one layer's query on its interval, or let it work off what is there and end.
+
+    ``source`` are parsed readings, or messages, of which only the layer's own fields are parsed.
+    """
+    parsed = messages.parse(source, FIELDS.get(layer)) if "value" in source.columns else source
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval or TRIGGERS[layer]}
     return (
-        parsed.writeStream.queryName(f"{layer}-{abs(hash(lake.root))}")
+        parsed.writeStream.queryName(_name(layer, lake))
         .foreachBatch(writer)
         .outputMode("append")
         .option("checkpointLocation", lake.checkpoint(layer))
@@ -122,22 +193,43 @@ def start(parsed: DataFrame, layer: str, writer: BatchWriter, lake: Lake, availa
     )
 
 
-def start_layers(parsed: DataFrame, lake: Lake, available_now: bool = False, event_clock: bool = False) -> list[StreamingQuery]:
-    writers = {"bronze": bronze_writer(lake), "silver": silver_writer(lake), "gold": gold_writer(lake, event_clock)}
-    return [start(parsed, layer, writer, lake, available_now) for layer, writer in writers.items()]
+def _writers(lake: Lake, event_clock: bool, sink: GoldSink | None) -> dict[str, BatchWriter]:
+    return {"bronze": bronze_writer(lake), "silver": silver_writer(lake), "gold": gold_writer(lake, event_clock, sink=sink)}
 
 
-def run(spark: SparkSession, parsed: DataFrame, lake: Lake) -> None:
-    """Keep all layers running until one of them ends, then stop the others."""
-    queries = start_layers(parsed, lake)
+def _stop(queries: list[StreamingQuery]) -> None:
+    for query in queries:
+        if query.isActive:
+            query.stop()
+
+
+def run(
+    source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | None = None, intervals: dict[str, str] | None = None,
+) -> None:
+    """Keep all layers running until one of them ends, then stop the others.
+
+    If one ends by an error, that is raised. Other queries of the session make no difference.
+    """
+    queries: list[StreamingQuery] = []
     try:
-        spark.streams.awaitAnyTermination()
-    finally:
+        for layer, writer in _writers(lake, event_clock, sink).items():
+            queries.append(start(source, layer, writer, lake, interval=(intervals or {}).get(layer)))
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(1)
         for query in queries:
-            query.stop()
+            if query.exception() is not None:
+                raise query.exception()
+    finally:
+        _stop(queries)
 
 
-def catch_up(parsed: DataFrame, lake: Lake, event_clock: bool = False) -> None:
-    """Bring all layers up to date with the source, then return."""
-    for query in start_layers(parsed, lake, available_now=True, event_clock=event_clock):
-        query.awaitTermination()
+def catch_up(source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | None = None) -> None:
+    """Bring all layers up to date with the source, then return; an error in one stops the others."""
+    queries: list[StreamingQuery] = []
+    try:
+        for layer, writer in _writers(lake, event_clock, sink).items():
+            queries.append(start(source, layer, writer, lake, available_now=True))
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        _stop(queries)

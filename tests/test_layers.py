@@ -165,7 +165,7 @@ def test_lake_paths():
 def test_unknown_shared_folder_is_refused_on_a_cluster():
     from types import SimpleNamespace
 
-    from sensorlake.plans.warehouse import shared_folder
+    from sensorlake.sources.shared import shared_folder
 
     cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError):

@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 import compare
+from sensorlake.plans import oracles, queries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def duck(sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLES.items() <= entry_point.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -57,6 +60,21 @@ def test_time_range_prunes_partitions_and_reaches_parquet(spark, sf_dir):
     assert "humidity_pct" not in plan
 
 
+SERVING = (
+    "latest_snapshot", "gold_sql_scan", "kpis", "count_critical", "avg_risk_decimal", "risk_by_gov", "gov_ranking_dedup", "top_governorate",
+    "map_markers", "map_severity", "alert_feed", "alerts_by_selected_gov", "alerts_table_top20", "top5_critical", "trigger_sensor",
+    "methane_trend", "methane_direction", "threat_distribution", "insight_banner", "live_snapshot", "snapshot_at_batch",
+)
+
+
+@pytest.mark.parametrize("name", SERVING)
+def test_serving_opens_the_statistics_of_chosen_batches_only(spark, sf_dir, name):
+    # The other scans are those of the table of snapshots and of the houses, of which only the number is used.
+    scans = [line for line in _plan(spark, sf_dir, name).splitlines() if re.search(r"FileScan parquet \[[^]]", line) and "table_name#" not in line]
+    assert scans
+    assert all(re.search(r"PartitionFilters: \[[^\]]*batch_id", line) for line in scans)
+
+
 def test_trend_bound_reaches_parquet_whole(spark, sf_dir):
     assert "GreaterThanOrEqual(snapshot_time,ScalarSubquery" in _plan(spark, sf_dir, "methane_trend")
 

@@ -120,6 +120,210 @@ def test_consistency_of_consumers(spark, sf_dir):
     shares = views.threat_distribution(views.kpis(w.alerts, w.gov, w.total_houses()))
     assert shares.agg(F.sum("houses")).first()[0] == kpi.total_houses
     sent = w.readings.groupBy("batch_id").count()
-    zone = w.zones.groupBy("batch_id").agg(F.sum("total_readings").alias("n"))
-    gov = w.gov.groupBy("batch_id").agg(F.sum("total_houses").alias("n"))
+    zone = w.zones.rows.groupBy("batch_id").agg(F.sum("total_readings").alias("n"))
+    gov = w.gov.rows.groupBy("batch_id").agg(F.sum("total_houses").alias("n"))
     assert values(sent, "batch_id", "count") == values(zone, "batch_id", "n") == values(gov, "batch_id", "n")
+
+
+# --- a new checkpoint, a live run, pacing, narrow parsing, folding ---------------------------
+
+
+def _sent(spark, landing, **change):
+    _publish(readings(spark, {"timestamp": "2024-01-01 10:00:00", "alert_status": "WARNING", **change}), landing)
+
+
+def _other_checkpoint(lake: Lake, name: str) -> Lake:
+    class Moved(Lake):
+        def checkpoint(self, layer: str) -> str:
+            return f"{self.root}/{name}/{layer}"
+
+    return Moved(lake.root)
+
+
+def test_a_new_checkpoint_adds_to_the_lake(spark, tmp_path, lake):
+    for n in range(2):
+        landing = str(tmp_path / f"landing{n}")
+        _sent(spark, landing, event_id=f"from{n}")
+        own = _other_checkpoint(lake, f"checkpoints{n}")
+        for _ in range(2):  # nothing new the second time
+            layers.catch_up(messages.file_stream(spark, landing), own, event_clock=True)
+    assert values(lake.read_bronze(spark), "event_id", "ingest_batch") == {"from0": 0, "from1": 1}
+    assert values(lake.read_silver(spark), "event_id", "ingest_batch") == {"from0": 0, "from1": 1}
+    assert values(lake.read_gold(spark, "active_alerts"), "event_id", "batch_id") == {"from0": 0, "from1": 1}
+    assert lake.read_gold(spark, "zone_stats").count() == lake.read_gold(spark, "gov_stats").count() == 2
+    # A repeated micro-batch of either query keeps its number.
+    known = spark.read.parquet(f"{lake.root}/queries/gold").collect()
+    assert {lake.first_number(spark, "gold", r.query_id) for r in known} == {0, 1}
+
+
+def test_run_after_catching_up_reads_on_until_one_query_stops(spark, tmp_path, lake):
+    import threading
+    import time
+
+    landing = str(tmp_path / "landing")
+    _sent(spark, landing, event_id="first")
+    layers.catch_up(messages.file_stream(spark, landing), lake)
+    ended: list[object] = []
+
+    def live():
+        try:
+            layers.run(messages.file_stream(spark, landing), lake, intervals=dict.fromkeys(layers.TRIGGERS, "1 second"))
+            ended.append("stopped")
+        except Exception as error:  # shown by the assertion
+            ended.append(error)
+
+    thread = threading.Thread(target=live)
+    thread.start()
+    own = {layers._name(layer, lake) for layer in layers.TRIGGERS}
+    _sent(spark, landing, event_id="second")
+    deadline = time.time() + 120
+
+    def arrived():
+        tables = (lake.read_bronze(spark), lake.read_silver(spark), lake.read_gold(spark, "active_alerts"))
+        return all({"first", "second"} <= set(values(t, "event_id", "event_id")) for t in tables)
+
+    while time.time() < deadline and not ended and not arrived():
+        time.sleep(1)
+    assert not ended and arrived()
+    running = [q for q in spark.streams.active if q.name in own]
+    assert {q.name for q in running} == own
+    running[0].stop()
+    thread.join(60)
+    assert ended == ["stopped"]
+    assert not [q for q in spark.streams.active if q.name in own]
+
+
+def test_an_error_in_one_layer_stops_the_others(spark, tmp_path, lake):
+    landing = str(tmp_path / "landing")
+    _sent(spark, landing)
+
+    def broken(rows, table):
+        raise ValueError("no such sink")
+
+    with pytest.raises(Exception, match="no such sink"):
+        layers.catch_up(messages.file_stream(spark, landing), lake, sink=broken)
+    assert not [q for q in spark.streams.active if q.name.endswith(layers._name("", lake))]
+
+
+def test_gold_can_go_to_another_sink(spark, tmp_path, lake):
+    landing = str(tmp_path / "landing")
+    _sent(spark, landing)
+    got = {}
+    layers.catch_up(messages.file_stream(spark, landing), lake, sink=lambda rows, table: got.update({table: rows.collect()}))
+    assert {t: len(rows) for t, rows in got.items()} == {"zone_stats": 1, "gov_stats": 1, "active_alerts": 1}
+    counted = {(r.layer, r.batch_id): r.row_count for r in layer_counts(spark, lake).collect()}
+    assert counted == {(layer, 0): 1 for layer in ("bronze", "silver", "zone_stats", "gov_stats", "active_alerts")}
+
+
+def test_a_backlog_is_read_whole_over_several_micro_batches(spark, tmp_path, lake):
+    landing = str(tmp_path / "landing")
+    for n in range(5):
+        _sent(spark, landing, event_id=f"e{n}")
+    layers.catch_up(messages.file_stream(spark, landing, max_files_per_trigger=2), lake)
+    bronze = lake.read_bronze(spark)
+    assert sorted(values(bronze, "event_id", "event_id")) == [f"e{n}" for n in range(5)]
+    assert bronze.select("ingest_batch").distinct().count() >= 3
+    options = messages.kafka_source_options("b", **messages._paced("maxOffsetsPerTrigger", 7))
+    assert options["maxOffsetsPerTrigger"] == "7"
+
+
+@pytest.mark.parametrize("layer", ["gold", "silver"])
+def test_a_layer_parses_its_own_fields(spark, layer):
+    sent = spark.createDataFrame([("H1", '{"event_id": "a", "timestamp": "2024-02-03 04:05:06", "co2_ppm": 3}')], "key string, value string")
+    sent = sent.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("long")})
+    parsed = messages.parse(sent, layers.FIELDS[layer])
+    assert ("co2_ppm" in parsed.columns) == (layer == "silver")
+    assert "raw_value" not in parsed.columns
+    plan = parsed.select("event_id", "event_time")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert ("co2_ppm" in plan) == (layer == "silver")
+    row = parsed.first()
+    assert (row.event_id, str(row.event_time)) == ("a", "2024-02-03 04:05:06")
+
+
+def test_closed_hours_are_folded(spark, tmp_path, lake):
+    from pathlib import Path
+
+    from sensorlake.sources.layers import fold_hours
+
+    write = layers.bronze_writer(lake)
+
+    def batch(number, *times):
+        rows = readings(spark, *[{"event_id": f"{number}-{i}", "timestamp": t} for i, t in enumerate(times)])
+        return rows.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string")}), number
+
+    for n in range(4):
+        write(*batch(n, "2024-01-01 10:10:00", "2024-01-01 11:10:00", "2024-01-01 12:10:00"))
+    before = sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect())
+    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 2
+    places = lambda hour: sorted(p.name for p in Path(lake.bronze).glob(f"year=2024/month=1/day=1/hour={hour}/part=*"))
+    assert places(10) == places(11) == ["part=-1", "part=3"] and len(places(12)) == 4
+    assert sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect()) == before
+    write(*batch(3, "2024-01-01 10:10:00", "2024-01-01 11:10:00", "2024-01-01 12:10:00"))  # repeated
+    assert sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect()) == before
+    write(*batch(4, "2024-01-01 10:59:00"))  # late
+    write(*batch(5, "2024-01-01 13:00:00"))
+    assert lake.read_bronze(spark).count() == 14
+    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 2
+    assert places(10) == places(11) == ["part=-1"]
+    assert lake.read_bronze(spark).count() == 14
+    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 0
+
+
+def test_an_interrupted_fold_is_made_good(spark, lake):
+    from sensorlake import schemas
+    from sensorlake.sources.layers import FOLDED, fold_hours, replace_partitions
+
+    write = layers.bronze_writer(lake)
+    for n in range(3):
+        rows = readings(spark, {"event_id": f"e{n}", "timestamp": "2024-01-01 10:10:00"})
+        write(rows.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string")}), n)
+    # As if it had ended between writing the hour and removing its old directories.
+    half = lake.read_bronze(spark).where("part < 2").withColumn("part", F.lit(FOLDED)).cache()
+    half.count()
+    replace_partitions(schemas.conform(half, schemas.BRONZE), lake.bronze, schemas.LAYER_KEYS)
+    assert lake.read_bronze(spark).count() == 5
+    fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12))
+    assert sorted(r.event_id for r in lake.read_bronze(spark).collect()) == ["e0", "e1", "e2"]
+
+
+def test_hours_and_times_are_utc_in_every_session_zone(spark, lake):
+    from datetime import timedelta, timezone
+
+    sent = spark.createDataFrame([("H", '{"event_id": "e", "house_id": "H", "timestamp": "2024-01-01 10:30:00"}')], "key string, value string")
+    sent = sent.withColumns({"partition": F.lit(0), "offset": F.lit(0).cast("long")})
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")
+        layers.bronze_writer(lake)(messages.parse(sent), 0)
+        assert lake.read_bronze(spark).first().hour == 10
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        bronze = lake.read_bronze(spark)
+        east = timezone(timedelta(hours=3))
+        found = within(bronze, datetime(2024, 1, 1, 13, tzinfo=east), datetime(2024, 1, 1, 14, tzinfo=east))
+        assert [r.event_id for r in found.collect()] == ["e"]
+        assert "PartitionFilters: [isnotnull(" in found._jdf.queryExecution().executedPlan().toString()
+        assert [r.event_id for r in within(bronze, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 11)).collect()] == ["e"]
+        assert within(bronze, datetime(2024, 1, 1, 11), datetime(2024, 1, 1, 12)).count() == 0
+        back = messages.to_messages(bronze.drop("timestamp")).select(F.get_json_object("value", "$.timestamp")).first()[0]
+        assert back == "2024-01-01 10:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_messages_are_published_once_per_session(spark, tmp_path):
+    from pathlib import Path
+
+    from sensorlake.plans import queries
+    from sensorlake.plans.warehouse import release, warehouse
+
+    w = warehouse(spark, "/root/testdata/sf0.001/")
+    w.__dict__.pop("published", None)
+    made = len(w.folders)
+    first, second = (queries.queries()["publish_roundtrip"](spark, "/root/testdata/sf0.001").count() for _ in range(2))
+    assert first == second > 0
+    assert len(w.folders) == made + 1
+    folders = [Path(f.removeprefix("file:")) for f in w.folders]
+    assert all(f.exists() for f in folders)
+    release(spark)
+    assert not any(f.exists() for f in folders)

@@ -215,3 +215,22 @@ def test_locate_defaults(spark):
 def test_zone_tiers(spark):
     rows = readings(spark, {"zone": "Shubra"}, {"zone": "Dokki"}, {"zone": "Zamalek"}, {"zone": None})
     assert values(fleet.zone_tier(rows), "event_id", "tier") == {"e0": "high", "e1": "medium", "e2": "low", "e3": "low"}
+
+
+def test_a_row_without_a_number_stays_and_precedes_none(spark):
+    rows = spark.createDataFrame([(None, 1), (1, 2), (2, 3)], "batch_id long, n int")
+    got = values(snapshot.with_previous(rows, "batch_id", ["n"]), "batch_id", "previous_n")
+    assert got == {None: None, 1: None, 2: 2}
+
+
+def test_history_keeps_a_batch_without_a_number(spark):
+    gov = _gov(spark, (None, "Cairo", 1.0, 0, 0, "LOW"), (1, "Cairo", 1.0, 0, 0, "LOW"))
+    alerts = _alerts(spark, (1, "H1", "CRITICAL", 9.0))
+    assert values(views.kpi_history(alerts, gov), "batch_id", "critical") == {None: 0, 1: 1}
+
+
+def test_half_a_position_is_none(spark):
+    rows = readings(spark, {"latitude": 29.9, "longitude": None, "zone": "Nasr City"}, {"latitude": 30.01, "longitude": 31.21, "zone": "Nasr City"})
+    zones = spark.createDataFrame([("Cairo", "Nasr City", 30.05, 31.33)], "governorate string, zone string, zone_lat double, zone_lon double")
+    got = fleet.locate(rows, fleet.governorates(spark), zones).collect()
+    assert {(r.event_id, r.clamped_lat, r.clamped_lon) for r in got} == {("e0", 30.05, 31.33), ("e1", 30.01, 31.21)}
