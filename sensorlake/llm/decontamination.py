@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from sensorlake.llm.rows import annotate, list_array
+from sensorlake.llm.rows import annotate, list_array, set_aside
 from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
@@ -154,11 +154,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20, spans:
     """``docs`` without contaminated documents.
 
     With ``spans`` documents stay and lose the hit words with the text between them instead; what is
-    left around a removed span is joined by a line break.
+    left around a removed span is joined by a line break. All columns come back as they were.
     """
+    docs, own = set_aside(docs, [field.name for field in HITS])
     marked = with_hits(docs, benchmark, text)
     if not spans:
-        return marked.where(~contaminated(share)).select(*docs.columns)
+        return marked.where(~contaminated(share)).select(*own)
 
     def cut(piece: pa.RecordBatch) -> dict[str, pa.Array]:
         column = piece.column(text)
@@ -177,4 +178,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20, spans:
             out.append(said)
         return {text: pa.array(out, pa.string())}
 
-    return annotate(marked, text, [StructField(text, StringType())], cut, marked.columns).select(*docs.columns)
+    return annotate(marked, text, [StructField(text, StringType())], cut, marked.columns).select(*own)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sensorlake.llm.bits import BitTable
-from sensorlake.llm.rows import annotate
+from sensorlake.llm.rows import annotate, set_aside
 from sensorlake.llm.words import ALPHANUMERIC, Words, pieces
 from sensorlake.sources.shared import stored
 
@@ -125,6 +125,8 @@ _NEAR_TERM = StructType([
     StructField("value", LongType()), StructField("context", LongType()), StructField("word", LongType()),
     StructField("start", IntegerType()), StructField("end", IntegerType()),
 ])
+#: Names of the columns this module makes.
+_OWN = ("pii_base", "pii_terms", "pii_row", "pii_spans")
 _FOUND = [StructField("pii_base", ArrayType(_SPAN)), StructField("pii_terms", ArrayType(_NEAR_TERM))]
 
 
@@ -197,7 +199,7 @@ def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     exclusive. A null or empty text has none. Repeated rows have the same spans. Columns named
     ``pii_base``, ``pii_terms``, ``pii_row`` or ``pii_spans`` are replaced.
     """
-    own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("pii_base", "pii_terms", "pii_row", "pii_spans")]
+    own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in _OWN]
     carried = docs.select(*dict.fromkeys([*own, text]))
     rows = annotate(carried, text, _FOUND, lambda piece: _typed(_scan(piece, text)), own)
     rows = stored(rows.withColumn("pii_row", F.monotonically_increasing_id()))
@@ -220,6 +222,7 @@ def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) ->
     Terms that tell a protected value are replaced by ``<TERM>``, or removed where they tell nearly
     all of it. Where spans overlap, the first, then the longest, is replaced and the rest of the
     others goes with it. ``length`` names a column that holds the text's length in code points.
+    All other columns come back as they were.
     """
 
     def run(piece: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -236,7 +239,8 @@ def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) ->
             out.append(said)
         return {text: pa.array(out, pa.string())}
 
+    docs, own = set_aside(docs, _OWN)
     result = annotate(with_spans(docs, text), text, [StructField(text, StringType())], run)
     if length:
         result = result.withColumn(length, F.length(text).cast(docs.schema[length].dataType))
-    return result.select(*docs.columns)
+    return result.select(*own)

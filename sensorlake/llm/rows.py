@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
@@ -38,6 +39,13 @@ def annotate(
     return df.mapInArrow(run, schema)
 
 
+def set_aside(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns renamed whose names, in any case, are among ``names``; and its columns by their old names."""
+    taken = {name.lower() for name in names}
+    other = {name: f"{name}__set_aside" for name in df.columns if name.lower() in taken}
+    return df.withColumnsRenamed(other), [F.col(f"`{other.get(name, name)}`").alias(name) for name in df.columns]
+
+
 def list_array(values: pa.Array, lengths) -> pa.Array:
     """One list per row from the rows' concatenated values."""
     import numpy as np

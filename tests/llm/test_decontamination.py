@@ -63,6 +63,7 @@ def test_removal_of_documents_and_of_spans(spark):
     kept = dc.decontaminate(docs, benchmark)
     assert kept.columns == docs.columns[:2] + ["hits"]
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 6, 8]
+    assert {r.hits for r in kept.collect()} == {"s"}
     cut = {r.doc_id: r.text for r in dc.decontaminate(docs, benchmark, spans=True).collect()}
     assert cut[1] == "x\ny"
     assert cut[7] == ""

@@ -91,6 +91,7 @@ def test_texts_are_sanitised(spark):
     assert out.columns == df.columns
     texts = {r.doc_id: r for r in out.collect()}
     assert out.count() == df.count()
+    assert {r.pii_spans for r in out.collect()} == {"s"}
     assert "<EMAIL>" in texts[3].text and "@" not in texts[3].text and "lima" not in texts[3].text
     assert texts[3].n_chars == len(texts[3].text)
     assert texts[400].text is None and texts[401].text == "" and texts[None].text == "<EMAIL>"
