@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from sensorlake.llm.rows import annotate, list_array, set_aside
+from sensorlake.llm.rows import annotate, list_array, set_aside, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
@@ -49,6 +49,7 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
             hashes = words.window_hashes(starts, lengths)
             yield pa.RecordBatch.from_arrays([names, pa.array(lengths, pa.int32()), pa.array(hashes.view(np.int64)), pa.array(said, pa.binary())], ["item", "length", "hash", "words"])
 
+    small_batches(benchmark.sparkSession)
     return benchmark.select(item, text).mapInArrow(run, "item string, length int, hash long, words binary").distinct()
 
 

@@ -27,7 +27,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField
 
 from sensorlake.llm.bits import BitTable
 from sensorlake.llm.graph import components
-from sensorlake.llm.rows import annotate
+from sensorlake.llm.rows import annotate, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, Words, mixed, pieces
 from sensorlake.sources.shared import stored
 
@@ -241,10 +241,9 @@ def _caught(similarity: float, depth: int) -> float:
     return kept
 
 
-def _walk(base: DataFrame, runs: range, linked: DataFrame | None) -> tuple[DataFrame, int]:
-    """Links that these runs find, and the depth of their deepest node."""
-    tokens = base.select("s", "tokens")
-    level = tokens.mapInArrow(_roots(runs), "node long, s long").distinct()
+def _walk(sets: DataFrame, runs: range, linked: DataFrame | None) -> tuple[DataFrame, int]:
+    """Links that these runs find among the sets (s, tokens), and the depth of their deepest node."""
+    level = sets.mapInArrow(_roots(runs), "node long, s long")
     found: DataFrame | None = None
     depth = 1
     while True:
@@ -254,36 +253,35 @@ def _walk(base: DataFrame, runs: range, linked: DataFrame | None) -> tuple[DataF
             level = level.withColumn("root", F.col("s"))
         level = stored(level)
         sizes = level.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-        open_ = level.join(sizes.where("low < high").select("node", "n"), "node").select("node", "s", "n")
-        open_ = stored(open_)
+        # Stored, so that the join reads plain exchanges on both sides, which adaptive execution can split.
+        open_nodes = stored(sizes.where("low < high").select("node", "n"))
+        open_ = stored(level.join(open_nodes, "node").select("node", "s", "n"))
         last = depth == DEPTH
         leaves = open_.where(F.col("n") <= BUCKET).select("node", F.lit(0).alias("side"), "s")
         large = open_.where(F.col("n") > BUCKET)
         more = not large.isEmpty()
         if more and last:
             leaves = leaves.unionByName(_blocks(large, "n", BUCKET // 2))
-        wanted = leaves.join(_tokens_of(tokens, leaves.select("s")), "s").select("node", "side", "s", "tokens")
+        wanted = leaves.join(_tokens_of(sets, leaves), "s").select("node", "side", "s", "tokens")
         links = _by_node(wanted).mapInArrow(_linked, "a long, b long")
         found = links if found is None else found.unionByName(links)
         if not more or last:
             return found, depth
-        level = large.join(_tokens_of(tokens, large.select("s")), "s").mapInArrow(_split, "node long, s long").distinct()
+        level = large.join(_tokens_of(sets, large), "s").mapInArrow(_split, "node long, s long")
         depth += 1
 
 
-def _tokens_of(tokens: DataFrame, sets: DataFrame) -> DataFrame:
-    """One row of tokens for each of the sets; copies have equal tokens."""
-    return tokens.join(sets.distinct(), "s", "left_semi").groupBy("s").agg(F.first("tokens").alias("tokens"))
+def _tokens_of(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    return sets.join(rows.select("s").distinct(), "s", "left_semi")
 
 
-def candidates(base: DataFrame, recall: float = RECALL) -> DataFrame:
-    """(node, root): sets that the walk joins, directly or through others."""
-    base = base.where("s IS NOT NULL")
+def candidates(sets: DataFrame, recall: float = RECALL) -> DataFrame:
+    """(s, root): sets, of distinct (s, tokens), that the walk joins, directly or through others."""
     similarity = NUMERATOR / DENOMINATOR
     missed, done, linked = 1.0, 0, None
     while missed > 1 - recall:
         runs = range(done, done + ROUND_RUNS[min(done, 1)])
-        found, depth = _walk(base, runs, linked)
+        found, depth = _walk(sets, runs, linked)
         linked = _extended(linked, stored(found))
         missed *= (1 - _caught(similarity, depth)) ** len(runs)
         done += len(runs)
@@ -394,7 +392,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([s.take(pa.array(rows)), pa.array(sets, pa.binary())], ["s", "shingles"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "s long, shingles binary")
-    return found.join(wanted.select("s"), "s", "left_semi").groupBy("s").agg(F.first("shingles").alias("shingles"))
+    return found.groupBy("s").agg(F.first("shingles").alias("shingles")).join(wanted.select("s"), "s", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
@@ -407,11 +405,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is a class of its own: its ids are its own id, and it has no links. Rows with a null id take
     part; their class's id is null if no other id is there. Further columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    base = stored(with_sets(docs, tokens=True, keep=["doc_id"]))
+    base = stored(with_sets(docs, keep=["doc_id"]))
+    # Copies have equal tokens; they are made one in their tasks, before the shuffle.
+    distinct = with_sets(docs, tokens=True, keep=["doc_id"]).where("s IS NOT NULL").groupBy("s").agg(F.first("tokens").alias("tokens"))
     named = base.where("s IS NOT NULL")
     copies = named.groupBy("s", "check").agg(F.min("doc_id").alias("copy_id"))
-    linked = candidates(base, recall)
+    linked = candidates(stored(distinct), recall)
     wanted = stored(linked.join(copies.groupBy("s").agg(F.min("copy_id").alias("doc_id")), "s"))
     counts = wanted.groupBy("root").agg(F.count("*").alias("n"))
     rows = wanted.join(counts, "root").select(F.col("root").alias("node"), "s", "n")
@@ -426,9 +427,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = settled.distinct().unionByName(blocks).join(copies, "s")
     first = members.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = members.join(first, "root").select("s", "check", "class_id")
-    sets = copies.join(degrees, "s", "left").join(classes, ["s", "check"], "left").select(
+    sets = stored(copies.join(degrees, "s", "left").join(classes, ["s", "check"], "left").select(
         "s", "check", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    ))
     found = base.select("doc_id", "s", "check").join(sets, ["s", "check"], "left")
     own = F.col("s").isNull()
     return found.select(

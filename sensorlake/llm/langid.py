@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from sensorlake.llm.rows import annotate
+from sensorlake.llm.rows import annotate, small_batches
 from sensorlake.llm.words import RangeHash, byte_set, byte_values, column_bytes, mixed, pieces, runs
 
 ROWS_PER_LANGUAGE = 400
@@ -213,6 +213,7 @@ def fit(words: dict[str, dict[bytes, int]], vocabulary: list[bytes], rounds: int
 
 def sampled_words(docs: DataFrame, trainable: Column, rows: int) -> dict[str, dict[bytes, int]]:
     """Word counts per language of at most ``rows`` texts each, taken by the order of hashed ids."""
+    small_batches(docs.sparkSession)
     known = docs.where(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "lang").distinct()

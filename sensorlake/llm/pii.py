@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sensorlake.llm.bits import BitTable
-from sensorlake.llm.rows import annotate, set_aside
+from sensorlake.llm.rows import annotate, set_aside, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, Words, pieces
 from sensorlake.sources.shared import stored
 
@@ -159,6 +159,7 @@ def _typed(columns: dict[str, pa.Array]) -> dict[str, pa.Array]:
 
 def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """(word, n) over all documents for the wanted word hashes; the null word counts all words."""
+    small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(BitTable.of(wanted.select(F.col("word").alias("h")), TABLE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

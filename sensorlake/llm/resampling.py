@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from sensorlake.llm.rows import annotate
+from sensorlake.llm.rows import annotate, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, NON_SPACE, RangeHash, byte_values, column_bytes, mixed, pieces, runs
 from sensorlake.sources.shared import stored
 
@@ -61,6 +61,7 @@ def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _counts(docs: DataFrame, target: np.ndarray) -> np.ndarray:
     """N-grams by bucket: of all documents, and of those whose id is in ``target`` (sorted)."""
+    small_batches(docs.sparkSession)
     ids = docs.sparkSession.sparkContext.broadcast(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
