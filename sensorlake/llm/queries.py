@@ -143,10 +143,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digests(piece: pa.RecordBatch) -> dict[str, pa.Array]:
         return {"kept_sha256": pa.array([_hex(kept) for kept in substrings.kept_words(piece)], pa.string())}
 
-    marked = substrings.with_repeats(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = substrings.with_repeats(docs, keep=["doc_id"], also=([StructField("kept_sha256", StringType())], digests))
     removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
-    counted = marked.withColumn("n_removed", removed)
-    return annotate(counted, "text", [StructField("kept_sha256", StringType())], digests, ["doc_id", "n_words", "n_removed"])
+    return marked.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

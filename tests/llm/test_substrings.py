@@ -68,6 +68,7 @@ def test_hand_made_rows(spark):
     out = substrings.deduplicated(df)
     assert out.columns == df.columns
     kept = {(r.doc_id, r.text) for r in out.collect()}
+    assert {(r.source, r["N_WORDS"]) for r in out.collect()} == {("s", 1)}
     assert {(7, ""), (5, ""), (3, "x " + long + " y"), (None, long), (8, None), (10, " \n "), (11, loop), (12, "")} <= kept
 
 
