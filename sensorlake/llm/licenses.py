@@ -81,16 +81,16 @@ def _vectors(texts: DataFrame, idf: DataFrame, *by: str) -> DataFrame:
 
 
 def scored(headers: DataFrame, notices: DataFrame, idf: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """(header, license, score): the closest template of each distinct header, if close enough.
+    """(key, license, score): the closest template of each header (key, header), if close enough.
 
     Scores are rounded to six digits; of equally close licences the first by name is taken.
     """
-    left = _vectors(headers.select("header", F.col("header").alias("text")).distinct(), idf, "header")
+    left = _vectors(headers.select("key", F.col("header").alias("text")), idf, "key")
     right = _vectors(notices.select("license", "notice", F.col("notice").alias("text")), idf, "license", "notice")
-    dots = left.join(right.withColumnRenamed("x", "y"), "word").groupBy("header", "license", "notice").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
+    dots = left.join(right.withColumnRenamed("x", "y"), "word").groupBy("key", "license", "notice").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
     close = dots.withColumn("score", F.round("score", 6)).where(F.col("score") >= least)
-    best = close.groupBy("header").agg(F.min(F.struct((-F.col("score")).alias("away"), "license")).alias("best"))
-    return best.select("header", "best.license", (-F.col("best.away")).alias("score"))
+    best = close.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("away"), "license")).alias("best"))
+    return best.select("key", "best.license", (-F.col("best.away")).alias("score"))
 
 
 def scan(files: DataFrame, path: str = "path", text: str = "text", notices: DataFrame | None = None, least: float = LEAST_SCORE) -> DataFrame:
@@ -113,11 +113,13 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     compared = F.when(licence_file, F.array_append(lines, F.col("text"))).otherwise(lines)
     # Only files with a cue are split into lines.
     with_cue = files.where(F.lower("text").rlike(CUE)).withColumn("compared", compared)
-    headers = stored(with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header")).distinct())
-    best = scored(headers, notices, idf, least)
+    said = with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header"))
+    # A header can be a whole file, so its words and its files are grouped by a digest of it.
+    headers = stored(said.withColumn("key", F.unhex(F.sha2("header", 256))))
+    best = scored(headers.groupBy("key").agg(F.first("header").alias("header")), notices, idf, least)
     order = F.struct((-F.col("score")).alias("away"), "license")
     own = stored(
-        headers.join(best, "header").groupBy("path").agg(F.min(order).alias("best"), F.first("licence_file").alias("licence_file"))
+        headers.select("path", "licence_file", "key").join(best, "key").groupBy("path").agg(F.min(order).alias("best"), F.first("licence_file").alias("licence_file"))
         .select("path", "best.license", (-F.col("best.away")).alias("score"), "licence_file")
     )
     first = F.min(F.struct((-F.col("score")).alias("away"), "path", "license"))
