@@ -272,7 +272,15 @@ def _walk(sets: DataFrame, runs: range, linked: DataFrame | None) -> tuple[DataF
 
 
 def _tokens_of(sets: DataFrame, rows: DataFrame) -> DataFrame:
-    return sets.join(rows.select("s").distinct(), "s", "left_semi")
+    """(s, tokens) of the sets in ``rows``; a bit table keeps nearly all others in their tasks."""
+    wanted = stored(rows.select("s").distinct())
+    table = sets.sparkSession.sparkContext.broadcast(BitTable.of(wanted.select(F.col("s").alias("h")), WANTED_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(table.value.holds(batch.column("s").to_numpy().view(np.uint64))))
+
+    return sets.mapInArrow(run, sets.schema).join(wanted, "s", "left_semi")
 
 
 def candidates(sets: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -446,6 +454,22 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Rows that share an id, or have none, stay or go together; they stay if one of them is first in
     its class.
     """
-    found = near_duplicates(docs, doc_id, text)
-    kept = stored(found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept_id")).distinct())
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi")
+    found = stored(near_duplicates(docs, doc_id, text))
+    first = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    others = found.where(~first).select(F.coalesce("doc_id", F.lit(0)).alias("h"))
+    table = docs.sparkSession.sparkContext.broadcast(BitTable.of(others, WANTED_BITS))
+
+    def rows(doubtful: bool) -> DataFrame:
+        """Rows whose id may belong to a later member of a class, or those whose id surely does not."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = pc.fill_null(batch.column(doc_id).cast(pa.int64()), 0).to_numpy().view(np.uint64)
+                yield batch.filter(pa.array(table.value.holds(ids) == doubtful))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    # Only the texts in doubt are shuffled to meet the ids that stay.
+    kept = found.where(first).select(F.col("doc_id").alias("_kept_id")).distinct()
+    doubtful = rows(True)
+    return rows(False).unionByName(doubtful.join(kept, doubtful[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi"))

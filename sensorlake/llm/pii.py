@@ -212,9 +212,11 @@ def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     near = rows.select("pii_row", F.explode("pii_terms").alias("t")).select("pii_row", "t.*")
     most = near.join(told, ["value", "word"]).groupBy("pii_row", "start", "end").agg(F.max("told").alias("told"))
     terms = most.groupBy("pii_row").agg(F.array_sort(F.collect_list(F.struct(F.lit(TERM).alias("kind"), "start", "end", "told"))).alias("found"))
-    joined = rows.join(terms, "pii_row", "left")
+    # Only rows with a term near a protected value can have any of these, and are shuffled with their texts.
+    plain = rows.where(F.size("pii_terms") == 0).withColumn("pii_spans", base.cast(shown))
+    joined = rows.where(F.size("pii_terms") > 0).join(terms, "pii_row", "left")
     spans = F.concat(base.cast(shown), F.coalesce(F.col("found").cast(shown), F.array().cast(shown)))
-    return joined.withColumn("pii_spans", spans).select(*own, "pii_spans")
+    return plain.select(*own, "pii_spans").unionByName(joined.withColumn("pii_spans", spans).select(*own, "pii_spans"))
 
 
 def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:

@@ -15,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from sensorlake.llm.rows import annotate, small_batches
+from sensorlake.llm.rows import annotate, set_aside, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, NON_SPACE, RangeHash, byte_values, column_bytes, mixed, pieces, runs
 from sensorlake.sources.shared import stored
 
@@ -96,20 +96,22 @@ def gumbel(ids: pa.Array, texts: np.ndarray, seed: int) -> np.ndarray:
     return -np.log(-np.log(uniform))
 
 
-def weighted(docs: DataFrame, target: np.ndarray, keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` (doc_id LONG, text) with ``SCORES``: tokens, log weight, and log weight with Gumbel noise."""
-    if target.size:
-        ratio = log_ratios(_counts(docs.select("doc_id", "text"), np.sort(target)))
-    else:
-        ratio = np.zeros(2 * BUCKETS)
+def fitted_ratio(docs: DataFrame, target: np.ndarray) -> np.ndarray:
+    """Log ratios by bucket, fitted on the documents (doc_id LONG, text) whose ids are in ``target``."""
+    return log_ratios(_counts(docs.select("doc_id", "text"), np.sort(target))) if target.size else np.zeros(2 * BUCKETS)
+
+
+def weighted(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """``docs`` with ``SCORES``: tokens, log weight, and log weight with Gumbel noise."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(piece: pa.RecordBatch) -> dict[str, pa.Array]:
-        buckets, owner, count, texts = _features(piece.column("text"))
+        buckets, owner, count, texts = _features(piece.column(text))
         weight = np.bincount(owner, weights=shared.value[buckets], minlength=piece.num_rows)
-        return {"n_tokens": pa.array(count, pa.int64()), "log_weight": pa.array(weight), "draw": pa.array(weight + gumbel(piece.column("doc_id"), texts, seed))}
+        draw = weight + gumbel(piece.column(doc_id).cast(pa.int64()), texts, seed)
+        return {"n_tokens": pa.array(count, pa.int64()), "log_weight": pa.array(weight), "draw": pa.array(draw)}
 
-    return annotate(docs, "text", SCORES, run, keep)
+    return annotate(docs, text, SCORES, run, keep)
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float | None:
@@ -168,6 +170,32 @@ def cut(good: np.ndarray, bad: np.ndarray) -> float:
     return float((values[best][widest] + below[widest]) / 2)
 
 
+def _drawn(least: float | None) -> Column:
+    return F.lit(False) if least is None else (F.col("n_tokens") > 0) & (F.col("draw") >= least)
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, k: int | None, sample: int, seed: int) -> tuple[np.ndarray, DataFrame, float | None]:
+    """Log ratios, the scores of all rows, and the least draw that is taken."""
+    fit, good, bad = labelled(labels, "quality", sample)
+    ratio = fitted_ratio(docs, fit)
+    scored = stored(weighted(docs, ratio, keep=["doc_id"], seed=seed))
+    usable = scored.where("n_tokens > 0")
+    if k is None:
+        both = np.concatenate([good, bad])
+        known = docs.sparkSession.createDataFrame(list(zip(both.tolist(), [True] * good.size + [False] * bad.size, strict=True)), "doc_id long, good boolean")
+        seen = usable.join(known, "doc_id").select("log_weight", "good").collect()
+        weights = {q: np.array([r.log_weight for r in seen if r.good == q]) for q in (True, False)}
+        k = usable.where(F.col("log_weight") >= cut(weights[True], weights[False])).count()
+    return ratio, scored, kth_largest(usable, "draw", min(k, usable.count()))
+
+
+def _shaped(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, quality: str) -> tuple[DataFrame, DataFrame]:
+    return (
+        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")),
+        labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(quality).alias("quality")),
+    )
+
+
 def resampled(
     docs: DataFrame, labels: DataFrame, k: int | None = None, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
     sample: int = SAMPLE, seed: int = SEED,
@@ -180,28 +208,19 @@ def resampled(
     characters, has no tokens and is never drawn. Labels with a null id or quality are ignored;
     without good labels all weights are equal, and without bad ones all documents are drawn.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    labels = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(quality).alias("quality"))
-    fit, good, bad = labelled(labels, "quality", sample)
-    scored = stored(weighted(docs, fit, ["doc_id"], seed))
-    usable = scored.where("n_tokens > 0")
-    if k is None:
-        spark = docs.sparkSession
-        both = np.concatenate([good, bad])
-        known = spark.createDataFrame(list(zip(both.tolist(), [True] * good.size + [False] * bad.size, strict=True)), "doc_id long, good boolean")
-        seen = usable.join(known, "doc_id").select("log_weight", "good").collect()
-        weights = {q: np.array([r.log_weight for r in seen if r.good == q]) for q in (True, False)}
-        k = usable.where(F.col("log_weight") >= cut(weights[True], weights[False])).count()
-    least = kth_largest(usable, "draw", min(k, usable.count()))
-    drawn = F.lit(False) if least is None else (F.col("n_tokens") > 0) & (F.col("draw") >= least)
-    return scored.select("doc_id", "n_tokens", "log_weight", drawn.alias("sampled"))
+    _, scored, least = _fitted(*_shaped(docs, labels, doc_id, text, quality), k, sample, seed)
+    return scored.select("doc_id", "n_tokens", "log_weight", _drawn(least).alias("sampled"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, k: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the documents that are not drawn.
+def accepted(
+    docs: DataFrame, labels: DataFrame, k: int | None = None, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
+    sample: int = SAMPLE, seed: int = SEED,
+) -> DataFrame:
+    """``docs`` without the rows that ``resampled`` does not draw; all columns come back as they were.
 
-    Rows that share an id stay or go together; they stay if one of them is drawn.
+    Weights and noise depend on a row alone, so the rows are weighed again where they are read, and
+    no text is shuffled.
     """
-    found = resampled(docs, labels, k, doc_id, text)
-    kept = stored(found.where("sampled").select(F.col("doc_id").alias("_kept_id")).distinct())
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi")
+    ratio, _, least = _fitted(*_shaped(docs, labels, doc_id, text, quality), k, sample, seed)
+    renamed, own = set_aside(docs, [field.name for field in SCORES])
+    return weighted(renamed, ratio, doc_id, text, seed=seed).where(_drawn(least)).select(*own)

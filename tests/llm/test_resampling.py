@@ -70,7 +70,7 @@ def test_cut():
 def test_rows_drawn_are_the_largest_draws(spark, sf_dir):
     docs, labels = (queries.table(spark, sf_dir, name) for name in ("documents", "labels"))
     fit, _, _ = resampling.labelled(labels.select("doc_id", "quality"))
-    draws = sorted(((r.draw, r.doc_id) for r in resampling.weighted(docs, fit, ["doc_id"]).where("n_tokens > 0").collect()), reverse=True)
+    draws = sorted(((r.draw, r.doc_id) for r in resampling.weighted(docs, resampling.fitted_ratio(docs, fit), keep=["doc_id"]).where("n_tokens > 0").collect()), reverse=True)
     got = {r.doc_id for r in resampling.resampled(docs, labels, k=40).where("sampled").collect()}
     assert got == {i for _, i in draws[:40]}
 
@@ -83,7 +83,7 @@ def test_weights_equal_a_plain_version(spark, sf_dir):
     ids = np.array(table.column("doc_id").to_pylist())
     total = np.stack([np.bincount(buckets[m[owner]], minlength=2 * resampling.BUCKETS) for m in (np.ones(ids.size, bool), np.isin(ids, fit))])
     want = np.bincount(owner, weights=resampling.log_ratios(total)[buckets], minlength=ids.size)
-    got = {r.doc_id: r.log_weight for r in resampling.weighted(docs, fit, ["doc_id"]).collect()}
+    got = {r.doc_id: r.log_weight for r in resampling.weighted(docs, resampling.fitted_ratio(docs, fit), keep=["doc_id"]).collect()}
     assert [got[i] for i in ids.tolist()] == pytest.approx(want.tolist())
 
 
@@ -95,6 +95,7 @@ def test_hand_made_rows(spark):
     labels = spark.createDataFrame([(i, 1, "x") for i in range(20)] + [(100 + i, 0, "x") for i in range(10)] + [(None, 1, "x"), (5, None, "x")], "doc_id long, quality int, text string")
     kept = resampling.accepted(docs, labels)
     assert kept.columns == docs.columns
+    assert {(r["N_TOKENS"], r.log_weight) for r in kept.collect()} == {("s", 1.0)}
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [*range(40), 203, 203]
     assert None in ids
