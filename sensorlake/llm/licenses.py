@@ -2,8 +2,9 @@
 
 Built of DataFrame operations alone. Only words of the templates have columns in the vectors;
 document frequencies are counted over all files for these words, and any other word weighs as one
-that no file holds. Each distinct header is scored once, however many files carry it. A file
-without a licence of its own takes that of the licence file in its nearest ancestor directory.
+that no file holds. Each distinct header is scored once, however many files carry it. An SPDX tag
+is read as it stands, and a header that holds a notice word for word has its licence also where other
+words make the cosine small. A file without a licence of its own takes that of the licence file in its nearest ancestor directory.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Proprietary", "All rights reserved."),
     ("Proprietary", "All rights reserved. Unauthorized copying of this file is strictly prohibited."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
@@ -42,6 +44,10 @@ CUE = r"licen[cs]e|copyright|spdx|public domain|permission is hereby granted|all
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([._-].*)?$"
 LEAST_SCORE = 0.6
+#: The licence expression of an SPDX tag; it names the licence, so it is read and not compared.
+SPDX = r"(?i)spdx-license-identifier:[ \t]*(\(*[a-z0-9.+-]+\)*(?:[ \t]+(?:or|and|with)[ \t]+\(*[a-z0-9.+-]+\)*)*)"
+#: Licence of those who grant none; any other licence of the same file goes before it.
+NONE_GRANTED = "Proprietary"
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -93,6 +99,35 @@ def scored(headers: DataFrame, notices: DataFrame, idf: DataFrame, least: float
     return best.select("key", "best.license", (-F.col("best.away")).alias("score"))
 
 
+def stated(headers: DataFrame, notices: DataFrame) -> DataFrame:
+    """(key, tagged, held): the licence that a header's SPDX tag names, and that of the longest notice it holds word for word.
+
+    Neither depends on the number of files. A tag with one known identifier gives the name that the
+    notices use, without ``-only`` or ``-or-later``; any other expression is given as written.
+    """
+    def phrase(text: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(words_of(text), " "), F.lit(" "))
+
+    # The first by length, then by name, is the best one; notices are few.
+    known = notices.where(F.size(words_of(F.col("notice"))) > 0).select("license", phrase(F.col("notice")).alias("said")).distinct().collect()
+    known.sort(key=lambda r: (r.license == NONE_GRANTED, -len(r.said.split()), r.license))
+    names = {r.license.lower(): r.license for r in known}
+    tag = F.regexp_extract("header", SPDX, 1)
+    plain = F.regexp_replace(F.lower(tag), r"(-only|-or-later|\+)$", "")
+    named = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), plain) if names else F.lit(None)
+    said = headers.select("key", F.when(tag != "", F.coalesce(named, tag)).alias("tagged"), phrase(F.col("header")).alias("said"))
+    held = F.coalesce(*[F.when(F.contains(F.col("said"), F.lit(r.said)), F.lit(r.license)) for r in known], F.lit(None).cast("string"))
+    return said.select("key", "tagged", held.alias("held"))
+
+
+def found_in(headers: DataFrame, notices: DataFrame, idf: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """(key, license, score): by SPDX tag, else the closest template, else a notice that the header holds whole."""
+    both = stated(headers, notices).join(scored(headers, notices, idf, least), "key", "left")
+    license = F.coalesce("tagged", "license", "held")
+    score = F.when(F.col("tagged").isNotNull() | F.col("license").isNull(), 1.0).otherwise(F.col("score"))
+    return both.select("key", license.alias("license"), score.alias("score")).where("license IS NOT NULL")
+
+
 def scan(files: DataFrame, path: str = "path", text: str = "text", notices: DataFrame | None = None, least: float = LEAST_SCORE) -> DataFrame:
     """(path, license, score, found, given_by) for every row of ``files``.
 
@@ -101,8 +136,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     one taken from the directory ``given_by``, else null with no licence. A directory's licence is
     that of its closest licence file, the first by path on a tie. Null and empty texts have no
     headers; rows with a null path, or a path without slashes, lie in the root directory. Rows
-    that repeat a path count as one file for its licence, the closest header winning. Further
-    columns are ignored.
+    that repeat a path count as one file for its licence, the closest header winning; one that
+    grants a licence goes before one that reserves all rights. Further columns are ignored.
     """
     notices = templates(files.sparkSession) if notices is None else notices
     files = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
@@ -116,8 +151,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     said = with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header"))
     # A header can be a whole file, so its words and its files are grouped by a digest of it.
     headers = stored(said.withColumn("key", F.unhex(F.sha2("header", 256))))
-    best = scored(headers.groupBy("key").agg(F.first("header").alias("header")), notices, idf, least)
-    order = F.struct((-F.col("score")).alias("away"), "license")
+    best = found_in(stored(headers.groupBy("key").agg(F.first("header").alias("header"))), notices, idf, least)
+    order = F.struct((F.col("license") == NONE_GRANTED).alias("none"), (-F.col("score")).alias("away"), "license")
     own = stored(
         headers.select("path", "licence_file", "key").join(best, "key").groupBy("path").agg(F.min(order).alias("best"), F.first("licence_file").alias("licence_file"))
         .select("path", "best.license", (-F.col("best.away")).alias("score"), "licence_file")

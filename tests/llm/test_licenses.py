@@ -87,3 +87,23 @@ def test_every_planted_notice_is_found(spark):
     found = queries.op2_license_scan(spark, folder).where("found = 'header'").count()
     docs = queries.table(spark, folder, "documents").where(F.col("text").rlike("(Licensed under|Released under|licensed under)"))
     assert found == docs.count() > 200
+
+
+def test_every_planted_licence_line_is_found(spark):
+    folder = "/root/testdata/sf0.1"
+    found = queries.op2_license_scan(spark, folder).where("found = 'header'").count()
+    docs = queries.table(spark, folder, "documents").where(F.lower("text").rlike(licenses.CUE))
+    assert found == docs.count() > 300
+
+
+def test_short_forms_score_alike_among_many_files(spark):
+    rows = [
+        ("p/own.txt", "All rights reserved."), ("p/LICENSE", MIT), ("t/a.py", "# SPDX-License-Identifier: MIT\ncode"), ("t/b.c", "/* SPDX-License-Identifier: gpl-3.0-or-later */"),
+        ("t/c.rs", "// SPDX-License-Identifier: MIT OR Apache-2.0"), ("t/d.py", "# SPDX-License-Identifier: EPL-2.0"),
+        ("t/e.py", "Copyright 2021 Some Quite Long Company Name of Nowhere. All rights reserved."), ("t/f.py", "All rights reserved.\n" + GPL),
+    ]
+    for more in (0, 3000):
+        got = {r[0]: r[1:3] for r in scanned(spark, rows + [(f"z/{i}", f"word{i} all the rest") for i in range(more)])}
+        assert got["p/own.txt"] == ("Proprietary", 1.0) and got["p/LICENSE"] == ("MIT", 1.0)
+        assert [got[f"t/{x}"] for x in ("a.py", "b.c", "c.rs", "d.py", "e.py")] == [("MIT", 1.0), ("GPL-3.0", 1.0), ("MIT OR Apache-2.0", 1.0), ("EPL-2.0", 1.0), ("Proprietary", 1.0)]
+        assert got["t/f.py"] == ("GPL-3.0", 1.0)
