@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sensorlake.sources.shared import stored
 
-#: Notices by which licences are granted, by SPDX identifier; any may be replaced by the caller.
-TEMPLATES = (
+#: Notices by which licences are granted, by SPDX identifier.
+NOTICES = (
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
@@ -39,7 +39,38 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
-#: Words that a header holds; lines without one are not compared.
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Copyright (c) All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+#: Whole texts of the short licences, and the titles by which the texts of the long ones begin.
+TEXTS = (
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _AS_IS),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("ISC", "ISC License Copyright (c) Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MIT", "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+)
+#: Fixed values; any may be replaced by the caller.
+TEMPLATES = (*NOTICES, *TEXTS)
+
+#: Words that a header holds; lines and blocks of lines without one are not compared.
 CUE = r"licen[cs]e|copyright|spdx|public domain|permission is hereby granted|all rights reserved|creative commons"
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([._-].*)?$"
@@ -128,11 +159,19 @@ def found_in(headers: DataFrame, notices: DataFrame, idf: DataFrame, least: floa
     return both.select("key", license.alias("license"), score.alias("score")).where("license IS NOT NULL")
 
 
+def _blocks(text: Column) -> Column:
+    """Neighbouring lines: up to lines without any sign, and up to lines that hold comment marks at most."""
+    unmarked = F.regexp_replace(text, r"(?m)^[ \t]*(?:REM|dnl)\b", "")
+    paragraphs = F.split(F.regexp_replace(unmarked, r"(?m)^[^A-Za-z0-9\n]+$", ""), r"\n\n+")
+    return F.concat(F.split(unmarked, r"\n[ \t\r]*\n"), paragraphs)
+
+
 def scan(files: DataFrame, path: str = "path", text: str = "text", notices: DataFrame | None = None, least: float = LEAST_SCORE) -> DataFrame:
     """(path, license, score, found, given_by) for every row of ``files``.
 
-    Headers are the lines with a cue, in any place of the text; the whole text of a licence file is
-    compared as well. ``found`` is ``header`` for a licence of the file's own, ``inherited`` for
+    Headers are the lines with a cue, in any place of the text, and the blocks of neighbouring lines
+    around them, so that a notice may be wrapped and set in comment marks; the whole text of a
+    licence file is compared as well. ``found`` is ``header`` for a licence of the file's own, ``inherited`` for
     one taken from the directory ``given_by``, else null with no licence. A directory's licence is
     that of its closest licence file, the first by path on a tie. Null and empty texts have no
     headers; rows with a null path, or a path without slashes, lie in the root directory. Rows
@@ -143,9 +182,9 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     files = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
     vocabulary = sorted({r.word for r in notices.select(F.explode(words_of(F.col("notice"))).alias("word")).distinct().collect()})
     idf = stored(_frequencies(files, vocabulary))
-    lines = F.filter(F.split("text", "\n"), lambda line: F.lower(line).rlike(CUE))
+    lines = F.filter(F.concat(F.split("text", "\n"), _blocks(F.col("text"))), lambda part: F.lower(part).rlike(CUE))
     licence_file = F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE)
-    compared = F.when(licence_file, F.array_append(lines, F.col("text"))).otherwise(lines)
+    compared = F.array_distinct(F.when(licence_file, F.array_append(lines, F.col("text"))).otherwise(lines))
     # Only files with a cue are split into lines.
     with_cue = files.where(F.lower("text").rlike(CUE)).withColumn("compared", compared)
     said = with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header"))

@@ -107,3 +107,28 @@ def test_short_forms_score_alike_among_many_files(spark):
         assert got["p/own.txt"] == ("Proprietary", 1.0) and got["p/LICENSE"] == ("MIT", 1.0)
         assert [got[f"t/{x}"] for x in ("a.py", "b.c", "c.rs", "d.py", "e.py")] == [("MIT", 1.0), ("GPL-3.0", 1.0), ("MIT OR Apache-2.0", 1.0), ("EPL-2.0", 1.0), ("Proprietary", 1.0)]
         assert got["t/f.py"] == ("GPL-3.0", 1.0)
+
+
+def test_wrapped_notices_and_whole_licence_texts(spark):
+    as_is = licenses._AS_IS.replace(". ", ".\n").replace(", ", ",\n")
+    bsd = (
+        "Copyright (c) 2019, Jane Doe of Somewhere\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+        "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n"
+        "   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n{}" + as_is
+    )
+    third = "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n"
+    mit = dict(licenses.TEXTS)["MIT"].replace("(c)", "(c) 2020 Jane Doe\n\n").replace(", ", ",\n").replace("THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    marked = lambda text, mark: "\n".join(mark + line for line in text.split("\n"))
+    wrapped = "Copyright 2020 The Authors of Things.\n\nThis work is\nlicensed under the GNU\nGeneral Public License,\nversion 3.\n"
+    rows = [
+        ("a/LICENSE", bsd.format(third)), ("a/x.py", "code"), ("b/LICENSE", mit), ("b/x.py", "code"), ("c/LICENSE.txt", bsd.format("")), ("c/x.py", "code"),
+        ("d/COPYING", "   GNU GENERAL PUBLIC LICENSE\n      Version 2, June 1991\n\n" + "every other word of it " * 400), ("d/x.py", "code"),
+        ("e/wrapped.py", marked(wrapped, "# ") + "\nimport all_of_it\n"), ("e/header.c", "/*\n" + marked(bsd.format(third), " * ") + "\n */\n\nint main;\n"),
+        ("e/rem.bat", marked(wrapped, "REM ") + "\n\necho on"), ("e/plain.txt", "some prose\n\n" + wrapped + "\nmore prose"),
+    ]
+    for more in (0, 3000):
+        got = {r[0]: r[1] for r in scanned(spark, rows + [(f"z/{i}", f"word{i} of all the rest") for i in range(more)])}
+        assert {p: got[p] for p, _ in rows} == {
+            "a/LICENSE": "BSD-3-Clause", "a/x.py": "BSD-3-Clause", "b/LICENSE": "MIT", "b/x.py": "MIT", "c/LICENSE.txt": "BSD-2-Clause", "c/x.py": "BSD-2-Clause",
+            "d/COPYING": "GPL-2.0", "d/x.py": "GPL-2.0", "e/wrapped.py": "GPL-3.0", "e/header.c": "BSD-3-Clause", "e/rem.bat": "GPL-3.0", "e/plain.txt": "GPL-3.0",
+        }
