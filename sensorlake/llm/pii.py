@@ -6,7 +6,7 @@ the information content IC(e) = -log p(e), and a term w tells PMI(w; e) = log p(
 of it, where p(e | w) is the share of all occurrences of w that lie near e. A term seen in at
 least ``SUPPORT`` different contexts of e is generalised where PMI reaches ``GENERALISE`` of
 IC(e), and removed where it reaches ``REMOVE``. Contexts are counted by content, so that copies
-are no evidence; occurrences are counted over all documents.
+are no evidence; occurrences are counted, and the found terms marked, over all documents.
 """
 
 from __future__ import annotations
@@ -16,13 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sensorlake.llm.bits import BitTable
 from sensorlake.llm.rows import annotate, set_aside, small_batches
-from sensorlake.llm.words import ALPHANUMERIC, Words, pieces
+from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
 NEAR = 12
@@ -102,7 +103,7 @@ def _value(kind: str, said: str) -> str:
     return f"{kind}:{said.lower() if kind == 'email' else _NOT_DIGIT.sub('.' if kind == 'ip' else '', said)}"
 
 
-def _context(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, int]]:
+def _context(text: str, span: Span, taken: list[Span]) -> list[str]:
     """Terms within ``NEAR`` words of a span, outside all spans: letters, three characters at least."""
     _, start, end = span
     # A word longer than this many characters ends the context.
@@ -114,47 +115,71 @@ def _context(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, i
             break
     before = list(_WORD.finditer(text, low, start))[-NEAR:]
     return [
-        (m[0].lower(), m.start(), m.end())
+        m[0]
         for m in (*before, *after)
         if m.end() - m.start() >= 3 and not m[0].isdigit() and not any(s < m.end() and m.start() < e for _, s, e in taken)
     ]
 
 
 _SPAN = StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
-_NEAR_TERM = StructType([
-    StructField("value", LongType()), StructField("context", LongType()), StructField("word", LongType()),
-    StructField("start", IntegerType()), StructField("end", IntegerType()),
-])
+_NEAR_TERM = StructType([StructField("value", LongType()), StructField("context", LongType()), StructField("word", LongType())])
+_SAID = StructType([StructField("word", LongType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
 #: Names of the columns this module makes.
-_OWN = ("pii_base", "pii_terms", "pii_row", "pii_spans")
-_FOUND = [StructField("pii_base", ArrayType(_SPAN)), StructField("pii_terms", ArrayType(_NEAR_TERM))]
+_OWN = ("pii_base", "pii_terms", "pii_said", "pii_row", "pii_spans")
+_NEAR = [StructField("pii_terms", ArrayType(_NEAR_TERM))]
+_FOUND = [StructField("pii_base", ArrayType(_SPAN)), StructField("pii_said", ArrayType(_SAID))]
 
 
 def _hashes(texts: list[str]) -> list[int]:
-    """Hashes of whole strings, as ``Words`` hashes a word of that spelling."""
-    words = Words.of(pa.array(texts, pa.string()), np.ones(256, dtype=bool))
+    """Hashes of whole strings in lower case, as ``_words`` hashes a word of that spelling."""
+    words = Words.of(pc.utf8_lower(pa.array(texts, pa.string())), np.ones(256, dtype=bool))
     return words.hashes.view(np.int64).tolist()
 
 
+def _words(texts: pa.Array) -> Words:
+    """Words in lower case; it keeps the number of code points."""
+    return Words.of(pc.utf8_lower(texts), ALPHANUMERIC)
+
+
 def _scan(piece: pa.RecordBatch, text: str) -> dict[str, pa.Array]:
-    base, terms = [], []
+    terms = []
     for said in piece.column(text).to_pylist():
         spans = base_spans(said) if said else []
-        base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
         near = []
         for span in spans:
             found = _context(said, span, spans)
             if found:
-                value, context, *words = _hashes([_value(span[0], said[span[1] : span[2]]), " ".join(w for w, _, _ in found), *(w for w, _, _ in found)])
-                near += [{"value": value, "context": context, "word": h, "start": s, "end": e} for h, (_, s, e) in zip(words, found, strict=True)]
+                value, context, *words = _hashes([_value(span[0], said[span[1] : span[2]]), " ".join(found), *found])
+                near += [{"value": value, "context": context, "word": h} for h in words]
         terms.append(near)
-    return {"pii_base": pa.array(base), "pii_terms": pa.array(terms)}
-
-
-def _typed(columns: dict[str, pa.Array]) -> dict[str, pa.Array]:
+    return _typed({"pii_terms": pa.array(terms)}, _NEAR)
+
+
+def _mark(piece: pa.RecordBatch, text: str, table: BitTable | None) -> dict[str, pa.Array]:
+    """Base spans, and the words outside them that ``table`` may hold."""
+    base = [base_spans(said) if said else [] for said in piece.column(text).to_pylist()]
+    said = [[] for _ in base]
+    if table is not None:
+        words = _words(piece.column(text))
+        at = np.flatnonzero(table.holds(words.hashes))
+        # Code points ahead of each byte.
+        points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+        _, bounds = column_bytes(pc.utf8_lower(piece.column(text)))
+        first = points[bounds]
+        for i, h, start, end in zip(
+            words.text_of[at].tolist(), words.hashes[at].view(np.int64).tolist(), points[words.starts[at]].tolist(), points[words.ends[at]].tolist(), strict=True
+        ):
+            start, end = start - int(first[i]), end - int(first[i])
+            if not any(s < end and start < e for _, s, e in base[i]):
+                said[i].append({"word": h, "start": start, "end": end})
+    shown = [[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in base]
+    return _typed({"pii_base": pa.array(shown), "pii_said": pa.array(said)}, _FOUND)
+
+
+def _typed(columns: dict[str, pa.Array], fields: list[StructField]) -> dict[str, pa.Array]:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return {f.name: pa.array(columns[f.name].to_pylist(), to_arrow_type(f.dataType)) for f in _FOUND}
+    return {f.name: pa.array(columns[f.name].to_pylist(), to_arrow_type(f.dataType)) for f in fields}
 
 
 def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -164,7 +189,7 @@ def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
-            words = Words.of(piece.column(text), ALPHANUMERIC, lower=True)
+            words = _words(piece.column(text))
             known, counts = np.unique(words.hashes[table.value.holds(words.hashes)], return_counts=True)
             names = pa.array([*known.view(np.int64).tolist(), None], pa.int64())
             yield pa.RecordBatch.from_arrays([names, pa.array([*counts.tolist(), words.starts.size], pa.int64())], ["word", "n"])
@@ -172,9 +197,10 @@ def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _disclosures(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame | None:
-    """(value, word, told): the share of the value's information that the word gives, where at least ``GENERALISE``."""
-    near = rows.select(F.explode("pii_terms").alias("t")).select("t.value", "t.context", "t.word")
+def _disclosures(docs: DataFrame, text: str) -> DataFrame | None:
+    """(word, told): the largest share of a value's information that the word gives, where at least ``GENERALISE``."""
+    rows = annotate(docs.select(text), text, _NEAR, lambda piece: _scan(piece, text), [])
+    near = stored(rows.select(F.explode("pii_terms").alias("t")).select("t.value", "t.context", "t.word"))
     # Contexts are counted by content, and a word twice in one context is one piece of evidence.
     seen = near.groupBy("value", "context", "word").agg(F.count("*").alias("n"))
     pairs = stored(
@@ -190,7 +216,8 @@ def _disclosures(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame | Non
     joined = pairs.join(counts.where("word IS NOT NULL"), "word").join(values, "value")
     content = -F.log(F.least(F.col("value_n") / F.lit(windows), F.lit(0.5)))
     given = F.log(F.least(F.col("together") / F.col("n"), F.lit(1.0)))
-    return joined.withColumn("told", (given + content) / content).where(F.col("told") >= GENERALISE).select("value", "word", "told")
+    told = joined.withColumn("told", (given + content) / content).where(F.col("told") >= GENERALISE)
+    return stored(told.groupBy("word").agg(F.max("told").alias("told")))
 
 
 def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -198,23 +225,25 @@ def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
 
     Base spans by kind as listed, then by start, then terms by start. Offsets are code points, end
     exclusive. A null or empty text has none. Repeated rows have the same spans. Columns named
-    ``pii_base``, ``pii_terms``, ``pii_row`` or ``pii_spans`` are replaced.
+    ``pii_base``, ``pii_terms``, ``pii_said``, ``pii_row`` or ``pii_spans`` are replaced.
     """
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in _OWN]
     carried = docs.select(*dict.fromkeys([*own, text]))
-    rows = annotate(carried, text, _FOUND, lambda piece: _typed(_scan(piece, text)), own)
-    rows = stored(rows.withColumn("pii_row", F.monotonically_increasing_id()))
-    told = _disclosures(docs, text, rows)
+    told = _disclosures(docs, text)
+    # All texts are read again: a word that tells a value is marked wherever it stands.
+    table = None if told is None else docs.sparkSession.sparkContext.broadcast(BitTable.of(told.select(F.col("word").alias("h")), TABLE_BITS))
+    rows = annotate(carried, text, _FOUND, lambda piece: _mark(piece, text, None if table is None else table.value), own)
     shown = "array<struct<kind:string,start:int,end:int,told:double>>"
     base = F.transform("pii_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("double").alias("told")))
     if told is None:
-        return rows.withColumn("pii_spans", base.cast(shown)).select(*own, "pii_spans")
-    near = rows.select("pii_row", F.explode("pii_terms").alias("t")).select("pii_row", "t.*")
-    most = near.join(told, ["value", "word"]).groupBy("pii_row", "start", "end").agg(F.max("told").alias("told"))
-    terms = most.groupBy("pii_row").agg(F.array_sort(F.collect_list(F.struct(F.lit(TERM).alias("kind"), "start", "end", "told"))).alias("found"))
-    # Only rows with a term near a protected value can have any of these, and are shuffled with their texts.
-    plain = rows.where(F.size("pii_terms") == 0).withColumn("pii_spans", base.cast(shown))
-    joined = rows.where(F.size("pii_terms") > 0).join(terms, "pii_row", "left")
+        return stored(rows).withColumn("pii_spans", base.cast(shown)).select(*own, "pii_spans")
+    rows = stored(rows.withColumn("pii_row", F.monotonically_increasing_id()))
+    said = rows.select("pii_row", F.explode("pii_said").alias("t")).select("pii_row", "t.*")
+    most = said.join(told, "word").select("pii_row", F.struct(F.lit(TERM).alias("kind"), "start", "end", "told").alias("term"))
+    terms = most.groupBy("pii_row").agg(F.array_sort(F.collect_list("term")).alias("found"))
+    # Only rows with such a word can have any of these, and are shuffled with their texts.
+    plain = rows.where(F.size("pii_said") == 0).withColumn("pii_spans", base.cast(shown))
+    joined = rows.where(F.size("pii_said") > 0).join(terms, "pii_row", "left")
     spans = F.concat(base.cast(shown), F.coalesce(F.col("found").cast(shown), F.array().cast(shown)))
     return plain.select(*own, "pii_spans").unionByName(joined.withColumn("pii_spans", spans).select(*own, "pii_spans"))
 

@@ -108,3 +108,13 @@ def test_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.with_spans(none).collect() == []
     assert pii.sanitised(none).collect() == []
+
+
+def test_terms_are_found_wherever_they_stand(spark):
+    far = "É Zanzibar, " + "so many words stand between " * 20 + "ZANZIBAR and zanzibar@corp.example.com"
+    df = revealing(spark, [(500, far, "s", 5), (501, "éé lima alone", "s", 5)])
+    rows = {r.doc_id: r for r in pii.with_spans(df).collect()}
+    terms = {i: [(rows[i].text[s["start"] : s["end"]]) for s in rows[i].pii_spans if s["kind"] == pii.TERM] for i in (500, 501)}
+    assert terms == {500: ["Zanzibar", "ZANZIBAR"], 501: ["lima"]}
+    texts = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert "zanzibar" not in texts[500].lower() and "lima" not in texts[501]
