@@ -3,9 +3,10 @@
 Base spans come from four patterns. Beyond them, terms near a protected value (within ``NEAR``
 words) are weighed by what the whole corpus says about both. With N windows of text, a value e has
 the information content IC(e) = -log p(e), and a term w tells PMI(w; e) = log p(e | w) - log p(e)
-of it, where p(e | w) is the share of all occurrences of w that lie near e. A term seen in at
-least ``SUPPORT`` different contexts of e is generalised where PMI reaches ``GENERALISE`` of
-IC(e), and removed where it reaches ``REMOVE``. Contexts are counted by content, so that copies
+of it, where p(e | w) is the share of all occurrences of w that lie near e, drawn to p(e) with the
+weight of ``PRIOR`` contexts, so that values with one or two contexts are judged as well, by weaker
+evidence. A term is generalised where PMI reaches ``GENERALISE`` of IC(e), and removed where it
+reaches ``REMOVE``. Contexts are counted by content, so that copies
 are no evidence; occurrences are counted, and the found terms marked, over all documents.
 """
 
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -27,7 +28,7 @@ from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
 NEAR = 12
-SUPPORT = 3
+PRIOR = 2.0
 GENERALISE = 0.9
 REMOVE = 0.98
 TABLE_BITS = 24
@@ -103,7 +104,7 @@ def _value(kind: str, said: str) -> str:
     return f"{kind}:{said.lower() if kind == 'email' else _NOT_DIGIT.sub('.' if kind == 'ip' else '', said)}"
 
 
-def _context(text: str, span: Span, taken: list[Span]) -> list[str]:
+def _context(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int]]:
     """Terms within ``NEAR`` words of a span, outside all spans: letters, three characters at least."""
     _, start, end = span
     # A word longer than this many characters ends the context.
@@ -115,7 +116,7 @@ def _context(text: str, span: Span, taken: list[Span]) -> list[str]:
             break
     before = list(_WORD.finditer(text, low, start))[-NEAR:]
     return [
-        m[0]
+        (m[0], m.start())
         for m in (*before, *after)
         if m.end() - m.start() >= 3 and not m[0].isdigit() and not any(s < m.end() and m.start() < e for _, s, e in taken)
     ]
@@ -125,8 +126,8 @@ _SPAN = StructType([StructField("kind", StringType()), StructField("start", Inte
 _NEAR_TERM = StructType([StructField("value", LongType()), StructField("context", LongType()), StructField("word", LongType())])
 _SAID = StructType([StructField("word", LongType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
 #: Names of the columns this module makes.
-_OWN = ("pii_base", "pii_terms", "pii_said", "pii_row", "pii_spans")
-_NEAR = [StructField("pii_terms", ArrayType(_NEAR_TERM))]
+_OWN = ("pii_base", "pii_said", "pii_row", "pii_spans")
+_NEAR = [StructField("pii_terms", ArrayType(_NEAR_TERM)), StructField("pii_words", LongType())]
 _FOUND = [StructField("pii_base", ArrayType(_SPAN)), StructField("pii_said", ArrayType(_SAID))]
 
 
@@ -145,14 +146,18 @@ def _scan(piece: pa.RecordBatch, text: str) -> dict[str, pa.Array]:
     terms = []
     for said in piece.column(text).to_pylist():
         spans = base_spans(said) if said else []
-        near = []
+        near, met = [], set()
         for span in spans:
+            name = _value(span[0], said[span[1] : span[2]])
             found = _context(said, span, spans)
-            if found:
-                value, context, *words = _hashes([_value(span[0], said[span[1] : span[2]]), " ".join(found), *found])
+            # An occurrence near two spans of one value is one piece of evidence.
+            fresh = [w for w, at in found if (name, at) not in met]
+            met.update((name, at) for _, at in found)
+            if fresh:
+                value, context, *words = _hashes([name, " ".join(w for w, _ in found), *fresh])
                 near += [{"value": value, "context": context, "word": h} for h in words]
         terms.append(near)
-    return _typed({"pii_terms": pa.array(terms)}, _NEAR)
+    return _typed({"pii_terms": pa.array(terms), "pii_words": pa.array(_words(piece.column(text)).counts)}, _NEAR)
 
 
 def _mark(piece: pa.RecordBatch, text: str, table: BitTable | None) -> dict[str, pa.Array]:
@@ -183,7 +188,7 @@ def _typed(columns: dict[str, pa.Array], fields: list[StructField]) -> dict[str,
 
 
 def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(word, n) over all documents for the wanted word hashes; the null word counts all words."""
+    """(word, n) over all documents for the wanted word hashes."""
     small_batches(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(BitTable.of(wanted.select(F.col("word").alias("h")), TABLE_BITS))
 
@@ -191,33 +196,35 @@ def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
         for piece in pieces(batches, text):
             words = _words(piece.column(text))
             known, counts = np.unique(words.hashes[table.value.holds(words.hashes)], return_counts=True)
-            names = pa.array([*known.view(np.int64).tolist(), None], pa.int64())
-            yield pa.RecordBatch.from_arrays([names, pa.array([*counts.tolist(), words.starts.size], pa.int64())], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
 
     return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _disclosures(docs: DataFrame, text: str) -> DataFrame | None:
     """(word, told): the largest share of a value's information that the word gives, where at least ``GENERALISE``."""
-    rows = annotate(docs.select(text), text, _NEAR, lambda piece: _scan(piece, text), [])
-    near = stored(rows.select(F.explode("pii_terms").alias("t")).select("t.value", "t.context", "t.word"))
+    rows = stored(annotate(docs.select(text), text, _NEAR, lambda piece: _scan(piece, text), []))
+    near = rows.select(F.explode("pii_terms").alias("t")).select("t.value", "t.context", "t.word")
+    windows = max((rows.agg(F.sum("pii_words")).first()[0] or 0) / (2 * NEAR), 1.0)
+    values = near.select("value", "context").distinct().groupBy("value").agg(F.count("*").alias("value_n"))
+    share = F.least(F.col("value_n") / F.lit(windows), F.lit(0.5))
+
+    def told(given: Column) -> Column:
+        """Of the value's information, the share that a word gives whose occurrences lie near it by the share ``given``."""
+        drawn = (F.col("contexts") * given + PRIOR * share) / (F.col("contexts") + PRIOR)
+        return (F.log(drawn) - F.log(share)) / -F.log(share)
+
     # Contexts are counted by content, and a word twice in one context is one piece of evidence.
     seen = near.groupBy("value", "context", "word").agg(F.count("*").alias("n"))
-    pairs = stored(
-        seen.groupBy("value", "word").agg(F.count("*").alias("contexts"), F.sum("n").alias("together")).where(F.col("contexts") >= SUPPORT)
-    )
-    wanted = pairs.select("word").distinct()
+    pairs = seen.groupBy("value", "word").agg(F.count("*").alias("contexts"), F.sum("n").alias("together")).join(values, "value")
+    # No word tells more than one that occurs near the value alone.
+    pairs = stored(pairs.where(told(F.lit(1.0)) >= GENERALISE))
     if pairs.isEmpty():
         return None
-    counts = stored(_occurrences(docs, text, wanted))
-    total = counts.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
-    windows = max(total / (2 * NEAR), 1.0)
-    values = near.select("value", "context").distinct().groupBy("value").agg(F.count("*").alias("value_n"))
-    joined = pairs.join(counts.where("word IS NOT NULL"), "word").join(values, "value")
-    content = -F.log(F.least(F.col("value_n") / F.lit(windows), F.lit(0.5)))
-    given = F.log(F.least(F.col("together") / F.col("n"), F.lit(1.0)))
-    told = joined.withColumn("told", (given + content) / content).where(F.col("told") >= GENERALISE)
-    return stored(told.groupBy("word").agg(F.max("told").alias("told")))
+    counts = _occurrences(docs, text, pairs.select("word").distinct())
+    given = F.least(F.col("together") / F.col("n"), F.lit(1.0))
+    found = pairs.join(counts, "word").withColumn("told", told(given)).where(F.col("told") >= GENERALISE)
+    return stored(found.groupBy("word").agg(F.max("told").alias("told")))
 
 
 def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -225,7 +232,7 @@ def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
 
     Base spans by kind as listed, then by start, then terms by start. Offsets are code points, end
     exclusive. A null or empty text has none. Repeated rows have the same spans. Columns named
-    ``pii_base``, ``pii_terms``, ``pii_said``, ``pii_row`` or ``pii_spans`` are replaced.
+    ``pii_base``, ``pii_said``, ``pii_row`` or ``pii_spans`` are replaced.
     """
     own = [c for c in (docs.columns if keep is None else keep) if c.lower() not in _OWN]
     carried = docs.select(*dict.fromkeys([*own, text]))

@@ -118,3 +118,18 @@ def test_terms_are_found_wherever_they_stand(spark):
     assert terms == {500: ["Zanzibar", "ZANZIBAR"], 501: ["lima"]}
     texts = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
     assert "zanzibar" not in texts[500].lower() and "lima" not in texts[501]
+
+
+def test_values_with_two_contexts_are_judged(spark):
+    common = "the quick house and garden words stay around here"
+    more = [(600 + i, f"{common} one{i} zebediah {common} rare.one@corp.example.com {common} two{i}", "s", 5) for i in range(2)]
+    rows = {r.doc_id: r for r in pii.with_spans(revealing(spark, more)).collect()}
+    terms = {i: [rows[i].text[s["start"] : s["end"]] for s in rows[i].pii_spans if s["kind"] == pii.TERM] for i in (600, 601)}
+    assert terms == {600: ["zebediah"], 601: ["zebediah"]}
+
+
+def test_an_occurrence_near_a_repeated_value_counts_once(spark):
+    common = "the quick house and garden words stay around here"
+    more = [(600, f"{common} zebediah rare.one@corp.example.com or rare.one@corp.example.com {common}", "s", 5), (601, "zebediah alone", "s", 5)]
+    rows = {r.doc_id: r for r in pii.with_spans(revealing(spark, more)).collect()}
+    assert all(s["kind"] != pii.TERM for i in (600, 601) for s in rows[i].pii_spans)
