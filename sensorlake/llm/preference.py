@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sensorlake.sources.shared import stored
+
 #: Conversations that one task ranks at once.
 RANK_WIDTH = 1024
 #: Role whose turns are learned from.
@@ -124,3 +126,41 @@ def pairs_by_first_turn(conversations: DataFrame, conv_id: str = "conv_id", turn
         F.max_by("conv_id", worth).alias("chosen_id"), F.min_by("conv_id", worth).alias("rejected_id"), F.count("*").alias("n")
     )
     return both.where("n = 2").select("chosen_id", "rejected_id")
+
+
+def pairs_by_longest_prefix(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """(chosen_id, rejected_id): every conversation with one of those that share most of its first turns.
+
+    Conversations are paired at the deepest prefix they share with any other, two by two in the order
+    of their ids; one that is left over there is paired with another of that prefix as well. Those
+    that share no turn are paired with one another. Chosen is the one with more text of the learned
+    role, the smaller id where it is equal. A single conversation has no pair.
+    """
+    known = whole(conversations, conv_id, turn, role, text)
+
+    def longer(seen: Column, turn: Column) -> Column:
+        last = F.coalesce(F.try_element_at(seen, F.lit(-1)), F.lit(""))
+        return F.array_append(seen, F.sha2(F.concat(last, F.sha2(turn["role"], 256), F.sha2(turn["text"], 256)), 256))
+
+    learned = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.when(t["role"] == LEARNED, F.length(t["text"])).otherwise(0))
+    paths = stored(known.select("conv_id", learned.alias("learned"), F.aggregate("turns", F.array().cast("array<string>"), longer).alias("path")))
+    prefixes = paths.select("conv_id", F.posexplode("path").alias("depth", "prefix"))
+    shared = prefixes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).where("n > 1")
+    deepest = prefixes.join(shared, "prefix").groupBy("conv_id").agg(F.max(F.struct("depth", "prefix", "lo", "hi")).alias("near"))
+    ends = paths.agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi"))
+    heads = stored(paths.join(deepest, "conv_id", "left").select(
+        "conv_id", "learned", F.coalesce("near.prefix", F.lit("")).alias("key"),
+        F.coalesce("near.lo", ends.select("lo").scalar()).alias("lo"), F.coalesce("near.hi", ends.select("hi").scalar()).alias("hi"),
+    ))
+    ranked = _ranked(heads, "key", "conv_id").withColumn("pair", F.floor((F.col("rank") - 1) / 2))
+    worth = F.struct("learned", -F.col("conv_id"))
+    both = ranked.groupBy("key", "pair").agg(
+        F.max_by("conv_id", worth).alias("chosen_id"), F.min_by("conv_id", worth).alias("rejected_id"), F.count("*").alias("n"),
+        F.max("learned").alias("learned"), F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+    )
+    one, other = F.col("chosen_id"), F.when(F.col("chosen_id") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
+    left = both.where("n = 1").select(one.alias("one"), "learned", other.alias("other")).where("one <> other")
+    met = left.join(heads.select(F.col("conv_id").alias("other"), F.col("learned").alias("others")), "other")
+    first = F.struct("learned", -F.col("one")) > F.struct(F.col("others").alias("learned"), -F.col("other"))
+    odd = met.select(F.when(first, F.col("one")).otherwise(F.col("other")).alias("chosen_id"), F.when(first, F.col("other")).otherwise(F.col("one")).alias("rejected_id"))
+    return both.where("n = 2").select("chosen_id", "rejected_id").unionByName(odd)

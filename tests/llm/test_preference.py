@@ -72,3 +72,18 @@ def test_no_rows(spark, conversations):
 def test_query_equals_sql(spark, folder):
     got = compare.spark_rows(queries.op8_chat_formatting(spark, folder))
     assert got == compare.sql_rows(compare.connect(folder), oracles.OP8)
+
+
+def test_pairs_share_the_longest_prefix(spark, monkeypatch):
+    monkeypatch.setattr(preference, "RANK_WIDTH", 2)
+    # Ids in an order in which neighbours share one turn only; 3, 6 and 9 go three turns together.
+    paths = {1: "ab", 2: "acd", 3: "aefg", 4: "ab!", 5: "acd!", 6: "aefh", 7: "a", 8: "x", 9: "aefi", 10: "y", 11: "z"}
+    rows = [(c, i, "assistant" if i % 2 else "user", t) for c, p in paths.items() for i, t in enumerate(p)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = preference.formatted(preference.pairs_by_longest_prefix(df), df).collect()
+    assert {c for r in made for c in (r.chosen_id, r.rejected_id)} == paths.keys()
+    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(paths[a], paths[b])) if x != y), min(len(paths[a]), len(paths[b])))
+    longest = {c: max(common(c, o) for o in paths if o != c) for c in paths}
+    reached = {c: max(r.n_prompt_turns for r in made if c in (r.chosen_id, r.rejected_id)) for c in paths}
+    assert reached == longest
+    assert preference.pairs_by_longest_prefix(df.limit(0)).collect() == preference.pairs_by_longest_prefix(df.where("conv_id = 8")).collect() == []
