@@ -197,4 +197,69 @@ FROM files LEFT JOIN own USING (path) LEFT JOIN (SELECT * FROM inherited WHERE n
 
 OP2 = _licences()
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op2_license_scan": OP2, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op8_chat_formatting": OP8, "op9_substring_dedup": OP9}
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+           sha256(concat('42:', doc_id)) AS h
+    FROM documents
+),
+drawn AS (
+    SELECT *, len(u) AS n, CAST(concat('0x', h[1:8]) AS BIGINT) % (len(u) + 1) AS a, CAST(concat('0x', h[9:16]) AS BIGINT) % (len(u) + 1) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST(concat('0x', h[17:24]) AS BIGINT) % 100 >= 50 THEN 'plain'
+                WHEN CAST(concat('0x', h[25:32]) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+),
+cut AS (
+    SELECT *, array_to_string(u[1:least(a, b)], '') AS prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+           array_to_string(u[greatest(a, b) + 1:], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle)
+                        ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+OP13 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 3
+),
+kinds AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+occurs AS (
+    SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN kept USING (lang, term) GROUP BY ALL
+),
+grouped AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM grouped LEFT JOIN occurs USING (lang, source) GROUP BY ALL),
+shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 1)) // (g.total + kinds.v) AS p
+    FROM sizes g JOIN kept k USING (lang) JOIN kinds USING (lang) LEFT JOIN occurs o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER (PARTITION BY lang) + any_value(v)) AS q
+    FROM occurs JOIN kinds USING (lang) GROUP BY lang, term
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM grouped a JOIN grouped b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT)
+    FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLES: dict[str, str] = {"op1_decontamination": OP1, "op2_license_scan": OP2, "op6_exact_top_k": OP6, "op7_ngram_jaccard": OP7, "op8_chat_formatting": OP8, "op9_substring_dedup": OP9, "op12_fill_in_middle": OP12, "op13_source_divergence": OP13}

@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from sensorlake.llm import bytebpe, decontamination, jaccard, langid, licenses, pii, preference, resampling, substrings, topk
+from sensorlake.llm import bytebpe, decontamination, divergence, jaccard, langid, licenses, middle, packing, pii, preference, resampling, substrings, topk
 from sensorlake.llm.rows import annotate
 
 #: Rank file of op5 and the pipeline, and vocabulary of op3.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 PIECE_FILE = "piece_bpe_32k.model"
+#: Tokenizer of op11.
+TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,6 +166,33 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document's pieces in sequences of 1,024 tokens."""
+    import public_tokenizers
+
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_FILE))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, parts and digests of every document's transformed text, and of the text made from that again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = middle.transformed(docs, keep=["doc_id"])
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sets the sources of each language apart: every pair of sources, and each source's own terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -176,4 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_longest_prefix": op8_longest_prefix,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
