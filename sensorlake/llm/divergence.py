@@ -33,8 +33,8 @@ SCALE = 1_000_000_000
 #: Bytes of terms in one automaton, and of automata broadcast at a time.
 PART_BYTES, PASS_BYTES = 1 << 20, 32 << 20
 #: Counts that a task gathers before it passes them on.
-_GATHERED = 1 << 20
-_SLICE = 2 << 20
+_GATHERED = 1 << 19
+#: Bits for an ordinal; a key is the number of a source of a language, and the ordinal of a term.
 _ORDINAL_BITS = 40
 
 
@@ -43,7 +43,7 @@ _ORDINAL_BITS = 40
 
 @dataclass
 class Transducer:
-    """Edges sorted by state and byte, each with its target and what it adds to the ordinal."""
+    """Edges sorted by state and byte, each with its target and what it adds to the ordinal, as 32-bit numbers."""
 
     edges: np.ndarray
     target: np.ndarray
@@ -89,13 +89,13 @@ class Transducer:
                 adds.append(below)
                 below += reach[to]
             reach.append(below)
-        whole = [np.array(x, dtype=np.int64) for x in (edges, target, adds)]
+        whole = [np.array(x, dtype="<u4") for x in (edges, target, adds)]
         return cls(*whole, np.array([state[0] for state in closed]), root)
 
     def ordinals(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Place of each word ``data[start:end]`` among the terms, -1 for other words; all words walk in step."""
         out = np.full(starts.size, -1, dtype=np.int64)
-        word, state, place, sums = np.arange(starts.size), np.full(starts.size, self.root), starts.copy(), np.zeros(starts.size, np.int64)
+        word, state, place, sums = np.arange(starts.size), np.full(starts.size, self.root, dtype=np.uint32), starts.copy(), np.zeros(starts.size, np.int64)
         while word.size:
             over = place == ends[word]
             accepted = over & self.final[state]
@@ -103,7 +103,7 @@ class Transducer:
             word, state, place, sums = (x[~over] for x in (word, state, place, sums))
             if not word.size or not self.edges.size:
                 break
-            wanted = state << 8 | data[place]
+            wanted = state << np.uint32(8) | data[place]
             edge = np.minimum(np.searchsorted(self.edges, wanted), self.edges.size - 1)
             known = self.edges[edge] == wanted
             word, edge = word[known], edge[known]
@@ -112,13 +112,13 @@ class Transducer:
 
     def packed(self) -> dict[str, bytes]:
         return {
-            "edges": self.edges.astype("<u4").tobytes(), "target": self.target.astype("<u4").tobytes(),
-            "adds": self.adds.astype("<u4").tobytes(), "final": self.final.astype(bool).tobytes(), "root": self.root,
+            "edges": self.edges.tobytes(), "target": self.target.tobytes(), "adds": self.adds.tobytes(),
+            "final": self.final.astype(bool).tobytes(), "root": self.root,
         }
 
     @classmethod
     def unpacked(cls, row) -> Transducer:
-        numbers = (np.frombuffer(row[name], dtype="<u4").astype(np.int64) for name in ("edges", "target", "adds"))
+        numbers = (np.frombuffer(row[name], dtype="<u4") for name in ("edges", "target", "adds"))
         return cls(*numbers, np.frombuffer(row["final"], dtype=bool), row["root"])
 
 
@@ -178,7 +178,7 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, list[str]]:
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, term, n): how many of a slice's documents of a language hold a term."""
-    for piece in pieces(batches, "text", _SLICE):
+    for piece in pieces(batches, "text"):
         words = Words.of(piece.column("text"), LETTERS, lower=True)
         lang, names = _codes(piece.column("lang"))
         _, once = np.unique(mixed(words.hashes ^ mixed(words.text_of.astype(np.uint64))), return_index=True)
@@ -215,55 +215,69 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(docs: DataFrame, least: int) -> DataFrame:
-    """The parts of every language's sorted vocabulary of (lang, text), with ``base``, the ordinal of each part's first term."""
+    """The parts of every language's sorted vocabulary of (lang, text)."""
     counted = docs.mapInArrow(_document_counts, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
     kept = stored(counted.where(F.col("n") >= least).select("lang", "term"))
     size = kept.agg(F.sum(F.octet_length("term"))).first()[0] or 0
     ordered = kept.repartitionByRange(1 + size // PART_BYTES, "lang", "term").sortWithinPartitions("lang", "term")
-    parts = stored(ordered.mapInArrow(_built, _PART))
-    # A row per part: the window holds no terms.
-    before = F.sum("n").over(W.partitionBy("lang").orderBy("first").rowsBetween(W.unboundedPreceding, -1))
-    bases = parts.select("lang", "first", F.coalesce(before, F.lit(0)).alias("base"))
-    return stored(parts.join(bases, ["lang", "first"]))
+    return stored(ordered.mapInArrow(_built, _PART))
 
 
-# --- counting -------------------------------------------------------------------------------
+@dataclass
+class Place:
+    """A part of the vocabulary: the ordinal of its first term, its number of terms, and its size in bytes.
+
+    Ordinals run through all languages, in the order of language and term.
+    """
+
+    lang: str
+    first: str
+    base: int
+    n: int
+    size: int
 
 
-def _passes(parts: DataFrame) -> list[list[tuple[str, str]]]:
-    """The parts, by language and first term, that are broadcast together; one row per part comes to the driver."""
+def places(parts: DataFrame) -> list[Place]:
+    """The parts in order. A part holds ``PART_BYTES`` of terms, so their number is small."""
     size = F.octet_length("edges") * 3 + F.octet_length("final")
-    rows = parts.select("lang", "first", size.alias("size")).orderBy("lang", "first").collect()
-    out, total = [], 0
-    for row in rows:
-        if not out or total + row.size > PASS_BYTES:
+    out: list[Place] = []
+    for row in parts.select("lang", "first", "n", size.alias("size")).orderBy("lang", "first").collect():
+        base = out[-1].base + out[-1].n if out else 0
+        out.append(Place(row["lang"], row["first"], base, row["n"], row["size"]))
+    return out
+
+
+# --- counting -------------------------------------------------------------------------------
+
+
+def _passes(found: list[Place]) -> list[list[Place]]:
+    """The parts that are broadcast together: of ``PASS_BYTES``, or one."""
+    out: list[list[Place]] = []
+    total = 0
+    for place in found:
+        if not out or total + place.size > PASS_BYTES:
             out.append([])
             total = 0
-        out[-1].append((row.lang, row.first))
-        total += row.size
+        out[-1].append(place)
+        total += place.size
     return out
 
 
-def _recounted(known: dict[str, Vocabulary]):
-    """(lang, source, ordinal, n): how often the known terms of its language occur in a source's texts."""
+def _recounted(known: dict[str, Vocabulary], group_of: dict[tuple[str, str], int]):
+    """(key, n): how often the known terms of its language occur in a source's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], int] = {}
         gathered: list[tuple[np.ndarray, np.ndarray]] = []
 
         def told() -> pa.RecordBatch:
-            keys, counts = _merged(gathered)
-            names = list(groups)
-            group = pa.array(keys >> _ORDINAL_BITS)
-            lang, source = (pa.array([name[i] for name in names], pa.string()).take(group) for i in (0, 1))
-            return pa.RecordBatch.from_arrays([lang, source, pa.array(keys & (1 << _ORDINAL_BITS) - 1), pa.array(counts)], ["lang", "source", "ordinal", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(gathered)], ["key", "n"])
 
-        for piece in pieces(batches, "text", _SLICE):
+        for piece in pieces(batches, "text"):
             words = Words.of(piece.column("text"), LETTERS, lower=True)
             lang, langs = _codes(piece.column("lang"))
             source, sources = _codes(piece.column("source"))
             pair, pair_of = np.unique(lang * len(sources) + source, return_inverse=True)
-            group = np.array([groups.setdefault((langs[p // len(sources)], sources[p % len(sources)]), len(groups)) for p in pair.tolist()], dtype=np.int64)
+            group = np.array([group_of[langs[p // len(sources)], sources[p % len(sources)]] for p in pair.tolist()], dtype=np.int64)
             spoken = lang[words.text_of]
             # Equal words of a language walk once.
             _, one, same = np.unique(mixed(words.hashes ^ mixed(spoken.astype(np.uint64))), return_index=True, return_inverse=True)
@@ -280,7 +294,6 @@ def _recounted(known: dict[str, Vocabulary]):
                 if gathered[0][0].size > _GATHERED // 2:
                     yield told()
                     gathered.clear()
-                    groups.clear()
         if gathered:
             yield told()
 
@@ -295,25 +308,25 @@ def _merged(gathered: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     return keys[first], np.add.reduceat(counts, first) if first.size else counts
 
 
-def recounted(docs: DataFrame, parts: DataFrame) -> DataFrame:
-    """(lang, source, ordinal, n) over all documents, n above 0."""
+def recounted(docs: DataFrame, parts: DataFrame, found: list[Place], groups: list[tuple[str, str]]) -> DataFrame:
+    """(source, ordinal, n) over all documents, n above 0; ``source`` is a place in ``groups``."""
     spark = docs.sparkSession
-    found = spark.createDataFrame([], "lang string, source string, ordinal long, n long")
-    for group in _passes(parts):
-        langs = sorted({lang for lang, _ in group})
-        low, high = group[0], group[-1]
-        place = F.struct("lang", "first")
-        inside = place.between(*(F.struct(F.lit(lang).alias("lang"), F.lit(first).alias("first")) for lang, first in (low, high)))
-        # At most PASS_BYTES, or one part.
-        rows = parts.where(inside).drop("terms").orderBy("lang", "first").collect()
-        known = spark.sparkContext.broadcast({lang: [r.asDict() for r in rows if r.lang == lang] for lang in langs})
-        spoken = docs.where(F.coalesce("lang", F.lit("")).isin(langs))
+    group_of = spark.sparkContext.broadcast({group: i for i, group in enumerate(groups)})
+    counted = spark.createDataFrame([], "key long, n long")
+    for together in _passes(found):
+        bases = {(place.lang, place.first): place.base for place in together}
+        langs = sorted({place.lang for place in together})
+        low, high = (F.struct(F.lit(p.lang).alias("lang"), F.lit(p.first).alias("first")) for p in (together[0], together[-1]))
+        rows = parts.where(F.struct("lang", "first").between(low, high)).drop("terms").orderBy("lang", "first").collect()
+        packed = [row.asDict() | {"base": bases[row["lang"], row["first"]]} for row in rows]
+        known = spark.sparkContext.broadcast({lang: [row for row in packed if row["lang"] == lang] for lang in langs})
 
         def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-            return _recounted({lang: Vocabulary(part) for lang, part in known.value.items()})(batches)
+            return _recounted({lang: Vocabulary(part) for lang, part in known.value.items()}, group_of.value)(batches)
 
-        found = found.unionByName(spoken.mapInArrow(run, "lang string, source string, ordinal long, n long"))
-    return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+        counted = counted.unionByName(docs.where(F.col("lang").isin(langs)).mapInArrow(run, "key long, n long"))
+    whole = counted.groupBy("key").agg(F.sum("n").alias("n"))
+    return whole.select(F.shiftright("key", _ORDINAL_BITS).alias("source"), F.col("key").bitwiseAND((1 << _ORDINAL_BITS) - 1).alias("ordinal"), "n")
 
 
 # --- divergences ----------------------------------------------------------------------------
@@ -335,46 +348,57 @@ def scaled(above: np.ndarray, below: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pair_sums(sizes: dict[str, tuple[list[str], np.ndarray]]):
-    """(lang, one, other, value): parts of the divergence of two sources, by their places in the language's list.
+@dataclass
+class Sources:
+    """The sources in the order of language and name: where each language's begin and end, and each one's N + V."""
+
+    begin: np.ndarray
+    end: np.ndarray
+    below: np.ndarray
+
 
-    Rows hold a term's counts in the sources that have it; the others count 0. A task keeps a
-    table of sums for languages of up to 1,024 sources, and passes on those of each block of terms for others.
+def _pair_sums(sources: Sources):
+    """(one, other, value): parts of the divergence of two sources.
+
+    Rows hold a term's counts in the sources that have it; the others of its language count 0. A task
+    keeps a table of sums for languages of up to 1,024 sources, and passes on those of each block of terms
+    for others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, np.ndarray] = {}
+        kept: dict[int, np.ndarray] = {}
 
-        def told(lang: str, one: int, sums: np.ndarray) -> pa.RecordBatch:
+        def told(begin: int, one: int, sums: np.ndarray) -> pa.RecordBatch:
             other = np.flatnonzero(sums)
-            names = pa.array([lang] * other.size, pa.string())
-            return pa.RecordBatch.from_arrays([names, pa.array(np.full(other.size, one)), pa.array(other), pa.array(sums[other])], ["lang", "one", "other", "value"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(other.size, begin + one)), pa.array(begin + other), pa.array(sums[other])], ["one", "other", "value"])
 
         for batch in batches:
-            code, langs = _codes(batch.column("lang"))
-            for number, lang in enumerate(langs):
-                sources, below = sizes[lang]
-                place_of = {source: i for i, source in enumerate(sources)}
-                rows = batch.take(pa.array(np.flatnonzero(code == number))).column("counts")
-                step = max(1, (1 << 20) // len(sources))
+            lists = batch.column("counts")
+            bounds = lists.offsets.to_numpy()
+            # Every term has a source; the first tells the language.
+            lang = sources.begin[lists.flatten().field("source").to_numpy()[bounds[:-1] - bounds[0]]]
+            for begin in np.unique(lang).tolist():
+                size = int(sources.end[begin]) - begin
+                below = sources.below[begin : begin + size]
+                rows = lists.filter(pa.array(lang == begin))
+                step = max(1, (1 << 18) // size)
                 for i in range(0, len(rows), step):
                     block = rows.slice(i, step)
                     flat = block.flatten()
-                    source, names = _codes(flat.field("source"))
-                    count = np.zeros((len(block), len(sources)), dtype=np.int64)
+                    count = np.zeros((len(block), size), dtype=np.int64)
                     row = np.repeat(np.arange(len(block)), np.diff(block.offsets.to_numpy()))
-                    count[row, np.array([place_of[name] for name in names], dtype=np.int64)[source]] = flat.field("n").to_numpy()
+                    count[row, flat.field("source").to_numpy() - begin] = flat.field("n").to_numpy()
                     p = 1 + scaled(count + 1, below)
-                    for one in range(len(sources)):
+                    for one in range(size):
                         apart = p[:, one, None] - p
                         sums = (apart * apart // p).sum(axis=0)
-                        if len(sources) > 1024:
-                            yield told(lang, one, sums)
+                        if size > 1024:
+                            yield told(begin, one, sums)
                         else:
-                            kept.setdefault(lang, np.zeros((len(sources),) * 2, dtype=np.int64))[one] += sums
-        for lang, table in kept.items():
+                            kept.setdefault(begin, np.zeros((size, size), dtype=np.int64))[one] += sums
+        for begin, table in kept.items():
             for one in range(len(table)):
-                yield told(lang, one, table[one])
+                yield told(begin, one, table[one])
 
     return run
 
@@ -389,55 +413,65 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     with the divergence summed over all kept terms, 0 where none are kept; all ranks. Part ``term``: the terms that the
     source has and prefers to its language, with theirs; ranks to ``top``. Ranks run by falling value, then by item.
     Documents count as often as they stand there. Further columns are ignored; no rows give no rows.
+
+    The names of the sources come to the driver: the result has a row for every two of a language, so they
+    are far fewer than its rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(text).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
     parts = vocabulary(docs.select("lang", "text"), least)
+    found = places(parts)
+    groups = [(row["lang"], row["source"]) for row in docs.select("lang", "source").distinct().orderBy("lang", "source").collect()]
     # A row per kept term: its counts in the sources that have it.
     gathered = F.collect_list(F.struct("source", "n")).alias("counts")
-    terms = stored(recounted(docs, parts).groupBy("lang", "ordinal").agg(gathered, F.sum("n").alias("n")))
-    kept = parts.groupBy("lang").agg(F.sum("n").alias("terms"))
-    totals = terms.select("lang", F.inline("counts")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    sizes = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(kept, "lang", "left")
-    place = (F.row_number().over(W.partitionBy("lang").orderBy("source")) - 1).cast("long")
-    sizes = stored(sizes.fillna(0, ["total", "terms"]).withColumn("place", place))
-    return _pairs(terms, sizes).unionByName(_terms(terms, sizes, parts, top))
-
-
-def _ranked(rows: DataFrame, item: str) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy("lang", "source").orderBy(F.desc("value"), item))
-    return rows.withColumn("rank", rank)
-
-
-def _terms(terms: DataFrame, sizes: DataFrame, parts: DataFrame, top: int) -> DataFrame:
-    whole = sizes.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    found = terms.select("lang", "ordinal", F.col("n").alias("lang_n"), F.inline("counts")).join(sizes.drop("place"), ["lang", "source"]).join(whole, "lang")
-    shares = found.select(
-        "lang", "source", "ordinal",
+    terms = stored(recounted(docs, parts, found, groups).groupBy("ordinal").agg(gathered, F.sum("n").alias("n")))
+    totals = {row["source"]: row["total"] for row in terms.select(F.inline("counts")).groupBy("source").agg(F.sum("n").alias("total")).collect()}
+    kept = {place.lang: 0 for place in found}
+    for place in found:
+        kept[place.lang] += place.n
+    whole = {spoken: 0 for spoken, _ in groups}
+    for number, (spoken, _) in enumerate(groups):
+        whole[spoken] += totals.get(number, 0)
+    named = [(i, spoken, name, totals.get(i, 0), kept.get(spoken, 0), whole[spoken]) for i, (spoken, name) in enumerate(groups)]
+    sizes = spark.createDataFrame(named, "number long, lang string, source string, total long, terms long, lang_total long")
+    return _pairs(terms, sizes, named).unionByName(_terms(terms, sizes, parts, found, top))
+
+
+def _ranked(rows: DataFrame, by: list[str], item: str) -> DataFrame:
+    return rows.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(F.desc("value"), item)))
+
+
+def _terms(terms: DataFrame, sizes: DataFrame, parts: DataFrame, found: list[Place], top: int) -> DataFrame:
+    counts = terms.select("ordinal", F.col("n").alias("lang_n"), F.inline("counts")).withColumnRenamed("source", "number")
+    known = counts.join(sizes.select("number", "total", "terms", "lang_total"), "number")
+    shares = known.select(
+        "number", "ordinal",
         _share(F.col("n"), F.col("total"), F.col("terms")).alias("p"), _share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"),
     ).where("p > q")
-    best = _ranked(shares.selectExpr("lang", "source", "ordinal", "(p - q) * (p - q) div q AS value"), "ordinal").where(F.col("rank") <= top)
-    names = parts.select("lang", "base", F.posexplode("terms").alias("nth", "item")).select("lang", (F.col("base") + F.col("nth")).alias("ordinal"), "item")
-    return best.join(names, ["lang", "ordinal"]).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
-
-
-def _pairs(terms: DataFrame, sizes: DataFrame) -> DataFrame:
-    # The result has a row for every two sources of a language, so what names them is smaller than the result.
-    known: dict[str, tuple[list[str], list[int]]] = {}
-    for row in sizes.orderBy("lang", "place").toLocalIterator():
-        sources, below = known.setdefault(row.lang, ([], []))
-        sources.append(row.source)
-        below.append(row.total + row.terms)
-    shared = terms.sparkSession.sparkContext.broadcast({lang: (sources, np.array(below, dtype=np.int64)) for lang, (sources, below) in known.items()})
+    # Ordinals ascend as terms do.
+    best = _ranked(shares.selectExpr("number", "ordinal", "(p - q) * (p - q) div q AS value"), ["number"], "ordinal").where(F.col("rank") <= top)
+    bases = parts.sparkSession.createDataFrame([(place.lang, place.first, place.base) for place in found], "lang string, first string, base long")
+    listed = parts.select("lang", "first", "terms").join(bases, ["lang", "first"]).select("base", F.posexplode("terms").alias("nth", "item"))
+    names = listed.select((F.col("base") + F.col("nth")).alias("ordinal"), "item")
+    told = best.join(names, "ordinal").join(sizes.select("number", "lang", "source"), "number")
+    return told.select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")
+
+
+def _pairs(terms: DataFrame, sizes: DataFrame, named: list[tuple]) -> DataFrame:
+    langs = [row[1] for row in named]
+    begin = np.zeros(len(langs), dtype=np.int64)
+    for i in range(1, len(langs)):
+        begin[i] = begin[i - 1] if langs[i] == langs[i - 1] else i
+    end = np.searchsorted(begin, begin, side="right")
+    shared = terms.sparkSession.sparkContext.broadcast(Sources(begin, end, np.array([row[3] + row[4] for row in named], dtype=np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _pair_sums(shared.value)(batches)
 
-    sums = terms.select("lang", "counts").mapInArrow(run, "lang string, one long, other long, value long")
-    sums = sums.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
-    one = sizes.select("lang", "source", F.col("place").alias("one"))
-    other = sizes.select("lang", F.col("source").alias("item"), F.col("place").alias("other"))
-    both = one.join(other, "lang").where("one <> other").join(sums, ["lang", "one", "other"], "left")
-    ranked = _ranked(both.withColumn("value", F.coalesce("value", F.lit(0).cast("long"))), "item")
+    sums = terms.select("counts").mapInArrow(run, "one long, other long, value long").groupBy("one", "other").agg(F.sum("value").alias("value"))
+    one = sizes.select("lang", "source", F.col("number").alias("one"))
+    other = sizes.select("lang", F.col("source").alias("item"), F.col("number").alias("other"))
+    both = one.join(other, "lang").where("one <> other").join(sums, ["one", "other"], "left")
+    ranked = _ranked(both.withColumn("value", F.coalesce("value", F.lit(0).cast("long"))), ["lang", "source"], "item")
     return ranked.select("lang", "source", F.lit("pair").alias("part"), "item", "value", "rank")
