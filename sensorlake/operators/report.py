@@ -9,56 +9,71 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake import rules
+from sensorlake.functions.conditional import first_match
 from sensorlake.functions.display import rounded
 from sensorlake.functions.levels import direction
 from sensorlake.operators import trends, views
+from sensorlake.operators.snapshot import current_counts, firsts
 from sensorlake.sources.layers import Statistics
 
 _LINES = ("section_no", "line_no", "line")
 
 
-def _section(number: int, lines: DataFrame) -> DataFrame:
-    return lines.select(F.lit(number).alias("section_no"), F.col("line_no").cast("int").alias("line_no"), "line")
+def _summary() -> list[Column]:
+    return [
+        F.lit(rules.REPORT_TITLE),
+        F.format_string(rules.REPORT_HOUSES, "total_houses"),
+        F.format_string(rules.REPORT_CRITICAL, "houses.critical"),
+        F.format_string(rules.REPORT_WARNING, "houses.warning"),
+        F.format_string(rules.REPORT_RISK, rounded(F.col("mean_risk"))),
+        F.format_string(rules.REPORT_NORMAL, F.col("total_houses") - F.col("houses.critical") - F.col("houses.warning")),
+    ]
 
 
-def _titled(title: str, rows: DataFrame, line: Column, order: list[Column]) -> DataFrame:
-    """Numbered lines under a title that is present only if there are lines."""
-    place = F.row_number().over(W.orderBy(*order))
-    numbered = rows.select(place.alias("line_no"), line.alias("line"))
-    first = F.struct(F.lit(0).alias("line_no"), F.lit(title).alias("line"))
-    own = F.struct("line_no", "line")
-    return numbered.select(F.inline(F.when(F.col("line_no") == 1, F.array(first, own)).otherwise(F.array(own))))
+def _governorate(row: Column) -> Column:
+    return F.format_string(
+        rules.REPORT_GOVERNORATE,
+        F.coalesce(row["governorate"], F.lit("None")),
+        rounded(row["avg_risk"]),
+        row["critical_count"],
+        row["warning_count"],
+        row["risk_level"],
+    )
 
 
-def _summary(kpi: DataFrame) -> DataFrame:
-    lines = [
-        F.lit(rules.REPORT_TITLE),
-        F.format_string(rules.REPORT_HOUSES, "total_houses"),
-        F.format_string(rules.REPORT_CRITICAL, "critical"),
-        F.format_string(rules.REPORT_WARNING, "warning"),
-        F.format_string(rules.REPORT_RISK, "avg_risk"),
-        F.format_string(rules.REPORT_NORMAL, F.col("total_houses") - F.col("critical") - F.col("warning")),
-    ]
-    return kpi.select(F.posexplode(F.array(*lines)).alias("line_no", "line"))
+def _overview(alerts: Statistics, gov: Statistics, total_houses: Column, batch_id: int | None) -> DataFrame:
+    """The summary and the ranking, from one look at the governorates, of which there are a few dozen."""
+    risk = F.col("avg_risk_score")
+    each = views.governorate_risk(gov, batch_id, F.sum(risk).alias("risk_sum"), F.count(risk).alias("risk_count"))
+    # Falling risk, unknown last, then by name.
+    ranked = F.struct(F.col("avg_risk").isNull(), -F.col("avg_risk"), "governorate", "avg_risk", "critical_count", "warning_count", "risk_level")
+    whole = each.agg(F.array_sort(F.collect_list(ranked)).alias("ranking"), F.try_divide(F.sum("risk_sum"), F.sum("risk_count")).alias("mean_risk"))
+    houses = current_counts(alerts, batch_id).select(F.struct("critical", "warning")).scalar()
+    facts = whole.withColumns({"houses": houses, "total_houses": total_houses.cast("bigint")})
+    governorates = F.transform("ranking", _governorate)
+    ranking = F.when(F.size("ranking") > 0, F.concat(F.array(F.lit(rules.REPORT_RANKING)), governorates)).otherwise(F.array().cast("array<string>"))
 
+    def numbered(section: int, lines: Column) -> Column:
+        return F.transform(lines, lambda line, n: F.struct(F.lit(section).alias("section_no"), n.cast("int").alias("line_no"), line.alias("line")))
 
-def _incidents(title: str, incidents: DataFrame) -> DataFrame:
-    measured = [rounded(F.col(c)) for c in ("risk_score", "methane_ppm", "temperature_c", "smoke_level", "co_ppm")]
-    named = [F.coalesce(c, F.lit("None")) for c in ("alert_status", "house_id", "governorate", "zone")]
-    line = F.format_string(rules.REPORT_INCIDENT, *named, *measured, F.col("cause"))
-    return _titled(title, incidents, line, [F.desc("risk_score"), F.asc("event_id")])
+    return facts.select(F.inline(F.concat(numbered(1, F.array(*_summary())), numbered(4, ranking))))
 
 
-def _ranking(ranking: DataFrame) -> DataFrame:
-    line = F.format_string(
-        rules.REPORT_GOVERNORATE,
-        F.coalesce("governorate", F.lit("None")),
-        rounded(F.col("avg_risk")),
-        F.col("critical_count"),
-        F.col("warning_count"),
-        F.col("risk_level"),
-    )
-    return _titled(rules.REPORT_RANKING, ranking, line, [F.desc("avg_risk"), F.asc("governorate")])
+def _incidents(alerts: Statistics, batch_id: int | None, rows: int = 5) -> DataFrame:
+    """The worst incidents of either status under its title, from one look at the houses.
+
+    Spark limits each task to ``rows`` of a status before the shuffle.
+    """
+    place = F.row_number().over(W.partitionBy("alert_status").orderBy(F.desc("risk_score"), F.asc("event_id")))
+    sections = {"CRITICAL": (2, rules.REPORT_TOP_CRITICAL), "WARNING": (3, rules.REPORT_TOP_WARNING)}
+    worst = firsts(alerts, "first_of_status", batch_id).where(F.col("alert_status").isin(*sections)).withColumn("line_no", place).where(F.col("line_no") <= rows)
+    measured = [rounded(F.col(c)) for c in ("risk_score", "methane_ppm", "temperature_c", "smoke_level", "co_ppm")]
+    named = [F.coalesce(c, F.lit("None")) for c in ("alert_status", "house_id", "governorate", "zone")]
+    line = F.format_string(rules.REPORT_INCIDENT, *named, *measured, F.col("primary_trigger"))
+    number, title = (first_match([(F.col("alert_status") == s, F.lit(v[i])) for s, v in sections.items()]) for i in (0, 1))
+    own = F.struct(number.alias("section_no"), F.col("line_no").alias("line_no"), line.alias("line"))
+    first = F.struct(number.alias("section_no"), F.lit(0).alias("line_no"), title.alias("line"))
+    return worst.select(F.inline(F.when(F.col("line_no") == 1, F.array(first, own)).otherwise(F.array(own))))
 
 
 def _trend(points: DataFrame) -> DataFrame:
@@ -82,13 +97,11 @@ def live_snapshot(
     batch_id: int | None = None,
     horizon: str = "1 minute",
 ) -> DataFrame:
-    """Report lines ordered by (section_no, line_no); ``batch_id`` goes back to a past snapshot."""
-    sections = [
-        _summary(views.kpis(alerts, gov, total_houses, batch_id)),
-        _incidents(rules.REPORT_TOP_CRITICAL, views.top_incidents(alerts, "CRITICAL", 5, batch_id)),
-        _incidents(rules.REPORT_TOP_WARNING, views.top_incidents(alerts, "WARNING", 5, batch_id)),
-        _ranking(views.governorate_risk(gov, batch_id)),
-        _trend(trends.recent(zones, horizon, 5)),
-    ]
-    numbered = [_section(number, lines) for number, lines in enumerate(sections, start=1)]
-    return reduce(DataFrame.unionByName, numbered).orderBy("section_no", "line_no").select(*_LINES)
+    """Report lines ordered by (section_no, line_no); ``batch_id`` goes back to a past snapshot.
+
+    Each statistics table is read once, and no section holds more than a few dozen rows.
+    """
+    houses = F.lit(total_houses) if isinstance(total_houses, int) else total_houses
+    trend = _trend(trends.recent(zones, horizon, 5)).select(F.lit(5).alias("section_no"), F.col("line_no").cast("int").alias("line_no"), "line")
+    sections = [_overview(alerts, gov, houses, batch_id), _incidents(alerts, batch_id), trend]
+    return reduce(DataFrame.unionByName, sections).orderBy("section_no", "line_no").select(*_LINES)

@@ -9,16 +9,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.levels import severity_rank
+from sensorlake.functions.scoring import root_cause
 from sensorlake.sources.layers import GoldTable, Statistics, rows_of
 
 
 def newest_batch(table: Statistics) -> Column:
     """Newest batch number of a table, NULL if it is empty, as a scalar subquery.
 
-    For a stored table it comes from the table of snapshots, without a look at the statistics.
+    For a stored table it comes from the last publication, without a look at the statistics.
     """
-    batches = table.snapshots if isinstance(table, GoldTable) else table
-    return batches.agg(F.max("batch_id")).scalar()
+    if isinstance(table, GoldTable):
+        return table.head.agg(F.max("newest_batch")).scalar()
+    return table.agg(F.max("batch_id")).scalar()
+
+
+def _of_batch(table: Statistics, batch_id: int | None) -> Column:
+    return F.col("batch_id") == (newest_batch(table) if batch_id is None else F.lit(batch_id))
 
 
 def latest(table: Statistics, batch_id: int | None = None) -> DataFrame:
@@ -27,7 +33,7 @@ def latest(table: Statistics, batch_id: int | None = None) -> DataFrame:
     On a table partitioned by ``batch_id`` the subquery's result prunes partitions at run time.
     Each table has its own newest batch: one without alerts writes no alert rows.
     """
-    return rows_of(table).where(F.col("batch_id") == (newest_batch(table) if batch_id is None else F.lit(batch_id)))
+    return rows_of(table).where(_of_batch(table, batch_id))
 
 
 def by_severity() -> list[Column]:
@@ -45,6 +51,64 @@ def one_per_house(alerts: DataFrame, by: Sequence[str] = ("house_id",)) -> DataF
     return alerts.where(F.col("alert_status") != "NORMAL").withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+#: What an alert can be the most severe of: its house's alerts, those in its status, or those with a position.
+FIRSTS = ("first_of_house", "first_of_status", "first_placed", "first_on_latitude")
+
+
+def house_state(alerts: DataFrame) -> DataFrame:
+    """The most severe alerts of each house and batch: overall, per status, and among those with a position.
+
+    A house has at most six rows, whatever the number of its alerts, and most have one. Views take the
+    rows they need by a flag of ``FIRSTS`` and do not look at the other alerts.
+    """
+    latitude, longitude = F.col("latitude").isNotNull(), F.col("longitude").isNotNull()
+    house = ["batch_id", "house_id"]
+    kinds = alerts.withColumns({"_latitude": latitude, "_placed": latitude & longitude})
+    few = one_per_house(kinds, [*house, "alert_status", "_latitude", "_placed"])
+
+    def first(*by: str) -> Column:
+        return F.row_number().over(W.partitionBy(*house, *by).orderBy(*by_severity())) == 1
+
+    flagged = few.withColumns({
+        "first_of_house": first(),
+        "first_of_status": first("alert_status"),
+        "first_placed": F.col("_placed") & first("_placed"),
+        "first_on_latitude": F.col("_latitude") & first("_latitude"),
+    })
+    kept = flagged.where(" OR ".join(FIRSTS)).drop("_latitude", "_placed")
+    return kept.withColumn("primary_trigger", root_cause())
+
+
+def firsts(alerts: Statistics, of: str, batch_id: int | None = None) -> DataFrame:
+    """The rows of a batch, the newest by default, that are first in the sense ``of``, with their cause.
+
+    A stored table has them ready; other alerts are compared here.
+    """
+    if isinstance(alerts, GoldTable):
+        return alerts.houses.where(_of_batch(alerts, batch_id) & F.col(of))
+    rows = latest(alerts, batch_id)
+    if of == "first_of_status":
+        found = one_per_house(rows, ["house_id", "alert_status"])
+    else:
+        needed = {"first_of_house": [], "first_placed": ["latitude", "longitude"], "first_on_latitude": ["latitude"]}[of]
+        found = one_per_house(rows.dropna(subset=needed) if needed else rows)
+    return found.withColumn("primary_trigger", root_cause())
+
+
+def current_counts(alerts: Statistics, batch_id: int | None = None) -> DataFrame:
+    """One row: houses in CRITICAL and in WARNING state in a batch, the newest by default.
+
+    For a stored table they were counted as the batch was published.
+    """
+    if not isinstance(alerts, GoldTable):
+        return house_counts(latest(alerts, batch_id))
+    if batch_id is None:
+        known = alerts.head.select(F.col("newest_critical").alias("critical"), F.col("newest_warning").alias("warning"))
+    else:
+        known = alerts.snapshots().where(F.col("batch_id") == batch_id)
+    return known.agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in ("critical", "warning")])
+
+
 def house_counts(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Houses in CRITICAL and in WARNING state, each house counted once by its worst alert.
 

@@ -17,17 +17,18 @@ LONG_LABELS = ("RISING", "FALLING", "STABLE")
 def recent(zones: Statistics, horizon: str = "5 minutes", limit: int = 50, as_of: Column | None = None) -> DataFrame:
     """Mean of the zones' mean methane per snapshot, the newest ``limit`` within ``horizon``.
 
-    ``as_of`` defaults to the newest snapshot in the table. For a stored table the batches of the
-    horizon come from the table of snapshots, so only their partitions are opened; the bound on
-    the time is the whole of a scalar subquery, whose result reaches the Parquet scan.
+    ``as_of`` defaults to the newest snapshot in the table. For a stored table that comes from the last
+    publication, and the batches of the horizon from the days that can hold them, so only their
+    partitions are opened; the bound on the time is the whole of a scalar subquery, whose result
+    reaches the Parquet scan.
     """
     span = F.expr(f"INTERVAL {horizon}")
     rows = rows_of(zones)
-    times = zones.snapshots if isinstance(zones, GoldTable) else rows
-    oldest = times.agg(F.max("snapshot_time") - span).scalar() if as_of is None else as_of - span
-    if isinstance(zones, GoldTable):
-        first = zones.snapshots.where(F.col("snapshot_time") >= oldest).agg(F.min("batch_id")).scalar()
-        rows = rows.where(F.col("batch_id") >= first)
+    stored = isinstance(zones, GoldTable)
+    newest = zones.head.agg(F.max("newest_time") - span) if stored else rows.agg(F.max("snapshot_time") - span)
+    oldest = newest.scalar() if as_of is None else as_of - span
+    if stored:
+        rows = rows.where(F.col("batch_id") >= zones.snapshots(since=oldest).agg(F.min("batch_id")).scalar())
     return (
         rows.where(F.col("snapshot_time") >= oldest)
         .groupBy("snapshot_time")

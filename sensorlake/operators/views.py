@@ -10,8 +10,7 @@ from sensorlake import rules
 from sensorlake.functions.conditional import first_match
 from sensorlake.functions.display import as_decimal, percent, rounded, short_number
 from sensorlake.functions.levels import map_severity, risk_band, severity_rank
-from sensorlake.functions.scoring import root_cause
-from sensorlake.operators.snapshot import house_counts, latest, newest_batch, one_per_house, with_previous
+from sensorlake.operators.snapshot import current_counts, firsts, house_counts, latest, newest_batch, with_previous
 from sensorlake.sources.layers import GoldTable, Statistics, rows_of
 
 Houses = int | Column
@@ -26,7 +25,7 @@ def _houses(total: Houses) -> Column:
 
 def kpis(alerts: Statistics, gov: Statistics, total_houses: Houses = rules.MONITORED_HOUSES, batch_id: int | None = None) -> DataFrame:
     """One row: newest alert batch, houses per state, mean of the governorates' mean risk."""
-    counts = house_counts(latest(alerts, batch_id))
+    counts = current_counts(alerts, batch_id)
     mean_risk = latest(gov, batch_id).agg(F.avg("avg_risk_score")).scalar()
     batch = newest_batch(alerts) if batch_id is None else F.lit(batch_id)
     return counts.select(
@@ -40,7 +39,7 @@ def kpis(alerts: Statistics, gov: Statistics, total_houses: Houses = rules.MONIT
 
 def status_count(alerts: Statistics, status: str) -> DataFrame:
     """Houses whose worst current alert has the given status."""
-    return house_counts(latest(alerts)).select(F.col(status.lower()).alias("value"))
+    return current_counts(alerts).select(F.col(status.lower()).alias("value"))
 
 
 def average_risk(gov: Statistics) -> DataFrame:
@@ -62,11 +61,16 @@ def threat_distribution(kpi: DataFrame) -> DataFrame:
 def kpi_history(alerts: Statistics, gov: Statistics) -> DataFrame:
     """Houses per state for every batch, with the change against the batch before.
 
-    Batches come from the governorate statistics, so a batch without alerts counts 0.
+    Batches come from the governorate statistics, so a batch without alerts counts 0. For a stored
+    table they were counted when each batch was published, and the list of snapshots has them.
     """
-    batches = (gov.snapshots if isinstance(gov, GoldTable) else gov).select("batch_id").distinct()
-    counts = house_counts(rows_of(alerts), ["batch_id"]).withColumnRenamed("batch_id", "counted_batch")
-    counted = batches.join(counts, F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left").fillna(0, ["critical", "warning"])
+    if isinstance(gov, GoldTable):
+        counted = gov.snapshots().select("batch_id", "critical", "warning")
+    else:
+        batches = gov.select("batch_id").distinct()
+        counts = house_counts(rows_of(alerts), ["batch_id"]).withColumnRenamed("batch_id", "counted_batch")
+        counted = batches.join(counts, F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left")
+    counted = counted.fillna(0, ["critical", "warning"])
     return with_previous(counted, "batch_id", ["critical", "warning"]).select(
         "batch_id",
         "critical",
@@ -79,8 +83,8 @@ def kpi_history(alerts: Statistics, gov: Statistics) -> DataFrame:
 # --- governorates ---------------------------------------------------------------------------
 
 
-def governorate_risk(gov: Statistics, batch_id: int | None = None) -> DataFrame:
-    """Risk and counts of each governorate in a snapshot, unrounded and unordered.
+def governorate_risk(gov: Statistics, batch_id: int | None = None, *more: Column) -> DataFrame:
+    """Risk and counts of each governorate in a snapshot, unrounded and unordered; ``more`` are further aggregates.
 
     The level is a string maximum; a snapshot holds one row per governorate, so it is that row's.
     """
@@ -93,6 +97,7 @@ def governorate_risk(gov: Statistics, batch_id: int | None = None) -> DataFrame:
             F.sum("critical_count").alias("critical_count"),
             F.sum("warning_count").alias("warning_count"),
             F.coalesce(F.max("gov_risk_level"), F.lit("LOW")).alias("risk_level"),
+            *more,
         )
     )
 
@@ -111,7 +116,7 @@ def shown_risk(ranking: DataFrame) -> DataFrame:
 def deduplicated_ranking(alerts: Statistics, gov: Statistics) -> DataFrame:
     """Governorate ranking whose counts are houses, each by its worst alert."""
     houses = (
-        one_per_house(latest(alerts))
+        firsts(alerts, "first_of_house")
         .groupBy("governorate")
         .agg(
             F.count_if(F.col("alert_status") == "CRITICAL").alias("critical_count"),
@@ -165,7 +170,7 @@ def insight_banner(kpi: DataFrame, gov: Statistics) -> DataFrame:
 
 def current_alerts(alerts: Statistics, batch_id: int | None = None) -> DataFrame:
     """One alert per house in the newest batch, with its root cause."""
-    return one_per_house(latest(alerts, batch_id)).withColumn("primary_trigger", root_cause())
+    return firsts(alerts, "first_of_house", batch_id)
 
 
 def _shown_sensors() -> list[Column]:
@@ -181,7 +186,7 @@ def alert_feed(alerts: Statistics) -> DataFrame:
         current_alerts(alerts)
         .orderBy(severity_rank(), F.desc("risk_score"), "event_id")
         .select(
-            *("house_id", "governorate", "zone", "alert_status", "primary_trigger", "latitude", "longitude"),
+            "house_id", "governorate", "zone", "alert_status", "primary_trigger", "latitude", "longitude",
             rounded(F.col("risk_score")).alias("risk_score"),
             *_shown_sensors(),
         )
@@ -191,18 +196,17 @@ def alert_feed(alerts: Statistics) -> DataFrame:
 def nested_feed(alerts: Statistics) -> DataFrame:
     """The feed as an application receives it, sensor values grouped in a struct."""
     return alert_feed(alerts).select(
-        *("house_id", "governorate", "zone", "alert_status", "risk_score", "primary_trigger", "latitude", "longitude"),
+        "house_id", "governorate", "zone", "alert_status", "risk_score", "primary_trigger", "latitude", "longitude",
         F.struct("methane", "temp", "smoke", "co").alias("sensors"),
     )
 
 
 def map_markers(alerts: Statistics) -> DataFrame:
     """Current alerts that have a position; a house without one never hides another alert."""
-    located = latest(alerts).where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return one_per_house(located).select(
-        *("longitude", "latitude", "alert_status", "governorate", "zone", "house_id"),
+    return firsts(alerts, "first_placed").select(
+        "longitude", "latitude", "alert_status", "governorate", "zone", "house_id",
         rounded(F.col("risk_score")).alias("risk_score"),
-        root_cause().alias("primary_trigger"),
+        "primary_trigger",
         *_shown_sensors(),
     )
 
@@ -211,16 +215,15 @@ def nested_markers(alerts: Statistics) -> DataFrame:
     """Markers with ``coordinates`` as [longitude, latitude] and a sensor struct."""
     return map_markers(alerts).select(
         F.array("longitude", "latitude").alias("coordinates"),
-        *("risk_score", "alert_status", "governorate", "zone", "house_id", "primary_trigger"),
+        "risk_score", "alert_status", "governorate", "zone", "house_id", "primary_trigger",
         F.struct("methane", "temp", "smoke", "co").alias("sensors"),
     )
 
 
 def map_points(alerts: Statistics) -> DataFrame:
     """Positions with a numeric severity for a heat map."""
-    located = latest(alerts).where(F.col("latitude").isNotNull())
-    return one_per_house(located).select(
-        *("latitude", "longitude", "risk_score", "alert_status", "governorate", "zone"),
+    return firsts(alerts, "first_on_latitude").select(
+        "latitude", "longitude", "risk_score", "alert_status", "governorate", "zone",
         map_severity().alias("severity_level"),
     )
 
@@ -228,11 +231,11 @@ def map_points(alerts: Statistics) -> DataFrame:
 def alerts_table(alerts: Statistics, rows: int = 20) -> DataFrame:
     """Most severe current alerts in fixed-point display form."""
     return (
-        one_per_house(latest(alerts))
+        firsts(alerts, "first_of_house")
         .orderBy(severity_rank(), F.desc("risk_score"), "event_id")
         .limit(rows)
         .select(
-            *("house_id", "governorate", "zone", "alert_status"),
+            "house_id", "governorate", "zone", "alert_status",
             as_decimal(F.col("risk_score"), 5, 1).alias("risk_score"),
             as_decimal(F.col("methane_ppm"), 7, 1).alias("methane_ppm"),
             as_decimal(F.col("temperature_c"), 5, 1).alias("temperature_c"),
@@ -243,12 +246,13 @@ def alerts_table(alerts: Statistics, rows: int = 20) -> DataFrame:
 def top_incidents(alerts: Statistics, status: str, rows: int = 5, batch_id: int | None = None) -> DataFrame:
     """Highest-risk houses among the alerts of one status."""
     return (
-        one_per_house(latest(alerts, batch_id).where(F.col("alert_status") == status))
+        firsts(alerts, "first_of_status", batch_id)
+        .where(F.col("alert_status") == status)
         .orderBy(F.desc("risk_score"), "event_id")
         .limit(rows)
         .select(
             "house_id", "governorate", "zone", "alert_status", "risk_score", "methane_ppm", "temperature_c", "smoke_level", "co_ppm", "event_id",
-            root_cause().alias("cause"),
+            F.col("primary_trigger").alias("cause"),
         )
     )
 

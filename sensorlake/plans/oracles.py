@@ -86,6 +86,10 @@ _cte("m", "SELECT eid, x.ingest_batch, CASE WHEN eid % 101 = 0 THEN 'not json' E
 # Parsed readings whose snapshot is the micro-batch.
 _cte("mb", "SELECT * REPLACE (ingest_batch AS batch_id) FROM m", "m")
 _cte("mcl", _cleaned("m"), "m")
+# Messages as the paced run sends them: a sixth with every tick.
+_cte("pm", "SELECT * REPLACE (CAST(eid // (SELECT (count(*) + 5) // 6 FROM events) AS BIGINT) AS ingest_batch) FROM m", "m")
+_cte("pmb", "SELECT * REPLACE (ingest_batch AS batch_id) FROM pm", "pm")
+_cte("pmcl", _cleaned("pm"), "pm")
 
 _ZONE_COLUMNS = """
     avg(methane_ppm) AS avg_methane_ppm, max(methane_ppm) AS max_methane_ppm, avg(temperature_c) AS avg_temperature_c,
@@ -125,6 +129,7 @@ _statistics("", "r")
 _statistics("_dirty", "d")
 _statistics("_clean", "cl")
 _statistics("_stream", "mb")
+_statistics("_paced", "pmb")
 
 _cte("fleet", "SELECT DISTINCT house_id, governorate, zone, has_gas_connection, risk_profile FROM r", "r")
 _cte("now_alerts", f"""
@@ -262,12 +267,25 @@ SELECT section_no, line_no, line FROM lines"""
     return _with(body, "alerts", "gov", "fleet", "trend_short")
 
 
+def _counts(raw: str, cleaned: str, statistics: str) -> str:
+    """Rows of every layer per micro-batch."""
+    tables = (f"zones{statistics}", f"gov{statistics}", f"alerts{statistics}")
+    return _with(f"""SELECT 'bronze' AS layer, ingest_batch AS batch_id, count(*) AS row_count FROM {raw} GROUP BY ALL
+            UNION ALL SELECT 'silver', ingest_batch, count(*) FROM {cleaned} GROUP BY ALL
+            UNION ALL SELECT 'zone_stats', batch_id, count(*) FROM {tables[0]} GROUP BY ALL
+            UNION ALL SELECT 'gov_stats', batch_id, count(*) FROM {tables[1]} GROUP BY ALL
+            UNION ALL SELECT 'active_alerts', batch_id, count(*) FROM {tables[2]} GROUP BY ALL""", raw, cleaned, *tables)
+
+
 _CLOCK = "strftime(snapshot_time, '%H:%M:%S') AS clock"
 _FEED = "house_id, governorate, zone, alert_status, primary_trigger, latitude, longitude, risk_score, methane, temp, smoke, co"
 _STRUCT = "to_json({'methane': methane, 'temp': temp, 'smoke': smoke, 'co': co})"
 
 
 def oracle_sql() -> dict[str, str]:
+    silver = _with(f"""SELECT event_id, house_id, {_ts('event_time')} AS event_time, {_SENSORS},
+            2026 - year_built AS building_age, methane_ppm > 350 OR lpg_ppm > 300 AS gas_leak_flag, {_RISK_LEVEL} AS risk_level,
+            ingest_batch FROM mcl""", "mcl")
     payload = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c == "has_gas_connection" else c for c in _PARSED_FIELDS)
     sql = {
         "score_alert_status": _with("SELECT event_id, batch_id, alert_status FROM r", "r"),
@@ -385,19 +403,32 @@ def oracle_sql() -> dict[str, str]:
             FROM d WHERE event_time >= TIMESTAMP '2024-01-08 06:00:00' AND event_time < TIMESTAMP '2024-01-12 18:30:00'""", "d"),
         "stream_bronze": _with(f"""SELECT event_id, house_id, {_ts('event_time')} AS event_time, methane_ppm, raw_value,
             ingest_batch, {_PARTS} FROM m""", "m"),
-        "stream_silver": _with(f"""SELECT event_id, house_id, {_ts('event_time')} AS event_time, {_SENSORS},
-            2026 - year_built AS building_age, methane_ppm > 350 OR lpg_ppm > 300 AS gas_leak_flag, {_RISK_LEVEL} AS risk_level,
-            ingest_batch FROM mcl""", "mcl"),
+        "stream_silver": silver,
+        "stream_silver_chained": silver,
         "stream_gold_zone": _zone_rows("zones_stream"),
         "stream_gold_gov": _gov_rows("gov_stream"),
         "stream_gold_alerts": _alert_rows("alerts_stream"),
         "stream_restart": _with("""SELECT ingest_batch, count(event_id) AS readings, count(DISTINCT event_id) AS distinct_readings,
             count(*) AS row_count FROM m GROUP BY 1""", "m"),
-        "layer_counts": _with("""SELECT 'bronze' AS layer, ingest_batch AS batch_id, count(*) AS row_count FROM m GROUP BY ALL
-            UNION ALL SELECT 'silver', ingest_batch, count(*) FROM mcl GROUP BY ALL
-            UNION ALL SELECT 'zone_stats', batch_id, count(*) FROM zones_stream GROUP BY ALL
-            UNION ALL SELECT 'gov_stats', batch_id, count(*) FROM gov_stream GROUP BY ALL
-            UNION ALL SELECT 'active_alerts', batch_id, count(*) FROM alerts_stream GROUP BY ALL""",
-            "m", "mcl", "zones_stream", "gov_stream", "alerts_stream"),
+        "layer_counts": _counts("m", "mcl", "_stream"),
+        "stream_paced": _counts("pm", "pmcl", "_paced"),
+        "house_alerts": _with(f"""SELECT batch_id, house_id, event_id, alert_status, {_cause()} AS primary_trigger, first_of_house, first_of_status,
+              first_placed, first_on_latitude
+            FROM (SELECT *,
+              row_number() OVER (PARTITION BY batch_id, house_id ORDER BY {_SEVERE_FIRST}) = 1 AS first_of_house,
+              row_number() OVER (PARTITION BY batch_id, house_id, alert_status ORDER BY {_SEVERE_FIRST}) = 1 AS first_of_status,
+              placed AND row_number() OVER (PARTITION BY batch_id, house_id, placed ORDER BY {_SEVERE_FIRST}) = 1 AS first_placed,
+              latitude IS NOT NULL AND row_number() OVER (PARTITION BY batch_id, house_id, latitude IS NULL ORDER BY {_SEVERE_FIRST}) = 1 AS first_on_latitude
+              FROM (SELECT *, latitude IS NOT NULL AND longitude IS NOT NULL AS placed FROM alerts))
+            WHERE first_of_house OR first_of_status OR first_placed OR first_on_latitude""", "alerts"),
+        "rejected_rows": _with(f"""SELECT 'silver' AS table_name, event_id, house_id, {_ts('event_time')} AS event_time, reasons,
+              house_id IS NULL OR event_time IS NULL AS dropped, CAST(0 AS BIGINT) AS batch_id
+            FROM (SELECT *, concat_ws('; ', CASE WHEN house_id IS NULL THEN 'house_id: missing' END,
+              CASE WHEN event_time IS NULL THEN 'event_time: missing' END,
+              CASE WHEN temperature_c < -10 OR temperature_c > 65 THEN 'temperature_c: not in -10 to 65' END,
+              CASE WHEN humidity_pct < 0 OR humidity_pct > 100 THEN 'humidity_pct: not in 0 to 100' END,
+              CASE WHEN aqi < 0 OR aqi > 500 THEN 'aqi: not in 0 to 500' END,
+              CASE WHEN methane_ppm < 0 THEN 'methane_ppm: below 0' END) AS reasons FROM d)
+            WHERE reasons <> ''""", "d"),
     }
     return sql

@@ -18,7 +18,7 @@ from sensorlake.operators import fleet, gold, report, silver, snapshot, trends,
 from sensorlake.plans import fixture
 from sensorlake.plans.warehouse import Warehouse, warehouse
 from sensorlake.sources import messages
-from sensorlake.sources.layers import layer_counts, with_time_parts, within
+from sensorlake.sources.layers import Lake, layer_counts, with_time_parts
 
 # Batches are days, so the minutes of the live trend become days.
 LONG_HORIZON, SHORT_HORIZON = "7 days", "3 days"
@@ -123,7 +123,7 @@ def gold_sql_scan(w: Warehouse) -> DataFrame:
     return w.spark.sql("""
         SELECT governorate, zone, total_readings, critical_count, zone_risk_level
         FROM zone_stats
-        WHERE batch_id = (SELECT max(batch_id) FROM gold_snapshots WHERE table_name = 'zone_stats' AND row_count > 0)
+        WHERE batch_id = (SELECT max(newest_batch) FROM gold_heads WHERE table_name = 'zone_stats')
     """)
 
 
@@ -198,7 +198,11 @@ def bronze_partitions(w: Warehouse) -> DataFrame:
 
 
 def partition_pruned_scan(w: Warehouse) -> DataFrame:
-    return within(w.damaged.read_bronze(w.spark), *SCAN_RANGE).select("event_id", "house_id", "event_time", "methane_ppm", "hour")
+    return w.damaged.hours(w.spark, "bronze", *SCAN_RANGE).select("event_id", "house_id", "event_time", "methane_ppm", "hour")
+
+
+def rejected_rows(w: Warehouse) -> DataFrame:
+    return w.cleaned.read_rejected(w.spark).select("table_name", "event_id", "house_id", "event_time", "reasons", "dropped", "batch_id")
 
 
 def stream_bronze(w: Warehouse) -> DataFrame:
@@ -207,8 +211,8 @@ def stream_bronze(w: Warehouse) -> DataFrame:
     )
 
 
-def stream_silver(w: Warehouse) -> DataFrame:
-    return w.streamed.read_silver(w.spark).select(
+def _silver(w: Warehouse, lake: Lake) -> DataFrame:
+    return lake.read_silver(w.spark).select(
         "event_id", "house_id", "event_time", *SENSORS, "building_age", "gas_leak_flag", "risk_level", "ingest_batch"
     )
 
@@ -275,12 +279,18 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "bronze_partitions": bronze_partitions,
     "partition_pruned_scan": partition_pruned_scan,
     "stream_bronze": stream_bronze,
-    "stream_silver": stream_silver,
+    "stream_silver": lambda w: _silver(w, w.streamed),
+    "stream_silver_chained": lambda w: _silver(w, w.chained),
     "stream_gold_zone": lambda w: w.streamed.read_gold(w.spark, "zone_stats"),
     "stream_gold_gov": lambda w: w.streamed.read_gold(w.spark, "gov_stats"),
     "stream_gold_alerts": lambda w: w.streamed.read_gold(w.spark, "active_alerts"),
     "stream_restart": stream_restart,
     "layer_counts": lambda w: layer_counts(w.spark, w.streamed),
+    "stream_paced": lambda w: layer_counts(w.spark, w.paced),
+    "house_alerts": lambda w: w.history.read_houses(w.spark).select(
+        "batch_id", "house_id", "event_id", "alert_status", "primary_trigger", *snapshot.FIRSTS
+    ),
+    "rejected_rows": rejected_rows,
 }
 
 

@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 from sensorlake.plans import fixture
 from sensorlake.sources import messages
-from sensorlake.sources.layers import GoldTable, Lake, file_system
+from sensorlake.sources.files import delete
+from sensorlake.sources.layers import GoldTable, Lake
 from sensorlake.sources.shared import shared_folder
 from sensorlake.streaming import layers
 
 # Days of readings published before each run of the streaming layers.
 ROUND_DAYS = 10
+# Micro-batches of the paced run, and its triggers.
+PACED_BATCHES = 6
+PACED_TRIGGERS = {"bronze": "200 milliseconds", "silver": "200 milliseconds", "gold": "2 seconds"}
 
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -83,14 +87,22 @@ class Warehouse:
         fixture.zone_dim(self.spark, self.sf_dir).write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def _as_parsed(self, rows: DataFrame) -> DataFrame:
+        missing = {"timestamp": "string", "kafka_partition": "int", "kafka_offset": "bigint", "raw_value": "string"}
+        return rows.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
+
     @cached_property
     def damaged(self) -> Lake:
         """A raw layer over damaged readings, partitioned by hour."""
         lake = Lake(self.folder())
-        write = layers.bronze_writer(lake)
-        missing = {"timestamp": "string", "kafka_partition": "int", "kafka_offset": "bigint", "raw_value": "string"}
-        shaped = self.dirty.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
-        write(shaped, 0)
+        layers.bronze_writer(lake)(self._as_parsed(self.dirty), 0)
+        return lake
+
+    @cached_property
+    def cleaned(self) -> Lake:
+        """A cleaned layer over damaged readings, with those that broke a constraint kept aside."""
+        lake = Lake(self.folder())
+        layers.silver_writer(lake, keep_rejected=True)(self._as_parsed(self.dirty), 0)
         return lake
 
     @cached_property
@@ -124,6 +136,36 @@ class Warehouse:
         self._catch_up(landing, lake)
         return lake
 
+    @cached_property
+    def chained(self) -> Lake:
+        """Layers of which the cleaned one reads the raw one, brought up to date after each round."""
+        lake = Lake(self.folder())
+        landing = f"{lake.root}/landing"
+        for number in self.rounds():
+            days = (number * ROUND_DAYS, (number + 1) * ROUND_DAYS)
+            sent = fixture.payload(fixture.readings(self.spark, self.sf_dir, days))
+            messages.write_files(sent, landing, ordered=False)
+            layers.catch_up(messages.file_stream(self.spark, landing), lake, event_clock=True, chained=True)
+        return lake
+
+    @cached_property
+    def paced(self) -> Lake:
+        """Layers fed by a clock that sends a sixth of all readings with every tick; the statistics lag behind the others."""
+        lake = Lake(self.folder())
+        path = f"{lake.root}/sent"
+        fixture.payload(self.readings).write.parquet(path)
+        sent = self.spark.read.parquet(path)
+        each = -(-sent.count() // PACED_BATCHES)
+        source = messages.paced_stream(sent, "eid", each)
+        held = ("bronze", "silver", "gold")
+
+        def done() -> bool:
+            last = [lake.heads(self.spark, layer).agg(F.max("last_batch")).first()[0] for layer in held]
+            return all(n is not None and n >= PACED_BATCHES - 1 for n in last)
+
+        layers.run(source, lake, event_clock=True, intervals=PACED_TRIGGERS, until=done)
+        return lake
+
     def _catch_up(self, landing: str, lake: Lake) -> None:
         layers.catch_up(messages.file_stream(self.spark, landing), lake, event_clock=True)
 
@@ -141,5 +183,4 @@ def release(spark: SparkSession) -> None:
     """Remove the intermediate tables of this session's queries; their results can't be read any more."""
     for key in [k for k in _warehouses if k[0] == spark.sparkContext.applicationId]:
         for folder in _warehouses.pop(key).folders:
-            files, place = file_system(spark, folder)
-            files.delete(place, True)
+            delete(spark, folder)

@@ -89,12 +89,33 @@ ACTIVE_ALERTS = _schema("""
     co_ppm DOUBLE, temperature_c DOUBLE, aqi INT, is_anomaly INT, alert_time TIMESTAMP, batch_id BIGINT
 """)
 
-# What the layers hold, one row per table and batch, and where a streaming query's numbers begin.
-SNAPSHOT = _schema("table_name STRING, batch_id BIGINT, snapshot_time TIMESTAMP, row_count BIGINT, published_on DATE")
+# The most severe alerts of each house in a batch, with their cause and what each is first among.
+HOUSE_ALERTS = StructType([
+    *(f for f in ACTIVE_ALERTS.fields if f.name != "batch_id"),
+    *_schema("primary_trigger STRING, first_of_house BOOLEAN, first_of_status BOOLEAN, first_placed BOOLEAN, first_on_latitude BOOLEAN, batch_id BIGINT"),
+])
+
+# Rows that break a constraint, with what they break; ``dropped`` ones are in no other table.
+REJECTED = _schema("""
+    event_id STRING, house_id STRING, governorate STRING, zone STRING, event_time TIMESTAMP, reasons STRING, dropped BOOLEAN,
+    content STRING, table_name STRING, batch_id BIGINT
+""")
+
+# What a publication says of its tables: their rows and houses per batch, and each table's head.
+_LISTED = "table_name STRING, batch_id BIGINT, snapshot_time TIMESTAMP, row_count BIGINT, critical BIGINT, warning BIGINT"
+SNAPSHOT = _schema(f"{_LISTED}, newest_batch BIGINT, newest_critical BIGINT, newest_warning BIGINT, newest_time TIMESTAMP, last_batch BIGINT")
+LISTED = _schema(f"{_LISTED}, listed_on DATE")
+# Where a streaming query's numbers begin.
 QUERY = _schema("query_id STRING, first_number BIGINT")
 
 GOLD = {"zone_stats": ZONE_STATS, "gov_stats": GOV_STATS, "active_alerts": ACTIVE_ALERTS}
 
+# The longest texts that the statistics tables take.
+TEXT_LENGTHS = {
+    "event_id": 50, "house_id": 10, "governorate": 100, "zone": 100, "building_type": 20, "alert_status": 10,
+    "zone_risk_level": 10, "gov_risk_level": 10,
+}
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: its columns, its order, its types."""

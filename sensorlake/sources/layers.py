@@ -1,11 +1,11 @@
-"""Parquet layers: time-partitioned readings, snapshot-partitioned statistics, and the table of snapshots."""
+"""Parquet layers: time-partitioned readings and snapshot-partitioned statistics."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from sensorlake import schemas
+from sensorlake.sources.files import delete, exists, matches, names
+from sensorlake.sources.snapshots import SnapshotList
 
 #: ``part`` of the folded rows of an hour.
 FOLDED = -1
@@ -88,16 +90,6 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, place = file_system(spark, path)
-    return files.exists(place)
-
-
 def _hour_number(year: object, month: object, day: object, hour: object):
     return ((year * 100 + month) * 100 + day) * 100 + hour
 
@@ -109,7 +101,7 @@ def within(df: DataFrame, start: datetime, end: datetime, time: str = "event_tim
     partition columns, which lets Spark list and open only the hours in question.
     """
     number = _hour_number(*[F.col(part) for part in schemas.TIME_PARTS])
-    utc = [t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc) for t in (start, end)]
+    utc = [_utc(start), _utc(end)]
     low, high = (_hour_number(t.year, t.month, t.day, t.hour) for t in utc)
     bounds = [F.lit(t.isoformat(sep=" ")).cast("timestamp") for t in utc]
     if isinstance(df.schema[time].dataType, TimestampNTZType):
@@ -118,16 +110,67 @@ def within(df: DataFrame, start: datetime, end: datetime, time: str = "event_tim
     return df.where(number.between(low, high) & (F.col(time) >= first) & (F.col(time) < last))
 
 
+def _hour_path(time: datetime, depth: int) -> str:
+    """The folder of a time's year, month, day or hour."""
+    return "/".join(f"{name}={value}" for name, value in zip(schemas.TIME_PARTS[:depth], time.timetuple(), strict=False))
+
+
+def _next(time: datetime, depth: int) -> datetime:
+    """The beginning of the year, month, day or hour after that of ``time``, which begins one."""
+    if depth == 1:
+        return time.replace(year=time.year + 1)
+    if depth == 2:
+        return time.replace(year=time.year + time.month // 12, month=time.month % 12 + 1)
+    return time + timedelta(days=1) if depth == 3 else time + timedelta(hours=1)
+
+
+def _folders(start: datetime, end: datetime) -> list[str]:
+    """The fewest folders of whole years, months, days and hours that hold all times from ``start`` to before ``end``."""
+    out = []
+    time = start.replace(minute=0, second=0, microsecond=0)
+    while time < end:
+        begins = [time == time.replace(month=1, day=1, hour=0), time.day == 1 and time.hour == 0, time.hour == 0, True]
+        depth = next(d for d in range(1, 5) if begins[d - 1] and (d == 4 or _next(time, d) <= end))
+        out.append(_hour_path(time, depth))
+        time = _next(time, depth)
+    return out
+
+
+def _utc(time: datetime) -> datetime:
+    return time.replace(tzinfo=timezone.utc) if time.tzinfo is None else time.astimezone(timezone.utc)
+
+
 @dataclass(frozen=True)
 class GoldTable:
-    """A statistics table with its rows in the table of snapshots.
+    """A statistics table with its rows in the list of snapshots.
 
-    The snapshots answer which batch is newest, or which batches lie in a span of time, so that the
-    statistics themselves are only read in the partitions of those batches.
+    The list answers which batch is newest, or which batches lie in a span of time, so that the
+    statistics themselves are only read in the partitions of those batches. It is looked up anew
+    each time, as it grows with every micro-batch.
     """
 
-    rows: DataFrame
-    snapshots: DataFrame
+    spark: SparkSession
+    lake: Lake
+    name: str
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.lake.read_gold(self.spark, self.name)
+
+    @property
+    def head(self) -> DataFrame:
+        """The newest batch of the table and its time."""
+        return self.lake.heads(self.spark, "gold").where(F.col("table_name") == self.name)
+
+    def snapshots(self, since: Column | None = None) -> DataFrame:
+        """The table's batches that have rows."""
+        listed = self.lake.snapshots(self.spark, "gold", since)
+        return listed.where((F.col("table_name") == self.name) & (F.col("row_count") > 0))
+
+    @property
+    def houses(self) -> DataFrame:
+        """The most severe alerts of each house and batch, kept while the alerts were written."""
+        return self.lake.read_houses(self.spark)
 
 
 Statistics = DataFrame | GoldTable
@@ -154,6 +197,18 @@ class Lake:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    @property
+    def houses(self) -> str:
+        return f"{self.root}/gold/house_alerts"
+
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/rejected"
+
+    def layer(self, name: str) -> tuple[str, StructType]:
+        """Path and schema of a time-partitioned layer."""
+        return {"bronze": (self.bronze, schemas.BRONZE), "silver": (self.silver, schemas.SILVER)}[name]
+
     def checkpoint(self, layer: str) -> str:
         return f"{self.root}/checkpoints/{layer}"
 
@@ -166,41 +221,56 @@ class Lake:
     def read_gold(self, spark: SparkSession, table: str) -> DataFrame:
         return read_table(spark, self.gold(table), schemas.GOLD[table])
 
+    def read_houses(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.houses, schemas.HOUSE_ALERTS)
+
+    def read_rejected(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.rejected, schemas.REJECTED)
+
     def gold_table(self, spark: SparkSession, table: str) -> GoldTable:
-        named = self.snapshots(spark, "gold").where((F.col("table_name") == table) & (F.col("row_count") > 0))
-        return GoldTable(self.read_gold(spark, table), named)
+        return GoldTable(spark, self, table)
+
+    def hours(self, spark: SparkSession, layer: str, start: datetime, end: datetime) -> DataFrame:
+        """Rows of a time-partitioned layer with ``start <= event_time < end``, from the folders of that span alone.
+
+        The folders are named after the bounds, whole days, months and years by one each, so that no
+        other folder is listed, however old the layer is.
+        """
+        path, schema = self.layer(layer)
+        start, end = _utc(start), _utc(end)
+        there = [f"{path}/{folder}" for folder in _folders(start, end) if exists(spark, f"{path}/{folder}")]
+        if not there:
+            return spark.createDataFrame([], schema)
+        return within(spark.read.schema(schema).option("basePath", path).parquet(*there), start, end)
 
     def register_gold(self, spark: SparkSession) -> None:
-        """Make the statistics tables available to ``spark.sql`` under their own names.
+        """Make the statistics tables available to ``spark.sql`` under their own names, as they are now.
 
-        ``gold_snapshots`` lists their batches; a query that takes its batch number from there
-        opens the files of that batch only.
+        ``gold_heads`` tells the newest batch of each table and ``gold_snapshots`` lists all; a query that
+        takes its batch number from there opens the files of that batch only.
         """
         for table in schemas.GOLD:
             self.read_gold(spark, table).createOrReplaceTempView(table)
+        self.heads(spark, "gold").createOrReplaceTempView("gold_heads")
         self.snapshots(spark, "gold").createOrReplaceTempView("gold_snapshots")
 
     # --- snapshots --------------------------------------------------------------------------
 
-    def _snapshots(self, layer: str) -> str:
-        return f"{self.root}/snapshots/{layer}"
+    def _list(self, layer: str) -> SnapshotList:
+        return SnapshotList(f"{self.root}/snapshots/{layer}")
 
-    def publish(self, spark: SparkSession, layer: str, written: DataFrame) -> None:
-        """Add rows (table_name, batch_id, snapshot_time, row_count) for what has been written completely.
-
-        This is the last step of a micro-batch. A replayed one is listed again, which readers even out.
-        """
-        rows = written.withColumn("published_on", F.to_date(F.current_timestamp()))
+    def publish(self, spark: SparkSession, layer: str, written: DataFrame, today: date | None = None) -> None:
+        """Add rows (table_name, batch_id, snapshot_time, row_count) for what has been written completely."""
         with _settings(spark, _WRITE_SETTINGS):
-            schemas.conform(rows, schemas.SNAPSHOT).coalesce(1).write.mode("append").partitionBy("published_on").parquet(self._snapshots(layer))
+            self._list(layer).publish(spark, written, today)
 
-    def snapshots(self, spark: SparkSession, layer: str) -> DataFrame:
+    def heads(self, spark: SparkSession, layer: str) -> DataFrame:
+        """The newest batch of each table of a layer."""
+        return self._list(layer).heads(spark)
+
+    def snapshots(self, spark: SparkSession, layer: str, since: Column | None = None) -> DataFrame:
         """One row per table and batch of a layer; none before the first micro-batch."""
-        path = self._snapshots(layer)
-        if not exists(spark, path):
-            return spark.createDataFrame([], schemas.SNAPSHOT).drop("published_on")
-        listed = read_table(spark, path, schemas.SNAPSHOT)
-        return listed.groupBy("table_name", "batch_id").agg(F.max("snapshot_time").alias("snapshot_time"), F.max("row_count").alias("row_count"))
+        return self._list(layer).listed(spark, since)
 
     # --- numbering --------------------------------------------------------------------------
 
@@ -216,18 +286,19 @@ class Lake:
             known = read_table(spark, path, schemas.QUERY).where(F.col("query_id") == query_id).agg(F.min("first_number")).first()[0]
             if known is not None:
                 return known
-        number = 1 + max([-1, *self._last_numbers(spark, layer)])
+        known = [] if not exists(spark, path) else [read_table(spark, path, schemas.QUERY).agg(F.max("first_number")).first()[0]]
+        known.append(self.heads(spark, layer).agg(F.max("last_batch")).first()[0])
+        number = max((n + 1 for n in known if n is not None), default=0)
+        # A micro-batch that was written but not listed keeps its number to itself.
+        while self._taken(spark, layer, number):
+            number += 1
         spark.createDataFrame([(query_id, number)], schemas.QUERY).coalesce(1).write.mode("append").parquet(path)
         return number
 
-    def _last_numbers(self, spark: SparkSession, layer: str) -> list[int]:
+    def _taken(self, spark: SparkSession, layer: str, number: int) -> bool:
         if layer == "gold":
-            tables = [(self.gold(t), schemas.GOLD[t], "batch_id") for t in schemas.GOLD]
-        else:
-            tables = [(getattr(self, layer), {"bronze": schemas.BRONZE, "silver": schemas.SILVER}[layer], "ingest_batch")]
-        found = [read_table(spark, p, s).agg(F.max(c)).first()[0] for p, s, c in tables if exists(spark, p)]
-        found += [self.snapshots(spark, layer).agg(F.max("batch_id")).first()[0]]
-        return [n for n in found if n is not None]
+            return any(exists(spark, f"{self.gold(table)}/batch_id={number}") for table in schemas.GOLD)
+        return matches(spark, f"{self.layer(layer)[0]}/year=*/month=*/day=*/hour=*/part={number}")
 
 
 def layer_counts(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -237,39 +308,30 @@ def layer_counts(spark: SparkSession, lake: Lake) -> DataFrame:
     return listed.where("row_count > 0").select(F.col("table_name").alias("layer"), "batch_id", "row_count")
 
 
-def fold_hours(spark: SparkSession, lake: Lake, layer: str, before: datetime) -> int:
-    """Fold the micro-batch directories of hours that end by ``before`` (UTC) into one per hour.
+def fold_hour(spark: SparkSession, lake: Lake, layer: str, hour: datetime) -> int:
+    """Fold the micro-batch folders of one closed hour (UTC) into one; returns how many.
 
-    Returns the number of hours folded. The newest micro-batch stays as it is, since only that one
-    can be repeated; a late reading lands in a directory of its own until the next call. An
-    interrupted call is made good by the next: a micro-batch that the folded rows of an hour hold
-    already is dropped, not added again. Between the writing of an hour and the removal of its old
-    directories readers see both, so call it while the layer is not read.
+    The newest micro-batch stays as it is, since only that one can be repeated; a late reading lands in
+    a folder of its own until the next call. An interrupted call is made good by the next: a
+    micro-batch that the folded rows hold already is dropped, not added again. Between the writing of
+    the hour and the removal of its old folders readers see both, so call it while the hour is not read.
     """
-    path, schema = getattr(lake, layer), {"bronze": schemas.BRONZE, "silver": schemas.SILVER}[layer]
-    if not exists(spark, path):
-        return 0
-    rows = read_table(spark, path, schema)
-    utc = before.replace(tzinfo=timezone.utc) if before.tzinfo is None else before.astimezone(timezone.utc)
-    hour = _hour_number(*[F.col(p) for p in schemas.TIME_PARTS])
-    newest = rows.agg(F.max("part")).first()[0]
-    open_ = rows.where((hour < _hour_number(utc.year, utc.month, utc.day, utc.hour)) & (F.col("part") != FOLDED) & (F.col("part") < newest))
-    # One row per directory of the closed hours.
-    places = [tuple(r) for r in open_.select(*schemas.LAYER_KEYS).distinct().collect()]
-    if not places:
+    path, schema = lake.layer(layer)
+    place = f"{path}/{_hour_path(_utc(hour), 4)}"
+    newest = lake.heads(spark, layer).agg(F.max("last_batch")).first()[0]
+    parts = [int(name.removeprefix("part=")) for name in names(spark, place) if name.startswith("part=")]
+    closed = [part for part in parts if part != FOLDED and newest is not None and part < newest]
+    if not closed:
         return 0
-    hours = {p[:-1] for p in places}
-    chosen = spark.createDataFrame(sorted(hours), ", ".join(f"{p} INT" for p in schemas.TIME_PARTS))
-    closed = rows.where((F.col("part") == FOLDED) | (F.col("part") < newest)).join(F.broadcast(chosen), list(schemas.TIME_PARTS), "left_semi")
-    held = closed.where(F.col("part") == FOLDED).select(*schemas.TIME_PARTS, "ingest_batch").distinct()
-    fresh = closed.where(F.col("part") != FOLDED).join(held, [*schemas.TIME_PARTS, "ingest_batch"], "left_anti")
-    folded = closed.where(F.col("part") == FOLDED).unionByName(fresh.select(*closed.columns))
+    wanted = [f"{place}/part={part}" for part in parts if part == FOLDED or part in closed]
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*wanted)
+    before = rows.where(F.col("part") == FOLDED)
+    fresh = rows.where(F.col("part") != FOLDED).join(before.select("ingest_batch").distinct(), "ingest_batch", "left_anti")
+    folded = before.unionByName(fresh.select(*before.columns)).withColumn("part", F.lit(FOLDED))
     staged = f"{lake.root}/folding/{layer}"
-    replace_partitions(schemas.conform(folded.withColumn("part", F.lit(FOLDED)), schema), staged, schemas.LAYER_KEYS)
-    replace_partitions(read_table(spark, staged, schema), path, schemas.LAYER_KEYS)
-    files, _ = file_system(spark, path)
-    for place in places:
-        name = "/".join(f"{key}={value}" for key, value in zip(schemas.LAYER_KEYS, place, strict=True))
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
-    files.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
-    return len(hours)
+    replace_partitions(schemas.conform(folded, schema), staged, schemas.LAYER_KEYS)
+    replace_partitions(spark.read.schema(schema).option("basePath", staged).parquet(f"{staged}/{_hour_path(_utc(hour), 4)}"), path, schemas.LAYER_KEYS)
+    for part in closed:
+        delete(spark, f"{place}/part={part}")
+    delete(spark, staged)
+    return len(closed)

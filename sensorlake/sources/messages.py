@@ -67,6 +67,20 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_
     return _with_offsets(spark.readStream.schema(schemas.MESSAGE).format(fmt).options(**paced, **options).load(path))
 
 
+def paced_stream(messages: DataFrame, number: str, each: int) -> DataFrame:
+    """Stored messages as a stream that sends ``each`` of them per micro-batch, by their ``number`` from 0.
+
+    A query that is triggered later finds the same micro-batches waiting. What is sent does not depend on the
+    clock, and there is no end: micro-batches beyond the last number are empty.
+    """
+    ticks = (
+        messages.sparkSession.readStream.format("rate-micro-batch")
+        .options(rowsPerBatch=str(each), numPartitions="1", startTimestamp="0", advanceMillisPerBatch="1000")
+        .load()
+    )
+    return _with_offsets(ticks.join(messages, ticks["value"] == messages[number]).select("key", messages["value"]))
+
+
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return _with_offsets(spark.read.schema(schemas.MESSAGE).format(fmt).load(path))
 

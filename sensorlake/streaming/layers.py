@@ -1,24 +1,25 @@
-"""Three independent queries over one stream: raw, cleaned and statistics layers.
+"""Three queries over one stream: raw, cleaned and statistics layers.
 
-Each query has its own source read and checkpoint. ``foreachBatch`` may repeat a batch after a
-failure; every write replaces the partitions of its own micro-batch, so a repeat leaves the
-tables as they were. A new checkpoint over an existing lake continues its numbers, so that it
-adds to the lake.
+Each query has its own source read and checkpoint; chained, the cleaned layer reads the files of the raw
+one instead. ``foreachBatch`` may repeat a batch after a failure; every write replaces the partitions of
+its own micro-batch, so a repeat leaves the tables as they were. A new checkpoint over an existing lake
+continues its numbers, so that it adds to the lake.
 """
 
 from __future__ import annotations
 
 import hashlib
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import schemas
-from sensorlake.operators import gold, silver
+from sensorlake.operators import gold, rejects, silver, snapshot
 from sensorlake.sources import messages
 from sensorlake.sources.layers import Lake, replace_partitions, with_time_parts
 
@@ -35,22 +36,36 @@ BatchWriter = Callable[[DataFrame, int], None]
 GoldSink = Callable[[DataFrame, str], None]
 
 
+class StagedSink(Protocol):
+    """A sink that takes a batch whole or not at all, so that a repeated batch is applied once."""
+
+    def committed(self, batch_id: int) -> bool:
+        """Whether the batch is in the tables."""
+
+    def stage(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        """Put a table's rows aside, in place of what an earlier attempt put there."""
+
+    def commit(self, batch_id: int) -> None:
+        """Move the staged rows of all tables into place and mark the batch, in one step."""
+
+
 def _now() -> Column:
     """One clock reading per micro-batch, the same in every table it writes."""
     return F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
 
 
-def _counted(df: DataFrame, layer: str, batch_id: int) -> tuple[DataFrame, Callable[[], int]]:
-    """Count rows while they are written instead of in a second pass."""
-    seen = Observation(f"{layer}-{batch_id}")
+class _Counter:
+    """Counts of rows that Spark takes while it writes them, instead of a second pass."""
+
+    def __init__(self, name: str, **counts: Column):
+        self._seen, self._counts = Observation(name), counts
 
-    def count() -> int:
-        # Where Spark finds at run time that there are no rows, it drops the count as well.
-        rows = seen.get["rows"] if seen._jo.getRow().length() else 0
-        log.info("%s batch %d: %d rows", layer, batch_id, rows)
-        return rows
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *[count.alias(name) for name, count in self._counts.items()])
 
-    return df.observe(seen, F.count("*").alias("rows")), count
+    def __getitem__(self, name: str) -> int:
+        # Where Spark finds at run time that there are no rows, it drops the counts as well.
+        return self._seen.get[name] if self._seen._jo.getRow().length() else 0
 
 
 class _Numbers:
@@ -70,80 +85,180 @@ class _Numbers:
         return self._first[query] + batch_id
 
 
-def _write_layer(rows: DataFrame, layer: str, lake: Lake, path: str, schema, batch_id: int) -> None:
+def _write_layer(rows: DataFrame, layer: str, lake: Lake, batch_id: int) -> None:
+    path, schema = lake.layer(layer)
+    counter = _Counter(f"{layer}-{batch_id}", rows=F.count("*"))
     stamped = with_time_parts(rows).withColumns({"ingest_batch": F.lit(batch_id), "part": F.lit(batch_id)})
-    counted, count = _counted(schemas.conform(stamped, schema), layer, batch_id)
-    replace_partitions(counted, path, schemas.LAYER_KEYS)
+    replace_partitions(counter.on(schemas.conform(stamped, schema)), path, schemas.LAYER_KEYS)
+    log.info("%s batch %d: %d rows", layer, batch_id, counter["rows"])
     spark = rows.sparkSession
-    listed = spark.createDataFrame([(layer, batch_id, count())], "table_name string, batch_id long, row_count long")
+    listed = spark.createDataFrame([(layer, batch_id, counter["rows"])], "table_name string, batch_id long, row_count long")
     lake.publish(spark, layer, listed.withColumn("snapshot_time", _now()))
 
 
+def _keep_rejected(rows: DataFrame, constraints: Sequence[rejects.Constraint], table: str, lake: Lake, batch_id: int) -> None:
+    found = rejects.rejected(rows, constraints, table, batch_id)
+    replace_partitions(found, lake.rejected, ("table_name", "batch_id"))
+
+
 def bronze_writer(lake: Lake) -> BatchWriter:
     numbers = _Numbers(lake, "bronze")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            _write_layer(batch.withColumn("ingested_at", _now()), "bronze", lake, lake.bronze, schemas.BRONZE, numbers(batch, batch_id))
+            _write_layer(batch.withColumn("ingested_at", _now()), "bronze", lake, numbers(batch, batch_id))
 
     return write
 
 
-def silver_writer(lake: Lake) -> BatchWriter:
+def _cleaned(batch: DataFrame) -> DataFrame:
+    return silver.enrich(silver.clean(batch)).withColumn("processed_at", _now())
+
+
+def silver_writer(lake: Lake, keep_rejected: bool = False) -> BatchWriter:
+    """Writer of cleaned readings; ``keep_rejected`` keeps those that broke a constraint, as they came.
+
+    Broken constraints are counted as the batch is cleaned; only a batch that has some is read again.
+    """
     numbers = _Numbers(lake, "silver")
+    constraints = rejects.of_readings()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            cleaned = silver.enrich(silver.clean(batch)).withColumn("processed_at", _now())
-            _write_layer(cleaned, "silver", lake, lake.silver, schemas.SILVER, numbers(batch, batch_id))
+        if batch.isEmpty():
+            return
+        number = numbers(batch, batch_id)
+        if not keep_rejected:
+            _write_layer(_cleaned(batch), "silver", lake, number)
+            return
+        broken = rejects.reasons(constraints).isNotNull()
+        counter = _Counter(f"rejected-{number}", rejected=F.count_if(broken))
+        _write_layer(_cleaned(counter.on(batch)), "silver", lake, number)
+        if counter["rejected"]:
+            _keep_rejected(batch, constraints, "silver", lake, number)
 
     return write
 
 
+def chained_silver_writer(lake: Lake) -> BatchWriter:
+    """Writer of readings that come from the files of the raw layer.
+
+    Cleaned rows keep the number of the raw micro-batch and replace exactly what came of it, so that a raw
+    micro-batch that is written again, and therefore read again, changes nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        rows = _cleaned(batch.drop(*schemas.TIME_PARTS))
+        counted = rows.groupBy("ingest_batch").agg(F.count("*").alias("row_count")).collect()  # a row per raw micro-batch
+        stamped = with_time_parts(rows).withColumn("part", F.col("ingest_batch"))
+        replace_partitions(schemas.conform(stamped, schemas.SILVER), lake.silver, schemas.LAYER_KEYS)
+        spark = batch.sparkSession
+        listed = spark.createDataFrame([("silver", r.ingest_batch, r.row_count) for r in counted], "table_name string, batch_id long, row_count long")
+        lake.publish(spark, "silver", listed.withColumn("snapshot_time", _now()))
+
+    return write
+
+
+def bronze_stream(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The raw layer as a stream of its files, whole micro-batches at a time.
+
+    Only folders of micro-batches are read, so hours that are folded later are not read twice. A raw
+    micro-batch appears folder by folder, each of them at once.
+    """
+    folders = "/".join([*(f"{part}=*" for part in schemas.TIME_PARTS), "part=[0-9]*"])
+    return spark.readStream.schema(schemas.BRONZE).option("basePath", lake.bronze).parquet(f"{lake.bronze}/{folders}")
+
+
 def parquet_sink(lake: Lake) -> GoldSink:
     """Statistics as Parquet, replacing exactly the batches that are written."""
     return lambda rows, table: replace_partitions(rows, lake.gold(table), ("batch_id",))
 
 
 def write_statistics(
-    readings: DataFrame, lake: Lake, batch_id: int | None, snapshot_time: Column | None, sink: GoldSink | None = None,
+    readings: DataFrame, lake: Lake, batch_id: int | None, snapshot_time: Column | None, sink: GoldSink | StagedSink | None = None,
 ) -> None:
     """Write the three statistics tables of one batch, or of a whole history of batches.
 
     The totals are a row per zone and batch; they are kept so that zone and governorate
-    statistics share one pass over the readings. The batch is listed in the table of snapshots
-    when all three are written, so that no reader sees a part of it. ``sink`` replaces Parquet;
-    it must run the write before it returns. Only the Parquet sink is exact when a batch repeats.
+    statistics share one pass over the readings. With the alerts go the most severe ones of every house,
+    which views read. The batch is listed, with its houses in either state, when all is written, so that
+    no reader sees a part of it. Rows whose texts a table cannot hold are kept aside with the reason.
+
+    ``sink`` replaces Parquet. A ``StagedSink`` applies a batch once, however often it is repeated; a plain
+    one must run the write before it returns, and appends again.
     """
-    write = parquet_sink(lake) if sink is None else sink
     totals = gold.region_totals(readings, batch_id, snapshot_time).persist()
     try:
-        tables = {
-            "zone_stats": gold.zone_stats(totals),
-            "gov_stats": gold.gov_stats(totals),
-            "active_alerts": gold.active_alerts(readings, batch_id),
-        }
-        for name, rows in tables.items():
-            write(schemas.conform(rows, schemas.GOLD[name]), name)
-        lake.publish(readings.sparkSession, "gold", _listed(totals))
+        alerts = gold.active_alerts(readings, batch_id)
+        tables = {"zone_stats": gold.zone_stats(totals), "gov_stats": gold.gov_stats(totals), "active_alerts": alerts}
+        if hasattr(sink, "stage"):
+            if batch_id is None:
+                raise ValueError("a staged sink takes one batch at a time")
+            broken = True  # as far as is known of a batch that an earlier attempt applied
+            if not sink.committed(batch_id):
+                broken = _write_tables(tables, lake, batch_id, lambda rows, table: sink.stage(rows, table, batch_id))
+                sink.commit(batch_id)
+        else:
+            broken = _write_tables(tables, lake, batch_id, sink or parquet_sink(lake))
+        houses = _held(alerts, "active_alerts")
+        if sink is None:
+            replace_partitions(schemas.conform(snapshot.house_state(houses), schemas.HOUSE_ALERTS), lake.houses, ("batch_id",))
+            first = lake.read_houses(readings.sparkSession).where("first_of_house")
+            houses = first if batch_id is None else first.where(F.col("batch_id") == batch_id)
+        lake.publish(readings.sparkSession, "gold", _listed(totals, alerts if broken else None, snapshot.house_counts(houses, ["batch_id"])))
     finally:
         totals.unpersist()
 
 
-def _listed(totals: DataFrame) -> DataFrame:
-    """Rows of each statistics table per batch, from the totals, which hold a row per zone."""
+def _held(rows: DataFrame, table: str) -> DataFrame:
+    """Rows whose texts a statistics table can hold."""
+    return rows.where(~rejects.dropped(rejects.of_statistics(table)))
+
+
+def _write_tables(tables: dict[str, DataFrame], lake: Lake, batch_id: int | None, write: GoldSink) -> bool:
+    """Write what the tables can hold; rows they cannot are counted on the way and, if there are any, kept aside.
+
+    Returns whether there are any.
+    """
+    broken = False
+    for name, rows in tables.items():
+        constraints = rejects.of_statistics(name)
+        counter = _Counter(f"{name}-{batch_id}", rejected=F.count_if(rejects.dropped(constraints)))
+        shaped = schemas.conform(rows, schemas.GOLD[name])
+        write(_held(counter.on(shaped), name), name)
+        if counter["rejected"]:
+            broken = True
+            _keep_rejected(shaped, constraints, name, lake, -1 if batch_id is None else batch_id)
+    return broken
+
+
+def _listed(totals: DataFrame, alerts: DataFrame | None, houses: DataFrame) -> DataFrame:
+    """Rows of each statistics table per batch, and the batch's houses in either state.
+
+    Zone and governorate rows are counted in the totals, which hold a row per zone, and alerts in the sums of
+    the zones. ``alerts`` are given if some of them may have texts that no table can hold.
+    """
+    placed = rejects.dropped([c for c in rejects.of_statistics("zone_stats") if c.column in ("governorate", "zone")])
+    of_governorate = rejects.dropped([c for c in rejects.of_statistics("gov_stats") if c.column == "governorate"])
     counts = {
-        "zone_stats": F.count("*"),
-        "gov_stats": F.count_distinct(F.struct("governorate")),
+        "zone_stats": F.count_if(~placed),
+        "gov_stats": F.count_distinct(F.when(~of_governorate, F.struct("governorate"))),
         "active_alerts": F.sum(F.col("critical_count") + F.col("warning_count")),
     }
     batches = totals.groupBy("batch_id").agg(F.max("snapshot_time").alias("snapshot_time"), *[n.alias(t) for t, n in counts.items()])
-    tables = F.array(*[F.struct(F.lit(t).alias("table_name"), F.col(t).alias("row_count")) for t in counts])
-    return batches.select("batch_id", "snapshot_time", F.inline(tables))
+    if alerts is not None:
+        broken = alerts.where(rejects.dropped(rejects.of_statistics("active_alerts")))
+        less = broken.groupBy(F.col("batch_id").alias("broken_batch")).agg(F.count("*").alias("broken"))
+        batches = batches.join(less, F.col("batch_id").eqNullSafe(F.col("broken_batch")), "left")
+        batches = batches.withColumn("active_alerts", F.col("active_alerts") - F.coalesce("broken", F.lit(0)))
+    batches = batches.join(houses.withColumnRenamed("batch_id", "counted_batch"), F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left")
+    rows = F.array(*[F.struct(F.lit(t).alias("table_name"), F.col(t).alias("row_count")) for t in counts])
+    return batches.fillna(0, ["critical", "warning"]).select("batch_id", "snapshot_time", "critical", "warning", F.inline(rows))
 
 
 def gold_writer(
-    lake: Lake, event_clock: bool = False, from_silver: bool = False, keep_batch: bool = True, sink: GoldSink | None = None,
+    lake: Lake, event_clock: bool = False, from_silver: bool = False, keep_batch: bool = True, sink: GoldSink | StagedSink | None = None,
 ) -> BatchWriter:
     """Statistics writer; ``batch_id`` of its rows is the micro-batch number.
 
@@ -193,8 +308,13 @@ def start(
     )
 
 
-def _writers(lake: Lake, event_clock: bool, sink: GoldSink | None) -> dict[str, BatchWriter]:
-    return {"bronze": bronze_writer(lake), "silver": silver_writer(lake), "gold": gold_writer(lake, event_clock, sink=sink)}
+def _writers(lake: Lake, event_clock: bool, sink: GoldSink | StagedSink | None, chained: bool) -> dict[str, BatchWriter]:
+    cleaned = chained_silver_writer(lake) if chained else silver_writer(lake)
+    return {"bronze": bronze_writer(lake), "silver": cleaned, "gold": gold_writer(lake, event_clock, sink=sink)}
+
+
+def _source(source: DataFrame, layer: str, lake: Lake, chained: bool) -> DataFrame:
+    return bronze_stream(source.sparkSession, lake) if chained and layer == "silver" else source
 
 
 def _stop(queries: list[StreamingQuery]) -> None:
@@ -204,17 +324,19 @@ def _stop(queries: list[StreamingQuery]) -> None:
 
 
 def run(
-    source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | None = None, intervals: dict[str, str] | None = None,
+    source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | StagedSink | None = None, intervals: dict[str, str] | None = None,
+    chained: bool = False, until: Callable[[], bool] | None = None,
 ) -> None:
-    """Keep all layers running until one of them ends, then stop the others.
+    """Keep all layers running until one of them ends or ``until`` holds, then stop the others.
 
-    If one ends by an error, that is raised. Other queries of the session make no difference.
+    If one ends by an error, that is raised. Other queries of the session make no difference. ``chained``
+    lets the cleaned layer read the raw layer instead of the source.
     """
     queries: list[StreamingQuery] = []
     try:
-        for layer, writer in _writers(lake, event_clock, sink).items():
-            queries.append(start(source, layer, writer, lake, interval=(intervals or {}).get(layer)))
-        while all(query.isActive for query in queries):
+        for layer, writer in _writers(lake, event_clock, sink, chained).items():
+            queries.append(start(_source(source, layer, lake, chained), layer, writer, lake, interval=(intervals or {}).get(layer)))
+        while all(query.isActive for query in queries) and not (until is not None and until()):
             queries[0].awaitTermination(1)
         for query in queries:
             if query.exception() is not None:
@@ -223,12 +345,18 @@ def run(
         _stop(queries)
 
 
-def catch_up(source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | None = None) -> None:
-    """Bring all layers up to date with the source, then return; an error in one stops the others."""
+def catch_up(source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | StagedSink | None = None, chained: bool = False) -> None:
+    """Bring all layers up to date with the source, then return; an error in one stops the others.
+
+    Chained, the cleaned layer begins when the raw one is up to date.
+    """
     queries: list[StreamingQuery] = []
     try:
-        for layer, writer in _writers(lake, event_clock, sink).items():
-            queries.append(start(source, layer, writer, lake, available_now=True))
+        for layer, writer in sorted(_writers(lake, event_clock, sink, chained).items(), key=lambda x: chained and x[0] == "silver"):
+            if chained and layer == "silver":
+                for query in queries:
+                    query.awaitTermination()
+            queries.append(start(_source(source, layer, lake, chained), layer, writer, lake, available_now=True))
         for query in queries:
             query.awaitTermination()
     finally:

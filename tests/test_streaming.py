@@ -11,6 +11,7 @@ from samples import readings, values
 from sensorlake.operators import gold
 from sensorlake.plans import fixture
 from sensorlake.sources import messages
+from sensorlake import schemas
 from sensorlake.sources.layers import Lake, layer_counts, within
 from sensorlake.streaming import layers
 
@@ -241,52 +242,224 @@ def test_a_layer_parses_its_own_fields(spark, layer):
     assert (row.event_id, str(row.event_time)) == ("a", "2024-02-03 04:05:06")
 
 
-def test_closed_hours_are_folded(spark, tmp_path, lake):
+def _as_parsed(rows):
+    return rows.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string")})
+
+
+def _folders(lake, hour):
     from pathlib import Path
 
-    from sensorlake.sources.layers import fold_hours
+    return sorted(p.name for p in Path(lake.bronze).glob(f"year=2024/month=1/day=1/hour={hour}/part=*"))
+
+
+def test_a_closed_hour_is_folded(spark, tmp_path, lake):
+    from sensorlake.sources.layers import fold_hour
 
     write = layers.bronze_writer(lake)
 
     def batch(number, *times):
-        rows = readings(spark, *[{"event_id": f"{number}-{i}", "timestamp": t} for i, t in enumerate(times)])
-        return rows.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string")}), number
+        return _as_parsed(readings(spark, *[{"event_id": f"{number}-{i}", "timestamp": t} for i, t in enumerate(times)])), number
 
     for n in range(4):
         write(*batch(n, "2024-01-01 10:10:00", "2024-01-01 11:10:00", "2024-01-01 12:10:00"))
     before = sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect())
-    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 2
-    places = lambda hour: sorted(p.name for p in Path(lake.bronze).glob(f"year=2024/month=1/day=1/hour={hour}/part=*"))
-    assert places(10) == places(11) == ["part=-1", "part=3"] and len(places(12)) == 4
+    assert [fold_hour(spark, lake, "bronze", datetime(2024, 1, 1, hour)) for hour in (10, 11)] == [3, 3]
+    assert _folders(lake, 10) == _folders(lake, 11) == ["part=-1", "part=3"] and len(_folders(lake, 12)) == 4
     assert sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect()) == before
     write(*batch(3, "2024-01-01 10:10:00", "2024-01-01 11:10:00", "2024-01-01 12:10:00"))  # repeated
     assert sorted(lake.read_bronze(spark).select("event_id", "hour", "ingest_batch").collect()) == before
     write(*batch(4, "2024-01-01 10:59:00"))  # late
     write(*batch(5, "2024-01-01 13:00:00"))
     assert lake.read_bronze(spark).count() == 14
-    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 2
-    assert places(10) == places(11) == ["part=-1"]
+    assert [fold_hour(spark, lake, "bronze", datetime(2024, 1, 1, hour)) for hour in (10, 11)] == [2, 1]
+    assert _folders(lake, 10) == _folders(lake, 11) == ["part=-1"]
     assert lake.read_bronze(spark).count() == 14
-    assert fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12)) == 0
+    assert fold_hour(spark, lake, "bronze", datetime(2024, 1, 1, 10)) == 0
+    assert fold_hour(spark, lake, "bronze", datetime(2030, 1, 1, 10)) == 0
 
 
 def test_an_interrupted_fold_is_made_good(spark, lake):
-    from sensorlake import schemas
-    from sensorlake.sources.layers import FOLDED, fold_hours, replace_partitions
+    from sensorlake.sources.layers import FOLDED, fold_hour, replace_partitions
 
     write = layers.bronze_writer(lake)
     for n in range(3):
-        rows = readings(spark, {"event_id": f"e{n}", "timestamp": "2024-01-01 10:10:00"})
-        write(rows.withColumns({"kafka_partition": F.lit(0), "kafka_offset": F.lit(0).cast("long"), "raw_value": F.lit(None).cast("string")}), n)
-    # As if it had ended between writing the hour and removing its old directories.
+        write(_as_parsed(readings(spark, {"event_id": f"e{n}", "timestamp": "2024-01-01 10:10:00"})), n)
+    # As if it had ended between writing the hour and removing its old folders.
     half = lake.read_bronze(spark).where("part < 2").withColumn("part", F.lit(FOLDED)).cache()
     half.count()
     replace_partitions(schemas.conform(half, schemas.BRONZE), lake.bronze, schemas.LAYER_KEYS)
     assert lake.read_bronze(spark).count() == 5
-    fold_hours(spark, lake, "bronze", datetime(2024, 1, 1, 12))
+    fold_hour(spark, lake, "bronze", datetime(2024, 1, 1, 10))
     assert sorted(r.event_id for r in lake.read_bronze(spark).collect()) == ["e0", "e1", "e2"]
 
 
+# --- the cleaned layer after the raw one ------------------------------------------------------
+
+
+def _cleaned(spark, lake):
+    return sorted((r.event_id, r.ingest_batch) for r in lake.read_silver(spark).collect())
+
+
+def test_a_chained_layer_reads_every_raw_micro_batch_once(spark, tmp_path, lake):
+    from sensorlake.sources.layers import fold_hour
+
+    landing = str(tmp_path / "landing")
+    want = []
+    for n in range(4):
+        _sent(spark, landing, event_id=f"e{n}", timestamp=f"2024-01-01 1{n % 2}:00:00")
+        layers.catch_up(messages.file_stream(spark, landing), lake, chained=True)
+        want.append((f"e{n}", n))
+        assert _cleaned(spark, lake) == want
+        if n == 2:  # folded hours are not read again
+            assert fold_hour(spark, lake, "bronze", datetime(2024, 1, 1, 10)) == 1
+    counted = {r.batch_id: r.row_count for r in lake.snapshots(spark, "silver").collect()}
+    assert counted == {n: 1 for n in range(4)}
+
+
+def test_a_raw_micro_batch_that_is_written_again_changes_nothing(spark, tmp_path, lake):
+    rows = _as_parsed(readings(spark, *[{"event_id": f"e{i}", "timestamp": f"2024-01-01 1{i % 3}:00:00"} for i in range(6)]))
+
+    def read():
+        layers.start(layers.bronze_stream(spark, lake), "silver", layers.chained_silver_writer(lake), lake, available_now=True).awaitTermination()
+        return _cleaned(spark, lake)
+
+    layers.bronze_writer(lake)(rows, 0)
+    first = read()
+    layers.bronze_writer(lake)(rows, 0)  # its files have other names now
+    assert first == read() == [(f"e{i}", 0) for i in range(6)]
+
+
+def test_both_ways_clean_alike(spark, tmp_path, lake):
+    landing = str(tmp_path / "landing")
+    _publish(readings(spark, {"temperature_c": 99.0}, {"house_id": None}, {"timestamp": "bad"}, {"aqi": None}), landing)
+    other = Lake(f"{lake.root}-2")
+    layers.catch_up(messages.file_stream(spark, landing), lake)
+    layers.catch_up(messages.file_stream(spark, landing), other, chained=True)
+    columns = [c for c in schemas.SILVER.names if c != "processed_at"]
+    assert sorted(map(str, lake.read_silver(spark).select(*columns).collect())) == sorted(map(str, other.read_silver(spark).select(*columns).collect()))
+
+
+# --- rejected rows ----------------------------------------------------------------------------
+
+
+def test_rows_that_break_a_constraint_are_kept_with_the_reason(spark, lake):
+    rows = _as_parsed(readings(
+        spark, {"temperature_c": 99.0, "aqi": -1}, {"house_id": None}, {"timestamp": "bad", "methane_ppm": -3.0}, {"temperature_c": None}, {"temperature_c": 65.0},
+    ))
+    for _ in range(2):  # a repeated micro-batch changes nothing
+        layers.silver_writer(lake, keep_rejected=True)(rows, 7)
+    assert sorted(r.event_id for r in lake.read_silver(spark).collect()) == ["e0", "e3", "e4"]
+    kept = {r.event_id: (r.reasons, r.dropped, r.table_name, r.batch_id) for r in lake.read_rejected(spark).collect()}
+    assert kept == {
+        "e0": ("temperature_c: not in -10 to 65; aqi: not in 0 to 500", False, "silver", 7),
+        "e1": ("house_id: missing", True, "silver", 7),
+        "e2": ("event_time: missing; methane_ppm: below 0", True, "silver", 7),
+    }
+    assert '"temperature_c":99.0' in lake.read_rejected(spark).where("event_id = 'e0'").first().content
+
+
+def test_a_sound_micro_batch_keeps_nothing_aside(spark, lake):
+    from pathlib import Path
+
+    layers.silver_writer(lake, keep_rejected=True)(_as_parsed(readings(spark, {})), 0)
+    layers.gold_writer(lake)(readings(spark, {"alert_status": "WARNING"}), 0)
+    assert not Path(lake.rejected).exists()
+
+
+def test_texts_that_a_table_cannot_hold_stay_out_of_it(spark, lake):
+    rows = readings(spark, {"alert_status": "WARNING", "house_id": "H" * 11}, {"alert_status": "WARNING"}, {"zone": "z" * 101})
+    layers.gold_writer(lake)(rows, 0)
+    assert [r.event_id for r in lake.read_gold(spark, "active_alerts").collect()] == ["e1"]
+    assert [r.zone for r in lake.read_gold(spark, "zone_stats").collect()] == ["Maadi"]
+    kept = {(r.table_name, r.reasons) for r in lake.read_rejected(spark).collect()}
+    assert kept == {("active_alerts", "house_id: longer than 10"), ("zone_stats", "zone: longer than 100")}
+    counted = values(lake.snapshots(spark, "gold"), "table_name", "row_count")
+    assert counted == {"zone_stats": 1, "gov_stats": 1, "active_alerts": 1}
+
+
+# --- a sink that takes a batch once ----------------------------------------------------------
+
+
+class Recorder:
+    """A store with staging tables and a mark per batch; ``fails`` is the step after which it breaks down once."""
+
+    def __init__(self, fails=None):
+        self.staged, self.applied, self.marks, self.fails = {}, [], set(), fails
+
+    def _step(self, name):
+        if self.fails == name:
+            self.fails = None
+            raise ConnectionError(name)
+
+    def committed(self, batch_id):
+        return batch_id in self.marks
+
+    def stage(self, rows, table, batch_id):
+        self.staged[table] = [(table, batch_id, r.batch_id) for r in rows.collect()]
+        self._step(f"stage {table}")
+
+    def commit(self, batch_id):
+        self._step("commit")
+        assert batch_id not in self.marks
+        self.marks.add(batch_id)
+        self.applied += [row for rows in self.staged.values() for row in rows]
+        self._step("after")
+
+
+@pytest.mark.parametrize("fails", [None, "stage gov_stats", "commit", "after"])
+def test_a_repeated_batch_is_applied_once(spark, tmp_path, lake, fails):
+    landing = str(tmp_path / "landing")
+    sink = Recorder(fails)
+    for n in range(2):
+        _sent(spark, landing, event_id=f"e{n}")
+        for _ in range(2):
+            try:
+                layers.catch_up(messages.file_stream(spark, landing), lake, sink=sink)
+            except Exception as error:  # noqa: BLE001
+                assert fails in str(error)
+    tables = ("zone_stats", "gov_stats", "active_alerts")
+    assert sorted(sink.applied) == sorted((table, n, n) for n in range(2) for table in tables)
+    assert sink.marks == {0, 1}
+
+
+def test_a_whole_history_is_no_batch_of_a_staged_sink(spark, lake):
+    with pytest.raises(ValueError, match="one batch"):
+        layers.write_statistics(readings(spark, {}), lake, None, None, Recorder())
+
+
+def test_staged_tables_move_in_one_transaction(spark):
+    from sensorlake.sources import jdbc
+
+    ran = []
+    columns = {"zone_stats": ["zone", "batch_id"], "gov_stats": ["governorate", "batch_id"]}
+    sink = jdbc.StagedTables(spark, "jdbc:x", columns, prefix="gold.", run=lambda statements: ran.append(list(statements)) or [])
+    assert sink.committed(4) is False
+    sink.commit(4)
+    assert ran == [
+        ["SELECT batch_id FROM gold.applied_batches WHERE batch_id = 4"],
+        [
+            "INSERT INTO gold.applied_batches (batch_id) VALUES (4)",
+            "INSERT INTO gold.zone_stats (zone, batch_id) SELECT zone, batch_id FROM gold.zone_stats_staged",
+            "INSERT INTO gold.gov_stats (governorate, batch_id) SELECT governorate, batch_id FROM gold.gov_stats_staged",
+        ],
+    ]
+
+
+# --- numbers ----------------------------------------------------------------------------------
+
+
+def test_a_micro_batch_that_was_not_listed_keeps_its_number(spark, tmp_path, lake):
+    from sensorlake.sources.layers import replace_partitions, with_time_parts
+
+    layers.bronze_writer(lake)(_as_parsed(readings(spark, {"event_id": "a"})), 0)
+    rows = with_time_parts(_as_parsed(readings(spark, {"event_id": "b"}))).withColumns({
+        "ingest_batch": F.lit(1), "part": F.lit(1), "ingested_at": F.current_timestamp(),
+    })
+    replace_partitions(schemas.conform(rows, schemas.BRONZE), lake.bronze, schemas.LAYER_KEYS)  # and then it broke down
+    assert lake.first_number(spark, "bronze", "another query") == 2
+    assert lake.first_number(spark, "bronze", "another query") == 2
+
+
 def test_hours_and_times_are_utc_in_every_session_zone(spark, lake):
     from datetime import timedelta, timezone
 
