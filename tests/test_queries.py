@@ -61,9 +61,9 @@ def test_time_range_prunes_partitions_and_reaches_parquet(spark, sf_dir):
 
 
 SERVING = (
-    "latest_snapshot", "gold_sql_scan", "kpis", "count_critical", "avg_risk_decimal", "risk_by_gov", "gov_ranking_dedup", "top_governorate",
+    "latest_snapshot", "gold_sql_scan", "kpis", "avg_risk_decimal", "risk_by_gov", "gov_ranking_dedup", "top_governorate",
     "map_markers", "map_severity", "alert_feed", "alerts_by_selected_gov", "alerts_table_top20", "top5_critical", "trigger_sensor",
-    "methane_trend", "methane_direction", "threat_distribution", "insight_banner", "live_snapshot", "snapshot_at_batch",
+    "methane_trend", "methane_direction", "insight_banner", "live_snapshot", "snapshot_at_batch",
 )
 
 
@@ -75,6 +75,12 @@ def test_serving_opens_the_statistics_of_chosen_batches_only(spark, sf_dir, name
     assert all(re.search(r"PartitionFilters: \[[^\]]*batch_id", line) for line in scans)
 
 
+@pytest.mark.parametrize("name", ["count_critical", "count_warning", "kpi_delta", "threat_distribution"])
+def test_counts_of_houses_come_from_the_list_of_snapshots(spark, sf_dir, name):
+    scans = [line for line in _plan(spark, sf_dir, name).splitlines() if re.search(r"FileScan parquet \[[^]]", line)]
+    assert scans and all("table_name#" in line for line in scans)
+
+
 def test_trend_bound_reaches_parquet_whole(spark, sf_dir):
     assert "GreaterThanOrEqual(snapshot_time,ScalarSubquery" in _plan(spark, sf_dir, "methane_trend")
 
