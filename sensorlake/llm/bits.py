@@ -42,7 +42,7 @@ class BitTable:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
         )
         table = np.zeros((1 << size) // 8, dtype=np.uint8)
-        for row in buckets.toLocalIterator():
+        for row in buckets.collect():  # together as large as the table
             part = np.frombuffer(bytes(row.bits), dtype=np.uint8)
             begin = (row.bucket - 1) * part.size
             table[begin : begin + part.size] = part[: table.size - begin]

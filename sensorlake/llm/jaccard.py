@@ -9,6 +9,10 @@ brute force on the sampled tokens; larger ones are split again. A node that is s
 Runs are repeated until the chance that all of them miss a pair falls below 1 - recall. Later runs
 skip nodes whose sets are linked already.
 
+A path follows from the tokens of a set alone, so nothing is moved while nodes are split: tasks count the
+nodes of a level, a bit table says which of them are compared and which are split again, and the
+sets of all runs go to their nodes once, with their tokens.
+
 Sets linked so far, directly or through others, come together a last time with their whole sets,
 and every pair among them is decided by its exact similarity. Equal sets count once, so copies
 are never paired. No task holds more than a few blocks of sets, and only spanning links leave it.
@@ -16,6 +20,7 @@ are never paired. No task holds more than a few blocks of sets, and only spannin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField
 
 from sensorlake.llm.bits import BitTable
-from sensorlake.llm.graph import components
+from sensorlake.llm.graph import components, forest
 from sensorlake.llm.rows import annotate, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, Words, mixed, pieces
 from sensorlake.sources.shared import stored
@@ -39,13 +44,15 @@ COORDINATES = 128
 LEAST_SHARED = 80
 #: Chance of a second coordinate, so that 1 / similarity are sampled on average.
 SECOND = DENOMINATOR / NUMERATOR - 1
-BUCKET = 4096
-DEPTH = 3
-BLOCK = 2048
+BUCKET = 512
+DEPTH = 4
+BLOCK = 512
 RECALL = 0.9999
 WANTED_BITS = 26
-#: Runs of each round; sets linked in a round are not compared in the next.
-ROUND_RUNS = (2, 6)
+#: Runs of the first round; sets linked in a round are not compared in the next.
+FIRST_RUNS = 2
+#: Sets aside what a node is to be: compared, or split again.
+_COMPARED, _SPLIT = 0x1E3779B97F4A7C15, 0x2545F4914F6CDD1D
 
 _SCALES = (mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (mixed(np.arange(7001, COORDINATES + 7001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -128,90 +135,133 @@ def _sampled(nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield second, (again[second] % np.uint64(COORDINATES)).astype(np.int64)
 
 
-def _children(nodes: np.ndarray, sets: np.ndarray, tokens: np.ndarray) -> pa.RecordBatch:
-    """(node, s) one level down: a child is named by its parent, coordinate and token."""
-    out = []
-    for rows, coordinate in _sampled(nodes):
-        path = mixed(nodes[rows] + coordinate.astype(np.uint64) + np.uint64(1))
-        out.append((mixed(path ^ tokens[rows, coordinate]), sets[rows]))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([n for n, _ in out]).view(np.int64)), pa.array(np.concatenate([s for _, s in out]))], ["node", "s"]
-    )
+def _children(nodes: np.ndarray, rows: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes one level down and the rows of ``tokens`` in them: a child is named by its parent, coordinate and token."""
+    names, places = [], []
+    for sampled, coordinate in _sampled(nodes):
+        path = mixed(nodes[sampled] + coordinate.astype(np.uint64) + np.uint64(1))
+        names.append(mixed(path ^ tokens[rows[sampled], coordinate]))
+        places.append(rows[sampled])
+    return np.concatenate(names), np.concatenate(places)
+
 
+def _levels(tokens: np.ndarray, runs: range, tables: list[BitTable]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(nodes, rows) of every level whose parents are split, from the first to one below the last table."""
+    rows = np.tile(np.arange(tokens.shape[0]), len(runs))
+    nodes, rows = _children(np.repeat(np.array(runs, dtype=np.uint64), tokens.shape[0]), rows, tokens)
+    yield nodes, rows
+    for table in tables:
+        split = table.holds(nodes ^ np.uint64(_SPLIT))
+        nodes, rows = _children(nodes[split], rows[split], tokens)
+        yield nodes, rows
+
+
+def _counted(runs: range, tables: list) -> Callable:
+    """(node, root) of the level below the tables."""
 
-def _roots(runs: range) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, tokens = batch.column("s").to_numpy(), _matrix(batch.column("tokens"))
-            for number in runs:
-                yield _children(np.full(sets.size, number, dtype=np.uint64), sets, tokens)
+            *_, (nodes, rows) = _levels(_matrix(batch.column("tokens")), runs, [t.value for t in tables])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), batch.column("root").take(pa.array(rows))], ["node", "root"])
 
     return run
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        nodes = batch.column("node").to_numpy().view(np.uint64)
-        yield _children(nodes, batch.column("s").to_numpy(), _matrix(batch.column("tokens")))
+def _sent(runs: range, tables: list, last: bool) -> Callable:
+    """(node, side, s, root, tokens): sets to the nodes that are compared, or with ``last`` to those still to be split at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
+        for batch in batches:
+            levels = list(zip(_levels(_matrix(batch.column("tokens")), runs, known[:-1]), known, strict=True))
+            for (nodes, rows), table in levels[-1:] if last else levels:
+                wanted = np.flatnonzero(table.holds(nodes ^ np.uint64(_SPLIT if last else _COMPARED)))
+                some = batch.take(pa.array(rows[wanted]))
+                columns = [pa.array(nodes[wanted].view(np.int64)), pa.array(np.zeros(wanted.size, np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, some.column("s"), some.column("root"), some.column("tokens")], ["node", "side", "s", "root", "tokens"])
+
+    return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], least: int = 50_000) -> Iterator[pa.RecordBatch]:
-    """Batches of whole groups from rows sorted by the column ``node``."""
+def _groups(batches: Iterator[pa.RecordBatch], least: int = 20_000, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of whole groups from rows sorted by the column ``node``; groups of over ``most`` rows are passed over."""
     waiting: list[pa.RecordBatch] = []
-    rows = 0
+    rows, due, passed = 0, least, None
     for batch in batches:
+        if passed is not None:
+            begin = int((batch.column("node").to_numpy() == passed).sum())
+            batch = batch.slice(begin)
         if not batch.num_rows:
             continue
+        passed = None
         waiting.append(batch)
         rows += batch.num_rows
-        nodes = batch.column("node").to_numpy()
-        if rows < least or nodes[0] == nodes[-1]:
+        if rows < due:
             continue
-        cut = int(np.flatnonzero(nodes != nodes[-1])[-1]) + 1
-        yield pa.concat_batches([*waiting[:-1], batch.slice(0, cut)])
-        waiting = [batch.slice(cut)]
-        rows = waiting[0].num_rows
+        together = pa.concat_batches(waiting)
+        nodes = together.column("node").to_numpy()
+        cut = int(np.searchsorted(nodes, nodes[-1]))
+        if cut:
+            yield together.slice(0, cut)
+        rows = rows - cut
+        if most is not None and rows > most:
+            waiting, rows, passed = [], 0, nodes[-1]
+        else:
+            waiting = [together.slice(cut)]
+        due = max(least, 2 * rows)
     if waiting:
         yield pa.concat_batches(waiting)
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n rows the least row that the links a-b join it to."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of the sets of each node that share enough tokens."""
-    for batch in _groups(batches):
-        nodes, sides = batch.column("node").to_numpy(), batch.column("side").to_numpy()
-        sets, tokens = batch.column("s").to_numpy(), _matrix(batch.column("tokens"))
-        end = np.searchsorted(nodes, nodes, side="right")
-        left, right = [], []
-        rows = np.arange(nodes.size)
-        step = 0
-        while rows.size:
-            step += 1
-            rows = rows[rows + step < end[rows]]
-            # Sides 1 and 2 are two blocks of one node; each block by itself is another group.
-            pair = rows[(sides[rows] == 0) | (sides[rows] != sides[rows + step])]
-            for i in range(0, pair.size, 20_000):
-                some = pair[i : i + 20_000]
-                near = some[(tokens[some] == tokens[some + step]).sum(axis=1) >= LEAST_SHARED]
-                left.append(near)
-                right.append(near + step)
-        if left:
-            root = _forest(nodes.size, np.concatenate(left), np.concatenate(right))
-            child = np.flatnonzero(root != np.arange(root.size))
-            yield pa.RecordBatch.from_arrays([pa.array(sets[child]), pa.array(sets[root[child]])], ["a", "b"])
+def _linked(most: int | None) -> Callable:
+    """Spanning links, between roots, of the sets of each node that share enough tokens.
+
+    A bit table takes few nodes for compared ones that are not; those of over ``most`` sets are split elsewhere.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches, most=most):
+            nodes = batch.column("node").to_numpy()
+            first = np.searchsorted(nodes, nodes)
+            end = np.searchsorted(nodes, nodes, side="right")
+            if most is not None and (end - first > most).any():
+                batch = batch.filter(pa.array(end - first <= most))
+                nodes = batch.column("node").to_numpy()
+                first, end = np.searchsorted(nodes, nodes), np.searchsorted(nodes, nodes, side="right")
+            if nodes.size:
+                yield _links(batch, first, end)
+
+    return run
+
+
+def _links(batch: pa.RecordBatch, first: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    sides, tokens = batch.column("side").to_numpy(), _matrix(batch.column("tokens"))
+    roots, own = np.unique(batch.column("root").to_numpy(), return_inverse=True)
+    joined = np.arange(roots.size)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def compare(a: np.ndarray, b: np.ndarray) -> None:
+        # Sides 1 and 2 are two blocks of one node; each block by itself is another group.
+        pair = (joined[own[a]] != joined[own[b]]) & ((sides[a] == 0) | (sides[a] != sides[b]))
+        a, b = a[pair], b[pair]
+        for i in range(0, a.size, 20_000):
+            near = (tokens[a[i : i + 20_000]] == tokens[b[i : i + 20_000]]).sum(axis=1) >= LEAST_SHARED
+            left.append(own[a[i : i + 20_000][near]])
+            right.append(own[b[i : i + 20_000][near]])
+
+    rows = np.arange(first.size)
+    # Sets near the first, or the last, of their node need no comparison among themselves.
+    for leader in (first, end - 1):
+        compare(leader, rows)
+        joined = forest(roots.size, np.concatenate(left), np.concatenate(right))
+    step = 0
+    while rows.size:
+        step += 1
+        rows = rows[rows + step < end[rows]]
+        compare(rows, rows + step)
+    joined = forest(roots.size, np.concatenate(left), np.concatenate(right))
+    child = np.flatnonzero(joined != np.arange(roots.size))
+    return pa.RecordBatch.from_arrays([pa.array(roots[child]), pa.array(roots[joined[child]])], ["a", "b"])
 
 
 def _blocks(rows: DataFrame, size: str, block: int) -> DataFrame:
@@ -241,70 +291,54 @@ def _caught(similarity: float, depth: int) -> float:
     return kept
 
 
-def _walk(sets: DataFrame, runs: range, linked: DataFrame | None) -> tuple[DataFrame, int]:
-    """Links that these runs find among the sets (s, tokens), and the depth of their deepest node."""
-    level = sets.mapInArrow(_roots(runs), "node long, s long")
-    found: DataFrame | None = None
-    depth = 1
+def _walk(sets: DataFrame, runs: range) -> tuple[DataFrame, int]:
+    """Links between roots that these runs find among the sets (s, root, tokens), and the depth of their deepest node."""
+    spark = sets.sparkSession
+    tables: list = []
     while True:
-        if linked is not None:
-            level = level.join(linked, "s", "left").select("node", "s", F.coalesce("root", "s").alias("root"))
-        else:
-            level = level.withColumn("root", F.col("s"))
-        level = stored(level)
+        level = sets.mapInArrow(_counted(runs, tables), "node long, root long")
         sizes = level.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-        # Stored, so that the join reads plain exchanges on both sides, which adaptive execution can split.
-        open_nodes = stored(sizes.where("low < high").select("node", "n"))
-        open_ = stored(level.join(open_nodes, "node").select("node", "s", "n"))
-        last = depth == DEPTH
-        leaves = open_.where(F.col("n") <= BUCKET).select("node", F.lit(0).alias("side"), "s")
-        large = open_.where(F.col("n") > BUCKET)
-        more = not large.isEmpty()
-        if more and last:
-            leaves = leaves.unionByName(_blocks(large, "n", BUCKET // 2))
-        wanted = leaves.join(_tokens_of(sets, leaves), "s").select("node", "side", "s", "tokens")
-        links = _by_node(wanted).mapInArrow(_linked, "a long, b long")
-        found = links if found is None else found.unionByName(links)
-        if not more or last:
-            return found, depth
-        level = large.join(_tokens_of(sets, large), "s").mapInArrow(_split, "node long, s long")
-        depth += 1
-
-
-def _tokens_of(sets: DataFrame, rows: DataFrame) -> DataFrame:
-    """(s, tokens) of the sets in ``rows``; a bit table keeps nearly all others in their tasks."""
-    wanted = stored(rows.select("s").distinct())
-    table = sets.sparkSession.sparkContext.broadcast(BitTable.of(wanted.select(F.col("s").alias("h")), WANTED_BITS))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(table.value.holds(batch.column("s").to_numpy().view(np.uint64))))
-
-    return sets.mapInArrow(run, sets.schema).join(wanted, "s", "left_semi")
+        # A node whose sets are linked already is neither compared nor split.
+        open_ = stored(sizes.where("low < high").select("node", "n"))
+        largest = open_.agg(F.max("n")).first()[0] or 0
+        kind = F.when(F.col("n") <= BUCKET, F.lit(_COMPARED)).otherwise(F.lit(_SPLIT))
+        tables.append(spark.sparkContext.broadcast(BitTable.of(open_.select(F.col("node").bitwiseXOR(kind).alias("h")), WANTED_BITS)))
+        if largest <= BUCKET or len(tables) == DEPTH:
+            break
+    shape = "node long, side int, s long, root long, tokens binary"
+    found = _by_node(sets.mapInArrow(_sent(runs, tables, False), shape)).mapInArrow(_linked(BUCKET), "a long, b long")
+    if largest > BUCKET:
+        large = sets.mapInArrow(_sent(runs, tables, True), shape).drop("side").join(open_.where(F.col("n") > BUCKET), "node")
+        blocks = _blocks(large, "n", BUCKET // 2)
+        found = found.unionByName(_by_node(blocks).mapInArrow(_linked(None), "a long, b long"))
+    return found, len(tables)
 
 
 def candidates(sets: DataFrame, recall: float = RECALL) -> DataFrame:
     """(s, root): sets, of distinct (s, tokens), that the walk joins, directly or through others."""
     similarity = NUMERATOR / DENOMINATOR
-    missed, done, linked = 1.0, 0, None
-    while missed > 1 - recall:
-        runs = range(done, done + ROUND_RUNS[min(done, 1)])
-        found, depth = _walk(sets, runs, linked)
-        linked = _extended(linked, stored(found))
-        missed *= (1 - _caught(similarity, depth)) ** len(runs)
-        done += len(runs)
-    return linked
-
-
-def _extended(linked: DataFrame | None, found: DataFrame) -> DataFrame:
-    """(s, root) with new links: only what they join of the sets so far is contracted."""
+    missed, done, count = 1.0, 0, FIRST_RUNS
+    linked: DataFrame | None = None
+    while True:
+        if linked is None:
+            rooted = sets.withColumn("root", F.col("s"))
+        else:
+            rooted = stored(sets.join(linked, "s", "left").select("s", F.coalesce("root", "s").alias("root"), "tokens"))
+        found, depth = _walk(rooted, range(done, done + count))
+        linked = _extended(linked, stored(components(found)))
+        missed *= (1 - _caught(similarity, depth)) ** count
+        done += count
+        if missed <= 1 - recall:
+            return linked
+        # As many as reach the recall if their nodes are no deeper.
+        count = math.ceil(math.log((1 - recall) / missed) / math.log(1 - _caught(similarity, depth)))
+
+
+def _extended(linked: DataFrame | None, joined: DataFrame) -> DataFrame:
+    """(s, root) with roots joined further, as (node, root); a node that is no root yet is a set by itself."""
     if linked is None:
-        return stored(components(found).select(F.col("node").alias("s"), "root"))
-    ends = [linked.select(F.col("s").alias(end), F.col("root").alias(f"{end}_root")) for end in ("a", "b")]
-    lifted = found.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
-    further = stored(components(lifted)).select("node", F.col("root").alias("further"))
-    if further.isEmpty():
-        return linked
+        return joined.select(F.col("node").alias("s"), "root")
+    further = joined.select("node", F.col("root").alias("further"))
     moved = linked.join(further, linked["root"] == further["node"], "left").select("s", F.coalesce("further", "root").alias("root"))
     fresh = further.join(linked, further["node"] == linked["s"], "left_anti").select(F.col("node").alias("s"), F.col("further").alias("root"))
     return stored(moved.unionByName(fresh))
@@ -361,7 +395,7 @@ def _compared(group: pa.RecordBatch) -> pa.RecordBatch:
         degree = np.concatenate([near.sum(axis=1), near.sum(axis=0)])
     a, b = np.nonzero(near)
     owner = np.concatenate([left, right]) if right is not left else left
-    root = _forest(sets.size, left[a], right[b])
+    root = forest(sets.size, left[a], right[b])
     child = np.flatnonzero(root != np.arange(root.size))
     some = np.flatnonzero(degree)
     return pa.RecordBatch.from_arrays(
