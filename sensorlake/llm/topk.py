@@ -1,12 +1,14 @@
 """Exact top-k inner-product search by distributed histogram selection.
 
-Vectors become integers, so scores are exact. For a block of queries every candidate is scored in
+Vectors become integers and scores stay integers: floats multiply them only where every sum is whole in a
+float. For a block of queries every candidate is scored in
 every pass, and nothing but histograms moves: each pass counts scores per query in equal bins of
 the range that holds the k-th best score and narrows the range to one bin, until the k-th score
 itself is known. A last pass keeps what scores at least that, ties to the smaller id.
 
 A block holds at most ``block`` queries, which bounds what is broadcast and what comes back to
-the driver; more queries take more passes over the candidates and no shuffle of vectors.
+the driver; more queries take more passes over the candidates and no shuffle of vectors. The result of
+a block is stored, so that the plan does not grow with the number of blocks.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,21 +27,30 @@ from sensorlake.sources.shared import stored
 QUERY_BLOCK = 4096
 BINS = 256
 _SCORES = 1 << 22  # scores held at once by a task
+#: Sums below this are whole in a float; scores beyond the second are no LONG.
+_FLOAT_WHOLE, _LONG = 1 << 53, (1 << 63) - 1
 
 
-def quantised(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component. Null or not finite components, null vectors and null ids drop out."""
+def quantised(
+    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 256, is_query: Column | None = None
+) -> DataFrame:
+    """(vec_id, v, is_query): floor(scale * x) of each component, and whether the row asks. Null or not finite components, null vectors and null ids drop out."""
     x = F.col(vector)
     usable = x.isNotNull() & F.col(vec_id).isNotNull() & (F.size(x) > 0) & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
     )
     whole = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    return vectors.where(usable).select(F.col(vec_id).alias("vec_id"), whole.alias("v"))
+    asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
+    return vectors.where(usable).select(F.col(vec_id).alias("vec_id"), whole.alias("v"), asks.alias("is_query"))
 
 
 @dataclass
 class _Queries:
-    """A block of queries of one dimension; ``low`` to ``high`` holds each one's k-th best score."""
+    """A block of queries of one dimension; ``low`` to ``high`` holds each one's k-th best score.
+
+    The matrix is of floats where all sums of products are whole in one, else of integers, whose products
+    take longer.
+    """
 
     ids: np.ndarray
     matrix: np.ndarray
@@ -59,23 +70,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], queries: _Queries) -> Iterator[tu
         ids = batch.column("vec_id").to_numpy()[fits]
         if not fits.size:
             continue
-        matrix = lists.take(pa.array(fits)).flatten().to_numpy().reshape(-1, width).astype(np.float64)
+        matrix = lists.take(pa.array(fits)).flatten().to_numpy().reshape(-1, width).astype(queries.matrix.dtype)
         for i in range(0, fits.size, step):
             scores = (matrix[i : i + step] @ queries.matrix.T).astype(np.int64)
             own = ids[i : i + step, None] == queries.ids[None, :]
             yield ids[i : i + step], np.where(own, np.iinfo(np.int64).min, scores)
 
 
+def _widths(queries: _Queries) -> np.ndarray:
+    """The width of the bins of each query's range, which all of them together cover."""
+    return (queries.high.view(np.uint64) - queries.low.view(np.uint64)) // np.uint64(BINS) + np.uint64(1)
+
+
 def _histogram(queries: _Queries):
     """Scores per query and bin, with those above the range in one more bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = queries.ids.size
-        width = -(-(queries.high - queries.low + 1) // BINS)
+        width = _widths(queries)
         total = np.zeros((count, BINS + 1), dtype=np.int64)
         for _, scores in _blocks(batches, queries):
             row, query = np.nonzero(scores >= queries.low)
-            place = np.minimum((scores[row, query] - queries.low[query]) // width[query], BINS)
+            # Unsigned, as a range may be as wide as all LONG values.
+            above = scores[row, query].view(np.uint64) - queries.low[query].view(np.uint64)
+            place = np.minimum(above // width[query], np.uint64(BINS)).astype(np.int64)
             flat = query * (BINS + 1) + place
             total += np.bincount(flat, minlength=total.size).reshape(total.shape)
         # The k-th best overall is no worse than the k-th best of these rows: lower bins can't matter.
@@ -94,11 +112,13 @@ def _narrowed(queries: _Queries, rows: list) -> None:
     above = np.cumsum(total[:, ::-1], axis=1)[:, ::-1]
     enough = above >= queries.k
     place = np.where(enough.any(axis=1), BINS - np.argmax(enough[:, ::-1], axis=1), 0)
-    width = -(-(queries.high - queries.low + 1) // BINS)
     few = ~enough.any(axis=1)
-    low = queries.low + place * width
-    queries.high = np.where(few, queries.low, np.minimum(low + width - 1, queries.high))
-    queries.low = np.where(few, queries.low, low)
+    # Modulo 2**64 the sums come out right; a bin lies within the range.
+    low = queries.low.view(np.uint64) + place.astype(np.uint64) * _widths(queries)
+    room = queries.high.view(np.uint64) - low
+    high = low + np.minimum(_widths(queries) - np.uint64(1), room)
+    queries.high = np.where(few, queries.low, high.view(np.int64))
+    queries.low = np.where(few, queries.low, low.view(np.int64))
 
 
 def _best(queries: _Queries):
@@ -130,28 +150,46 @@ def top_k(
     Queries are the rows for which ``is_query`` holds, candidates all rows but those with the
     query's id. Only vectors of the query's own dimension are its candidates. Queries whose rows
     repeat give one answer per distinct id; with several vectors under one id the answer is that
-    of the first in vector order. No queries, or no vectors, give no rows.
+    of the first in vector order, and repeated candidates stand in it as often as there are rows. No
+    queries, or no vectors, give no rows. Further columns, whatever their names, are ignored. Where a
+    score might not fit into a LONG, that is an error.
     """
     spark = vectors.sparkSession
-    usable = stored(quantised(vectors, vec_id, vector, scale))
-    asked = stored(usable.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")))
+    usable = stored(quantised(vectors, vec_id, vector, scale, is_query))
+    asked = stored(usable.where("is_query").groupBy("vec_id").agg(F.min("v").alias("v")))
     widths = [(r.width, r.n) for r in asked.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n")).orderBy("width").collect()]
-    found = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    found: list[DataFrame] = []
     for width, n in widths:
-        same = usable.where(F.size("v") == width)
-        largest = same.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+        same = usable.where(F.size("v") == width).select("vec_id", "v")
+        ends = same.agg(F.max(F.array_max("v")), F.min(F.array_min("v"))).first()
+        largest = max(abs(ends[0]), abs(ends[1]))
         groups = -(-n // block)
         for group in range(groups):
             # Hash groups are uneven, so they are cut again into whole blocks.
             rows = asked.where((F.size("v") == width) & (F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == group)).collect()
             for i in range(0, len(rows), block):
-                part = sorted(rows[i : i + block], key=lambda r: r.vec_id)
-                matrix = np.array([r.v for r in part], dtype=np.float64)
-                bound = np.abs(matrix).sum(axis=1).astype(np.int64) * int(largest)
-                queries = _Queries(np.array([r.vec_id for r in part], dtype=np.int64), matrix, k, -bound, bound.copy())
-                while (queries.low < queries.high).any():
-                    counted = same.mapInArrow(_histogram(queries), "q long, bin long, n long")
-                    _narrowed(queries, counted.groupBy("q", "bin").agg(F.sum("n").alias("n")).collect())
-                found = found.unionByName(same.mapInArrow(_best(queries), "query_id long, vec_id long, score long"))
+                found.append(_of_block(same, sorted(rows[i : i + block], key=lambda r: r.vec_id), largest, k))
+    answers = _together(spark, found)
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return answers.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_block(same: DataFrame, rows: list, largest: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of what may be among the best of a block of queries."""
+    bound = [sum(map(abs, r.v)) * largest for r in rows]
+    if max(bound) > _LONG:
+        raise ValueError("scores beyond the range of LONG")
+    ids, ends = np.array([r.vec_id for r in rows], dtype=np.int64), np.array(bound, dtype=np.int64)
+    matrix = np.array([r.v for r in rows], dtype=np.float64 if max(bound) < _FLOAT_WHOLE else np.int64)
+    queries = _Queries(ids, matrix, k, -ends, ends)
+    while (queries.low < queries.high).any():
+        counted = same.mapInArrow(_histogram(queries), "q long, bin long, n long")
+        _narrowed(queries, counted.groupBy("q", "bin").agg(F.sum("n").alias("n")).collect())
+    return stored(same.mapInArrow(_best(queries), "query_id long, vec_id long, score long"))
+
+
+def _together(spark: SparkSession, found: list[DataFrame]) -> DataFrame:
+    """The stored blocks as one table: a list of files instead of a plan per block."""
+    shape = "query_id long, vec_id long, score long"
+    files = [file for block in found for file in block.inputFiles()]
+    return spark.read.schema(shape).parquet(*files) if files else spark.createDataFrame([], shape)
