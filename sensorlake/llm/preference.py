@@ -7,13 +7,10 @@ common prefix is the position of the first differing turn, and mask offsets are
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.sources.shared import stored
 
-#: Conversations that one task ranks at once.
-RANK_WIDTH = 1024
 #: Role whose turns are learned from.
 LEARNED = "assistant"
 
@@ -61,11 +58,17 @@ def formatted(pairs: DataFrame, conversations: DataFrame, **columns: str) -> Dat
     The prompt is the longest common prefix of both conversations, turns being equal in role and
     text, rendered once. A completion is the rest; it is empty where a conversation is a prefix of
     the other. Masks are the ranges of a completion to learn from. Pairs with an unknown or null
-    conversation drop out; a repeated pair is formatted as often.
+    conversation drop out; a repeated pair is formatted as often. A pair may have ``rejected_turns``, the
+    number of first turns that its rejected side has, all where it is null. Other columns of the pairs and
+    further columns of the conversations are ignored, whatever their names.
     """
-    known = whole(conversations, **columns)
+    # Stored, so that a conversation in very many pairs is joined from plain exchanges, which adaptive execution can split.
+    known = stored(whole(conversations, **columns))
+    cut = F.col("rejected_turns") if "rejected_turns" in pairs.columns else F.lit(None)
+    asked = stored(pairs.select("chosen_id", "rejected_id", cut.cast("int").alias("cut")))
     sides = [known.select(F.col("conv_id").alias(f"{side}_id"), F.col("turns").alias(f"{side}_turns")) for side in ("chosen", "rejected")]
-    both = pairs.select("chosen_id", "rejected_id").join(sides[0], "chosen_id").join(sides[1], "rejected_id")
+    both = asked.join(sides[0], "chosen_id").join(sides[1], "rejected_id")
+    both = both.withColumn("rejected_turns", F.slice("rejected_turns", F.lit(1), F.coalesce("cut", F.size("rejected_turns"))))
     shorter = F.least(F.size("chosen_turns"), F.size("rejected_turns"))
 
     def said(turn: Column) -> Column:
@@ -90,51 +93,14 @@ def formatted(pairs: DataFrame, conversations: DataFrame, **columns: str) -> Dat
     )
 
 
-def _ranked(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """``rows`` with ``rank`` from 1 within ``key`` by the distinct integer ``order``.
-
-    Rows are ranked in stretches of ``order``, and a stretch starts at the count of those before
-    it, so that a key with very many rows is spread over tasks.
-    """
-    placed = rows.withColumn("stretch", F.floor(F.col(order) / RANK_WIDTH))
-    counts = placed.groupBy(key, "stretch").agg(F.count("*").alias("n"))
-    before = W.partitionBy(key).orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(key, "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = F.row_number().over(W.partitionBy(key, "stretch").orderBy(order))
-    return placed.join(starts, [key, "stretch"]).withColumn("rank", F.col("start") + inside).drop("start", "stretch")
-
-
-def pairs_by_first_turn(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(chosen_id, rejected_id): conversations paired two by two, in the order of their ids.
-
-    Conversations that begin with the same turn are paired among themselves; those whose first turn
-    occurs once are paired with one another. The one with more text of the learned role is chosen,
-    the smaller id where it is equal; the last of an odd number stays alone.
-    """
-    said = conversations.where(F.col(conv_id).isNotNull()).select(
-        F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).distinct()
-    learned = F.sum(F.when(F.col("role") == LEARNED, F.length("text")).otherwise(0))
-    heads = said.groupBy("conv_id").agg(
-        learned.alias("learned"), F.min(F.struct("turn", "role", F.sha2("text", 256).alias("digest"))).alias("first")
-    ).select("conv_id", "learned", F.concat_ws(":", F.sha2("first.role", 256), "first.digest").alias("start"))
-    common = heads.groupBy("start").agg(F.count("*").alias("n")).where("n > 1").select("start", F.col("start").alias("key"))
-    keyed = heads.join(common, "start", "left").select("conv_id", "learned", F.coalesce("key", F.lit("")).alias("key"))
-    ranked = _ranked(keyed, "key", "conv_id").withColumn("pair", F.floor((F.col("rank") - 1) / 2))
-    worth = F.struct("learned", -F.col("conv_id"))
-    both = ranked.groupBy("key", "pair").agg(
-        F.max_by("conv_id", worth).alias("chosen_id"), F.min_by("conv_id", worth).alias("rejected_id"), F.count("*").alias("n")
-    )
-    return both.where("n = 2").select("chosen_id", "rejected_id")
-
-
 def pairs_by_longest_prefix(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(chosen_id, rejected_id): every conversation with one of those that share most of its first turns.
+    """(chosen_id, rejected_id, rejected_turns): a pair for every conversation, at the deepest prefix it shares.
 
-    Conversations are paired at the deepest prefix they share with any other, two by two in the order
-    of their ids; one that is left over there is paired with another of that prefix as well. Those
-    that share no turn are paired with one another. Chosen is the one with more text of the learned
-    role, the smaller id where it is equal. A single conversation has no pair.
+    Among the conversations that share the most first turns with it, it is rejected for the best, which has
+    the most text of the learned role, the smaller id where that is equal; the best itself is chosen over the
+    last in that order. One that shares no turn with any other is chosen over itself cut
+    before its last learned turn, ``rejected_turns`` turns long, or uncut where it has none. Equal pairs are
+    one. Rows are read as by ``whole``. No conversations give no pairs.
     """
     known = whole(conversations, conv_id, turn, role, text)
 
@@ -143,24 +109,20 @@ def pairs_by_longest_prefix(conversations: DataFrame, conv_id: str = "conv_id",
         return F.array_append(seen, F.sha2(F.concat(last, F.sha2(turn["role"], 256), F.sha2(turn["text"], 256)), 256))
 
     learned = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.when(t["role"] == LEARNED, F.length(t["text"])).otherwise(0))
-    paths = stored(known.select("conv_id", learned.alias("learned"), F.aggregate("turns", F.array().cast("array<string>"), longer).alias("path")))
-    prefixes = paths.select("conv_id", F.posexplode("path").alias("depth", "prefix"))
-    shared = prefixes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).where("n > 1")
-    deepest = prefixes.join(shared, "prefix").groupBy("conv_id").agg(F.max(F.struct("depth", "prefix", "lo", "hi")).alias("near"))
-    ends = paths.agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi"))
-    heads = stored(paths.join(deepest, "conv_id", "left").select(
-        "conv_id", "learned", F.coalesce("near.prefix", F.lit("")).alias("key"),
-        F.coalesce("near.lo", ends.select("lo").scalar()).alias("lo"), F.coalesce("near.hi", ends.select("hi").scalar()).alias("hi"),
+    last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == LEARNED)), F.lit(True)).cast("int")
+    paths = stored(known.select(
+        "conv_id", learned.alias("learned"), last.alias("cut"), F.aggregate("turns", F.array().cast("array<string>"), longer).alias("path")
     ))
-    ranked = _ranked(heads, "key", "conv_id").withColumn("pair", F.floor((F.col("rank") - 1) / 2))
+    prefixes = paths.select("conv_id", "learned", F.posexplode("path").alias("depth", "prefix"))
     worth = F.struct("learned", -F.col("conv_id"))
-    both = ranked.groupBy("key", "pair").agg(
-        F.max_by("conv_id", worth).alias("chosen_id"), F.min_by("conv_id", worth).alias("rejected_id"), F.count("*").alias("n"),
-        F.max("learned").alias("learned"), F.first("lo").alias("lo"), F.first("hi").alias("hi"),
+    sharing = prefixes.groupBy("prefix").agg(
+        F.count("*").alias("n"), F.max_by("conv_id", worth).alias("best"), F.min_by("conv_id", worth).alias("last")
     )
-    one, other = F.col("chosen_id"), F.when(F.col("chosen_id") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
-    left = both.where("n = 1").select(one.alias("one"), "learned", other.alias("other")).where("one <> other")
-    met = left.join(heads.select(F.col("conv_id").alias("other"), F.col("learned").alias("others")), "other")
-    first = F.struct("learned", -F.col("one")) > F.struct(F.col("others").alias("learned"), -F.col("other"))
-    odd = met.select(F.when(first, F.col("one")).otherwise(F.col("other")).alias("chosen_id"), F.when(first, F.col("other")).otherwise(F.col("one")).alias("rejected_id"))
-    return both.where("n = 2").select("chosen_id", "rejected_id").unionByName(odd)
+    # Stored, as a prefix that very many conversations share is a hot key of the join.
+    shared = stored(sharing.where("n > 1").drop("n"))
+    deepest = prefixes.join(shared, "prefix").groupBy("conv_id").agg(F.max(F.struct("depth", "best", "last")).alias("near"))
+    met = stored(deepest.select("conv_id", "near.best", "near.last"))
+    other = F.when(F.col("conv_id") == F.col("best"), F.col("last")).otherwise(F.col("conv_id"))
+    together = met.select(F.col("best").alias("chosen_id"), other.alias("rejected_id")).distinct()
+    alone = paths.join(met, "conv_id", "left_anti").select(F.col("conv_id").alias("chosen_id"), F.col("conv_id").alias("rejected_id"), F.col("cut").alias("rejected_turns"))
+    return together.withColumn("rejected_turns", F.lit(None).cast("int")).unionByName(alone)

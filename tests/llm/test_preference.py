@@ -49,11 +49,19 @@ def test_odd_conversations(spark, conversations):
     assert rows[5, 1].n_prompt_turns == 0
 
 
-def test_pairs(spark, conversations, monkeypatch):
-    monkeypatch.setattr(preference, "RANK_WIDTH", 2)
-    got = {(r.chosen_id, r.rejected_id) for r in preference.pairs_by_first_turn(conversations).collect()}
-    # 1 and 2 begin alike, as do 5, 6 and 7; 3 and 4 are left.
-    assert got == {(1, 2), (3, 4), (5, 6)}
+def test_pairs(spark, conversations):
+    got = {tuple(r) for r in preference.pairs_by_longest_prefix(conversations).collect()}
+    # 1 and 2 begin alike, 1 says more; 5, 6 and 7 are equal, so the smallest is best; 3 and 4 are alone.
+    assert got == {(1, 2, None), (5, 6, None), (5, 7, None), (3, 3, 1), (4, 4, 3)}
+
+
+def test_a_conversation_alone_is_chosen_over_its_beginning(spark, conversations):
+    rows = {(r.chosen_id, r.rejected_id): r for r in preference.formatted(preference.pairs_by_longest_prefix(conversations), conversations).collect()}
+    assert rows.keys() == {(1, 2), (5, 6), (5, 7), (3, 3), (4, 4)}
+    cut = rows[3, 3]
+    assert (cut.n_prompt_turns, cut.prompt, cut.chosen, cut.rejected) == (1, "<|user|>\nother\n<|end|>\n", "<|assistant|>\nx\n<|end|>\n", "")
+    # Without a turn to learn from nothing is cut.
+    assert rows[4, 4].n_prompt_turns == 3 and rows[4, 4].chosen == rows[4, 4].rejected == ""
 
 
 def test_a_long_conversation(spark):
@@ -64,7 +72,7 @@ def test_a_long_conversation(spark):
 
 def test_no_rows(spark, conversations):
     none = conversations.limit(0)
-    assert preference.pairs_by_first_turn(none).collect() == []
+    assert preference.pairs_by_longest_prefix(none).collect() == []
     assert made(spark, none, [(1, 2)]) == {}
 
 
@@ -74,16 +82,38 @@ def test_query_equals_sql(spark, folder):
     assert got == compare.sql_rows(compare.connect(folder), oracles.OP8)
 
 
-def test_pairs_share_the_longest_prefix(spark, monkeypatch):
-    monkeypatch.setattr(preference, "RANK_WIDTH", 2)
-    # Ids in an order in which neighbours share one turn only; 3, 6 and 9 go three turns together.
-    paths = {1: "ab", 2: "acd", 3: "aefg", 4: "ab!", 5: "acd!", 6: "aefh", 7: "a", 8: "x", 9: "aefi", 10: "y", 11: "z"}
+def test_most_conversations_have_a_prompt(spark):
+    made = queries.op8_chat_formatting(spark, "/root/testdata/sf0.1").collect()
+    known = queries.table(spark, "/root/testdata/sf0.1", "conversations").select("conv_id").distinct().count()
+    assert len({c for r in made for c in (r.chosen_id, r.rejected_id)}) == known
+    assert sum(r.n_prompt_turns > 0 for r in made) > 0.9 * len(made)
+
+
+PATHS = {1: "ab", 2: "acd", 3: "aefg", 4: "ab!", 5: "acd!", 6: "aefh", 7: "a", 8: "x", 9: "aefi", 10: "y", 11: "z", 12: "ab"}
+
+
+def _spoken(spark, paths):
     rows = [(c, i, "assistant" if i % 2 else "user", t) for c, p in paths.items() for i, t in enumerate(p)]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_pairs_share_the_longest_prefix(spark):
+    df = _spoken(spark, PATHS)
     made = preference.formatted(preference.pairs_by_longest_prefix(df), df).collect()
-    assert {c for r in made for c in (r.chosen_id, r.rejected_id)} == paths.keys()
-    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(paths[a], paths[b])) if x != y), min(len(paths[a]), len(paths[b])))
-    longest = {c: max(common(c, o) for o in paths if o != c) for c in paths}
-    reached = {c: max(r.n_prompt_turns for r in made if c in (r.chosen_id, r.rejected_id)) for c in paths}
+    assert {c for r in made for c in (r.chosen_id, r.rejected_id)} == PATHS.keys()
+    common = lambda a, b: next((i for i, (x, y) in enumerate(zip(PATHS[a], PATHS[b])) if x != y), min(len(PATHS[a]), len(PATHS[b])))
+    # One that shares nothing is paired with itself, whole, as none of these says anything to learn from.
+    longest = {c: max(common(c, o) for o in PATHS if o != c) or len(PATHS[c]) for c in PATHS}
+    reached = {c: max(r.n_prompt_turns for r in made if c in (r.chosen_id, r.rejected_id)) for c in PATHS}
     assert reached == longest
-    assert preference.pairs_by_longest_prefix(df.limit(0)).collect() == preference.pairs_by_longest_prefix(df.where("conv_id = 8")).collect() == []
+    assert len({(r.chosen_id, r.rejected_id) for r in made}) == len(made)
+
+
+def test_a_conversation_shared_with_none_and_a_hot_opening(spark):
+    paths = {c: "a" + chr(0x4E00 + c) for c in range(1, 400)} | {500: "q"}
+    df = _spoken(spark, paths)
+    pairs = preference.pairs_by_longest_prefix(df).collect()
+    # All say as much, so the smallest is best; it is chosen over the largest, as that one says itself.
+    assert {(r.chosen_id, r.rejected_id, r.rejected_turns) for r in pairs} == {(1, c, None) for c in range(2, 400)} | {(500, 500, 1)}
+    assert len(pairs) == 399
+    assert preference.pairs_by_longest_prefix(df.limit(0)).collect() == []
