@@ -22,7 +22,8 @@ from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
 WINDOW = 13
-PART_WINDOWS = 1_000_000
+#: Bytes of a part: words, names and 25 bytes more for each window.
+PART_BYTES = 64 << 20
 _BITS = 20
 
 _SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -53,32 +54,54 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
     return benchmark.select(item, text).mapInArrow(run, "item string, length int, hash long, words binary").distinct()
 
 
-class NgramSet:
-    """Windows of one part, by length: a bit table, the sorted hashes, and what each stands for."""
+def _strings(column: pa.ChunkedArray) -> tuple[bytes, np.ndarray]:
+    """All bytes of a column, null as empty, and where each value begins."""
+    values = column.cast(pa.large_binary()).combine_chunks().fill_null(b"")
+    _, offsets, data = values.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+    return (b"" if data is None else data.to_pybytes()[bounds[0] : bounds[-1]]), bounds - bounds[0]
+
 
-    def __init__(self, rows: list):
-        by_length: dict[int, dict[int, dict[bytes, list[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
-        for row in rows:
-            by_length[row.length][row.hash][bytes(row.words)].append(row.item)
+class NgramSet:
+    """Windows of one part: sorted hashes with a bit table per length, and the words and the item of each, end to end."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by([("length", "ascending"), ("hash", "ascending")])
+        self.hashes = rows.column("hash").to_numpy()
+        self.words, self.words_at = _strings(rows.column("words"))
+        self.named = rows.column("item").is_valid().to_numpy()
+        self.items, self.items_at = _strings(rows.column("item"))
+        lengths = rows.column("length").to_numpy()
         self.tables = []
-        for length, found in sorted(by_length.items()):
-            hashes = np.sort(np.array(list(found), dtype=np.int64).view(np.uint64))
+        for length in np.unique(lengths).tolist():
+            low, high = np.searchsorted(lengths, [length, length + 1]).tolist()
             bits = np.zeros(1 << _BITS, dtype=bool)
-            bits[hashes >> np.uint64(64 - _BITS)] = True
-            self.tables.append((length, hashes, bits, {h: dict(words) for h, words in found.items()}))
+            bits[self.hashes[low:high].view(np.uint64) >> np.uint64(64 - _BITS)] = True
+            self.tables.append((length, low, high, bits))
+
+    @property
+    def nbytes(self) -> int:
+        arrays = (self.hashes, self.words_at, self.items_at, self.named, *(bits for *_, bits in self.tables))
+        return len(self.words) + len(self.items) + sum(a.nbytes for a in arrays)
+
+    def _found(self, low: int, high: int, window: bytes) -> list[str | None]:
+        """Items, None for one without a name, of the rows from ``low`` to ``high`` that are this very window."""
+        at, items = self.words_at, self.items_at
+        same = [i for i in range(low, high) if self.words[at[i] : at[i + 1]] == window]
+        return [self.items[items[i] : items[i + 1]].decode() if self.named[i] else None for i in same]
 
-    def occurrences(self, words: Words) -> Iterator[tuple[int, int, list[str]]]:
+    def occurrences(self, words: Words) -> Iterator[tuple[int, int, list[str | None]]]:
         """Verified (first word, length, items), in no order."""
-        for length, hashes, bits, said in self.tables:
+        for length, low, high, bits in self.tables:
             starts = words.window_starts(length)
             seen = words.window_hashes(starts, length)
             maybe = np.flatnonzero(bits[seen >> np.uint64(64 - _BITS)])
-            starts, seen = starts[maybe], seen[maybe]
-            place = np.minimum(np.searchsorted(hashes, seen), hashes.size - 1)
-            exact = hashes[place] == seen
-            for j, h in zip(starts[exact].tolist(), seen[exact].view(np.int64).tolist(), strict=True):
-                window = words.data[words.starts[j] : words.ends[j + length - 1]].tobytes()
-                items = said[h].get(window) or said[h].get(b" ".join(words.word(k) for k in range(j, j + length)))
+            starts, seen = starts[maybe], seen[maybe].view(np.int64)
+            first = low + np.searchsorted(self.hashes[low:high], seen, side="left")
+            last = low + np.searchsorted(self.hashes[low:high], seen, side="right")
+            hit = last > first
+            for j, a, b in zip(starts[hit].tolist(), first[hit].tolist(), last[hit].tolist(), strict=True):
+                items = self._found(a, b, b" ".join(words.word(k) for k in range(j, j + length)))
                 if items:
                     yield j, length, items
 
@@ -90,7 +113,7 @@ def _scan(piece: pa.RecordBatch, text: str, ngrams: NgramSet) -> dict[str, pa.Ar
     for j, length, names in ngrams.occurrences(words):
         rise[j] += 1
         rise[j + length] -= 1
-        items[int(words.text_of[j])].update(names)
+        items[int(words.text_of[j])].update(n for n in names if n is not None)
     rows = piece.num_rows
     if "hits" in piece.schema.names:  # found by an earlier part
         for i, (spans, names) in enumerate(zip(piece.column("hits").to_pylist(), piece.column("items").to_pylist(), strict=True)):
@@ -117,22 +140,24 @@ def _scan(piece: pa.RecordBatch, text: str, ngrams: NgramSet) -> dict[str, pa.Ar
 
 def with_hits(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-    window: int = WINDOW, part_windows: int = PART_WINDOWS, keep: list[str] | None = None,
+    window: int = WINDOW, part_bytes: int = PART_BYTES, keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with the columns of ``HITS``.
 
     A document word is hit if it lies inside an occurrence of a benchmark window. A null or
     wordless text has 0 words and no hits; an empty benchmark hits nothing. Repeated rows are
-    judged alike. Columns named as those of ``HITS`` are replaced.
+    judged alike. A benchmark item without an id hits, and is not named. Columns named as those of ``HITS`` are
+    replaced.
     """
     spark = docs.sparkSession
     windows = stored(benchmark_windows(benchmark, item, item_text, window))
-    parts = max(1, -(-windows.count() // part_windows))
+    size = windows.agg(F.sum(F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0)) + 25)).first()[0] or 0
+    parts = max(1, -(-size // part_bytes))
     names = list(docs.columns if keep is None else keep)
     clash = {field.name for field in HITS}
     result = docs.select(*dict.fromkeys([*(n for n in names if n.lower() not in clash), text]))
     for part in range(parts):
-        rows = windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part).collect()
+        rows = windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part).toArrow()
         ngrams = spark.sparkContext.broadcast(NgramSet(rows))
         last = part == parts - 1
         kept = [n for n in names if n.lower() not in clash] if last else list(dict.fromkeys(n for n in result.columns if n not in clash))

@@ -51,7 +51,7 @@ def test_hand_made_rows(found):
 def test_several_parts_give_the_same(spark, found):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     benchmark = spark.createDataFrame([(10, ITEM), (9, "short item"), (13, ITEM.upper())], "item_id long, text string")
-    marked = dc.with_hits(docs, benchmark, part_windows=2)
+    marked = dc.with_hits(docs, benchmark, part_bytes=200)
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_words)
     same = [(r.n_words, r.hits, r["items"]) for r in sorted(found, key=key)]
     assert [(r.n_words, r.hits, r["items"]) for r in sorted(marked.collect(), key=key)] == same
@@ -80,3 +80,26 @@ def test_empty_tables(spark):
 def test_query_equals_sql(spark, sf_dir):
     got = compare.spark_rows(queries.op1_decontamination(spark, sf_dir))
     assert got == compare.sql_rows(compare.connect(sf_dir), oracles.OP1)
+
+
+def test_a_full_part_has_the_bytes_it_says():
+    import pyarrow as pa
+
+    words = [" ".join(f"word{i * 13 + k}" for k in range(13)).encode() for i in range(40_000)]
+    rows = pa.table({
+        "item": [f"item-{i}" for i in range(len(words))], "length": pa.array([13] * len(words), pa.int32()),
+        "hash": pa.array([i * 7919 * (-1) ** i for i in range(len(words))], pa.int64()), "words": pa.array(words, pa.binary()),
+    })
+    said = sum(len(w) for w in words) + sum(len(f"item-{i}") for i in range(len(words))) + 25 * len(words)
+    held = dc.NgramSet(rows).nbytes - (1 << dc._BITS)
+    assert abs(held - said) < 64
+    # So a part of PART_BYTES takes its size and a megabyte per length of windows, of which there are at most 13.
+    assert dc.PART_BYTES + 13 * (1 << dc._BITS) < 150e6
+
+
+def test_an_item_without_an_id_hits_and_has_no_name(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "four five")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "one two"), (7, "two three"), (None, None)], "item_id long, text string")
+    rows = {r.doc_id: r for r in dc.with_hits(docs, benchmark).collect()}
+    assert rows[1]["items"] == ["7"] and [tuple(h) for h in rows[1].hits] == [(0, 3)]
+    assert rows[2]["items"] == []
