@@ -2,12 +2,13 @@
 
 The pieces of a fixed public vocabulary get a probability per language. The probability of a word
 is the sum over all its segmentations into pieces, by a forward pass; a text's is the product over
-its words, whose logs add up, so only the distinct words of a slice of texts are scored. The piece
-probabilities are fitted by expectation maximisation over the words of at most
-``ROWS_PER_LANGUAGE`` labelled texts per language, which bounds what the driver holds.
+its words, whose logs add up, so only the distinct words of a slice of texts are scored. Passes add
+logarithms, so a word may be as long as a text. The piece probabilities are fitted by expectation
+maximisation over the words of at most ``ROWS_PER_LANGUAGE`` labelled texts per language, each
+language in a task of its own.
 
-A word is a run of letters a-z and bytes outside ASCII, lower-cased; one of over ``LONGEST`` bytes
-is scored in parts. Single bytes are pieces as well, so that every word has a segmentation.
+A word is a run of letters a-z and bytes outside ASCII, lower-cased, with a space ahead. Single bytes
+are pieces as well, so that every word has a segmentation.
 """
 
 from __future__ import annotations
@@ -28,9 +29,6 @@ from sensorlake.llm.words import RangeHash, byte_set, byte_values, column_bytes,
 
 ROWS_PER_LANGUAGE = 400
 ROUNDS = 4
-#: Longest piece and longest word part in bytes.
-LONGEST_PIECE = 10
-LONGEST = 30
 #: Count added to each piece.
 SMOOTHING = 0.05
 UNKNOWN = "und"
@@ -39,7 +37,8 @@ PREDICTION = [StructField("lang_pred", StringType()), StructField("score", Doubl
 
 _LETTERS = byte_set((0x61, 0x7A), (0x80, 0xFF))
 _SPACE = 0x20
-_BLOCK = 20_000
+#: Bytes of words, with what fills them up to one length, that are passed over together.
+_BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _BITS = 20
 
@@ -51,15 +50,16 @@ def vocabulary(model_file: str) -> list[bytes]:
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     usable = (i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
     found = {model.id_to_piece(i).replace("▁", " ").encode() for i in usable}
-    return sorted({p for p in found if len(p) <= LONGEST_PIECE} | {bytes([b]) for b in range(256)})
+    return sorted(found | {bytes([b]) for b in range(256)})
 
 
 @dataclass
 class Distinct:
-    """The distinct words of a column piece: bytes in a matrix, and where each word stands."""
+    """The distinct words of a column piece, and where each word stands."""
 
-    matrix: np.ndarray  # a space, the word's bytes, zeros
-    lengths: np.ndarray  # with the space
+    data: np.ndarray
+    starts: np.ndarray  # of the distinct words
+    lengths: np.ndarray
     place: np.ndarray  # distinct word of each word
     first: np.ndarray  # first word of each text
 
@@ -67,105 +67,125 @@ class Distinct:
     def of(cls, texts: pa.Array) -> Distinct:
         data, bounds = column_bytes(pc.utf8_lower(texts.cast(pa.large_string())))
         starts, ends = runs(_LETTERS[data], bounds)
-        parts = -(-(ends - starts) // LONGEST)
-        begin = np.repeat(starts, parts)
-        order = np.arange(begin.size) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts = begin + order * LONGEST
-        ends = np.minimum(starts + LONGEST, np.repeat(ends, parts))
         hashes = RangeHash(byte_values(data), _BASE)(starts, ends)
         _, one, place = np.unique(hashes, return_index=True, return_inverse=True)
-        lengths = (ends - starts)[one]
-        matrix = np.zeros((one.size, LONGEST + 1), dtype=np.uint8)
-        matrix[:, 0] = _SPACE
-        column = np.arange(LONGEST)
-        inside = column[None, :] < lengths[:, None]
-        matrix[:, 1:][inside] = data[(starts[one][:, None] + column[None, :])[inside]]
-        return cls(matrix, lengths + 1, place, np.searchsorted(starts, bounds))
-
-    def words(self) -> list[bytes]:
-        return [row[1:n].tobytes() for row, n in zip(self.matrix, self.lengths.tolist(), strict=True)]
+        return cls(data, starts[one], (ends - starts)[one], place, np.searchsorted(starts, bounds))
 
+    @classmethod
+    def listed(cls, words: list[bytes]) -> Distinct:
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        return cls(np.frombuffer(b"".join(words), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths, np.arange(len(words)), np.arange(len(words)))
 
-def _matrix_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    matrix = np.zeros((len(words), LONGEST + 1), dtype=np.uint8)
-    for i, word in enumerate(words):
-        matrix[i, : len(word) + 1] = np.frombuffer(b" " + word, dtype=np.uint8)
-    return matrix, np.array([len(w) + 1 for w in words], dtype=np.int64)
+    def words(self) -> list[bytes]:
+        return [self.data[s : s + n].tobytes() for s, n in zip(self.starts.tolist(), self.lengths.tolist(), strict=True)]
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(words, matrix, widths): words of like length, as a space, their bytes and zeros."""
+        order = np.argsort(self.lengths, kind="stable")
+        low = 0
+        while low < order.size:
+            # Up to a quarter longer than the shortest, and no more bytes than a block has.
+            most = int(self.lengths[order[low]]) * 5 // 4 + 4
+            high = int(np.searchsorted(self.lengths[order], most, side="right"))
+            high = min(high, low + max(1, _BLOCK // (most + 1)))
+            rows = order[low:high]
+            widths = self.lengths[rows] + 1
+            matrix = np.zeros((rows.size, int(widths.max())), dtype=np.uint8)
+            matrix[:, 0] = _SPACE
+            column = np.arange(matrix.shape[1] - 1)
+            inside = column[None, :] < self.lengths[rows][:, None]
+            matrix[:, 1:][inside] = self.data[(self.starts[rows][:, None] + column[None, :])[inside]]
+            yield rows, matrix, widths
+            low = high
+
+
+#: For each end in a block of words: the words that have a piece there, its length, and its place in the vocabulary.
+Matches = list[list[tuple[int, np.ndarray, np.ndarray]]]
 
 
 class Pieces:
     """Finds the vocabulary's pieces inside words."""
 
     def __init__(self, vocabulary: list[bytes]):
-        hashes = np.zeros(len(vocabulary), dtype=np.uint64)
-        for length in {len(p) for p in vocabulary}:
-            own = [i for i, p in enumerate(vocabulary) if len(p) == length]
-            matrix = np.frombuffer(b"".join(vocabulary[i] for i in own), dtype=np.uint8).reshape(-1, length)
-            for column in range(length):
-                hashes[own] = self._next(hashes[own], matrix[:, column])
+        self.size = len(vocabulary)
+        self.longest = max(map(len, vocabulary))
+        hashes = np.zeros(self.size, dtype=np.uint64)
+        begins = np.zeros(1 << _BITS, dtype=bool)
+        for length in range(1, self.longest + 1):
+            own = [i for i, p in enumerate(vocabulary) if len(p) >= length]
+            hashes[own] = self._next(hashes[own], np.array([vocabulary[i][length - 1] for i in own], dtype=np.uint8))
+            begins[hashes[own] >> np.uint64(64 - _BITS)] = True
+        self.begins = begins  # whether a hash may be that of the beginning of a piece
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
-        self.bits = np.zeros(1 << _BITS, dtype=bool)
-        self.bits[self.hashes >> np.uint64(64 - _BITS)] = True
-        self.size = len(vocabulary)
 
     @staticmethod
     def _next(hashes: np.ndarray, data: np.ndarray) -> np.ndarray:
         return mixed(hashes * np.uint64(_BASE) + data + np.uint64(1))
 
-    def ids(self, matrix: np.ndarray, width: int) -> np.ndarray:
-        """[word, end, length - 1]: the piece of that length that ends there; ``size`` if there is none."""
-        found = np.full((matrix.shape[0], width + 1, LONGEST_PIECE), self.size, dtype=np.int32)
-        for start in range(width):
-            h = np.zeros(matrix.shape[0], dtype=np.uint64)
-            for length in range(1, min(LONGEST_PIECE, width - start) + 1):
-                h = self._next(h, matrix[:, start + length - 1])
-                maybe = np.flatnonzero(self.bits[h >> np.uint64(64 - _BITS)])
-                at = np.minimum(np.searchsorted(self.hashes, h[maybe]), self.size - 1)
-                hit = self.hashes[at] == h[maybe]
-                found[maybe[hit], start + length, length - 1] = self.order[at[hit]]
+    def matches(self, matrix: np.ndarray, widths: np.ndarray) -> Matches:
+        found: Matches = [[] for _ in range(matrix.shape[1] + 1)]
+        for start in range(matrix.shape[1]):
+            rows = np.flatnonzero(widths > start)
+            h = np.zeros(rows.size, dtype=np.uint64)
+            for length in range(1, min(self.longest, matrix.shape[1] - start) + 1):
+                h = self._next(h, matrix[rows, start + length - 1])
+                # Only what begins like a piece, and has another byte, goes on.
+                some = self.begins[h >> np.uint64(64 - _BITS)]
+                rows, h = rows[some], h[some]
+                if not rows.size:
+                    break
+                at = np.minimum(np.searchsorted(self.hashes, h), self.size - 1)
+                hit = self.hashes[at] == h
+                if hit.any():
+                    found[start + length].append((length, rows[hit], self.order[at[hit]]))
+                more = widths[rows] > start + length
+                rows, h = rows[more], h[more]
         return found
 
 
-def _forward(ids: np.ndarray, width: int, chance: np.ndarray) -> np.ndarray:
-    """[end, word, language]: probability of the first ``end`` bytes, over all segmentations.
-
-    ``chance`` has a last row of zeros for the pieces that are not there.
-    """
-    alpha = np.zeros((width + 1, ids.shape[0], chance.shape[1]))
-    alpha[0] = 1
-    for end in range(1, width + 1):
-        for length in range(1, min(LONGEST_PIECE, end) + 1):
-            alpha[end] += alpha[end - length] * chance[ids[:, end, length - 1]]
+def _forward(matches: Matches, words: int, logs: np.ndarray) -> np.ndarray:
+    """[end, word, language]: log probability of the first ``end`` bytes, over all segmentations."""
+    alpha = np.full((len(matches), words, logs.shape[1]), -np.inf)
+    alpha[0] = 0
+    for end, found in enumerate(matches):
+        for length, rows, piece in found:
+            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[end - length, rows] + logs[piece])
     return alpha
 
 
-def _by_length(lengths: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """Blocks of words of one length."""
-    order = np.argsort(lengths, kind="stable")
-    for length in np.unique(lengths).tolist():
-        low, high = np.searchsorted(lengths[order], [length, length + 1])
-        for start in range(low, high, _BLOCK):
-            yield order[start : min(start + _BLOCK, high)], length
+def _ends(matches: Matches, widths: np.ndarray, longest: int, logs: np.ndarray) -> np.ndarray:
+    """[word, language]: log probability of each whole word, from a forward pass that keeps the last ``longest`` ends."""
+    ring = np.full((longest + 1, widths.size, logs.shape[1]), -np.inf)
+    ring[0] = 0
+    out = np.zeros((widths.size, logs.shape[1]))
+    for end, found in enumerate(matches[1:], start=1):
+        here = ring[end % (longest + 1)]
+        here[:] = -np.inf
+        for length, rows, piece in found:
+            here[rows] = np.logaddexp(here[rows], ring[(end - length) % (longest + 1), rows] + logs[piece])
+        over = widths == end
+        out[over] = here[over]
+    return out
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
     pieces: Pieces
-    chance: np.ndarray  # [piece, language], and a row of zeros
+    chance: np.ndarray  # [piece, language]
 
-    def log_words(self, matrix: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """[word, language]: log probability of each word."""
-        out = np.zeros((lengths.size, len(self.languages)))
-        for rows, width in _by_length(lengths):
-            out[rows] = np.log(_forward(self.pieces.ids(matrix[rows], width), width, self.chance)[width])
+    def log_words(self, words: Distinct) -> np.ndarray:
+        """[word, language]: log probability of each distinct word."""
+        out, logs = np.zeros((words.lengths.size, len(self.languages))), np.log(self.chance)
+        for rows, matrix, widths in words.blocks():
+            out[rows] = _ends(self.pieces.matches(matrix, widths), widths, self.pieces.longest, logs)
         return out
 
     def log_texts(self, texts: pa.Array) -> np.ndarray:
         """[text, language]: log probability of each text; 0 for one without words."""
         words = Distinct.of(texts)
-        logs = self.log_words(words.matrix, words.lengths)[words.place]
+        logs = self.log_words(words)[words.place]
         total = np.zeros((words.first.size - 1, len(self.languages)))
         filled = np.flatnonzero(np.diff(words.first))
         if filled.size:
@@ -173,53 +193,57 @@ class LanguageModel:
         return total
 
 
-def _expected(ids: np.ndarray, width: int, chance: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _expected(matches: Matches, widths: np.ndarray, logs: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Expected number of times each piece is used in the words, for one language."""
-    alpha = _forward(ids, width, chance)[:, :, 0]
-    beta = np.zeros_like(alpha)
-    beta[width] = 1
-    for end in range(width, 0, -1):
-        for length in range(1, min(LONGEST_PIECE, end) + 1):
-            beta[end - length] += beta[end] * chance[ids[:, end, length - 1], 0]
-    counts = np.zeros(chance.shape[0])
-    scale = weights / alpha[width]
-    for end in range(1, width + 1):
-        for length in range(1, min(LONGEST_PIECE, end) + 1):
-            piece = ids[:, end, length - 1]
-            used = alpha[end - length] * chance[piece, 0] * beta[end] * scale
+    words = np.arange(widths.size)
+    alpha = _forward(matches, widths.size, logs[:, None])[:, :, 0]
+    beta = np.full_like(alpha, -np.inf)
+    beta[widths, words] = 0
+    for end in range(len(matches) - 1, 0, -1):
+        for length, rows, piece in matches[end]:
+            beta[end - length, rows] = np.logaddexp(beta[end - length, rows], beta[end, rows] + logs[piece])
+    counts = np.zeros(logs.size)
+    whole = alpha[widths, words]
+    for end, found in enumerate(matches):
+        for length, rows, piece in found:
+            used = np.exp(alpha[end - length, rows] + logs[piece] + beta[end, rows] - whole[rows]) * weights[rows]
             counts += np.bincount(piece, weights=used, minlength=counts.size)
     return counts
 
 
+def fitted(words: dict[bytes, int], found: Pieces, rounds: int = ROUNDS) -> np.ndarray:
+    """Piece probabilities of one language from its word counts, by expectation maximisation."""
+    known = Distinct.listed(list(words))
+    weights = np.array(list(words.values()), dtype=np.float64)
+    blocks = [(rows, found.matches(matrix, widths), widths) for rows, matrix, widths in known.blocks()]
+    chance = np.full(found.size, 1 / found.size)
+    for _ in range(rounds):
+        logs = np.log(chance)
+        counts = sum((_expected(matches, widths, logs, weights[rows]) for rows, matches, widths in blocks), np.full(found.size, SMOOTHING))
+        chance = counts / counts.sum()
+    return chance
+
+
 def fit(words: dict[str, dict[bytes, int]], vocabulary: list[bytes], rounds: int = ROUNDS) -> LanguageModel:
-    """Piece probabilities per language from word counts, by expectation maximisation."""
+    """A model from the word counts of each language."""
     found = Pieces(vocabulary)
     languages = sorted(words)
-    chance = np.zeros((found.size + 1, len(languages)))
-    for k, language in enumerate(languages):
-        matrix, lengths = _matrix_of(list(words[language]))
-        weights = np.array(list(words[language].values()), dtype=np.float64)
-        blocks = [(rows, width, found.ids(matrix[rows], width)) for rows, width in _by_length(lengths)]
-        own = np.full((found.size + 1, 1), 1 / found.size)
-        own[-1] = 0
-        for _ in range(rounds):
-            counts = sum((_expected(ids, width, own, weights[rows]) for rows, width, ids in blocks), np.zeros(found.size + 1))
-            counts[:-1] += SMOOTHING
-            counts[-1] = 0
-            own = (counts / counts.sum())[:, None]
-        chance[:, k] = own[:, 0]
-    return LanguageModel(languages, found, chance)
-
-
-def sampled_words(docs: DataFrame, trainable: Column, rows: int) -> dict[str, dict[bytes, int]]:
-    """Word counts per language of at most ``rows`` texts each, taken by the order of hashed ids."""
+    chance = [fitted(words[language], found, rounds) for language in languages]
+    return LanguageModel(languages, found, np.stack(chance, axis=1) if chance else np.zeros((found.size, 0)))
+
+
+def learned(docs: DataFrame, trainable: Column, vocabulary: list[bytes], rows: int = ROWS_PER_LANGUAGE, rounds: int = ROUNDS) -> LanguageModel:
+    """A model from at most ``rows`` texts per language, taken by the order of hashed ids; texts that share an id go together.
+
+    Every language is fitted by a task of its own. The piece probabilities of all languages come to the driver,
+    a quarter of a megabyte each, as they are broadcast.
+    """
     small_batches(docs.sparkSession)
     known = docs.where(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "lang").distinct()
-    chosen = docs.sparkSession.createDataFrame(ids.collect(), "doc_id long, lang string")
+    chosen = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "lang").distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             for language in pc.unique(piece.column("lang")).to_pylist():
                 found = Distinct.of(piece.column("text").filter(pc.equal(piece.column("lang"), language)))
@@ -227,12 +251,17 @@ def sampled_words(docs: DataFrame, trainable: Column, rows: int) -> dict[str, di
                 said = found.words()
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(said), pa.string()), pa.array(said, pa.binary()), pa.array(counts, pa.int64())], ["lang", "word", "n"])
 
-    joined = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
-    counted = joined.mapInArrow(run, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words: dict[str, dict[bytes, int]] = {}
-    for row in counted.collect():
-        words.setdefault(row.lang, {})[bytes(row.word)] = row.n
-    return words
+    def one(language: tuple, counted: pa.Table) -> pa.Table:
+        words = dict(zip(counted.column("word").to_pylist(), counted.column("n").to_pylist(), strict=True))
+        chance = fitted(words, Pieces(vocabulary), rounds)
+        return pa.table({"lang": [language[0].as_py()], "chance": pa.array([chance.astype("<f8").tobytes()], pa.binary())})
+
+    texts = known.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select("lang", "text")
+    counted = texts.mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    models = {row.lang: np.frombuffer(bytes(row.chance), dtype="<f8") for row in counted.groupBy("lang").applyInArrow(one, "lang string, chance binary").collect()}
+    languages = sorted(models)
+    found = Pieces(vocabulary)
+    return LanguageModel(languages, found, np.stack([models[x] for x in languages], axis=1) if models else np.zeros((found.size, 0)))
 
 
 def predicted(
@@ -264,5 +293,4 @@ def identified(
     docs: DataFrame, model_file: str, trainable: Column, rows: int = ROWS_PER_LANGUAGE, keep: list[str] | None = None,
 ) -> DataFrame:
     """Fit on the rows of ``docs`` (doc_id, text, lang) for which ``trainable`` holds, and predict all rows."""
-    model = fit(sampled_words(docs, trainable, rows), vocabulary(model_file))
-    return predicted(docs, model, keep=keep)
+    return predicted(docs, learned(docs, trainable, vocabulary(model_file), rows), keep=keep)
