@@ -13,6 +13,7 @@ are no evidence; occurrences are counted, and the found terms marked, over all d
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sensorlake.llm.bits import BitTable
-from sensorlake.llm.rows import annotate, set_aside, small_batches
+from sensorlake.llm.rows import annotate, list_array, set_aside, small_batches
 from sensorlake.llm.words import ALPHANUMERIC, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
@@ -104,22 +106,44 @@ def _value(kind: str, said: str) -> str:
     return f"{kind}:{said.lower() if kind == 'email' else _NOT_DIGIT.sub('.' if kind == 'ip' else '', said)}"
 
 
-def _context(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int]]:
-    """Terms within ``NEAR`` words of a span, outside all spans: letters, three characters at least."""
-    _, start, end = span
-    # A word longer than this many characters ends the context.
-    reach = NEAR * 64
-    after, low = [], max(0, start - reach)
-    for m in _WORD.finditer(text, end, end + reach):
-        after.append(m)
-        if len(after) == NEAR:
-            break
-    before = list(_WORD.finditer(text, low, start))[-NEAR:]
-    return [
-        (m[0], m.start())
-        for m in (*before, *after)
-        if m.end() - m.start() >= 3 and not m[0].isdigit() and not any(s < m.end() and m.start() < e for _, s, e in taken)
-    ]
+class _Cover:
+    """The places that spans cover, to ask whether another range touches one."""
+
+    def __init__(self, starts: np.ndarray, ends: np.ndarray):
+        order = np.argsort(starts, kind="stable")
+        self._starts, self._reach = starts[order], np.maximum.accumulate(ends[order]) if ends.size else ends
+
+    def touches(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of the spans that begin before a range ends, the furthest end lies behind its start."""
+        before = np.searchsorted(self._starts, ends, side="left")
+        return (before > 0) & (np.append(0, self._reach)[before] > starts)
+
+
+class _Near:
+    """Terms within ``NEAR`` words of a span of one text, outside all spans: letters, three characters at least.
+
+    Words are found once per text, however many spans it has. One that runs into a span ends, or begins, there.
+    """
+
+    def __init__(self, text: str, spans: list[Span]):
+        self._text = text
+        words = np.array([m.span() for m in _WORD.finditer(text)], dtype=np.int64).reshape(-1, 2)
+        self._starts, self._ends = words[:, 0].tolist(), words[:, 1].tolist()
+        places = np.array([span[1:] for span in spans], dtype=np.int64).reshape(-1, 2)
+        self._free = (~_Cover(places[:, 0], places[:, 1]).touches(words[:, 0], words[:, 1])).tolist()
+        self._cover = _Cover(places[:, 0], places[:, 1])
+
+    def of(self, span: Span) -> list[tuple[str, int]]:
+        _, start, end = span
+        last, first = bisect_left(self._starts, start), bisect_right(self._ends, end)
+        near = [(self._starts[i], min(self._ends[i], start), i) for i in range(max(0, last - NEAR), last)]
+        near += [(max(self._starts[i], end), self._ends[i], i) for i in range(first, min(first + NEAR, len(self._ends)))]
+        return [(self._text[s:e], s) for s, e, i in near if e - s >= 3 and self._outside(s, e, i) and not self._text[s:e].isdigit()]
+
+    def _outside(self, start: int, end: int, word: int) -> bool:
+        if self._free[word]:
+            return True
+        return not self._cover.touches(np.array([start]), np.array([end]))[0]
 
 
 _SPAN = StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -131,10 +155,10 @@ _NEAR = [StructField("pii_terms", ArrayType(_NEAR_TERM)), StructField("pii_words
 _FOUND = [StructField("pii_base", ArrayType(_SPAN)), StructField("pii_said", ArrayType(_SAID))]
 
 
-def _hashes(texts: list[str]) -> list[int]:
-    """Hashes of whole strings in lower case, as ``_words`` hashes a word of that spelling."""
-    words = Words.of(pc.utf8_lower(pa.array(texts, pa.string())), np.ones(256, dtype=bool))
-    return words.hashes.view(np.int64).tolist()
+def _hashes(texts: list[str]) -> np.ndarray:
+    """Hashes of whole strings, none of them empty, in lower case, as ``_words`` hashes a word of that spelling."""
+    words = Words.of(pc.utf8_lower(pa.array(texts, pa.large_string())), np.ones(256, dtype=bool))
+    return words.hashes.view(np.int64)
 
 
 def _words(texts: pa.Array) -> Words:
@@ -142,49 +166,63 @@ def _words(texts: pa.Array) -> Words:
     return Words.of(pc.utf8_lower(texts), ALPHANUMERIC)
 
 
+def _structs(kind: StructType, *columns) -> pa.Array:
+    """Rows of a struct from its columns."""
+    fields = to_arrow_schema(kind)
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=list(fields))
+
+
 def _scan(piece: pa.RecordBatch, text: str) -> dict[str, pa.Array]:
-    terms = []
+    names, contexts, words, counts, lengths = [], [], [], [], []
     for said in piece.column(text).to_pylist():
         spans = base_spans(said) if said else []
-        near, met = [], set()
+        before, met = len(words), set()
+        near = _Near(said, spans) if spans else None
         for span in spans:
             name = _value(span[0], said[span[1] : span[2]])
-            found = _context(said, span, spans)
+            found = near.of(span)
             # An occurrence near two spans of one value is one piece of evidence.
             fresh = [w for w, at in found if (name, at) not in met]
             met.update((name, at) for _, at in found)
             if fresh:
-                value, context, *words = _hashes([name, " ".join(w for w, _ in found), *fresh])
-                near += [{"value": value, "context": context, "word": h} for h in words]
-        terms.append(near)
-    return _typed({"pii_terms": pa.array(terms), "pii_words": pa.array(_words(piece.column(text)).counts)}, _NEAR)
+                names.append(name)
+                contexts.append(" ".join(w for w, _ in found))
+                words += fresh
+                counts.append(len(fresh))
+        lengths.append(len(words) - before)
+    value, context = (np.repeat(_hashes(texts), counts) for texts in (names, contexts))
+    return {
+        "pii_terms": list_array(_structs(_NEAR_TERM, value, context, _hashes(words)), lengths),
+        "pii_words": pa.array(_words(piece.column(text)).counts),
+    }
 
 
 def _mark(piece: pa.RecordBatch, text: str, table: BitTable | None) -> dict[str, pa.Array]:
     """Base spans, and the words outside them that ``table`` may hold."""
     base = [base_spans(said) if said else [] for said in piece.column(text).to_pylist()]
-    said = [[] for _ in base]
+    flat = [span for spans in base for span in spans]
+    places = np.array([span[1:] for span in flat], dtype=np.int64).reshape(-1, 2)
+    n_base = np.array([len(spans) for spans in base], dtype=np.int64)
+    word = start = end = np.zeros(0, dtype=np.int64)
+    n_said = np.zeros(len(base), dtype=np.int64)
     if table is not None:
         words = _words(piece.column(text))
-        at = np.flatnonzero(table.holds(words.hashes))
-        # Code points ahead of each byte.
+        # Code points ahead of each byte, and of each text.
         points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
         _, bounds = column_bytes(pc.utf8_lower(piece.column(text)))
-        first = points[bounds]
-        for i, h, start, end in zip(
-            words.text_of[at].tolist(), words.hashes[at].view(np.int64).tolist(), points[words.starts[at]].tolist(), points[words.ends[at]].tolist(), strict=True
-        ):
-            start, end = start - int(first[i]), end - int(first[i])
-            if not any(s < end and start < e for _, s, e in base[i]):
-                said[i].append({"word": h, "start": start, "end": end})
-    shown = [[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in base]
-    return _typed({"pii_base": pa.array(shown), "pii_said": pa.array(said)}, _FOUND)
-
-
-def _typed(columns: dict[str, pa.Array], fields: list[StructField]) -> dict[str, pa.Array]:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return {f.name: pa.array(columns[f.name].to_pylist(), to_arrow_type(f.dataType)) for f in fields}
+        ahead = points[bounds][:-1]
+        of_text = np.repeat(ahead, n_base)
+        at = np.flatnonzero(table.holds(words.hashes))
+        start, end = points[words.starts[at]], points[words.ends[at]]
+        free = ~_Cover(places[:, 0] + of_text, places[:, 1] + of_text).touches(start, end)
+        at, start, end = at[free], start[free], end[free]
+        own = words.text_of[at]
+        word, start, end = words.hashes[at].view(np.int64), start - ahead[own], end - ahead[own]
+        n_said = np.bincount(own, minlength=len(base))
+    return {
+        "pii_base": list_array(_structs(_SPAN, [k for k, _, _ in flat], places[:, 0], places[:, 1]), n_base),
+        "pii_said": list_array(_structs(_SAID, word, start, end), n_said),
+    }
 
 
 def _occurrences(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -255,11 +293,26 @@ def with_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = Non
     return plain.select(*own, "pii_spans").unionByName(joined.withColumn("pii_spans", spans).select(*own, "pii_spans"))
 
 
+def _instead(span: dict, said: str) -> str:
+    if span["kind"] != TERM:
+        return f"<{span['kind'].upper()}>"
+    return "" if span["told"] >= REMOVE else general(said[span["start"] : span["end"]])
+
+
+def general(term: str) -> str:
+    """What kind of word a term is, in its place: its letters go, its shape stays."""
+    if any(c.isdigit() for c in term):
+        return "<CODE>"
+    if len(term) > 1 and term.isupper():
+        return "<ACRONYM>"
+    return "<NAME>" if term[:1].isupper() else "<WORD>"
+
+
 def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
     """``docs`` with personal data replaced by its kind in angle brackets.
 
-    Terms that tell a protected value are replaced by ``<TERM>``, or removed where they tell nearly
-    all of it. Where spans overlap, the first, then the longest, is replaced and the rest of the
+    Terms that tell a protected value are replaced by their shape, as ``general`` has it, or removed where
+    they tell nearly all of it. Where spans overlap, the first, then the longest, is replaced and the rest of the
     others goes with it. ``length`` names a column that holds the text's length in code points.
     All other columns come back as they were.
     """
@@ -271,8 +324,7 @@ def sanitised(docs: DataFrame, text: str = "text", length: str | None = None) ->
                 parts, at = [], 0
                 for span in sorted(spans, key=lambda s: (s["start"], -s["end"], s["kind"])):
                     if span["start"] >= at:
-                        gone = span["kind"] == TERM and span["told"] >= REMOVE
-                        parts += [said[at : span["start"]], "" if gone else f"<{span['kind'].upper()}>"]
+                        parts += [said[at : span["start"]], _instead(span, said)]
                     at = max(at, span["end"])
                 said = "".join([*parts, said[at:]])
             out.append(said)

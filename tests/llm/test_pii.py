@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import time
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -66,6 +69,89 @@ def test_query_equals_the_patterns(spark, sf_dir):
         assert row.spans == said or row.spans.startswith(said) and "term" in row.spans
 
 
+def plain_terms(texts):
+    """The terms, with what they tell, as the module's description has it: every count by hand."""
+    word = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+    seen, values, n, total = defaultdict(Counter), defaultdict(set), Counter(), 0
+    for text in texts:
+        words = [m.span() for m in word.finditer(text or "")]
+        total += len(words)
+        n.update(text[s:e].lower() for s, e in words)
+        spans, met = plain(text), set()
+        for kind, start, end in spans:
+            said = text[start:end]
+            name = said.lower() if kind == "email" else re.sub("[^0-9]+", "." if kind == "ip" else "", said)
+            before = [(s, min(e, start)) for s, e in words if s < start][-pii.NEAR :]
+            after = [(max(s, end), e) for s, e in words if e > end][: pii.NEAR]
+            near = [
+                (text[s:e].lower(), s) for s, e in before + after
+                if e - s >= 3 and not text[s:e].isdigit() and not any(a < e and s < b for _, a, b in spans)
+            ]
+            context = " ".join(w for w, _ in near)
+            for w, at in near:
+                if (kind, name, at) not in met:
+                    seen[kind, name, w][context] += 1
+                    values[kind, name].add(context)
+            met.update((kind, name, at) for _, at in near)
+    windows, told = max(total / (2 * pii.NEAR), 1.0), {}
+    for (kind, name, w), contexts in seen.items():
+        share = min(len(values[kind, name]) / windows, 0.5)
+        given = min(sum(contexts.values()) / n[w], 1.0)
+        drawn = (len(contexts) * given + pii.PRIOR * share) / (len(contexts) + pii.PRIOR)
+        told[w] = max(told.get(w, 0.0), (math.log(drawn) - math.log(share)) / -math.log(share))
+    return {w: t for w, t in told.items() if t >= pii.GENERALISE}
+
+
+def test_terms_equal_a_count_by_hand(spark):
+    """Every term span of every document of a table in which terms are found."""
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    terms = plain_terms(texts.values())
+    assert len(terms) > 100
+    word = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+    got = {r.doc_id: [(s["start"], s["end"], s["told"]) for s in r.pii_spans if s["kind"] == pii.TERM] for r in pii.with_spans(docs, keep=["doc_id"]).collect()}
+    for doc_id, text in texts.items():
+        spans = plain(text)
+        want = [(m.start(), m.end(), terms[m[0].lower()]) for m in word.finditer(text or "") if m[0].lower() in terms]
+        want = [w for w in want if not any(s < w[1] and w[0] < e for _, s, e in spans)]
+        assert [g[:2] for g in got[doc_id]] == [w[:2] for w in want]
+        assert [g[2] for g in got[doc_id]] == pytest.approx([w[2] for w in want])
+
+
+def test_very_many_spans_in_one_text(spark):
+    """A log of 60,000 addresses takes seconds, in both passes."""
+    text = " ".join(f"user{i} wrote from 10.{i % 256}.{i // 256 % 256}.7 to name{i % 900}@corp.example.com again" for i in range(30_000))
+    df = spark.createDataFrame([(1, text), (2, "nothing here")], "doc_id long, text string")
+    begin = time.perf_counter()
+    rows = {r.doc_id: r for r in pii.with_spans(df).collect()}
+    assert time.perf_counter() - begin < 60
+    assert sum(s["kind"] == "ip" for s in rows[1].pii_spans) == sum(s["kind"] == "email" for s in rows[1].pii_spans) == 30_000
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["word", "éa", "+1 (017) 555-7713", "me@x.org", "10.0.0.1", " ", ",", "12345", "x" * 900, "ab"]), max_size=30).map("".join))
+def test_contexts_equal_a_plain_search(text):
+    spans = pii.base_spans(text)
+    near = pii._Near(text, spans)
+    words = [m.span() for m in re.finditer(r"[0-9A-Za-z\x80-\U0010ffff]+", text)]
+    for span in spans:
+        _, start, end = span
+        both = [(s, min(e, start)) for s, e in words if s < start][-pii.NEAR :] + [(max(s, end), e) for s, e in words if e > end][: pii.NEAR]
+        free = [(s, e) for s, e in both if e - s >= 3 and not text[s:e].isdigit() and not any(a < e and s < b for _, a, b in spans)]
+        assert near.of(span) == [(text[s:e], s) for s, e in free]
+
+
+def test_shapes_of_generalised_terms():
+    assert [pii.general(w) for w in ("Zanzibar", "zanzibar", "NATO", "b52", "É", "éa", "X")] == ["<NAME>", "<WORD>", "<ACRONYM>", "<CODE>", "<NAME>", "<WORD>", "<NAME>"]
+
+
+def test_terms_are_generalised_or_removed(spark):
+    rows = [(1, "Told near here", [("term", 0, 4, 0.95), ("term", 5, 9, 0.99), ("email", 10, 14, None)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii_spans array<struct<kind:string,start:int,end:int,told:double>>")
+    spans, text = df.first().pii_spans, rows[0][1]
+    assert [pii._instead(s.asDict(), text) for s in spans] == ["<NAME>", "", "<EMAIL>"]
+
+
 def revealing(spark, more=()):
     common = "the quick house and garden words stay around here"
     rows = [(i, f"{common} number{i} {'zanzibar lima'.split()[i % 2]} {common.title()} {i} {'contact write'.split()[i % 2]} boss.{i % 2}@corp.example.com {common} fill{i}", "s", 5) for i in range(12)]
