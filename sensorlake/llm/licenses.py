@@ -190,7 +190,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     said = with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header"))
     # A header can be a whole file, so its words and its files are grouped by a digest of it.
     headers = stored(said.withColumn("key", F.unhex(F.sha2("header", 256))))
-    best = found_in(stored(headers.groupBy("key").agg(F.first("header").alias("header"))), notices, idf, least)
+    # Stored, as a header that very many files hold is a hot key of the join that follows.
+    best = stored(found_in(stored(headers.groupBy("key").agg(F.first("header").alias("header"))), notices, idf, least))
     order = F.struct((F.col("license") == NONE_GRANTED).alias("none"), (-F.col("score")).alias("away"), "license")
     own = stored(
         headers.select("path", "licence_file", "key").join(best, "key").groupBy("path").agg(F.min(order).alias("best"), F.first("licence_file").alias("licence_file"))

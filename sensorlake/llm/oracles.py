@@ -111,20 +111,31 @@ _TOLD = "array_to_string(list_transform({turns}, lambda t: concat('<|', t.role,
 OP8 = f"""
 WITH rows AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 whole AS (
-    SELECT conv_id, list({{'role': role, 'said': replace(text, '<|', '< |')}} ORDER BY turn NULLS FIRST, role, text) AS turns,
-           sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS learned,
-           first({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, sha256(text)) AS start
+    SELECT conv_id, list({{'role': role, 'text': text, 'said': replace(text, '<|', '< |')}} ORDER BY turn NULLS FIRST, role, text) AS turns,
+           sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS learned
     FROM rows GROUP BY conv_id
 ),
-keyed AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY start) > 1 THEN sha256(CAST(start AS VARCHAR)) ELSE '' END AS key FROM whole),
-ranked AS (SELECT *, (row_number() OVER (PARTITION BY key ORDER BY conv_id) - 1) // 2 AS pair FROM keyed),
+prefixes AS (
+    SELECT conv_id, learned, i AS depth, sha256(to_json(turns[1:i])) AS prefix
+    FROM (SELECT *, unnest(range(1, len(turns) + 1)) AS i FROM whole)
+),
+shared AS (
+    SELECT prefix, first(conv_id ORDER BY learned DESC, conv_id) AS best, last(conv_id ORDER BY learned DESC, conv_id) AS final
+    FROM prefixes GROUP BY prefix HAVING count(*) > 1
+),
+deepest AS (SELECT conv_id, arg_max(best, depth) AS best, arg_max(final, depth) AS final FROM prefixes JOIN shared USING (prefix) GROUP BY conv_id),
 pairs AS (
-    SELECT first(conv_id ORDER BY learned DESC, conv_id) AS chosen_id, first(turns ORDER BY learned DESC, conv_id) AS c,
-           last(conv_id ORDER BY learned DESC, conv_id) AS rejected_id, last(turns ORDER BY learned DESC, conv_id) AS r
-    FROM ranked GROUP BY key, pair HAVING count(*) = 2
+    (SELECT DISTINCT best AS chosen_id, CASE WHEN conv_id = best THEN final ELSE conv_id END AS rejected_id, CAST(NULL AS BIGINT) AS cut FROM deepest)
+    UNION ALL
+    (SELECT conv_id, conv_id, coalesce(list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')) - 1, len(turns))
+     FROM whole ANTI JOIN deepest USING (conv_id))
+),
+sides AS (
+    SELECT chosen_id, rejected_id, x.turns AS c, CASE WHEN cut IS NULL THEN y.turns ELSE y.turns[1:cut] END AS r
+    FROM pairs JOIN whole x ON x.conv_id = chosen_id JOIN whole y ON y.conv_id = rejected_id
 ),
 split AS (
-    SELECT *, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) AS n FROM pairs
+    SELECT *, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) AS n FROM sides
 ),
 parts AS (SELECT *, c[n + 1:] AS c_rest, r[n + 1:] AS r_rest FROM split)
 SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, {_TOLD.format(turns="c[1:n]")} AS prompt,
@@ -133,36 +144,47 @@ SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, {_TOLD.form
 FROM parts
 """
 
-def _licences() -> str:
-    from sensorlake.llm import licenses
-
-    rows = ", ".join("('{}', '{}')".format(name, notice.replace("'", "''")) for name, notice in licenses.TEMPLATES)
-    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w <> '')"
-    return f"""
-WITH notices(license, notice) AS (VALUES {rows}),
-vocabulary AS (SELECT DISTINCT unnest({words.format("notice")}) AS word FROM notices),
-files AS (
+#: Documents as files of a directory tree, as op2 has them.
+_AS_FILES = """
     SELECT CASE (doc_id // 20) % 30
                WHEN 0 THEN concat(source, '/LICENSE.', doc_id)
                WHEN 10 THEN concat(source, '/d', doc_id // 20000, '/LICENSE.', doc_id)
                WHEN 20 THEN concat(source, '/d', doc_id // 20000, '/d', doc_id // 1000, '/LICENSE.', doc_id)
                ELSE concat(source, '/d', doc_id // 20000, '/d', doc_id // 1000, '/', doc_id, '.txt') END AS path, text
     FROM documents
-),
+"""
+
+
+def licences(files: str) -> str:
+    """The licence scan of a query that gives (path, text)."""
+    from sensorlake.llm import licenses
+
+    rows = ", ".join("('{}', '{}')".format(name, notice.replace("'", "''")) for name, notice in licenses.TEMPLATES)
+    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda w: w <> '')"
+    phrase = "concat(' ', array_to_string({}, ' '), ' ')".format(words)
+    return rf"""
+WITH notices(license, notice) AS (VALUES {rows}),
+vocabulary AS (SELECT DISTINCT unnest({words.format("notice")}) AS word FROM notices),
+files AS ({files}),
 total AS (SELECT count(*) AS files FROM files),
 df AS (
-    SELECT word, count(*) AS df FROM (SELECT path, unnest(list_distinct({words.format("coalesce(text, '')")})) AS word FROM files)
+    SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct({words.format("coalesce(text, '')")})) AS word FROM files)
     WHERE word IN (SELECT word FROM vocabulary) GROUP BY word
 ),
 idf AS (SELECT word, ln((files + 1) / (coalesce(df, 0) + 1)) + 1 AS weight FROM vocabulary LEFT JOIN df USING (word), total),
-lines AS (
-    SELECT path, split_part(path, '/', -1) LIKE 'LICENSE%' AS licence_file, text, string_split(text, chr(10)) AS said
+cued AS (
+    SELECT path, regexp_matches(split_part(path, '/', -1), '{licenses.LICENCE_FILE}') AS licence_file, text,
+           regexp_replace(text, '(?m)^[ \t]*(?:REM|dnl)\b', '', 'g') AS unmarked
     FROM files WHERE regexp_matches(lower(text), '{licenses.CUE}')
 ),
-headers AS (
-    SELECT DISTINCT path, licence_file, unnest(CASE WHEN licence_file THEN list_append(cued, text) ELSE cued END) AS header
-    FROM (SELECT *, list_filter(said, lambda line: regexp_matches(lower(line), '{licenses.CUE}')) AS cued FROM lines)
+parted AS (
+    SELECT path, licence_file, text, list_filter(list_concat(string_split(text, chr(10)), list_concat(
+               regexp_split_to_array(unmarked, '\n[ \t\r]*\n'),
+               regexp_split_to_array(regexp_replace(unmarked, '(?m)^[^A-Za-z0-9\n]+$', '', 'g'), '\n\n+'))),
+           lambda part: regexp_matches(lower(part), '{licenses.CUE}')) AS parts
+    FROM cued
 ),
+headers AS (SELECT DISTINCT path, licence_file, unnest(CASE WHEN licence_file THEN list_append(parts, text) ELSE parts END) AS header FROM parted),
 texts AS (SELECT DISTINCT header AS id, NULL AS license, header AS said FROM headers UNION ALL SELECT notice, license, notice FROM notices),
 counts AS (SELECT id, license, word, count(*) AS tf FROM (SELECT id, license, unnest({words.format("said")}) AS word FROM texts) GROUP BY ALL),
 weighed AS (SELECT id, license, word, weight, tf * coalesce(weight, ln(files + 1) + 1) AS x FROM counts LEFT JOIN idf USING (word), total),
@@ -175,9 +197,27 @@ close AS (
     SELECT h.id AS header, t.license, round(sum(h.x * t.x), 6) AS score
     FROM units h JOIN units t USING (word) WHERE h.license IS NULL AND t.license IS NOT NULL GROUP BY h.id, t.id, t.license
 ),
-best AS (SELECT header, first(license ORDER BY score DESC, license) AS license, max(score) AS score FROM close WHERE score >= {licenses.LEAST_SCORE} GROUP BY header),
+nearest AS (SELECT header, first(license ORDER BY score DESC, license) AS license, max(score) AS score FROM close WHERE score >= {licenses.LEAST_SCORE} GROUP BY header),
+phrases AS (SELECT DISTINCT license, {phrase.format("notice")} AS said, len({words.format("notice")}) AS n FROM notices),
+held AS (
+    SELECT header, first(license ORDER BY license = '{licenses.NONE_GRANTED}', n DESC, license) AS license
+    FROM (SELECT DISTINCT header, {phrase.format("header")} AS whole FROM headers) JOIN phrases ON contains(whole, said) GROUP BY header
+),
+tags AS (SELECT DISTINCT header, regexp_extract(header, '{licenses.SPDX}', 1) AS tag FROM headers),
+tagged AS (
+    SELECT header, coalesce(first(license), any_value(tag)) AS license
+    FROM tags LEFT JOIN (SELECT DISTINCT license FROM notices) ON lower(license) = regexp_replace(lower(tag), '(-only|-or-later|\+)$', '')
+    WHERE tag <> '' GROUP BY header
+),
+best AS (
+    SELECT * FROM (
+        SELECT header, coalesce(t.license, n.license, h.license) AS license, CASE WHEN t.license IS NOT NULL OR n.license IS NULL THEN 1.0 ELSE n.score END AS score
+        FROM (SELECT DISTINCT header FROM headers) LEFT JOIN tagged t USING (header) LEFT JOIN nearest n USING (header) LEFT JOIN held h USING (header)
+    ) WHERE license IS NOT NULL
+),
 own AS (
-    SELECT path, any_value(licence_file) AS licence_file, first(license ORDER BY score DESC, license) AS license, max(score) AS score
+    SELECT path, any_value(licence_file) AS licence_file, first(license ORDER BY license = '{licenses.NONE_GRANTED}', score DESC, license) AS license,
+           first(score ORDER BY license = '{licenses.NONE_GRANTED}', score DESC, license) AS score
     FROM headers JOIN best USING (header) GROUP BY path
 ),
 given AS (
@@ -186,16 +226,16 @@ given AS (
 ),
 inherited AS (
     SELECT path, given.place, given.license, given.score, row_number() OVER (PARTITION BY path ORDER BY len(given.place) DESC) AS near
-    FROM files JOIN given ON starts_with(path, given.place)
+    FROM (SELECT DISTINCT path FROM files) JOIN given ON starts_with(path, given.place)
 )
-SELECT path, coalesce(own.license, i.license) AS license, coalesce(own.score, i.score) AS score,
+SELECT path, coalesce(own.license, i.license) AS license, CAST(coalesce(own.score, i.score) AS DOUBLE) AS score,
        CASE WHEN own.license IS NOT NULL THEN 'header' WHEN i.license IS NOT NULL THEN 'inherited' END AS found,
        CASE WHEN own.license IS NULL THEN i.place END AS given_by
 FROM files LEFT JOIN own USING (path) LEFT JOIN (SELECT * FROM inherited WHERE near = 1) i USING (path)
 """
 
 
-OP2 = _licences()
+OP2 = licences(_AS_FILES)
 
 OP12 = r"""
 WITH d AS (

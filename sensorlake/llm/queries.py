@@ -128,8 +128,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def _op8(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
-    made = preference.formatted(pairs, conversations)
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in a pair at the longest prefix it shares: the prompt and two masked completions."""
+    conversations = table(spark, sf_dir, "conversations")
+    made = preference.formatted(preference.pairs_by_longest_prefix(conversations), conversations)
 
     def said(mask: str) -> Column:
         return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(mask)
@@ -137,18 +139,6 @@ def _op8(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
     return made.select("chosen_id", "rejected_id", "n_prompt_turns", "prompt", "chosen", "rejected", said("chosen_mask"), said("rejected_mask"))
 
 
-def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation paired with another one: shared prompt and two masked completions."""
-    conversations = table(spark, sf_dir, "conversations")
-    return _op8(conversations, preference.pairs_by_first_turn(conversations))
-
-
-def op8_longest_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op8_chat_formatting, of conversations paired by the longest prefix that they share; none is left out."""
-    conversations = table(spark, sf_dir, "conversations")
-    return _op8(conversations, preference.pairs_by_longest_prefix(conversations))
-
-
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document left after removing 50-word sequences of smaller documents."""
 
@@ -202,7 +192,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_formatting": op8_chat_formatting,
-    "op8_longest_prefix": op8_longest_prefix,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_best_fit_packing": op11_best_fit_packing,

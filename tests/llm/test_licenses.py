@@ -82,11 +82,37 @@ def test_query_equals_sql(spark, folder):
     assert not any(name in plan for name in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
 
 
-def test_every_planted_notice_is_found(spark):
-    folder = "/root/testdata/sf0.1"
-    found = queries.op2_license_scan(spark, folder).where("found = 'header'").count()
-    docs = queries.table(spark, folder, "documents").where(F.col("text").rlike("(Licensed under|Released under|licensed under)"))
-    assert found == docs.count() > 200
+def made_files():
+    """Tags, wrapped and marked notices, whole texts, several licences in one file, and files without any."""
+    wrapped = "Copyright 2020 The Authors.\n\nThis work is\nlicensed under the GNU\nGeneral Public License,\nversion 3.\n"
+    whole = dict(licenses.TEXTS)
+    rows = [
+        ("a/LICENSE", whole["BSD-3-Clause"].replace(". ", ".\n\n")), ("a/x.py", "code"), ("b/COPYING", whole["MIT"]), ("b/c/x.py", "code"),
+        ("c/LICENSE.txt", "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n\n" + "other words of it " * 200), ("c/x.py", "code"),
+        ("d/tag.py", "# SPDX-License-Identifier: GPL-2.0-only\ncode"), ("d/tag.c", "/* SPDX-License-Identifier: MIT OR Apache-2.0 */"),
+        ("d/tag2.c", "// spdx-license-identifier: lgpl-3.0-or-later\n// SPDX-License-Identifier: EPL-2.0"), ("d/LICENSE", "This work is licensed under the GNU General Public License, version 3."),
+        ("e/wrapped.py", "\n".join("# " + line for line in wrapped.split("\n")) + "\nimport all_of_it"), ("e/rem.bat", "\n".join("REM " + line for line in wrapped.split("\n")) + "\n\necho on"),
+        ("e/both.py", "All rights reserved.\nprint()\nReleased under the MIT License."), ("e/own.py", "Copyright Some Quite Long Name of Nowhere. All rights reserved."),
+        ("e/three.md", "Licensed under the ISC License.\n\nReleased under the MIT License.\nLicensed under the BSD 2-Clause License."),
+        ("f/NOTICE", "Licensed under the Apache License, Version 2.0."), ("f/unlicense.md", "nothing of the kind"), ("f/g/h/x.py", None), ("f/g/y.py", ""),
+        ("g/licence-MIT", "the licence of this is not told"), ("g/x.py", "copyright nobody"), ("x.py", "no directory"),
+        ("h/long.txt", "word " * 5000 + "\nthis text is Released under the MIT License. and more words stand beside it so that they differ " + "tail " * 300),
+    ]
+    return rows + [(f"z/{i % 7}/{i}", f"word{i} and all the rest, licence {i}") for i in range(60)]
+
+
+def test_scan_equals_sql_on_made_files(spark):
+    rows = made_files()
+    con = compare.connect("/root/testdata/sf0.001")
+    con.execute("CREATE TABLE made (path VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO made VALUES (?, ?)", rows)
+    got = compare.spark_rows(licenses.scan(spark.createDataFrame(rows, "path string, text string")))
+    want = compare.sql_rows(con, oracles.licences("SELECT path, text FROM made"))
+    assert got == want
+    found = {row[3]: (row[2], row[0]) for row in want[1]}  # path: license, found
+    assert found["d/tag.py"] == ("GPL-2.0", "header") and found["d/tag.c"] == ("MIT OR Apache-2.0", "header")
+    assert found["e/wrapped.py"] == found["e/rem.bat"] == ("GPL-3.0", "header") and found["e/both.py"] == ("MIT", "header")
+    assert found["c/x.py"] == ("GPL-2.0", "inherited") and found["h/long.txt"] == ("MIT", "header")
 
 
 def test_every_planted_licence_line_is_found(spark):
