@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sensorlake.llm.rows import list_array, small_batches
+from sensorlake.llm.rows import list_array
 from sensorlake.llm.words import Words, byte_set, mixed, pieces
 from sensorlake.sources.shared import stored
 
@@ -418,7 +418,6 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     are far fewer than its rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     docs = docs.select(F.col(text).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
     parts = vocabulary(docs.select("lang", "text"), least)
     found = places(parts)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from sensorlake.llm.bytebpe import byte_characters
-from sensorlake.llm.rows import list_array, small_batches
+from sensorlake.llm.rows import list_array
 from sensorlake.llm.words import pieces as slices
 from sensorlake.sources.shared import stored
 
@@ -278,7 +278,6 @@ def _pieces(docs: DataFrame, tokenizer: str, end_id: int | None, tokens: int, do
                 columns.append(list_array(pa.array(np.frombuffer(b"".join(words), dtype="<i4")), found[:, 2]))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 

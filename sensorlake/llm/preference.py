@@ -100,7 +100,8 @@ def pairs_by_longest_prefix(conversations: DataFrame, conv_id: str = "conv_id",
     the most text of the learned role, the smaller id where that is equal; the best itself is chosen over the
     last in that order. One that shares no turn with any other is chosen over itself cut
     before its last learned turn, ``rejected_turns`` turns long, or uncut where it has none. Equal pairs are
-    one. Rows are read as by ``whole``. No conversations give no pairs.
+    one. Rows are read as by ``whole``; further columns, whatever their names, are ignored. No conversations give
+    no pairs.
     """
     known = whole(conversations, conv_id, turn, role, text)
 

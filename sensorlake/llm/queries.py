@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from sensorlake.llm import bytebpe, decontamination, divergence, jaccard, langid, licenses, middle, packing, pii, preference, resampling, substrings, topk
-from sensorlake.llm.rows import annotate
+from sensorlake.llm.rows import annotate, small_batches
 
 #: Rank file of op5 and the pipeline, and vocabulary of op3.
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,8 @@ TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver, for a session whose batches between Spark and Python are small."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField
 
-from sensorlake.llm.rows import annotate, set_aside, small_batches
+from sensorlake.llm.rows import annotate, set_aside
 from sensorlake.llm.words import ALPHANUMERIC, NON_SPACE, RangeHash, byte_values, column_bytes, mixed, pieces, runs
 from sensorlake.sources.shared import stored
 
@@ -61,7 +61,6 @@ def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _counts(docs: DataFrame, target: np.ndarray) -> np.ndarray:
     """N-grams by bucket: of all documents, and of those whose id is in ``target`` (sorted)."""
-    small_batches(docs.sparkSession)
     ids = docs.sparkSession.sparkContext.broadcast(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +182,8 @@ def _fitted(docs: DataFrame, labels: DataFrame, k: int | None, sample: int, seed
     if k is None:
         both = np.concatenate([good, bad])
         known = docs.sparkSession.createDataFrame(list(zip(both.tolist(), [True] * good.size + [False] * bad.size, strict=True)), "doc_id long, good boolean")
-        seen = usable.join(known, "doc_id").select("log_weight", "good").collect()
+        # A row per labelled id, however often it stands there.
+        seen = usable.join(known, "doc_id").groupBy("doc_id", "good").agg(F.max("log_weight").alias("log_weight")).collect()
         weights = {q: np.array([r.log_weight for r in seen if r.good == q]) for q in (True, False)}
         k = usable.where(F.col("log_weight") >= cut(weights[True], weights[False])).count()
     return ratio, scored, kth_largest(usable, "draw", min(k, usable.count()))
@@ -206,7 +206,8 @@ def resampled(
     above the cut that parts the labelled documents left out of fitting. Rows whose noisy weights tie
     with the k-th, such as repeated rows, are drawn together. A null text, or one without visible
     characters, has no tokens and is never drawn. Labels with a null id or quality are ignored;
-    without good labels all weights are equal, and without bad ones all documents are drawn.
+    without good labels all weights are equal, and without bad ones all documents are drawn. Of a labelled
+    id that repeats, the largest weight is compared. Further columns, whatever their names, are ignored.
     """
     _, scored, least = _fitted(*_shaped(docs, labels, doc_id, text, quality), k, sample, seed)
     return scored.select("doc_id", "n_tokens", "log_weight", _drawn(least).alias("sampled"))

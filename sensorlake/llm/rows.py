@@ -20,7 +20,10 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the session's batch size to ``BATCH_ROWS``; it bounds memory and changes no result."""
+    """Lower the session's batch size to ``BATCH_ROWS``; it bounds memory and changes no result.
+
+    For programs that own their session, as the registered queries do. Operators leave the session as it is.
+    """
     if int(spark.conf.get(_BATCH_SETTING, "10000")) not in range(1, BATCH_ROWS + 1):
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
@@ -35,7 +38,6 @@ def annotate(
     that of an added one, in any case, is replaced by it. ``where`` chooses the rows to return, all
     by default, ahead of the work on them.
     """
-    small_batches(df.sparkSession)
     clash = {field.name.lower() for field in added}
     kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in clash]
     schema = StructType([*(df.schema[name] for name in kept), *added])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sensorlake.llm.bits import BitTable
-from sensorlake.llm.rows import Compute, annotate, list_array, set_aside, small_batches
+from sensorlake.llm.rows import Compute, annotate, list_array, set_aside
 from sensorlake.llm.words import NON_SPACE, Words, column_bytes, pieces
 from sensorlake.sources.shared import stored
 
@@ -175,7 +175,6 @@ def _copies_settled(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, found): first words of windows that also start in a smaller document, as ranges at..until."""
-    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     context = docs.sparkSession.sparkContext
     hashed = docs.mapInArrow(_anchor_rows, "h long, h2 int, doc_id long")
