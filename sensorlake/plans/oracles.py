@@ -410,6 +410,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_gold_alerts": _alert_rows("alerts_stream"),
         "stream_restart": _with("""SELECT ingest_batch, count(event_id) AS readings, count(DISTINCT event_id) AS distinct_readings,
             count(*) AS row_count FROM m GROUP BY 1""", "m"),
+        "stream_stamps": _with("""SELECT ingest_batch, 'bronze' AS layer, count(*) AS row_count, count(*) AS stamped, 1 AS stamps FROM m GROUP BY 1
+            UNION ALL SELECT ingest_batch, 'silver', count(*), count(*), 1 FROM mcl GROUP BY 1""", "m", "mcl"),
         "layer_counts": _counts("m", "mcl", "_stream"),
         "stream_paced": _counts("pm", "pmcl", "_paced"),
         "house_alerts": _with(f"""SELECT batch_id, house_id, event_id, alert_status, {_cause()} AS primary_trigger, first_of_house, first_of_status,

@@ -226,6 +226,18 @@ def stream_restart(w: Warehouse) -> DataFrame:
     )
 
 
+def stream_stamps(w: Warehouse) -> DataFrame:
+    """Clock readings of every micro-batch: each row has one, and all of a micro-batch the same."""
+    layers = (("bronze", w.streamed.read_bronze(w.spark), "ingested_at"), ("silver", w.streamed.read_silver(w.spark), "processed_at"))
+    bronze, cleaned = (
+        rows.groupBy("ingest_batch").agg(
+            F.lit(layer).alias("layer"), F.count("*").alias("row_count"), F.count(stamp).alias("stamped"), F.count_distinct(stamp).alias("stamps")
+        )
+        for layer, rows, stamp in layers
+    )
+    return bronze.unionByName(cleaned)
+
+
 _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "score_alert_status": score_alert_status,
     "score_risk": score_risk,
@@ -285,6 +297,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stream_gold_gov": lambda w: w.streamed.read_gold(w.spark, "gov_stats"),
     "stream_gold_alerts": lambda w: w.streamed.read_gold(w.spark, "active_alerts"),
     "stream_restart": stream_restart,
+    "stream_stamps": stream_stamps,
     "layer_counts": lambda w: layer_counts(w.spark, w.streamed),
     "stream_paced": lambda w: layer_counts(w.spark, w.paced),
     "house_alerts": lambda w: w.history.read_houses(w.spark).select(
