@@ -150,12 +150,15 @@ def chained_silver_writer(lake: Lake) -> BatchWriter:
         if batch.isEmpty():
             return
         rows = _cleaned(batch.drop(*schemas.TIME_PARTS))
-        counted = rows.groupBy("ingest_batch").agg(F.count("*").alias("row_count")).collect()  # a row per raw micro-batch
         stamped = with_time_parts(rows).withColumn("part", F.col("ingest_batch"))
         replace_partitions(schemas.conform(stamped, schemas.SILVER), lake.silver, schemas.LAYER_KEYS)
-        spark = batch.sparkSession
-        listed = spark.createDataFrame([("silver", r.ingest_batch, r.row_count) for r in counted], "table_name string, batch_id long, row_count long")
-        lake.publish(spark, "silver", listed.withColumn("snapshot_time", _now()))
+        # A row per raw micro-batch.
+        counted = rows.groupBy(F.col("ingest_batch").alias("batch_id")).agg(F.count("*").alias("row_count")).persist()
+        try:
+            listed = counted.select(F.lit("silver").alias("table_name"), "batch_id", "row_count", _now().alias("snapshot_time"))
+            lake.publish(batch.sparkSession, "silver", listed)
+        finally:
+            counted.unpersist()
 
     return write
 

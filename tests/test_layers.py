@@ -167,6 +167,21 @@ def test_unknown_shared_folder_is_refused_on_a_cluster():
 
     from sensorlake.sources.shared import shared_folder
 
-    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
     with pytest.raises(RuntimeError):
         shared_folder(cluster)
+
+
+def test_intermediate_tables_go_with_their_application(spark, tmp_path, monkeypatch):
+    from sensorlake.sources import shared
+
+    own = shared._of_application(spark)
+    assert own.endswith(f"/sensorlake-{spark.sparkContext.applicationId}")
+    monkeypatch.setattr(shared, "_of_application", lambda spark: str(tmp_path / "sensorlake-this"))
+    other = tmp_path / "sensorlake-another" / "table"
+    other.mkdir(parents=True)
+    kept = shared.stored(spark.range(5))
+    assert kept.count() == 5 and len(list(tmp_path.glob("sensorlake-*/*"))) == 2
+    shared.release(spark)
+    assert list(tmp_path.glob("sensorlake-*/*")) == [other]
+    shared.release(spark)  # nothing left
