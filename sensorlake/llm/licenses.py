@@ -9,6 +9,9 @@ words make the cosine small. A file without a licence of its own takes that of t
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +75,8 @@ TEMPLATES = (*NOTICES, *TEXTS)
 
 #: Words that a header holds; lines and blocks of lines without one are not compared.
 CUE = r"licen[cs]e|copyright|spdx|public domain|permission is hereby granted|all rights reserved|creative commons"
+#: The same as plain texts: a file without any of them is not looked at further.
+CUES = ("license", "licence", "copyright", "spdx", "public domain", "permission is hereby granted", "all rights reserved", "creative commons")
 #: Names of licence files.
 LICENCE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice)([._-].*)?$"
 LEAST_SCORE = 0.6
@@ -159,6 +164,12 @@ def found_in(headers: DataFrame, notices: DataFrame, idf: DataFrame, least: floa
     return both.select("key", license.alias("license"), score.alias("score")).where("license IS NOT NULL")
 
 
+def _cued(text: Column) -> Column:
+    """Whether a text holds a cue; it is lower-cased once and searched without regular expressions."""
+    found = F.transform(F.array(F.lower(text)), lambda low: reduce(or_, [F.contains(low, F.lit(cue)) for cue in CUES]))
+    return F.exists(found, lambda yes: yes)
+
+
 def _blocks(text: Column) -> Column:
     """Neighbouring lines: up to lines without any sign, and up to lines that hold comment marks at most."""
     unmarked = F.regexp_replace(text, r"(?m)^[ \t]*(?:REM|dnl)\b", "")
@@ -185,9 +196,10 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", notices: Data
     lines = F.filter(F.concat(F.split("text", "\n"), _blocks(F.col("text"))), lambda part: F.lower(part).rlike(CUE))
     licence_file = F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE)
     compared = F.array_distinct(F.when(licence_file, F.array_append(lines, F.col("text"))).otherwise(lines))
-    # Only files with a cue are split into lines.
-    with_cue = files.where(F.lower("text").rlike(CUE)).withColumn("compared", compared)
-    said = with_cue.select("path", licence_file.alias("licence_file"), F.explode("compared").alias("header"))
+    # Only files with a cue are split into lines. The parts come out of a generator, so that what is inferred of them later
+    # stays above it and does not split the text again.
+    split = files.where(_cued(F.col("text"))).select("path", licence_file.alias("licence_file"), F.inline(F.array(F.struct(compared.alias("compared")))))
+    said = split.select("path", "licence_file", F.explode("compared").alias("header"))
     # A header can be a whole file, so its words and its files are grouped by a digest of it.
     headers = stored(said.withColumn("key", F.unhex(F.sha2("header", 256))))
     # Stored, as a header that very many files hold is a hot key of the join that follows.

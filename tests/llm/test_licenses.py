@@ -115,6 +115,20 @@ def test_scan_equals_sql_on_made_files(spark):
     assert found["c/x.py"] == ("GPL-2.0", "inherited") and found["h/long.txt"] == ("MIT", "header")
 
 
+def test_cues_are_the_same_both_ways(spark):
+    texts = ["LICENSE", "Licence", "licenc", "CopyRight", "SPDX", "public  domain", "Public Domain", "all rights reserved", "all rights", "", None, "Creative Commons", "permission is hereby granted"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(F.coalesce(licenses._cued(F.col("text")), F.lit(False)), F.coalesce(F.lower("text").rlike(licenses.CUE), F.lit(False)))
+    assert all(a == b for a, b in rows.collect())
+
+
+def test_a_text_is_split_once(spark):
+    df = licenses.scan(spark.createDataFrame([("a", "x")], "path string, text string"))
+    assert df.count() == 1
+    split = spark.createDataFrame([("a", "license")], "path string, text string")
+    plan = split.where(licenses._cued(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
+
+
 def test_every_planted_licence_line_is_found(spark):
     folder = "/root/testdata/sf0.1"
     found = queries.op2_license_scan(spark, folder).where("found = 'header'").count()
