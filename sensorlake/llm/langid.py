@@ -26,6 +26,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField
 
 from sensorlake.llm.rows import annotate
 from sensorlake.llm.words import RangeHash, byte_set, byte_values, column_bytes, mixed, pieces, runs
+from sensorlake.sources.shared import stored
 
 ROWS_PER_LANGUAGE = 400
 ROUNDS = 4
@@ -239,8 +240,12 @@ def learned(docs: DataFrame, trainable: Column, vocabulary: list[bytes], rows: i
     a quarter of a megabyte each, as they are broadcast.
     """
     known = docs.where(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "lang").distinct()
+    # The least of all hashes, of which ``rows`` are nearly surely among four times as many: what is ranked stays small.
+    hash_, order = F.xxhash64("doc_id"), W.partitionBy("lang").orderBy("hash", "doc_id")
+    shares = stored(known.groupBy("lang").agg((F.lit(4 * rows) / F.count("*")).alias("share")))
+    few = known.select("doc_id", "lang", hash_.alias("hash")).join(shares, "lang").where(F.col("hash") / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    # Stored, so that its size decides how texts are joined with it.
+    chosen = stored(few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("doc_id", "lang").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
