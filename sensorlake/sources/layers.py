@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType, TimestampNTZType
 
 from sensorlake import schemas
 from sensorlake.sources.files import delete, exists, matches, names
-from sensorlake.sources.snapshots import SnapshotList
+from sensorlake.sources.snapshots import Listed, SnapshotList
 
 #: ``part`` of the folded rows of an hour.
 FOLDED = -1
@@ -259,8 +259,8 @@ class Lake:
     def _list(self, layer: str) -> SnapshotList:
         return SnapshotList(f"{self.root}/snapshots/{layer}")
 
-    def publish(self, spark: SparkSession, layer: str, written: DataFrame, today: date | None = None) -> None:
-        """Add rows (table_name, batch_id, snapshot_time, row_count) for what has been written completely."""
+    def publish(self, spark: SparkSession, layer: str, written: DataFrame | list[Listed], today: date | None = None) -> None:
+        """List what has been written completely: one batch, or a table (table_name, batch_id, snapshot_time, row_count) of many."""
         with _settings(spark, _WRITE_SETTINGS):
             self._list(layer).publish(spark, written, today)
 

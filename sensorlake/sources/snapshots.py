@@ -32,16 +32,58 @@ def utc_day(time: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(time.cast("timestamp")) / 86_400).cast("int"))
 
 
-def head_of(written: DataFrame) -> DataFrame:
-    """A row per table: its newest batch that has rows, that batch's houses, the newest time, and the last number."""
+@dataclass(frozen=True)
+class Listed:
+    """What a layer holds of one table and batch; ``micros`` is the snapshot time in microseconds since 1970."""
+
+    table_name: str
+    batch_id: int | None
+    micros: int | None
+    row_count: int
+    critical: int | None = None
+    warning: int | None = None
+
+
+@dataclass(frozen=True)
+class Head:
+    """The newest batch of a table that has rows, that batch's houses, the newest time, and the last number."""
+
+    newest_batch: int | None = None
+    newest_critical: int | None = None
+    newest_warning: int | None = None
+    newest_micros: int | None = None
+    last_batch: int | None = None
+
+    def after(self, other: Head) -> Head:
+        """The head of both together."""
+
+        def later(a: int | None, b: int | None) -> int | None:
+            return max((x for x in (a, b) if x is not None), default=None)
+
+        newest = later(self.newest_batch, other.newest_batch)
+        own = self if newest is not None and self.newest_batch == newest else other
+        return Head(
+            newest, own.newest_critical, own.newest_warning, later(self.newest_micros, other.newest_micros), later(self.last_batch, other.last_batch)
+        )
+
+
+def _head(row: Listed) -> Head:
+    if not row.row_count:
+        return Head(last_batch=row.batch_id)
+    return Head(row.batch_id, row.critical, row.warning, row.micros, row.batch_id)
+
+
+def _heads_of(written: DataFrame) -> dict[str, Head]:
+    """The heads of rows (table_name, batch_id, snapshot_time, row_count, critical, warning), one per table."""
     filled = F.when(F.col("row_count") > 0, F.col("batch_id"))
-    return written.groupBy("table_name").agg(
+    heads = written.groupBy("table_name").agg(
         F.max(filled).alias("newest_batch"),
         F.max_by("critical", filled).alias("newest_critical"),
         F.max_by("warning", filled).alias("newest_warning"),
-        F.max(F.when(F.col("row_count") > 0, F.col("snapshot_time"))).alias("newest_time"),
+        F.max(F.when(F.col("row_count") > 0, F.unix_micros(F.col("snapshot_time").cast("timestamp")))).alias("newest_micros"),
         F.max("batch_id").alias("last_batch"),
     )
+    return {row.table_name: Head(*row[1:]) for row in heads.collect()}
 
 
 @dataclass(frozen=True)
@@ -71,43 +113,64 @@ class SnapshotList:
         return None
 
     def heads(self, spark: SparkSession) -> DataFrame:
-        """(table_name, newest_batch, newest_time, last_batch) from the last publication, the same in all rows of a table."""
+        """(table_name, newest_batch, newest_critical, newest_warning, newest_time, last_batch) from the last publication, the same in all rows of a table."""
         newest = self._newest(spark)
         columns = ("table_name", *_HEAD)
         if newest is None:
             return spark.createDataFrame([], schemas.SNAPSHOT).select(*columns)
         return spark.read.schema(schemas.SNAPSHOT).parquet(newest).select(*columns)
 
-    def publish(self, spark: SparkSession, written: DataFrame, today: date | None = None) -> None:
-        """List rows (table_name, batch_id, snapshot_time, row_count, and counts of houses) that are written completely.
+    def publish(self, spark: SparkSession, written: DataFrame | list[Listed], today: date | None = None) -> None:
+        """List what is written completely: the rows of a batch, or a table (table_name, batch_id, snapshot_time, row_count) of many.
 
-        The last step of a micro-batch. A repeated one is listed again, which readers even out.
+        The table may have the counts of houses, ``critical`` and ``warning``, as well. The last step of a
+        micro-batch; a repeated one is listed again, which readers even out.
         """
-        missing = {c: F.lit(None).cast("long") for c in ("critical", "warning") if c not in written.columns}
-        written = written.withColumns(missing)
-        # One row per table of the layer.
-        heads = head_of(written).unionByName(self.heads(spark)).groupBy("table_name").agg(
-            F.max("newest_batch").alias("newest_batch"),
-            F.max_by("newest_critical", "newest_batch").alias("newest_critical"),
-            F.max_by("newest_warning", "newest_batch").alias("newest_warning"),
-            F.max(F.unix_micros("newest_time")).alias("newest_micros"),
-            F.max("last_batch").alias("last_batch"),
-            F.max(utc_day(F.col("newest_time"))).cast("string").alias("newest_day"),
-        ).collect()
-        days = self._days(spark, self._published)
-        now = (today or datetime.now(timezone.utc).date()).isoformat()
-        day = max([now, *days[-1:], *(head.newest_day for head in heads if head.newest_day)])
-        place = f"{self._published}/{_DAY}{day}"
-        last = names(spark, place)[-1:]
-        number = 1 + int(last[0].removeprefix(_NUMBER)) if last else 0
-        carried = spark.createDataFrame(
-            [(h.table_name, h.newest_batch, h.newest_critical, h.newest_warning, h.newest_micros, h.last_batch) for h in heads],
-            "table_name string, newest_batch long, newest_critical long, newest_warning long, newest_micros long, last_batch long",
-        ).withColumn("newest_time", F.timestamp_micros("newest_micros"))
-        rows = schemas.conform(carried.join(written, "table_name", "left"), schemas.SNAPSHOT)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{place}/{_NUMBER}{number:09d}")
+        if isinstance(written, DataFrame):
+            missing = {c: F.lit(None).cast("long") for c in ("critical", "warning") if c not in written.columns}
+            written = written.withColumns(missing).persist()
+        try:
+            heads = {row.table_name: Head(*row[1:]) for row in self._known(spark)}
+            if isinstance(written, DataFrame):
+                fresh = list(_heads_of(written).items())
+            else:
+                fresh = [(row.table_name, _head(row)) for row in written]
+            for table, head in fresh:
+                heads[table] = head.after(heads.get(table, Head()))
+            days = self._days(spark, self._published)
+            newest = [datetime.fromtimestamp(h.newest_micros // 10**6, timezone.utc).date().isoformat() for h in heads.values() if h.newest_micros is not None]
+            day = max([(today or datetime.now(timezone.utc).date()).isoformat(), *days[-1:], *newest])
+            place = f"{self._published}/{_DAY}{day}"
+            last = names(spark, place)[-1:]
+            number = 1 + int(last[0].removeprefix(_NUMBER)) if last else 0
+            rows = schemas.conform(self._with_heads(spark, heads, written), schemas.SNAPSHOT)
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{place}/{_NUMBER}{number:09d}")
+        finally:
+            if isinstance(written, DataFrame):
+                written.unpersist()
         self._roll(spark, day)
 
+    def _known(self, spark: SparkSession) -> list:
+        """(table_name, newest_batch, newest_critical, newest_warning, micros, last_batch) of the last publication."""
+        shown = [F.unix_micros("newest_time") if c == "newest_time" else F.col(c) for c in ("table_name", *_HEAD)]
+        return self.heads(spark).select(*shown).collect() if self._newest(spark) else []
+
+    @staticmethod
+    def _with_heads(spark: SparkSession, heads: dict[str, Head], written: DataFrame | list[Listed]) -> DataFrame:
+        """The rows with their tables' heads; a table without rows has one row for its head."""
+        shape = "table_name string, newest_batch long, newest_critical long, newest_warning long, newest_micros long, last_batch long"
+        known = [(table, h.newest_batch, h.newest_critical, h.newest_warning, h.newest_micros, h.last_batch) for table, h in heads.items()]
+        if isinstance(written, DataFrame):
+            rows = spark.createDataFrame(known, shape).join(written, "table_name", "left")
+        else:
+            listed = {row.table_name: row for row in written}
+            nothing = (None,) * 5
+            rows = spark.createDataFrame(
+                [(*k, *((x.batch_id, x.micros, x.row_count, x.critical, x.warning) if (x := listed.get(k[0])) else nothing)) for k in known],
+                f"{shape}, batch_id long, micros long, row_count long, critical long, warning long",
+            ).withColumn("snapshot_time", F.timestamp_micros("micros"))
+        return rows.withColumn("newest_time", F.timestamp_micros("newest_micros"))
+
     def _roll(self, spark: SparkSession, today: str) -> None:
         """Put the files of every day before ``today`` into one, beside them."""
         rolled = set(self._days(spark, self._rolled))

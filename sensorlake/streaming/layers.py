@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import time
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from typing import Protocol
@@ -22,6 +23,7 @@ from sensorlake import schemas
 from sensorlake.operators import gold, rejects, silver, snapshot
 from sensorlake.sources import messages
 from sensorlake.sources.layers import Lake, replace_partitions, with_time_parts
+from sensorlake.sources.snapshots import Listed
 
 log = logging.getLogger(__name__)
 
@@ -54,6 +56,10 @@ def _now() -> Column:
     return F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
 
 
+def _micros() -> int:
+    return time.time_ns() // 1000
+
+
 class _Counter:
     """Counts of rows that Spark takes while it writes them, instead of a second pass."""
 
@@ -91,9 +97,7 @@ def _write_layer(rows: DataFrame, layer: str, lake: Lake, batch_id: int) -> None
     stamped = with_time_parts(rows).withColumns({"ingest_batch": F.lit(batch_id), "part": F.lit(batch_id)})
     replace_partitions(counter.on(schemas.conform(stamped, schema)), path, schemas.LAYER_KEYS)
     log.info("%s batch %d: %d rows", layer, batch_id, counter["rows"])
-    spark = rows.sparkSession
-    listed = spark.createDataFrame([(layer, batch_id, counter["rows"])], "table_name string, batch_id long, row_count long")
-    lake.publish(spark, layer, listed.withColumn("snapshot_time", _now()))
+    lake.publish(rows.sparkSession, layer, [Listed(layer, batch_id, _micros(), counter["rows"])])
 
 
 def _keep_rejected(rows: DataFrame, constraints: Sequence[rejects.Constraint], table: str, lake: Lake, batch_id: int) -> None:
@@ -209,7 +213,9 @@ def write_statistics(
             replace_partitions(schemas.conform(snapshot.house_state(houses), schemas.HOUSE_ALERTS), lake.houses, ("batch_id",))
             first = lake.read_houses(readings.sparkSession).where("first_of_house")
             houses = first if batch_id is None else first.where(F.col("batch_id") == batch_id)
-        lake.publish(readings.sparkSession, "gold", _listed(totals, alerts if broken else None, snapshot.house_counts(houses, ["batch_id"])))
+        suspects = alerts if broken else None
+        listed = _listed_batches(totals, suspects, houses) if batch_id is None else _listed(totals, suspects, houses, batch_id)
+        lake.publish(readings.sparkSession, "gold", listed)
     finally:
         totals.unpersist()
 
@@ -236,26 +242,44 @@ def _write_tables(tables: dict[str, DataFrame], lake: Lake, batch_id: int | None
     return broken
 
 
-def _listed(totals: DataFrame, alerts: DataFrame | None, houses: DataFrame) -> DataFrame:
-    """Rows of each statistics table per batch, and the batch's houses in either state.
-
-    Zone and governorate rows are counted in the totals, which hold a row per zone, and alerts in the sums of
-    the zones. ``alerts`` are given if some of them may have texts that no table can hold.
-    """
+def _row_counts() -> dict[str, Column]:
+    """Rows of each statistics table, from the totals, which hold a row per zone and its numbers of alerts."""
     placed = rejects.dropped([c for c in rejects.of_statistics("zone_stats") if c.column in ("governorate", "zone")])
     of_governorate = rejects.dropped([c for c in rejects.of_statistics("gov_stats") if c.column == "governorate"])
-    counts = {
+    return {
         "zone_stats": F.count_if(~placed),
         "gov_stats": F.count_distinct(F.when(~of_governorate, F.struct("governorate"))),
         "active_alerts": F.sum(F.col("critical_count") + F.col("warning_count")),
     }
+
+
+def _broken(alerts: DataFrame) -> DataFrame:
+    return alerts.where(rejects.dropped(rejects.of_statistics("active_alerts")))
+
+
+def _listed(totals: DataFrame, alerts: DataFrame | None, houses: DataFrame, batch_id: int) -> list[Listed]:
+    """Rows of each statistics table of a batch, and its houses in either state.
+
+    ``alerts`` are given if some of them may have texts that no table can hold.
+    """
+    counts = _row_counts()
+    time_ = F.unix_micros(F.max("snapshot_time").cast("timestamp")).alias("micros")
+    facts = totals.agg(time_, *[n.alias(t) for t, n in counts.items()]).first()
+    less = {"active_alerts": 0 if alerts is None else _broken(alerts).count()}
+    counted = snapshot.house_counts(houses).first()
+    return [Listed(t, batch_id, facts["micros"], (facts[t] or 0) - less.get(t, 0), counted["critical"], counted["warning"]) for t in counts]
+
+
+def _listed_batches(totals: DataFrame, alerts: DataFrame | None, houses: DataFrame) -> DataFrame:
+    """As ``_listed``, for all batches of a history."""
+    counts = _row_counts()
     batches = totals.groupBy("batch_id").agg(F.max("snapshot_time").alias("snapshot_time"), *[n.alias(t) for t, n in counts.items()])
     if alerts is not None:
-        broken = alerts.where(rejects.dropped(rejects.of_statistics("active_alerts")))
-        less = broken.groupBy(F.col("batch_id").alias("broken_batch")).agg(F.count("*").alias("broken"))
+        less = _broken(alerts).groupBy(F.col("batch_id").alias("broken_batch")).agg(F.count("*").alias("broken"))
         batches = batches.join(less, F.col("batch_id").eqNullSafe(F.col("broken_batch")), "left")
         batches = batches.withColumn("active_alerts", F.col("active_alerts") - F.coalesce("broken", F.lit(0)))
-    batches = batches.join(houses.withColumnRenamed("batch_id", "counted_batch"), F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left")
+    counted = snapshot.house_counts(houses, ["batch_id"]).withColumnRenamed("batch_id", "counted_batch")
+    batches = batches.join(counted, F.col("batch_id").eqNullSafe(F.col("counted_batch")), "left")
     rows = F.array(*[F.struct(F.lit(t).alias("table_name"), F.col(t).alias("row_count")) for t in counts])
     return batches.fillna(0, ["critical", "warning"]).select("batch_id", "snapshot_time", "critical", "warning", F.inline(rows))
 
