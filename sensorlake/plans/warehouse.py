@@ -129,9 +129,7 @@ class Warehouse:
         lake = Lake(self.folder())
         landing = f"{lake.root}/landing"
         for number in self.rounds():
-            days = (number * ROUND_DAYS, (number + 1) * ROUND_DAYS)
-            sent = fixture.payload(fixture.readings(self.spark, self.sf_dir, days))
-            messages.write_files(sent, landing, ordered=False)
+            self._send(number, landing)
             self._catch_up(landing, lake)
         self._catch_up(landing, lake)
         return lake
@@ -142,9 +140,7 @@ class Warehouse:
         lake = Lake(self.folder())
         landing = f"{lake.root}/landing"
         for number in self.rounds():
-            days = (number * ROUND_DAYS, (number + 1) * ROUND_DAYS)
-            sent = fixture.payload(fixture.readings(self.spark, self.sf_dir, days))
-            messages.write_files(sent, landing, ordered=False)
+            self._send(number, landing)
             layers.catch_up(messages.file_stream(self.spark, landing), lake, event_clock=True, chained=True)
         return lake
 
@@ -166,6 +162,12 @@ class Warehouse:
         layers.run(source, lake, event_clock=True, intervals=PACED_TRIGGERS, until=done)
         return lake
 
+    def _send(self, number: int, landing: str) -> None:
+        """Publish the readings of a round, spread evenly over the files."""
+        days = (number * ROUND_DAYS, (number + 1) * ROUND_DAYS)
+        sent = fixture.payload(fixture.readings(self.spark, self.sf_dir, days, even=True))
+        messages.write_files(sent, landing, ordered=False)
+
     def _catch_up(self, landing: str, lake: Lake) -> None:
         layers.catch_up(messages.file_stream(self.spark, landing), lake, event_clock=True)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from samples import readings, values
 from sensorlake.operators import gold
 from sensorlake.plans import fixture
+from sensorlake.plans.warehouse import Warehouse
 from sensorlake.sources import messages
 from sensorlake import schemas
 from sensorlake.sources.layers import Lake, layer_counts, within
@@ -500,3 +501,21 @@ def test_messages_are_published_once_per_session(spark, tmp_path):
     assert all(f.exists() for f in folders)
     release(spark)
     assert not any(f.exists() for f in folders)
+
+
+def test_messages_are_spread_over_files(spark, tmp_path, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.where("ts < '2024-01-06'").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("customer", "nation"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "1k")
+    try:
+        landing = f"{Warehouse(spark, str(tmp_path)).streamed.root}/landing"
+    finally:
+        spark.conf.unset(least)
+    sent = spark.read.parquet(landing)
+    rows = [row["count"] for row in sent.groupBy(F.input_file_name()).count().collect()]
+    expected = fixture.payload(fixture.readings(spark, sf_dir, (0, 5))).select("key", "value")
+    assert sent.count() == sum(rows) and not sent.exceptAll(expected).count() and not expected.exceptAll(sent).count()
+    assert len(rows) >= 4 and max(rows) < sum(rows) / 2
