@@ -149,15 +149,16 @@ class Warehouse:
         """Layers fed by a clock that sends a sixth of all readings with every tick; the statistics lag behind the others."""
         lake = Lake(self.folder())
         path = f"{lake.root}/sent"
-        fixture.payload(self.readings).write.parquet(path)
-        sent = self.spark.read.parquet(path)
-        each = -(-sent.count() // PACED_BATCHES)
-        source = messages.paced_stream(sent, "eid", each)
+        sized = self.places.agg(F.count("*").alias("n"), F.max("eid").alias("newest")).first()
+        each = max(1, -(-sized.n // PACED_BATCHES))
+        final = -1 if sized.newest is None else sized.newest // each
+        messages.write_paced(fixture.payload(fixture.readings(self.spark, self.sf_dir, even=True)), path, "eid", each)
+        source = messages.paced_stream(self.spark, path)
         held = ("bronze", "silver", "gold")
 
         def done() -> bool:
             last = [lake.heads(self.spark, layer).agg(F.max("last_batch")).first()[0] for layer in held]
-            return all(n is not None and n >= PACED_BATCHES - 1 for n in last)
+            return all(final < 0 or (n is not None and n >= final) for n in last)
 
         layers.run(source, lake, event_clock=True, intervals=PACED_TRIGGERS, until=done)
         return lake

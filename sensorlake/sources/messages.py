@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from sensorlake import schemas
 
@@ -67,18 +68,38 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_
     return _with_offsets(spark.readStream.schema(schemas.MESSAGE).format(fmt).options(**paced, **options).load(path))
 
 
-def paced_stream(messages: DataFrame, number: str, each: int) -> DataFrame:
-    """Stored messages as a stream that sends ``each`` of them per micro-batch, by their ``number`` from 0.
+@dataclass(frozen=True)
+class Paced:
+    """A stream of ticks, and the stored messages (key, value, tick) that each of them sends."""
+
+    ticks: DataFrame
+    stored: DataFrame
+
+    def sent(self, batch: DataFrame) -> DataFrame:
+        """The messages of a micro-batch of ticks; only their own folders are read."""
+        ticks = [row.tick for row in batch.select("tick").collect()]
+        return _with_offsets(self.stored.where(F.col("tick").isin(ticks)))
+
+
+def write_paced(messages: DataFrame, path: str, number: str, each: int) -> None:
+    """Store messages by the tick that sends them: ``each`` go with every tick, by their ``number`` from 0."""
+    tick = F.floor(F.col(number) / each).cast("long")
+    messages.select("key", "value", tick.alias("tick")).write.partitionBy("tick").parquet(path)
+
+
+def paced_stream(spark: SparkSession, path: str) -> Paced:
+    """Messages of ``write_paced`` as a stream that sends those of one tick, counted from 0, per micro-batch.
 
     A query that is triggered later finds the same micro-batches waiting. What is sent does not depend on the
-    clock, and there is no end: micro-batches beyond the last number are empty.
+    clock, and there is no end: micro-batches beyond the last tick are empty.
     """
     ticks = (
-        messages.sparkSession.readStream.format("rate-micro-batch")
-        .options(rowsPerBatch=str(each), numPartitions="1", startTimestamp="0", advanceMillisPerBatch="1000")
+        spark.readStream.format("rate-micro-batch")
+        .options(rowsPerBatch="1", numPartitions="1", startTimestamp="0", advanceMillisPerBatch="1000")
         .load()
     )
-    return _with_offsets(ticks.join(messages, ticks["value"] == messages[number]).select("key", messages["value"]))
+    stored = spark.read.schema(StructType([*schemas.MESSAGE.fields, StructField("tick", LongType())])).parquet(path)
+    return Paced(ticks.select(F.col("value").alias("tick")), stored)
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

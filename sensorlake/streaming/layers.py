@@ -316,14 +316,22 @@ def _name(layer: str, lake: Lake) -> str:
     return f"{layer}-{hashlib.sha256(lake.root.encode()).hexdigest()[:12]}"
 
 
+def _replaying(source: messages.Paced, fields: Sequence[str] | None, writer: BatchWriter) -> BatchWriter:
+    """Writer of the messages that a micro-batch of ticks sends."""
+    return lambda batch, batch_id: writer(messages.parse(source.sent(batch), fields), batch_id)
+
+
 def start(
-    source: DataFrame, layer: str, writer: BatchWriter, lake: Lake, available_now: bool = False, interval: str | None = None,
+    source: DataFrame | messages.Paced, layer: str, writer: BatchWriter, lake: Lake, available_now: bool = False, interval: str | None = None,
 ) -> StreamingQuery:
     """Start one layer's query on its interval, or let it work off what is there and end.
 
     ``source`` are parsed readings, or messages, of which only the layer's own fields are parsed.
     """
-    parsed = messages.parse(source, FIELDS.get(layer)) if "value" in source.columns else source
+    if isinstance(source, messages.Paced):
+        parsed, writer = source.ticks, _replaying(source, FIELDS.get(layer), writer)
+    else:
+        parsed = messages.parse(source, FIELDS.get(layer)) if "value" in source.columns else source
     trigger = {"availableNow": True} if available_now else {"processingTime": interval or TRIGGERS[layer]}
     return (
         parsed.writeStream.queryName(_name(layer, lake))
@@ -340,8 +348,10 @@ def _writers(lake: Lake, event_clock: bool, sink: GoldSink | StagedSink | None,
     return {"bronze": bronze_writer(lake), "silver": cleaned, "gold": gold_writer(lake, event_clock, sink=sink)}
 
 
-def _source(source: DataFrame, layer: str, lake: Lake, chained: bool) -> DataFrame:
-    return bronze_stream(source.sparkSession, lake) if chained and layer == "silver" else source
+def _source(source: DataFrame | messages.Paced, layer: str, lake: Lake, chained: bool) -> DataFrame | messages.Paced:
+    if not chained or layer != "silver":
+        return source
+    return bronze_stream((source.ticks if isinstance(source, messages.Paced) else source).sparkSession, lake)
 
 
 def _stop(queries: list[StreamingQuery]) -> None:
@@ -351,7 +361,7 @@ def _stop(queries: list[StreamingQuery]) -> None:
 
 
 def run(
-    source: DataFrame, lake: Lake, event_clock: bool = False, sink: GoldSink | StagedSink | None = None, intervals: dict[str, str] | None = None,
+    source: DataFrame | messages.Paced, lake: Lake, event_clock: bool = False, sink: GoldSink | StagedSink | None = None, intervals: dict[str, str] | None = None,
     chained: bool = False, until: Callable[[], bool] | None = None,
 ) -> None:
     """Keep all layers running until one of them ends or ``until`` holds, then stop the others.

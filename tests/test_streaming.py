@@ -519,3 +519,23 @@ def test_messages_are_spread_over_files(spark, tmp_path, sf_dir):
     expected = fixture.payload(fixture.readings(spark, sf_dir, (0, 5))).select("key", "value")
     assert sent.count() == sum(rows) and not sent.exceptAll(expected).count() and not expected.exceptAll(sent).count()
     assert len(rows) >= 4 and max(rows) < sum(rows) / 2
+
+
+def test_a_paced_micro_batch_reads_its_own_messages_only(spark, tmp_path, lake):
+    path = str(tmp_path / "sent")
+    rows = [(n, "H1", f'{{"event_id": "e{n}", "house_id": "H1", "timestamp": "2024-02-03 04:05:06"}}') for n in (0, 1, 2, 2, 3, 8, None)]
+    stored = spark.createDataFrame(rows, "number long, key string, value string")
+    messages.write_paced(stored, path, "number", 2)
+    source = messages.paced_stream(spark, path)
+    plan = source.sent(spark.range(1).select(F.lit(1).alias("tick")))._jdf.queryExecution().executedPlan().toString()
+    assert "tick#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert not any(operator in plan for operator in ("Join", "Exchange"))
+
+    def done() -> bool:
+        return all(lake.heads(spark, layer).where("last_batch >= 4").count() for layer in ("bronze", "silver", "gold"))
+
+    every = dict.fromkeys(layers.TRIGGERS, "100 milliseconds")
+    layers.run(source, lake, event_clock=True, intervals=every, until=done)
+    counted = {r.batch_id: r.row_count for r in layer_counts(spark, lake).where("layer = 'bronze'").collect()}
+    assert counted == {0: 2, 1: 3, 4: 1}
+    assert lake.read_silver(spark).count() == 6 and not lake.read_bronze(spark).where("event_id IS NULL").count()
