@@ -4,14 +4,16 @@ A document is the set of its five-word shingles. Every set gets ``COORDINATES``
 the least shingle under as many hash functions; two sets of Jaccard similarity s share each of
 them with probability s. A run walks down from all sets: a node samples one coordinate, at times
 two, and splits its sets by the token there. Nodes of at most ``BUCKET`` sets are compared by
-brute force on the sampled tokens; larger ones are split again. A node that is still large after
+brute force on a few bits of every token; larger ones are split again. A node that is still large after
 ``DEPTH`` splits holds sets that mostly resemble one another and is compared in pairs of blocks.
-Runs are repeated until the chance that all of them miss a pair falls below 1 - recall. Later runs
-skip nodes whose sets are linked already.
+There are as many runs as make the chance that all of them miss a pair fall below 1 - recall where every
+node is ``DEPTH`` splits deep, so their number does not follow the size of the nodes. Later runs skip
+nodes whose sets are linked already.
 
 A path follows from the tokens of a set alone, so nothing is moved while nodes are split: tasks count the
 nodes of a level, a bit table says which of them are compared and which are split again, and the
-sets of all runs go to their nodes once, with their tokens.
+sets of all runs go to their nodes once, as sketches. Tokens are shuffled to make copies one, and again
+only for sets that a first round has linked.
 
 Sets linked so far, directly or through others, come together a last time with their whole sets,
 and every pair among them is decided by its exact similarity. Equal sets count once, so copies
@@ -22,10 +24,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField
@@ -37,10 +41,14 @@ from sensorlake.llm.words import ALPHANUMERIC, Words, mixed, pieces
 from sensorlake.sources.shared import stored
 
 SHINGLE = 5
+#: Bytes of a shingle's hash.
+SHINGLE_BYTES = 6
 #: Similarity of a link as a fraction: 4/5.
 NUMERATOR, DENOMINATOR = 4, 5
 COORDINATES = 128
-#: Shared coordinates from which a pair goes to the exact comparison: five deviations below 0.8.
+#: Bits of a token in a sketch; sets that share the token share them, others at times.
+SKETCH_BITS = 4
+#: Coordinates with equal bits from which a pair goes to the exact comparison: five deviations below 0.8.
 LEAST_SHARED = 80
 #: Chance of a second coordinate, so that 1 / similarity are sampled on average.
 SECOND = DENOMINATOR / NUMERATOR - 1
@@ -49,7 +57,7 @@ DEPTH = 4
 BLOCK = 512
 RECALL = 0.9999
 WANTED_BITS = 26
-#: Runs of the first round; sets linked in a round are not compared in the next.
+#: Runs of the first round; sets linked in it are not compared in the next.
 FIRST_RUNS = 2
 #: Sets aside what a node is to be: compared, or split again.
 _COMPARED, _SPLIT = 0x1E3779B97F4A7C15, 0x2545F4914F6CDD1D
@@ -57,6 +65,8 @@ _COMPARED, _SPLIT = 0x1E3779B97F4A7C15, 0x2545F4914F6CDD1D
 _SCALES = (mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (mixed(np.arange(7001, COORDINATES + 7001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
+Rooted = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 SET = [StructField("s", LongType()), StructField("check", LongType()), StructField("size", LongType())]
 
 
@@ -76,6 +86,17 @@ def _shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys & np.uint64((1 << 48) - 1), first
 
 
+def _packed(shingles: np.ndarray) -> bytes:
+    """The bytes of shingles that are not always zero."""
+    return np.ascontiguousarray(shingles, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :SHINGLE_BYTES].tobytes()
+
+
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    out = np.zeros((packed.size // SHINGLE_BYTES, 8), dtype=np.uint8)
+    out[:, :SHINGLE_BYTES] = packed.reshape(-1, SHINGLE_BYTES)
+    return out.view("<u8").ravel()
+
+
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(values.size + 1, dtype=np.uint64)
     np.cumsum(values, out=total[1:])
@@ -112,6 +133,17 @@ def _matrix(column: pa.Array, kind: type = np.uint32) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]].view(kind).reshape(len(column), -1)
 
 
+def _sketches(tokens: np.ndarray) -> np.ndarray:
+    """The top ``SKETCH_BITS`` bits of each token's hash, two coordinates to a byte."""
+    bits = (mixed(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.uint8)
+    return bits[:, ::2] << np.uint8(SKETCH_BITS) | bits[:, 1::2]
+
+
+def _opened(sketches: np.ndarray) -> np.ndarray:
+    """The bits of each coordinate, in a byte of its own."""
+    return np.concatenate([sketches >> np.uint8(SKETCH_BITS), sketches & np.uint8((1 << SKETCH_BITS) - 1)], axis=1)
+
+
 def with_sets(docs: DataFrame, text: str = "text", tokens: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the columns of ``SET``, and with ``tokens`` the sampled tokens."""
 
@@ -156,29 +188,45 @@ def _levels(tokens: np.ndarray, runs: range, tables: list[BitTable]) -> Iterator
         yield nodes, rows
 
 
-def _counted(runs: range, tables: list) -> Callable:
-    """(node, root) of the level below the tables."""
+def _rooted(linked: Broadcast | None) -> Rooted:
+    """(s, root, tokens) of batches (s, tokens): sets that are their own root, being in no link of the bit table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if linked is not None:
+                batch = batch.filter(pa.array(~linked.value.holds(batch.column("s").to_numpy().view(np.uint64))))
+            if not batch.num_rows:
+                continue
+            yield pa.RecordBatch.from_arrays([batch.column("s"), batch.column("s"), batch.column("tokens")], ["s", "root", "tokens"])
+
+    return run
+
+
+def _counted(rooted: Rooted, runs: range, tables: list) -> Callable:
+    """(node, root) of the level below the tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rooted(batches):
             *_, (nodes, rows) = _levels(_matrix(batch.column("tokens")), runs, [t.value for t in tables])
             yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), batch.column("root").take(pa.array(rows))], ["node", "root"])
 
     return run
 
 
-def _sent(runs: range, tables: list, last: bool) -> Callable:
-    """(node, side, s, root, tokens): sets to the nodes that are compared, or with ``last`` to those still to be split at the end."""
+def _sent(rooted: Rooted, runs: range, tables: list, last: bool) -> Callable:
+    """(node, side, s, root, sketch): sets to the nodes that are compared, or with ``last`` to those still to be split at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [t.value for t in tables]
-        for batch in batches:
-            levels = list(zip(_levels(_matrix(batch.column("tokens")), runs, known[:-1]), known, strict=True))
+        for batch in rooted(batches):
+            tokens = _matrix(batch.column("tokens"))
+            sketches = _sketches(tokens)
+            levels = list(zip(_levels(tokens, runs, known[:-1]), known, strict=True))
             for (nodes, rows), table in levels[-1:] if last else levels:
                 wanted = np.flatnonzero(table.holds(nodes ^ np.uint64(_SPLIT if last else _COMPARED)))
-                some = batch.take(pa.array(rows[wanted]))
-                columns = [pa.array(nodes[wanted].view(np.int64)), pa.array(np.zeros(wanted.size, np.int32))]
-                yield pa.RecordBatch.from_arrays([*columns, some.column("s"), some.column("root"), some.column("tokens")], ["node", "side", "s", "root", "tokens"])
+                some = batch.select(["s", "root"]).take(pa.array(rows[wanted]))
+                columns = [pa.array(nodes[wanted].view(np.int64)), pa.array(np.zeros(wanted.size, np.int32)), *some.columns]
+                yield pa.RecordBatch.from_arrays([*columns, _binary(sketches[rows[wanted]])], ["node", "side", "s", "root", "sketch"])
 
     return run
 
@@ -214,7 +262,7 @@ def _groups(batches: Iterator[pa.RecordBatch], least: int = 20_000, most: int |
 
 
 def _linked(most: int | None) -> Callable:
-    """Spanning links, between roots, of the sets of each node that share enough tokens.
+    """Spanning links, between roots, of the sets of each node whose sketches agree at enough coordinates.
 
     A bit table takes few nodes for compared ones that are not; those of over ``most`` sets are split elsewhere.
     """
@@ -235,7 +283,7 @@ def _linked(most: int | None) -> Callable:
 
 
 def _links(batch: pa.RecordBatch, first: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    sides, tokens = batch.column("side").to_numpy(), _matrix(batch.column("tokens"))
+    sides, bits = batch.column("side").to_numpy(), _opened(_matrix(batch.column("sketch"), np.uint8))
     roots, own = np.unique(batch.column("root").to_numpy(), return_inverse=True)
     joined = np.arange(roots.size)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -245,7 +293,7 @@ def _links(batch: pa.RecordBatch, first: np.ndarray, end: np.ndarray) -> pa.Reco
         pair = (joined[own[a]] != joined[own[b]]) & ((sides[a] == 0) | (sides[a] != sides[b]))
         a, b = a[pair], b[pair]
         for i in range(0, a.size, 20_000):
-            near = (tokens[a[i : i + 20_000]] == tokens[b[i : i + 20_000]]).sum(axis=1) >= LEAST_SHARED
+            near = (bits[a[i : i + 20_000]] == bits[b[i : i + 20_000]]).sum(axis=1) >= LEAST_SHARED
             left.append(own[a[i : i + 20_000][near]])
             right.append(own[b[i : i + 20_000][near]])
 
@@ -291,12 +339,16 @@ def _caught(similarity: float, depth: int) -> float:
     return kept
 
 
-def _walk(sets: DataFrame, runs: range) -> tuple[DataFrame, int]:
-    """Links between roots that these runs find among the sets (s, root, tokens), and the depth of their deepest node."""
-    spark = sets.sparkSession
+def _walk(sets: list[tuple[DataFrame, Rooted]], runs: range) -> DataFrame:
+    """Links between roots that these runs find among the sets, in parts with a function that gives (s, root, tokens) of each."""
+    spark = sets[0][0].sparkSession
+
+    def of_all(step: Callable, shape: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [part.mapInArrow(step(rooted), shape) for part, rooted in sets])
+
     tables: list = []
     while True:
-        level = sets.mapInArrow(_counted(runs, tables), "node long, root long")
+        level = of_all(lambda rooted: _counted(rooted, runs, list(tables)), "node long, root long")
         sizes = level.groupBy("node").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         # A node whose sets are linked already is neither compared nor split.
         open_ = stored(sizes.where("low < high").select("node", "n"))
@@ -305,33 +357,35 @@ def _walk(sets: DataFrame, runs: range) -> tuple[DataFrame, int]:
         tables.append(spark.sparkContext.broadcast(BitTable.of(open_.select(F.col("node").bitwiseXOR(kind).alias("h")), WANTED_BITS)))
         if largest <= BUCKET or len(tables) == DEPTH:
             break
-    shape = "node long, side int, s long, root long, tokens binary"
-    found = _by_node(sets.mapInArrow(_sent(runs, tables, False), shape)).mapInArrow(_linked(BUCKET), "a long, b long")
+    shape = "node long, side int, s long, root long, sketch binary"
+    found = _by_node(of_all(lambda rooted: _sent(rooted, runs, tables, False), shape)).mapInArrow(_linked(BUCKET), "a long, b long")
     if largest > BUCKET:
-        large = sets.mapInArrow(_sent(runs, tables, True), shape).drop("side").join(open_.where(F.col("n") > BUCKET), "node")
+        large = of_all(lambda rooted: _sent(rooted, runs, tables, True), shape).drop("side").join(open_.where(F.col("n") > BUCKET), "node")
         blocks = _blocks(large, "n", BUCKET // 2)
         found = found.unionByName(_by_node(blocks).mapInArrow(_linked(None), "a long, b long"))
-    return found, len(tables)
+    return found
+
+
+def _runs(recall: float) -> int:
+    """Runs that together find a pair of the least similarity with this chance, however deep its nodes are."""
+    return max(FIRST_RUNS, math.ceil(math.log(1 - recall) / math.log(1 - _caught(NUMERATOR / DENOMINATOR, DEPTH))))
 
 
 def candidates(sets: DataFrame, recall: float = RECALL) -> DataFrame:
     """(s, root): sets, of distinct (s, tokens), that the walk joins, directly or through others."""
-    similarity = NUMERATOR / DENOMINATOR
-    missed, done, count = 1.0, 0, FIRST_RUNS
-    linked: DataFrame | None = None
-    while True:
-        if linked is None:
-            rooted = sets.withColumn("root", F.col("s"))
-        else:
-            rooted = stored(sets.join(linked, "s", "left").select("s", F.coalesce("root", "s").alias("root"), "tokens"))
-        found, depth = _walk(rooted, range(done, done + count))
-        linked = _extended(linked, stored(components(found)))
-        missed *= (1 - _caught(similarity, depth)) ** count
-        done += count
-        if missed <= 1 - recall:
-            return linked
-        # As many as reach the recall if their nodes are no deeper.
-        count = math.ceil(math.log((1 - recall) / missed) / math.log(1 - _caught(similarity, depth)))
+    linked = _extended(None, stored(components(_walk([(sets, _rooted(None))], range(FIRST_RUNS)))))
+    if (count := _runs(recall)) == FIRST_RUNS:
+        return linked
+    # Only tokens of sets that may be linked are shuffled to meet their roots; the others are their own.
+    table = sets.sparkSession.sparkContext.broadcast(BitTable.of(linked.select(F.col("s").alias("h")), WANTED_BITS))
+
+    def doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(table.value.holds(batch.column("s").to_numpy().view(np.uint64))))
+
+    met = sets.mapInArrow(doubtful, sets.schema).join(linked, "s", "left").select("s", F.coalesce("root", "s").alias("root"), "tokens")
+    parts = [(sets, _rooted(table)), (stored(met), lambda batches: batches)]
+    return _extended(linked, stored(components(_walk(parts, range(FIRST_RUNS, count)))))
 
 
 def _extended(linked: DataFrame | None, joined: DataFrame) -> DataFrame:
@@ -365,8 +419,8 @@ def _compared(group: pa.RecordBatch) -> pa.RecordBatch:
     sides, sets = group.column("side").to_numpy(), group.column("s").to_numpy()
     column = group.column("shingles")
     bounds = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    flat = np.frombuffer(column.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]].view(np.uint64)
-    sizes = np.diff(bounds) // 8
+    flat = _unpacked(np.frombuffer(column.buffers()[2], dtype=np.uint8)[bounds[0] : bounds[-1]])
+    sizes = np.diff(bounds) // SHINGLE_BYTES
     row = np.repeat(np.arange(sets.size), sizes)
     _, place, seen = np.unique(flat, return_inverse=True, return_counts=True)
     common = seen[place] > 1  # a shingle of one set alone is in no intersection
@@ -430,7 +484,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             s = _named_sets(shingles, first)["s"]
             ids = piece.column("doc_id").cast(pa.int64())
             rows = np.flatnonzero(table.value.holds(name(pa.RecordBatch.from_arrays([s, ids], ["s", "doc_id"]))) & (np.diff(first) > 0))
-            sets = [shingles[first[i] : first[i + 1]].tobytes() for i in rows]
+            sets = [_packed(shingles[first[i] : first[i + 1]]) for i in rows]
             yield pa.RecordBatch.from_arrays([s.take(pa.array(rows)), pa.array(sets, pa.binary())], ["s", "shingles"])
 
     found = docs.select("doc_id", "text").mapInArrow(run, "s long, shingles binary")

@@ -143,6 +143,69 @@ def test_a_large_group_of_near_copies_and_common_passages(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def unlike_texts_and_copies(rng):
+    rows = near_copies(rng, 6, 20)
+    passage = " ".join(f"p{i}" for i in range(30))
+    return rows + [(20_000 + i, f"{passage} " + " ".join(f"y{rng.randrange(10**6)}" for _ in range(20))) for i in range(200)]
+
+
+@pytest.mark.parametrize("bucket", [512, 8])
+def test_runs_do_not_follow_the_size_of_nodes(spark, monkeypatch, bucket):
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    made, walk = [], jaccard._walk
+    monkeypatch.setattr(jaccard, "_walk", lambda sets, runs: made.append(runs) or walk(sets, runs))
+    rows = unlike_texts_and_copies(random.Random(5))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+    assert made == [range(2), range(2, 11)]
+    assert (1 - jaccard._caught(0.8, jaccard.DEPTH)) ** 11 < 1e-4 < (1 - jaccard._caught(0.8, jaccard.DEPTH)) ** 10
+
+
+def test_what_is_moved_for_each_set_is_small(spark, monkeypatch):
+    """Sets go to nodes as sketches, and only linked ones meet their roots with their tokens."""
+    monkeypatch.setattr(jaccard, "BUCKET", 32)
+    nodes, roots, by_node, stored = [], [], jaccard._by_node, jaccard.stored
+
+    def seen_by_node(rows):
+        if "root" in rows.columns:
+            wide = [c for c, kind in rows.dtypes if kind == "binary"]
+            nodes.extend(len(r[0]) for r in rows.select(*wide).collect())
+        return by_node(rows)
+
+    def seen_stored(df):
+        out = stored(df)
+        if {"root", "tokens"} <= set(out.columns):
+            roots.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_by_node", seen_by_node)
+    monkeypatch.setattr(jaccard, "stored", seen_stored)
+    rows = unlike_texts_and_copies(random.Random(6))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+    assert set(nodes) == {jaccard.COORDINATES * jaccard.SKETCH_BITS // 8}
+    assert len(roots) == 1 and 0 < roots[0] < len({frozenset(shingles(text)) for _, text in rows}) - 150
+
+
+def test_sketches_agree_where_tokens_do_and_seldom_elsewhere():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(0, 1 << 32, (3, jaccard.COORDINATES)).astype(np.uint32)
+    tokens[1, :100] = tokens[0, :100]
+    bits = jaccard._opened(jaccard._sketches(tokens))
+    assert bits.shape == tokens.shape and bits.max() < 1 << jaccard.SKETCH_BITS
+    assert 100 <= (bits[0] == bits[1]).sum() <= 108
+    assert (bits[0] == bits[2]).sum() < 24
+    # Texts of one shingle: the token of a pair differs at each coordinate, and so do its bits.
+    one = jaccard._tokens(np.array([5 << 16, (5 + (1 << 12)) << 16], np.uint64), np.array([0, 1, 2]))
+    bits = jaccard._opened(jaccard._sketches(one))
+    assert (bits[0] == bits[1]).sum() < 24
+
+
+def test_packed_shingles_come_back():
+    values = np.array([0, 1, (1 << 48) - 1, 0x123456789ABC], dtype=np.uint64)
+    packed = np.frombuffer(jaccard._packed(values), np.uint8)
+    assert packed.size == 4 * jaccard.SHINGLE_BYTES
+    assert (jaccard._unpacked(packed) == values).all()
+
+
 def test_query_equals_sql(spark, sf_dir):
     got = compare.spark_rows(queries.op7_ngram_jaccard(spark, sf_dir))
     assert got == compare.sql_rows(compare.connect(sf_dir), oracles.OP7)
